@@ -94,3 +94,15 @@ def year_guard(index: DataFrame, years: tuple[int, int], slack_days: int = 1) ->
     ex = index.select("*", F.explode(cand).alias("work_year"))
     ex = ex.filter(F.col("work_year").between(lo, hi))
     return ex.filter(F.col("work_year") == F.year(d).cast("bigint"))
+
+
+def filter_month_range(df: DataFrame, start: tuple[int, int], end: tuple[int, int] | None = None,
+                       date: str = "filing_date") -> DataFrame:
+    """Dates from the first day of the start month to the last day of the end month (optional)."""
+    y0, m0 = start
+    cond = F.col(date) >= F.make_date(F.lit(y0), F.lit(m0), F.lit(1))
+    if end is not None:
+        y1, m1 = end
+        y1, m1 = (y1 + 1, 1) if m1 == 12 else (y1, m1 + 1)
+        cond = cond & (F.col(date) < F.make_date(F.lit(y1), F.lit(m1), F.lit(1)))
+    return df.filter(cond)

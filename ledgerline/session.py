@@ -49,14 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh, never-reused sub-folder of the shared checkpoint area."""
+    """A fresh, never-reused (not yet created) sub-folder of the shared checkpoint area."""
     root = checkpoint_root(spark)
-    path = f"{root}/ledgerline-scratch/{tag}-{uuid.uuid4().hex}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/ledgerline-scratch/{tag}-{uuid.uuid4().hex}"
 
 
 def local_path(path: str) -> str:
