@@ -336,3 +336,28 @@ def qa_failed_bodies(spark, d):
     idx = X.filing_index(spark, d)
     bad = incremental.failed_bodies(idx, X.body_state(spark, d, idx))
     return bad.select("accession", "ticker", "form", "filing_year")
+
+
+@query("snk_filing_store", """
+SELECT w.ticker, w.filing_year, w.form, w.accession,
+       w.ticker || '/' || CAST(w.filing_year AS VARCHAR) || '/' || replace(w.form, '/', '%2F') || '/' || w.accession || '.html' AS rel_path,
+       b.body_md5
+FROM wanted w JOIN body_state b ON b.k = w.k
+WHERE b.body_chars > 0 AND NOT EXISTS (SELECT 1 FROM held h WHERE h.k = w.k)
+""")
+def snk_filing_store(spark, d):
+    """Store each new filing once: landed bodies of wanted filings not yet held are appended to
+    a store partitioned by (filing_year, form); the same load is run twice (the second adds
+    nothing) and the store is read back with a partition filter on the window."""
+    from ledgerline.session import scratch_dir
+    from ledgerline.sinks.filing_store import read_store, store_filings
+
+    idx = X.filing_index(spark, d)
+    new = incremental.skip_existing(X.wanted(spark, d, idx), X.held(spark, d, idx), ["k"])
+    body = X.filing_body(spark, d, idx).filter(F.length("html") > 0).select("k", "html")
+    rows = new.select("k", "ticker", "filing_year", "form", "accession").join(body, "k").drop("k")
+    path = scratch_dir(spark, "filing-store")
+    store_filings(rows, path)
+    store_filings(rows, path)
+    st = worklist.filter_year_window(read_store(spark, path), YEARS)
+    return st.select("ticker", "filing_year", "form", "accession", "rel_path", F.md5("html").alias("body_md5"))

@@ -323,3 +323,26 @@ def agg_annual(spark, d):
     return st.groupBy("filing_year").agg(
         F.count(F.lit(1)).alias("n_filings"), F.count_distinct("ticker").alias("n_companies"),
         F.sum("body_bytes").cast("bigint").alias("total_bytes"))
+
+
+_PARAM_KEYS = ["run_id", "mode", "batch_size", "forms", "years", "companies"]
+
+
+@query("snk_run_params", """
+SELECT run_id, p.key AS param, p.value
+FROM (SELECT run_id, CAST(count(*) AS VARCHAR) AS companies FROM completion GROUP BY run_id) r,
+     LATERAL (SELECT unnest(['run_id', 'mode', 'batch_size', 'forms', 'years', 'companies']) AS key,
+                     unnest([r.run_id, 'custom', '12', '10-K,10-Q', '1999-2001', r.companies]) AS value) p
+""")
+def snk_run_params(spark, d):
+    """Keep each run's parameters: one map row per run appended to a parameters table
+    (partitioned by run), read back as (run_id, param, value)."""
+    from ledgerline.sinks.snapshots import append_rows
+
+    runs_df = X.completion(spark, d).groupBy("run_id").agg(F.count(F.lit(1)).cast("string").alias("companies"))
+    values = [F.col("run_id"), F.lit("custom"), F.lit(str(B)), F.lit(",".join(X.FORMS)),
+              F.lit(f"{X.year_range()[0]}-{X.year_range()[1]}"), F.col("companies")]
+    params = runs_df.select("run_id", F.map_from_arrays(F.array(*[F.lit(k) for k in _PARAM_KEYS]),
+                                                        F.array(*values)).alias("params"))
+    back = append_rows(params, scratch_dir(spark, "run-params"), partition_by=["run_id"])
+    return back.select("run_id", F.explode("params").alias("param", "value"))

@@ -14,3 +14,12 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
+def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Append ``df`` to the table at ``path`` and return the read of the whole table."""
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)

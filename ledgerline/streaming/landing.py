@@ -1,0 +1,32 @@
+"""Landing data as a sequence of files in time order (a test/replay helper).
+
+File streams pick up files by modification time, so chunks are written one job after another.
+Chunks are cut by exact rank into at most ``chunk_rows`` rows each (bounded per writing task).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline.operators.ranking import ordered_rank
+
+
+def land_in_order(df: DataFrame, root: str, order: Sequence[str], min_chunks: int = 4,
+                  max_chunk_rows: int = 50_000) -> int:
+    """Write ``df`` under ``root/chunk=<n>/`` in ``order``, one file per chunk, oldest first: at
+    least ``min_chunks`` chunks and never more than ``max_chunk_rows`` rows in one.
+    Returns the number of chunks written."""
+    r = ordered_rank(df, list(order), rank_col="_r", size_col="_total")
+    total = r.select(F.max("_total")).first()[0] or 0
+    chunk_rows = max(1, min(max_chunk_rows, -(-total // min_chunks)))
+    r = r.drop("_total")
+    r = r.withColumn("_chunk", F.floor((F.col("_r") - 1) / F.lit(chunk_rows)).cast("bigint")).drop("_r")
+    n = r.select(F.max("_chunk")).first()[0]
+    n = -1 if n is None else int(n)
+    for c in range(n + 1):
+        part = r.filter(F.col("_chunk") == c).drop("_chunk")
+        part.coalesce(1).write.mode("errorifexists").parquet(f"{root}/chunk={c:06d}")
+    return n + 1
