@@ -14,39 +14,46 @@ from ledgerline.schemas import HTML_CELLS
 
 
 class _Tables(HTMLParser):
+    """Collects the rows of every table; a nested table keeps its own row/cell state, so the
+    enclosing table's current row survives it."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open, self.done, self.count = [], [], 0
-        self.row = self.cell = None
-        self.all_th = False
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.open.append((self.count, []))
+            self.open.append({"no": self.count, "rows": [], "row": None, "cell": None, "th": False})
             self.count += 1
-        elif not self.open:
             return
-        elif tag == "tr":
-            self.row, self.all_th = [], True
-        elif tag in ("td", "th") and self.row is not None:
-            self.cell = []
-            self.all_th &= tag == "th"
-        elif tag == "br" and self.cell is not None:
-            self.cell.append(" ")
+        if not self.open:
+            return
+        t = self.open[-1]
+        if tag == "tr":
+            t["row"], t["th"] = [], True
+        elif tag in ("td", "th") and t["row"] is not None:
+            t["cell"] = []
+            t["th"] &= tag == "th"
+        elif tag == "br" and t["cell"] is not None:
+            t["cell"].append(" ")
 
     def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None:
-            self.row.append(" ".join("".join(self.cell).split()))
-            self.cell = None
-        elif tag == "tr" and self.row is not None and self.open:
-            self.open[-1][1].append((self.all_th and bool(self.row), self.row))
-            self.row = None
-        elif tag == "table" and self.open:
-            self.done.append(self.open.pop())
+        if not self.open:
+            return
+        t = self.open[-1]
+        if tag in ("td", "th") and t["cell"] is not None:
+            t["row"].append(" ".join("".join(t["cell"]).split()))
+            t["cell"] = None
+        elif tag == "tr" and t["row"] is not None:
+            t["rows"].append((t["th"] and bool(t["row"]), t["row"]))
+            t["row"] = None
+        elif tag == "table":
+            self.done.append((t["no"], t["rows"]))
+            self.open.pop()
 
     def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
+        if self.open and self.open[-1]["cell"] is not None:
+            self.open[-1]["cell"].append(data)
 
 
 def _parse(it):
