@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
 from ledgerline.operators.ranking import ordered_rank
+from ledgerline.session import checkpoint_root
 
 # Tar layout constants (POSIX tar): 512-byte blocks, two zero blocks at the end, records of 20 blocks.
 BLOCK = 512
@@ -42,22 +43,35 @@ def epoch_seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("run_id", "batch_no", "archive_bytes")) -> DataFrame:
+def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("run_id", "batch_no", "archive_bytes"),
+            first_n: int = 5) -> DataFrame:
     """Per archive: members, files, directories, companies (from directories, or files at depth 3
-    or more) and the first five companies by name. An archive's company set is bounded by its
-    batch size, so collecting it per archive is bounded."""
+    or more) and the first ``first_n`` company names. Companies are de-duplicated and ranked per
+    archive with the exact distributed rank, so only ``first_n`` names per archive are ever
+    gathered, whatever the archive holds."""
     keys = list(keys)
     parts = F.split("member", "/")
     comp = F.when((F.col("is_dir") | (F.size(parts) >= 3)), S.path_company("member", root))
-    g = members.groupBy(*keys).agg(
-        F.count("member").alias("n_members"),
-        F.count_if(F.col("is_file")).alias("n_files"),
-        F.count_if(F.col("is_dir")).alias("n_dirs"),
-        F.sort_array(F.collect_set(comp)).alias("_companies"),
-        F.count_if(F.col("error").isNotNull()).alias("n_errors"),
-    )
-    first5 = F.array_join(F.slice("_companies", 1, 5), ", ")
-    text = F.concat(first5, F.when(F.size("_companies") > 5, F.lit("...")).otherwise(F.lit("")))
-    return g.select(*keys, "n_members", "n_files", "n_dirs",
-                    F.size("_companies").cast("bigint").alias("n_companies"),
-                    text.alias("companies_text"), (F.col("n_errors") == 0).alias("readable"))
+    # one pass over the members: per (archive, company) counts, checkpointed so the archives are
+    # read once although the counts and the names are derived separately
+    checkpoint_root(members.sparkSession)
+    level1 = members.groupBy(*keys, comp.alias("company")).agg(
+        F.count("member").alias("c_members"),
+        F.count_if(F.col("is_file")).alias("c_files"),
+        F.count_if(F.col("is_dir")).alias("c_dirs"),
+        F.count_if(F.col("error").isNotNull()).alias("c_errors"),
+    ).checkpoint(eager=True)
+    counts = level1.groupBy(*keys).agg(
+        F.sum("c_members").alias("n_members"), F.sum("c_files").alias("n_files"),
+        F.sum("c_dirs").alias("n_dirs"), F.sum("c_errors").alias("n_errors"))
+    companies = level1.filter(F.col("company").isNotNull()).select(*keys, "company")
+    ranked = ordered_rank(companies, ["company"], keys, rank_col="_crank", size_col="_ncomp")
+    names = ranked.filter(F.col("_crank") <= first_n).groupBy(*keys).agg(
+        F.max("_ncomp").alias("n_companies"),
+        F.array_join(F.sort_array(F.collect_list("company")), ", ").alias("_first"))
+    g = counts.join(names, keys, "left")
+    n = F.coalesce(F.col("n_companies"), F.lit(0)).cast("bigint")
+    text = F.concat(F.coalesce(F.col("_first"), F.lit("")), F.when(n > first_n, F.lit("...")).otherwise(F.lit("")))
+    return g.select(*keys, F.col("n_members").cast("bigint").alias("n_members"),
+                    F.col("n_files").cast("bigint").alias("n_files"), F.col("n_dirs").cast("bigint").alias("n_dirs"),
+                    n.alias("n_companies"), text.alias("companies_text"), (F.col("n_errors") == 0).alias("readable"))

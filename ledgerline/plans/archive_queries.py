@@ -18,6 +18,7 @@ RUN_ID = "run_20240101_000000"
 B = X.BATCH_SIZE
 TREE_SHARD_BYTES = 1 << 20
 ANNUAL_SHARD_BYTES = 1 << 30
+BATCH_SHARD_BYTES = 2 << 30
 
 _ARCHIVE_SQL = """
 , tb AS (
@@ -65,7 +66,12 @@ def pack_batches(spark, d) -> str:
     """Write one archive per batch under <scratch>/<run_id>/ and return the run folder."""
     root = scratch_dir(spark, "runs")
     rows = staged_rows(spark, d)
-    rows = rows.withColumn("archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"))))
+    # a batch holding a very large company is split into shards of about BATCH_SHARD_BYTES,
+    # so no single task writes it whole (per-batch totals: one row per batch)
+    per_batch = rows.groupBy("batch_no").agg(F.sum("body_bytes").alias("_batch_bytes"))
+    shard = A.shard_of(F.col("member"), F.col("_batch_bytes"), BATCH_SHARD_BYTES)
+    rows = rows.join(per_batch, "batch_no").withColumn(
+        "archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"), shard)))
     write_archives(rows, root)
     return f"{root}/{RUN_ID}"
 

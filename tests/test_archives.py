@@ -104,3 +104,16 @@ def test_list_files_prunes_content(spark, tmp):
     open(os.path.join(tmp, "a.tar"), "wb").write(b"x" * 10)
     plan = list_files(spark, tmp)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_sharded_batch_names(spark, tmp):
+    from ledgerline.functions import scalars as S
+
+    rows = _rows(spark).withColumn("archive", F.concat(
+        F.lit("run_z/"), A.archive_name(S.ARCHIVE_PREFIX, F.lit(7), A.shard_of(F.col("member"), F.lit(1 << 20), 1 << 18))))
+    write_archives(rows, tmp)
+    lst = list_archives(spark, os.path.join(tmp, "run_z")).select(
+        "batch_no", S.shard_from_name("archive_path").alias("shard")).collect()
+    assert {r.batch_no for r in lst} == {7} and {r.shard for r in lst} <= {0, 1, 2, 3} and len(lst) > 1
+    got = read_members(list_archives(spark, os.path.join(tmp, "run_z"))).filter("is_file").count()
+    assert got == rows.count()
