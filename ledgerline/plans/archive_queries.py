@@ -48,11 +48,10 @@ _ARCHIVE_SQL = """
 
 def staged_rows(spark, d):
     """Staged filings with their batch (12 companies per batch in list order), member name, body
-    text and mtime. Keys are joined first; the html is attached last."""
+    text and mtime. Bodies come from the bounded page lookup (broadcast), never by a shuffle join."""
     idx = X.filing_index(spark, d)
-    st = X.staged(spark, d, idx)
-    tb = A.company_batches(st, B, order=F.substring("ticker", 2, 1 << 20).cast("bigint"))
-    rows = st.join(tb, "ticker").join(X.filing_body(spark, d, idx).select("k", "html"), "k")
+    tb = A.company_batches(X.staged(spark, d, idx), B, order=F.substring("ticker", 2, 1 << 20).cast("bigint"))
+    rows = X.staged(spark, d, idx, html=True).join(tb, "ticker")
     return rows.select(
         "k", "ticker", "filing_year", "form", "accession", "batch_no", "body_bytes",
         S.member_name(S.rel_path("ticker", "filing_year", "form", "accession")).alias("member"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.plans.registry import query
 from ledgerline.plans.run_queries import _BATCHES_SQL
 from ledgerline.session import scratch_dir
+from ledgerline.sinks.snapshots import write_snapshot
 from ledgerline.sources import fixtures as X
 from ledgerline.streaming import flush, ingest, progress
 from ledgerline.streaming.landing import land_in_order
@@ -28,7 +29,9 @@ def stm_ingest_new(spark, d):
         spark.read.parquet(f"{src}/chunk={n - 1:06d}").coalesce(1).write.parquet(f"{src}/chunk={n:06d}")
     sink, ckpt = scratch_dir(spark, "ingest-sink"), scratch_dir(spark, "ingest-ckpt")
     schema = spark.read.parquet(src).drop("chunk").schema
-    ingest.ingest_new(spark, src, schema, X.held(spark, d, idx), sink, ckpt, watermark="3650 days")
+    # the held set is a stored table for the stream (not re-derived in every micro-batch)
+    held = write_snapshot(X.held(spark, d, idx), scratch_dir(spark, "held"))
+    ingest.ingest_new(spark, src, schema, held, sink, ckpt, watermark="3650 days")
     return spark.read.parquet(sink).select("ticker", "filing_year", "form", "accession")
 
 

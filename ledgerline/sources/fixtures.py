@@ -84,49 +84,62 @@ def _body_rule(keys: DataFrame, pages: DataFrame) -> DataFrame:
     return landed.join(F.broadcast(pages), F.col("page_id") == k % BODY_PAGES, "inner").drop("page_id")
 
 
+def _html_pages(spark: SparkSession, d: str) -> DataFrame:
+    # page_id is the key of pages and is filtered to BODY_PAGES values: at most BODY_PAGES rows
+    # whatever the size of the index, so broadcasting them is bounded.
+    p = table(spark, d, "pages", "page_id", "html").filter(F.col("page_id").between(0, BODY_PAGES - 1))
+    return p.groupBy("page_id").agg(F.max("html").alias("page_html"))
+
+
+def attach_body(rows: DataFrame, spark: SparkSession, d: str, html: bool = False) -> DataFrame:
+    """Rows (with key ``k``) whose body arrived, with body_chars / body_bytes / body_md5 and
+    optionally the ``html`` text; empty bodies have 0 chars. One broadcast join, no shuffle."""
+    k = F.col("k")
+    empty = k % BODY_EMPTY_EVERY == 0
+    zero = F.lit(0).cast("bigint")
+    j = _body_rule(rows, body_pages(spark, d))
+    cols = [c for c in rows.columns] + [
+        F.when(empty, zero).otherwise(F.col("page_chars")).alias("body_chars"),
+        F.when(empty, zero).otherwise(F.col("page_bytes")).alias("body_bytes"),
+        F.when(empty, F.md5(F.lit(""))).otherwise(F.col("page_md5")).alias("body_md5"),
+    ]
+    out = j.select(*cols)
+    if html:
+        hp = _html_pages(spark, d)
+        out = out.join(F.broadcast(hp), F.col("page_id") == k % BODY_PAGES, "inner").drop("page_id")
+        out = out.withColumn("html", F.when(empty, F.lit("")).otherwise(F.col("page_html"))).drop("page_html")
+    return out
+
+
 def body_state(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
     """(k, body_chars, body_bytes, body_md5) for filings whose body arrived; empty bodies have 0.
     Bodies that never arrived have no row."""
     index = index if index is not None else filing_index(spark, d)
-    k = F.col("k")
-    empty = k % BODY_EMPTY_EVERY == 0
-    j = _body_rule(index.select("k"), body_pages(spark, d))
-    return j.select(
-        "k",
-        F.when(empty, F.lit(0).cast("bigint")).otherwise(F.col("page_chars")).alias("body_chars"),
-        F.when(empty, F.lit(0).cast("bigint")).otherwise(F.col("page_bytes")).alias("body_bytes"),
-        F.when(empty, F.md5(F.lit(""))).otherwise(F.col("page_md5")).alias("body_md5"),
-    )
+    return attach_body(index.select("k"), spark, d)
 
 
 def filing_body(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
     """(k, accession, html): the landed bodies with their text. Only used where text is needed
     (archives, stores); the html column is attached after all key-only work is done."""
     index = index if index is not None else filing_index(spark, d)
-    k = F.col("k")
-    pages = table(spark, d, "pages", "page_id", "html").filter(F.col("page_id").between(0, BODY_PAGES - 1))
-    # page_id is the key of pages and is filtered to BODY_PAGES values; the size of these rows
-    # is bounded by BODY_PAGES pages, whatever the size of the index.
-    j = _body_rule(index.select("k", "accession"), pages.dropDuplicates(["page_id"]))
-    return j.select("k", "accession", F.when(k % BODY_EMPTY_EVERY == 0, F.lit("")).otherwise(F.col("html")).alias("html"))
+    return attach_body(index.select("k", "accession"), spark, d, html=True).select("k", "accession", "html")
 
 
-def _landed_keys(spark, d, index, every) -> DataFrame:
-    body = body_state(spark, d, index).filter(F.col("body_chars") > 0)
+def _landed(spark, d, index, every, html=False) -> DataFrame:
     cand = index.filter(F.col("k") % every == 0)
-    return cand.join(body.filter(F.col("k") % every == 0), "k", "inner")
+    return attach_body(cand, spark, d, html=html).filter(F.col("body_chars") > 0)
 
 
-def staged(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
-    """Filings held in the staging tree (with body sizes)."""
+def staged(spark: SparkSession, d: str, index: DataFrame | None = None, html: bool = False) -> DataFrame:
+    """Filings held in the staging tree (with body sizes, and the text when ``html``)."""
     index = index if index is not None else filing_index(spark, d)
-    return _landed_keys(spark, d, index, STAGED_EVERY)
+    return _landed(spark, d, index, STAGED_EVERY, html)
 
 
 def archived(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
     """Filings held in batch archives (overlaps staged)."""
     index = index if index is not None else filing_index(spark, d)
-    return _landed_keys(spark, d, index, ARCHIVED_EVERY)
+    return _landed(spark, d, index, ARCHIVED_EVERY)
 
 
 def held(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
