@@ -24,11 +24,12 @@ def stm_ingest_new(spark, d):
     idx = X.filing_index(spark, d)
     wanted = X.wanted(spark, d, idx).select("k", "ticker", "accession", "form", "filing_year", "filed_at")
     src = scratch_dir(spark, "landing-index")
-    n = land_in_order(wanted, src, ["filed_at", "k"])
-    if n:  # re-delivery of the newest chunk
-        spark.read.parquet(f"{src}/chunk={n - 1:06d}").coalesce(1).write.parquet(f"{src}/chunk={n:06d}")
+    land_in_order(wanted, src, ["filed_at", "k"])
+    # re-delivery: the newest year's filings land again, after everything else
+    newest = wanted.filter(F.col("filing_year") == X.year_range()[1])
+    land_in_order(newest, src, ["filed_at", "k"], min_chunks=1)
     sink, ckpt = scratch_dir(spark, "ingest-sink"), scratch_dir(spark, "ingest-ckpt")
-    schema = spark.read.parquet(src).drop("chunk").schema
+    schema = wanted.schema
     # the held set is a stored table for the stream (not re-derived in every micro-batch)
     held = write_snapshot(X.held(spark, d, idx), scratch_dir(spark, "held"))
     ingest.ingest_new(spark, src, schema, held, sink, ckpt, watermark="3650 days")
@@ -42,7 +43,7 @@ def stm_batch_flush(spark, d):
     src = scratch_dir(spark, "landing-events")
     land_in_order(X.completion(spark, d), src, ["ts", "item"])
     sink, ckpt = scratch_dir(spark, "flush-sink"), scratch_dir(spark, "flush-ckpt")
-    schema = spark.read.parquet(src).drop("chunk").schema
+    schema = X.completion(spark, d).schema
     flush.flush_batches(spark, src, schema, sink, ckpt, X.BATCH_SIZE)
     return flush.read_flushed(spark, sink).select("run_id", "item", "ticker", "seq", "batch_no")
 
@@ -55,6 +56,6 @@ def stm_progress(spark, d):
     src = scratch_dir(spark, "landing-progress")
     land_in_order(X.completion(spark, d), src, ["ts", "item"])
     sink, ckpt = scratch_dir(spark, "progress-sink"), scratch_dir(spark, "progress-ckpt")
-    schema = spark.read.parquet(src).drop("chunk").schema
+    schema = X.completion(spark, d).schema
     progress.live_counts(spark, src, schema, sink, ckpt)
     return progress.latest_counts(spark, sink).select("run_id", "ok", "n")

@@ -23,13 +23,17 @@ def write_company_lines(company: DataFrame, path: str) -> None:
 
 def write_company_arrays(company: DataFrame, path: str, per_file: int = 1000, order: str = "list_pos") -> None:
     """The reference's shape — a JSON array of records per file — cut into files of at most
-    ``per_file`` records by list position (positions are unique, so each group is bounded)."""
+    ``per_file`` records in list order. File numbers come from the exact rank (unique even when
+    positions repeat), so every file's group is bounded by ``per_file``."""
+    from ledgerline.operators.ranking import ordered_rank
+
     rec = company.select(
-        F.floor(F.col(order) / per_file).cast("bigint").alias("file_no"),
         F.col(order).alias("_pos"),
         F.to_json(F.struct(F.col("ticker").alias(KEY_TICKER), F.col("company_name").alias(KEY_NAME),
                            S.cik_pad("cik").alias(KEY_CIK))).alias("_json"),
     )
-    files = rec.groupBy("file_no").agg(F.sort_array(F.collect_list(F.struct("_pos", "_json"))).alias("_r"))
+    rec = ordered_rank(rec, ["_pos", "_json"], rank_col="_rank")
+    rec = rec.withColumn("file_no", S.batch_of("_rank", per_file) - 1)
+    files = rec.groupBy("file_no").agg(F.sort_array(F.collect_list(F.struct("_rank", "_json"))).alias("_r"))
     text = F.concat(F.lit("[\n"), F.array_join(F.transform("_r", lambda x: x["_json"]), ",\n"), F.lit("\n]"))
     files.select("file_no", text.alias("value")).write.mode("errorifexists").partitionBy("file_no").text(path)
