@@ -30,6 +30,12 @@ HEADLINE = [
     "src_progress_log",
     "stm_ingest_new",
     "stm_batch_flush",
+    "join_outcome",
+    "agg_status_by_run",
+    "top_recent",
+    "snk_filing_store",
+    "src_html_table",
+    "src_company_json",
 ]
 
 

@@ -22,8 +22,9 @@ PARTITIONS = ("filing_year", "form")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A store exists once a load has committed (the commit leaves ``_SUCCESS``)."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(p)
 
