@@ -354,8 +354,10 @@ def snk_filing_store(spark, d):
 
     idx = X.filing_index(spark, d)
     new = incremental.skip_existing(X.wanted(spark, d, idx), X.held(spark, d, idx), ["k"])
-    body = X.filing_body(spark, d, idx).filter(F.length("html") > 0).select("k", "html")
-    rows = new.select("k", "ticker", "filing_year", "form", "accession").join(body, "k").drop("k")
+    new = new.select("k", "ticker", "filing_year", "form", "accession")
+    # bodies are attached to the new keys by the bounded page lookup (no shuffle of html)
+    rows = X.attach_body(new, spark, d, html=True).filter(F.col("body_chars") > 0).select(
+        "ticker", "filing_year", "form", "accession", "html")
     path = scratch_dir(spark, "filing-store")
     store_filings(rows, path)
     store_filings(rows, path)
