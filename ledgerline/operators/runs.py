@@ -13,12 +13,24 @@ from ledgerline.operators.ranking import ordered_rank
 ORDER = ("ts", "item")
 
 
+def rank_by_outcome(done: DataFrame, run: str = "run_id", order: Sequence[str] = ORDER,
+                    max_runs: int | None = None) -> DataFrame:
+    """``_oseq``: position of each completion among the run's completions with the same outcome
+    (successes and failures numbered separately) — one exact rank serves both lists."""
+    return ordered_rank(done, order, [run, "ok"], rank_col="_oseq",
+                        max_groups=None if max_runs is None else 2 * max_runs)
+
+
 def assign_batches(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run: str = "run_id",
-                   order: Sequence[str] = ORDER, max_runs: int | None = None) -> DataFrame:
+                   order: Sequence[str] = ORDER, max_runs: int | None = None, seq_col: str | None = None) -> DataFrame:
     """Number the successful completions of each run in completion order and cut them into
-    batches of ``batch_size``: ranks 1..B -> batch 1 and so on; the remainder is the last batch."""
+    batches of ``batch_size``: ranks 1..B -> batch 1 and so on; the remainder is the last batch.
+    ``seq_col`` names an existing per-run success rank (see ``rank_by_outcome``)."""
     ok = done.filter(F.col("ok"))
-    ranked = ordered_rank(ok, order, [run], rank_col="seq", max_groups=max_runs)
+    if seq_col:
+        ranked = ok.withColumnRenamed(seq_col, "seq")
+    else:
+        ranked = ordered_rank(ok, order, [run], rank_col="seq", max_groups=max_runs)
     return ranked.withColumn("batch_no", S.batch_of("seq", batch_size))
 
 
@@ -51,12 +63,15 @@ def run_summary(done: DataFrame, run: str = "run_id", ts: str = "ts") -> DataFra
 
 
 def failed_lines(done: DataFrame, per_line: int = 100, run: str = "run_id", order: Sequence[str] = ORDER,
-                 max_runs: int | None = None) -> DataFrame:
+                 max_runs: int | None = None, seq_col: str | None = None) -> DataFrame:
     """Failed tickers of each run as comma-joined text lines of at most ``per_line`` names, in
     completion order. Each line's group is bounded by ``per_line`` rows, so no run's failures are
-    gathered into one row."""
+    gathered into one row. ``seq_col`` names an existing per-run failure rank."""
     failed = done.filter(~F.col("ok"))
-    r = ordered_rank(failed, order, [run], rank_col="_fpos", max_groups=max_runs)
+    if seq_col:
+        r = failed.withColumnRenamed(seq_col, "_fpos")
+    else:
+        r = ordered_rank(failed, order, [run], rank_col="_fpos", max_groups=max_runs)
     r = r.withColumn("line_no", S.batch_of("_fpos", per_line))
     g = r.groupBy(run, "line_no").agg(
         F.sort_array(F.collect_list(F.struct("_fpos", "ticker"))).alias("_l"),

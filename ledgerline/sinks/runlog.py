@@ -31,7 +31,8 @@ def _line(run, ts, order, text):
 def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_prefix: str = "runs/") -> DataFrame:
     """(run_id, ts, ord, seq, value) text lines of each run's progress log."""
     prog = runs.progress(done)                                   # n_done / n_total per completion
-    ok = runs.assign_batches(done, batch_size)                   # seq / batch_no per success
+    by_outcome = runs.rank_by_outcome(done)                      # success / failure positions
+    ok = runs.assign_batches(by_outcome, batch_size, seq_col="_oseq")
     filings = (F.col("item") % 7).cast("string")
     mark = F.when(F.col("ok"), F.lit("\u2713")).otherwise(F.lit("\u2717"))
     msg = F.when(F.col("ok"), F.concat(F.lit("Downloaded "), filings, F.lit(" filings"))).otherwise(
@@ -89,7 +90,7 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
         *[_line(F.col("run_id"), F.col("start"), -10 + i, v) for i, v in enumerate(head_lines)],
         *[_line(F.col("run_id"), F.col("end"), 100 + i, v) for i, v in enumerate(tail_lines)],
     )).alias("l"))
-    fl = runs.failed_lines(done, FAILED_PER_LINE).join(summary.select("run_id", "end"), "run_id")
+    fl = runs.failed_lines(by_outcome, FAILED_PER_LINE, seq_col="_oseq").join(summary.select("run_id", "end"), "run_id")
     per_fail = fl.select(F.col("line_no").alias("seq"), _line(F.col("run_id"), F.col("end"), 200,
                                                               F.concat(F.lit("Failed companies: "), F.col("tickers"))).alias("l"))
     allx = per_event.unionByName(per_batch).unionByName(per_run).unionByName(per_fail)

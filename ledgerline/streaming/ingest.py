@@ -4,7 +4,8 @@ A file stream of index rows is de-duplicated by accession within a watermark (a
 filing is dropped while the watermark still covers it; its state is evicted after), then each
 micro-batch is anti-joined with the held set (stream-static) inside ``foreachBatch`` and appended
 to the sink under ``epoch=<id>``: a replayed epoch overwrites its own folder, so the sink is
-exactly-once. Late rows beyond the watermark are dropped by design (the watermark is a parameter).
+exactly-once. Late rows beyond the watermark are dropped by design (the watermark is a parameter);
+as in every Spark stateful operator, "late" is judged against the previous micro-batch's watermark.
 """
 
 from __future__ import annotations
