@@ -83,6 +83,13 @@ def shard_from_name(path) -> Column:
     return F.when(F.length(shard) > 0, shard.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
+def epoch_text(seconds) -> Column:
+    """Epoch seconds as 'yyyy-MM-dd HH:mm:ss' (UTC wall clock), computed on a timestamp without
+    time zone so the session time zone cannot shift it."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(F.timestamp_add("SECOND", _c(seconds), epoch), "yyyy-MM-dd HH:mm:ss")
+
+
 def size_mb(c) -> Column:
     return _c(c).cast("double") / F.lit(float(MB))
 

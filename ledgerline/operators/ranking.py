@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_root
 
-# Above this many (slice, group) rows the offsets are joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
+# Above this many (slice, group) rows (about 10 MB of offsets) the offsets are joined by shuffle
+# instead of broadcast.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def _slices(df: DataFrame, slices: int | None) -> int:

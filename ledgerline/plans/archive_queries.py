@@ -100,12 +100,18 @@ def _listing(spark, d):
     return list_archives(spark, packed_run(spark, d))
 
 
-@query("snk_batch_archive", _ARCHIVE_SQL + "SELECT batch_no, archive_bytes FROM ab")
+@query("snk_batch_archive", _ARCHIVE_SQL + """
+SELECT batch_no, 'sp500_filings_data_' || CAST(batch_no AS VARCHAR) || '.tar' AS name, archive_bytes,
+       archive_bytes / (1024.0 * 1024.0) AS size_mb
+FROM ab
+""")
 def snk_batch_archive(spark, d):
-    """Pack each batch of 12 companies into one archive; returns batch and archive size."""
+    """Pack each batch of 12 companies into one archive; returns each archive with its size
+    in bytes and MB (companies without staged data are simply absent from their archive)."""
     run = pack_batches(spark, d)
     _PACKED[(spark.sparkContext.applicationId, d)] = run
-    return list_archives(spark, run).select("batch_no", "archive_bytes")
+    return list_archives(spark, run).select("batch_no", "name", "archive_bytes",
+                                            S.size_mb("archive_bytes").alias("size_mb"))
 
 
 @query("src_archive_list", _ARCHIVE_SQL + """

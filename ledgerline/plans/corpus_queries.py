@@ -303,6 +303,8 @@ SELECT accession, lower(form) AS form_lower, string_split(form, '/')[1] AS form_
             WHEN k % 5000 < 3600 THEN printf('%dm %ds', (k % 5000) // 60, (k % 5000) % 60)
             ELSE printf('%dh %dm', (k % 5000) // 3600, ((k % 5000) % 3600) // 60) END AS duration_text,
        array_to_string([ticker, form, accession], ', ') AS joined,
+       strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(k * 1000), '%Y-%m-%d %H:%M:%S') AS epoch_text,
+       format('{:,}', k * 1000) AS number_text,
        string_split(replace(form, '/', '%2F') || '/' || accession || '.html', '/')[-1] AS base_name
 FROM filing_index
 """)
@@ -324,6 +326,8 @@ def fn_scalars(spark, d):
         (F.col("k") % 12).cast("bigint").alias("k_mod"),
         S.duration_text(secs).alias("duration_text"),
         F.array_join(F.array("ticker", "form", "accession"), ", ").alias("joined"),
+        S.epoch_text(F.col("k") * 1000).alias("epoch_text"),
+        F.format_number(F.col("k") * 1000, 0).alias("number_text"),
         F.element_at(F.split(path, "/"), -1).alias("base_name"),
     )
 

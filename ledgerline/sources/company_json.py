@@ -22,11 +22,14 @@ def read_company_list(spark: SparkSession, path: str, multiline: bool = True) ->
 
 def validate_company_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Per file: records, records without a ticker, corrupt records, and ``valid`` (parsable
-    and not empty). Parses PERMISSIVE so one bad file does not stop the report."""
+    and not empty). Parses PERMISSIVE so one bad file does not stop the report. Every listed
+    ``*.json`` file appears, including empty lists (which yield no record to group on)."""
+    from ledgerline.sources.archives import list_files
+
     schema = T.StructType(COMPANY_JSON.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-          .select("*", F.col("_metadata.file_path").alias("file_path")))
+          .select("*", F.url_decode(F.col("_metadata.file_path")).alias("file_path")))
     # Spark refuses a query that references only the corrupt-record column; keep the record columns in.
     bad = F.col(CORRUPT).isNotNull()
     g = df.groupBy("file_path").agg(
@@ -34,4 +37,14 @@ def validate_company_list(spark: SparkSession, path: str, multiline: bool = True
         F.count_if(~bad & F.col(KEY_TICKER).isNull()).alias("n_missing_ticker"),
         F.count_if(bad).alias("n_corrupt"),
     )
-    return g.withColumn("valid", (F.col("n_corrupt") == 0) & (F.col("n_records") > 0))
+    files = list_files(spark, path, "*.json").select(F.col("archive_path").alias("file_path"))
+    if files.isEmpty():  # a single file path, or a folder the file system lists differently
+        files = g.select("file_path")
+    out = files.join(g, "file_path", "left")
+    zero = F.lit(0).cast("bigint")
+    return out.select(
+        "file_path",
+        F.coalesce("n_records", zero).alias("n_records"),
+        F.coalesce("n_missing_ticker", zero).alias("n_missing_ticker"),
+        F.coalesce("n_corrupt", zero).alias("n_corrupt"),
+    ).withColumn("valid", (F.col("n_corrupt") == 0) & (F.col("n_records") > 0))

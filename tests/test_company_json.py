@@ -44,7 +44,7 @@ def test_validation_reports_empty_and_corrupt(spark, tmp):
     res = {os.path.basename(r.file_path): r for r in validate_company_list(spark, d).collect()}
     assert res["ok.json"].n_records == 2 and res["ok.json"].n_missing_ticker == 1 and res["ok.json"].valid
     assert res["bad.json"].n_corrupt == 1 and not res["bad.json"].valid
-    assert "empty.json" not in res or not res["empty.json"].valid   # an empty list yields no record
+    assert res["empty.json"].n_records == 0 and not res["empty.json"].valid
 
 
 def test_single_object_is_one_record(spark, tmp):
