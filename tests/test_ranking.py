@@ -67,3 +67,16 @@ def test_tie_at_same_instant_broken_by_id(spark):
     done = _done(spark, [("r", 5, "B", t, True), ("r", 3, "A", t, True)])
     out = {r.ticker: r.seq for r in runs.assign_batches(done, 12).collect()}
     assert out == {"A": 1, "B": 2}
+
+
+def test_rank_shuffle_fallback_beyond_broadcast_bound(spark, monkeypatch):
+    from ledgerline.operators import ranking
+
+    monkeypatch.setattr(ranking, "BROADCAST_MAX_ROWS", 0)
+    df = spark.range(0, 500).select((F.col("id") % 7).alias("g"), (F.col("id") * 13 % 500).alias("t"))
+    r = ranking.ordered_rank(df, ["t"], ["g"], slices=6)
+    # without the hint the join strategy is Spark's own (size-estimated) choice; ranks stay exact
+    got = {(x.g, x.t): x.rank for x in r.collect()}
+    for g in range(7):
+        ts = sorted(t for (gg, t) in got if gg == g)
+        assert [got[(g, t)] for t in ts] == list(range(1, len(ts) + 1))
