@@ -117,3 +117,13 @@ def test_sharded_batch_names(spark, tmp):
     assert {r.batch_no for r in lst} == {7} and {r.shard for r in lst} <= {0, 1, 2, 3} and len(lst) > 1
     got = read_members(list_archives(spark, os.path.join(tmp, "run_z"))).filter("is_file").count()
     assert got == rows.count()
+
+
+def test_killed_task_attempt_is_retried_cleanly(tmp):
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    r = subprocess.run([sys.executable, os.path.join(here, "retry_job.py"), tmp], capture_output=True, text=True,
+                       timeout=600)
+    assert "RETRY-OK" in r.stdout, r.stdout[-2000:] + r.stderr[-4000:]

@@ -80,3 +80,22 @@ def test_rank_shuffle_fallback_beyond_broadcast_bound(spark, monkeypatch):
     for g in range(7):
         ts = sorted(t for (gg, t) in got if gg == g)
         assert [got[(g, t)] for t in ts] == list(range(1, len(ts) + 1))
+
+
+def test_rank_property_random_groups_and_slices(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), min_size=1, max_size=120),
+           st.integers(1, 9))
+    def check(pairs, slices):
+        rows = [(i, g, t) for i, (g, t) in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "id long, g long, t long")
+        got = {r.id: (r.rank, r.n) for r in ordered_rank(df, ["t", "id"], ["g"], size_col="n", slices=slices).collect()}
+        for g in {r[1] for r in rows}:
+            mine = sorted((t, i) for i, gg, t in rows if gg == g)
+            for pos, (_, i) in enumerate(mine, 1):
+                assert got[i] == (pos, len(mine))
+
+    check()
