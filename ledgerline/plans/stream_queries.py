@@ -14,6 +14,10 @@ from ledgerline.sources import fixtures as X
 from ledgerline.streaming import flush, ingest, progress
 from ledgerline.streaming.landing import land_in_order
 
+# Landed files are consecutive time slices, so taking two per trigger keeps arrival in time order
+# (a micro-batch holds a contiguous time range) while state still spans several micro-batches.
+FILES_PER_TRIGGER = 2
+
 @query("stm_ingest_new", """
 SELECT ticker, filing_year, form, accession FROM wanted w
 WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.k = w.k)
@@ -32,7 +36,7 @@ def stm_ingest_new(spark, d):
     schema = wanted.schema
     # the held set is a stored table for the stream (not re-derived in every micro-batch)
     held = write_snapshot(X.held(spark, d, idx), scratch_dir(spark, "held"))
-    ingest.ingest_new(spark, src, schema, held, sink, ckpt, watermark="3650 days")
+    ingest.ingest_new(spark, src, schema, held, sink, ckpt, watermark="3650 days", files_per_trigger=FILES_PER_TRIGGER)
     return spark.read.parquet(sink).select("ticker", "filing_year", "form", "accession")
 
 
@@ -44,7 +48,7 @@ def stm_batch_flush(spark, d):
     land_in_order(X.completion(spark, d), src, ["ts", "item"])
     sink, ckpt = scratch_dir(spark, "flush-sink"), scratch_dir(spark, "flush-ckpt")
     schema = X.completion(spark, d).schema
-    flush.flush_batches(spark, src, schema, sink, ckpt, X.BATCH_SIZE)
+    flush.flush_batches(spark, src, schema, sink, ckpt, X.BATCH_SIZE, files_per_trigger=FILES_PER_TRIGGER)
     return flush.read_flushed(spark, sink).select("run_id", "item", "ticker", "seq", "batch_no")
 
 
@@ -57,5 +61,5 @@ def stm_progress(spark, d):
     land_in_order(X.completion(spark, d), src, ["ts", "item"])
     sink, ckpt = scratch_dir(spark, "progress-sink"), scratch_dir(spark, "progress-ckpt")
     schema = X.completion(spark, d).schema
-    progress.live_counts(spark, src, schema, sink, ckpt)
+    progress.live_counts(spark, src, schema, sink, ckpt, files_per_trigger=FILES_PER_TRIGGER)
     return progress.latest_counts(spark, sink).select("run_id", "ok", "n")
