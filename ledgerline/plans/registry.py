@@ -6,11 +6,14 @@ Query modules register with the ``query`` decorator; ``FIXTURE_SQL`` is the SQL
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -89,7 +92,13 @@ def query(key: str, sql: str | None = None):
     def wrap(fn: QueryFn) -> QueryFn:
         if key in _QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        _QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[key] = run
         if sql is not None:
             _SQL[key] = FIXTURE_SQL + sql
         return fn

@@ -62,3 +62,31 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in Spark's Python workers (once per application).
+
+    Python-side operators (mapInPandas jobs, the tar data source, stateful stream functions) are
+    pickled by reference to this package; the package is zipped on the driver and distributed with
+    ``SparkContext.addPyFile``, so workers import it whatever their working directory or host.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerline-pyfiles-"), "ledgerline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg):
+            dirs[:] = [x for x in dirs if x != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.join("ledgerline", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

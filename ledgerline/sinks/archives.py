@@ -176,6 +176,9 @@ class TarArchiveSource(DataSource):
 
 
 def register(spark) -> None:
+    from ledgerline.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(TarArchiveSource)
 
 
@@ -244,6 +247,9 @@ def write_tree(df, root: str, member: str = "member", content: str = "content",
     """Write one file per row under ``root`` (no shuffle: each task writes the rows it holds)."""
     from pyspark.sql import functions as F
 
+    from ledgerline.session import ship_package
+
+    ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(FileTreeSource)
     cols = [F.col(member).alias("member"), F.col(content).alias("content"),
             (F.col(mtime) if mtime else F.lit(None)).cast("bigint").alias("mtime")]

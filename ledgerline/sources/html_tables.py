@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.schemas import HTML_CELLS
+from ledgerline.session import ship_package
 
 
 class _Tables(HTMLParser):
@@ -72,6 +73,7 @@ def _parse(it):
 
 def table_cells(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """(page_id, table_no, row_no, is_header, cells) for every table row of every page."""
+    ship_package(pages.sparkSession)
     return pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(html).alias("html")).mapInPandas(
         _parse, HTML_CELLS)
 

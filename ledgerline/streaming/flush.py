@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ledgerline.session import ship_package
+
 OUT = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("item", T.LongType()),
@@ -46,6 +48,7 @@ def _numberer(batch_size: int):
 def flush_batches(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, batch_size: int,
                   files_per_trigger: int = 1) -> None:
     """Stream landed completions, number successes per run in arrival order into batches."""
+    ship_package(spark)
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
               .filter(F.col("ok")).select("run_id", "item", "ticker", "ts"))
     out = stream.groupBy("run_id").applyInPandasWithState(
