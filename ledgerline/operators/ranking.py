@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import checkpoint_root
+from ledgerline.session import checkpoint_root, partitions_for
 
 # Above this many (slice, group) rows (about 10 MB of offsets) the offsets are joined by shuffle
 # instead of broadcast.
@@ -30,10 +30,8 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return int(slices)
-    conf = df.sparkSession.conf
-    return max(int(conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    """Explicit count, else sized from the plan's size estimate (about 256 MB per slice)."""
+    return int(slices) if slices else partitions_for(df)
 
 
 def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = (), rank_col: str = "rank",

@@ -90,3 +90,16 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("ledgerline", os.path.relpath(full, pkg)))
     sc.addPyFile(out)
     _SHIPPED.add(sc.applicationId)
+
+
+def partitions_for(df, target_bytes: int = 256 << 20, cap: int = 100_000) -> int:
+    """Partition count for a shuffle of ``df``: at least ``spark.sql.shuffle.partitions``, and
+    enough that each partition holds about ``target_bytes`` by Catalyst's size estimate of the
+    plan (no job is run), so a slice or writer task still fits in memory at 100x the data."""
+    spark = df.sparkSession
+    base = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        est = 0
+    return int(min(cap, max(base, -(-est // target_bytes))))

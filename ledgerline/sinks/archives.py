@@ -195,8 +195,11 @@ def write_archives(df, root: str, archive: str = "archive", member: str = "membe
     cols = [F.col(archive).alias("archive"), F.col(member).alias("member"), F.col(content).alias("content")]
     cols.append((F.col(mtime) if mtime else F.lit(0)).cast("bigint").alias("mtime"))
     rows = df.select(*cols)
-    # explicit count: AQE would coalesce a by-column repartition into a few large writer tasks
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # explicit count (AQE would coalesce a by-column repartition into a few large writer tasks),
+    # sized from the plan's estimate so a writer task handles a bounded share of the bytes
+    from ledgerline.session import partitions_for
+
+    n = num_partitions or partitions_for(rows)
     rows = rows.repartition(n, "archive")
     (rows.sortWithinPartitions("archive", "member").write.format(FORMAT).mode("append")
      .option("root_depth", str(root_depth)).save(root))
