@@ -12,7 +12,7 @@ from ledgerline.plans.registry import query
 from ledgerline.session import scratch_dir
 from ledgerline.sinks.archives import write_archives, write_tree
 from ledgerline.sources import fixtures as X
-from ledgerline.sources.archives import list_archives, list_files, read_members
+from ledgerline.sources.archives import list_archives, list_files, list_tree, read_members
 
 RUN_ID = "run_20240101_000000"
 B = X.BATCH_SIZE
@@ -222,11 +222,11 @@ def snk_annual_archive(spark, d):
 @query("src_tree_scan", "SELECT rel_path, size FROM files")
 def src_tree_scan(spark, d):
     """The staged tree written as real files (one per filing) and scanned back: relative path
-    and byte size of every .html file (file metadata only, content pruned)."""
+    and byte size of every .html file (metadata only; company folders listed by tasks)."""
     root = scratch_dir(spark, "tree-files")
     rows = staged_rows(spark, d)
     write_tree(rows.select(F.col("rel_path").alias("member"), "content", "mtime"), root)
-    f = list_files(spark, root, "*.html")
+    f = list_tree(spark, root, "*.html")
     from ledgerline.session import local_path
 
     base = local_path(root).rstrip("/") + "/"

@@ -127,3 +127,16 @@ def test_killed_task_attempt_is_retried_cleanly(tmp):
     r = subprocess.run([sys.executable, os.path.join(here, "retry_job.py"), tmp], capture_output=True, text=True,
                        timeout=600)
     assert "RETRY-OK" in r.stdout, r.stdout[-2000:] + r.stderr[-4000:]
+
+
+def test_list_tree_distributed_includes_zero_byte_files(spark, tmp):
+    from ledgerline.sources.archives import list_tree
+
+    os.makedirs(os.path.join(tmp, "A", "2001", "10-K"))
+    os.makedirs(os.path.join(tmp, "B"))
+    open(os.path.join(tmp, "A", "2001", "10-K", "x.html"), "w").write("abc")
+    open(os.path.join(tmp, "A", "2001", "10-K", "empty.html"), "w").close()
+    open(os.path.join(tmp, "B", "z.txt"), "w").write("no")
+    open(os.path.join(tmp, "top.html"), "w").write("t")
+    got = {(r.name, r.archive_bytes) for r in list_tree(spark, tmp).collect()}
+    assert got == {("x.html", 3), ("empty.html", 0), ("top.html", 1)}
