@@ -22,16 +22,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import checkpoint_root, partitions_for
+from ledgerline.session import checkpoint_root, partitions_for_size
 
 # Above this many (slice, group) rows (about 10 MB of offsets) the offsets are joined by shuffle
 # instead of broadcast.
 BROADCAST_MAX_ROWS = 200_000
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    """Explicit count, else sized from the plan's size estimate (about 256 MB per slice)."""
-    return int(slices) if slices else partitions_for(df)
+# Rows per range slice when the slice count is not given (slices hold key-sized rows).
+SLICE_ROWS = 2_000_000
 
 
 def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = (), rank_col: str = "rank",
@@ -45,7 +44,16 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
     (a narrow scan) before choosing broadcast or shuffle for the offsets.
     """
     groups, order = list(groups), list(order)
-    n = _slices(df, slices)
+    spark = df.sparkSession
+    # one narrow aggregate measures what sizing needs: rows (slice count), groups (offsets bound)
+    need_groups = bool(groups) and max_groups is None
+    measured = None
+    if slices is None or need_groups:
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        if need_groups:
+            aggs.append(F.count_distinct(*groups).alias("groups"))
+        measured = df.agg(*aggs).first()
+    n = int(slices) if slices else partitions_for_size(spark, measured["rows"], SLICE_ROWS)
     keys = groups + order
     # repartitionByRange with an explicit count is never coalesced by AQE, so slice ids are stable
     r = (
@@ -69,8 +77,8 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
         cols.append(F.min("_omin").over(whole).alias(first_col))
     stats = stats.select(*cols)
 
-    bound = n if not groups else n + (max_groups if max_groups is not None else
-                                       df.select(*groups).distinct().count())
+    # +1: a null group key is not counted by count_distinct
+    bound = n if not groups else n + (max_groups if max_groups is not None else measured["groups"] + 1)
     if bound <= BROADCAST_MAX_ROWS:
         stats = F.broadcast(stats)
     out = r.join(stats, ["_slice", *groups], "inner")

@@ -92,19 +92,10 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def partitions_for(df, target_bytes: int = 256 << 20, cap: int = 20_000) -> int:
-    """Partition count for a shuffle of ``df``: at least ``spark.sql.shuffle.partitions``, and
-    enough that each partition holds about ``target_bytes`` by Catalyst's size estimate of the
-    plan (no job is run), so a slice or writer task still fits in memory at 100x the data.
-    An unknown size (Spark's ``defaultSizeInBytes``, e.g. for RDD-backed relations) falls back
-    to the configured count."""
-    spark = df.sparkSession
+def partitions_for_size(spark: SparkSession, total: int, per_partition: int) -> int:
+    """Partition count for ``total`` measured units (bytes or rows) at ``per_partition`` each,
+    never below ``spark.sql.shuffle.partitions``. Sizes are measured by the caller (an aggregate),
+    not taken from plan estimates: without table statistics a join's estimate is an upper bound
+    that can be larger than the data by orders of magnitude."""
     base = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        est = 0
-    if est >= unknown:
-        est = 0
-    return int(min(max(cap, base), max(base, -(-est // target_bytes))))
+    return int(max(base, -(-int(total or 0) // int(per_partition))))

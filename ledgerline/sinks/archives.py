@@ -29,6 +29,7 @@ FORMAT = "ledgerline_tar"
 DIR_MODE = 0o755
 FILE_MODE = 0o644
 TMP_MARK = ".ledgerline-tmp-"
+WRITER_TASK_BYTES = 512 << 20  # content bytes per writer task
 
 
 def filesystem(uri: str):
@@ -196,10 +197,15 @@ def write_archives(df, root: str, archive: str = "archive", member: str = "membe
     cols.append((F.col(mtime) if mtime else F.lit(0)).cast("bigint").alias("mtime"))
     rows = df.select(*cols)
     # explicit count (AQE would coalesce a by-column repartition into a few large writer tasks),
-    # sized from the plan's estimate so a writer task handles a bounded share of the bytes
-    from ledgerline.session import partitions_for
-
-    n = num_partitions or partitions_for(rows)
+    # sized from the measured content bytes (one narrow aggregate, no shuffle) so a writer task
+    # handles a bounded share of the data
+    from ledgerline.session import partitions_for_size
+
+    if num_partitions:
+        n = num_partitions
+    else:
+        total = rows.select(F.sum(F.octet_length("content"))).first()[0]
+        n = partitions_for_size(df.sparkSession, total, WRITER_TASK_BYTES)
     rows = rows.repartition(n, "archive")
     (rows.sortWithinPartitions("archive", "member").write.format(FORMAT).mode("append")
      .option("root_depth", str(root_depth)).save(root))

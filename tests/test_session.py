@@ -1,12 +1,8 @@
-from ledgerline.session import partitions_for
+from ledgerline.session import partitions_for_size
 
-from conftest import SF_SMALL
 
-
-def test_partitions_for_unknown_and_estimated_sizes(spark):
+def test_partitions_for_size(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rdd_backed = spark.createDataFrame([(i,) for i in range(10)], "x long")
-    assert partitions_for(rdd_backed) == base                      # unknown size: configured count
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert partitions_for(docs, target_bytes=1 << 10) > base       # known size: scaled by bytes
-    assert partitions_for(docs, target_bytes=1 << 10, cap=50) <= 50
+    assert partitions_for_size(spark, 0, 100) == base
+    assert partitions_for_size(spark, None, 100) == base
+    assert partitions_for_size(spark, 100 * (base + 5), 100) == base + 5
