@@ -11,7 +11,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.plans import queries  # noqa: E402
-from ledgerline.session import local_session  # noqa: E402
+from ledgerline.session import local_session, scratch_dir  # noqa: E402
+from ledgerline.sinks.archives import write_archives  # noqa: E402
 
 HEADLINE = [
     "qa_company_coverage",
@@ -50,6 +51,9 @@ def main() -> None:
     qs["qa_company_coverage"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.range(0, 64, 1, int(cpus) if cpus.isdigit() else 8).mapInPandas(
         lambda it: (pdf for pdf in it), "id long").write.format("noop").mode("overwrite").save()
+    tiny = spark.createDataFrame([("warm/w_1.tar", "root/a/b.html", "x", 0)],
+                                 "archive string, member string, content string, mtime long")
+    write_archives(tiny, scratch_dir(spark, "bench-warmup"), num_partitions=1)
     times = {}
     for k in keys:
         t0 = time.perf_counter()

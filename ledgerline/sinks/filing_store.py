@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
+from ledgerline.session import partitions_for_size
 
 KEYS = ("ticker", "filing_year", "form", "accession")
+STORE_TASK_BYTES = 512 << 20  # body bytes per writer task
 PARTITIONS = ("filing_year", "form")
 
 
@@ -33,14 +35,19 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def store_filings(rows: DataFrame, path: str, keys: Sequence[str] = KEYS, num_slices: int | None = None) -> None:
+def store_filings(rows: DataFrame, path: str, keys: Sequence[str] = KEYS, num_slices: int | None = None,
+                  body: str = "html") -> None:
     """Append filings not yet in the store at ``path`` (keys only are compared; bodies travel once)."""
     spark = rows.sparkSession
     rows = rows.withColumn("rel_path", S.rel_path("ticker", "filing_year", "form", "accession"))
     if _exists(spark, path):
         have = read_store(spark, path).select(*keys)
         rows = rows.join(have, list(keys), "left_anti")
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_slices:
+        n = num_slices
+    else:  # measured body bytes (one narrow pass), about STORE_TASK_BYTES per writer task
+        total = rows.select(F.sum(F.octet_length(body))).first()[0] if body in rows.columns else 0
+        n = partitions_for_size(spark, total, STORE_TASK_BYTES)
     ordered = rows.repartitionByRange(n, *PARTITIONS, "ticker", "accession").sortWithinPartitions(
         *PARTITIONS, "ticker", "accession")
     ordered.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
