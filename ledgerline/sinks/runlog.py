@@ -28,8 +28,10 @@ def _line(run, ts, order, text):
     return F.struct(run.alias("run_id"), ts.alias("ts"), F.lit(order).cast("int").alias("ord"), text.alias("value"))
 
 
-def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_prefix: str = "runs/") -> DataFrame:
-    """(run_id, ts, ord, seq, value) text lines of each run's progress log."""
+def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_prefix: str = "runs/",
+           sizes: DataFrame | None = None) -> DataFrame:
+    """(run_id, ts, ord, seq, value) text lines of each run's progress log. ``sizes`` (ticker,
+    bytes) gives the archive size shown for each batch (the bytes of its companies' data)."""
     prog = runs.progress(done)                                   # n_done / n_total per completion
     by_outcome = runs.rank_by_outcome(done)                      # success / failure positions
     ok = runs.assign_batches(by_outcome, batch_size, seq_col="_oseq")
@@ -52,14 +54,18 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
     summary = runs.run_summary(done).join(
         done.groupBy("run_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end")), "run_id")
     # batches: closed when their last success is in; bounded by batch_size names each
+    if sizes is not None:
+        ok = ok.join(sizes.select("ticker", F.col("bytes").alias("_bytes")), "ticker", "left")
+    else:
+        ok = ok.withColumn("_bytes", F.lit(0).cast("bigint"))
     bt = ok.groupBy("run_id", "batch_no").agg(
-        F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"),
+        F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("_bytes"),
         F.sort_array(F.collect_list(F.struct("seq", "ticker"))).alias("_t"))
     bt = bt.join(summary.select("run_id", "n_success", "end"), "run_id")
     full = F.col("n") == batch_size
     names = F.array_join(F.transform("_t", lambda x: x["ticker"]), ", ")
     path = F.concat(F.lit(run_dir_prefix), F.col("run_id"), F.lit("/" + S.ARCHIVE_PREFIX), F.col("batch_no").cast("string"), F.lit(".tar"))
-    size = F.format_string("%.1f", F.lit(0.0))
+    size = F.format_string("%.1f", S.size_mb(F.coalesce(F.col("_bytes"), F.lit(0))))
     head = F.concat(F.lit("["), _ts(F.when(full, F.col("ts")).otherwise(F.col("end"))), F.lit("] "),
                     F.when(full, F.lit("ARCHIVED: ")).otherwise(F.lit("FINAL BATCH (REMAINDER): ")),
                     F.lit("Batch "), F.col("batch_no").cast("string"), F.lit(" with "), F.col("n").cast("string"),
