@@ -32,7 +32,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The store with ``filing_year`` as BIGINT (partition inference would make it INT); a
+    filter on it is still a partition filter."""
+    return spark.read.parquet(path).withColumn("filing_year", F.col("filing_year").cast("bigint"))
 
 
 def store_filings(rows: DataFrame, path: str, keys: Sequence[str] = KEYS, num_slices: int | None = None,

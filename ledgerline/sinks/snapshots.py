@@ -13,7 +13,8 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    # read with the written schema: partition values keep their types (inference would guess)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -22,4 +23,4 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -11,6 +11,9 @@ from ledgerline.plans import oracle_sql, queries
 
 from conftest import SF_SMALL
 
+SPARK_TO_DUCKDB = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR", "DoubleType": "DOUBLE",
+                   "BooleanType": "BOOLEAN", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "BinaryType": "BLOB"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -47,6 +50,11 @@ def test_query_matches_oracle(spark, con, key):
     sql = oracle_sql().get(key)
     if sql is None:
         return
+    rel = con.sql(sql)
+    types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(type(f.dataType).__name__, type(f.dataType).__name__)
+                   for f in df.schema.fields}
+    assert spark_types == types
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
