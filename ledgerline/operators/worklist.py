@@ -40,10 +40,18 @@ def filter_forms(df: DataFrame, forms: Sequence[str] = S.DEFAULT_FORMS, include_
     return df.filter(F.col(form).isin(wanted))
 
 
-def filter_year_window(df: DataFrame, years: tuple[int, int], year: str = "filing_year") -> DataFrame:
-    """Compare on the year column itself so a store partitioned by year is pruned."""
+def filter_year_window(df: DataFrame, years: tuple[int, int], year: str = "filing_year",
+                       ts: str | None = "filed_at") -> DataFrame:
+    """Compare on the year column itself so a store partitioned by year is pruned. When the rows
+    also carry the filing timestamp (``ts``), the same window is added as a timestamp range:
+    ``year(ts) BETWEEN ..`` cannot reach a Parquet scan, a range on ``ts`` can (row-group skip)."""
     lo, hi = years
-    return df.filter(F.col(year).between(lo, hi))
+    cond = F.col(year).between(lo, hi)
+    if ts and ts in df.columns:
+        start = F.lit(f"{lo}-01-01 00:00:00").cast("timestamp_ntz")
+        end = F.lit(f"{hi + 1}-01-01 00:00:00").cast("timestamp_ntz")
+        cond = cond & (F.col(ts) >= start) & (F.col(ts) < end)
+    return df.filter(cond)
 
 
 def plan_work(company: DataFrame, years: tuple[int, int], forms: Sequence[str] = S.DEFAULT_FORMS) -> DataFrame:
