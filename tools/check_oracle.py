@@ -50,7 +50,9 @@ def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in args if not a.startswith("/")]
-    spark = local_session(8)
+    import os
+
+    spark = local_session(8, shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
