@@ -17,9 +17,14 @@ def already_held(candidates: DataFrame, held: DataFrame, keys: Sequence[str]) ->
     return candidates.join(held.select(*keys), list(keys), "left_semi")
 
 
-def held_union(staged: DataFrame, archived: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Staged ∪ archived as the held set (distinct keys; partial aggregation before the shuffle)."""
-    return staged.select(*keys).unionByName(archived.select(*keys)).distinct()
+def held_union(staged: DataFrame, archived: DataFrame, keys: Sequence[str], include_archived: bool = True) -> DataFrame:
+    """Staged ∪ archived as the held set (distinct keys; partial aggregation before the shuffle).
+    ``include_archived=False`` reproduces a skip test that only sees the staging tree (so a
+    re-run after cleanup fetches archived filings again)."""
+    held = staged.select(*keys)
+    if include_archived:
+        held = held.unionByName(archived.select(*keys))
+    return held.distinct()
 
 
 def distinct_by_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -93,3 +93,23 @@ def test_anti_join_side_carries_no_bodies(spark):
     assert anti and "html" not in q.columns
     # the only html reference is the page length lookup, never carried through a join
     assert all("html" not in ln for ln in anti)
+
+
+def test_held_with_and_without_archived(spark):
+    staged = spark.createDataFrame([(1,), (2,)], "k long")
+    archived = spark.createDataFrame([(2,), (3,)], "k long")
+    assert sorted(r.k for r in incremental.held_union(staged, archived, ["k"]).collect()) == [1, 2, 3]
+    assert sorted(r.k for r in incremental.held_union(staged, archived, ["k"], include_archived=False).collect()) == [1, 2]
+
+
+def test_log_retention_whole_days(spark):
+    from ledgerline.operators.runlog import retention
+
+    as_of = dt.datetime(2024, 1, 31, 12, 0, 0)
+    logs = spark.createDataFrame(
+        [("a", as_of - dt.timedelta(days=7, hours=23)),    # 7 whole days: kept
+         ("b", as_of - dt.timedelta(days=8)),              # 8 whole days: selected
+         ("c", as_of - dt.timedelta(days=30))],
+        "run_id string, mtime timestamp_ntz")
+    out = {r.run_id: r.age_days for r in retention(logs, F.lit(as_of).cast("timestamp_ntz"), 7).collect()}
+    assert out == {"b": 8, "c": 30}
