@@ -50,4 +50,7 @@ def company_coverage(company: DataFrame, wanted: DataFrame, held: DataFrame, bod
         F.coalesce("n_new", zero).cast("bigint").alias("n_new"),
         F.coalesce("n_failed", zero).cast("bigint").alias("n_failed"),
         (F.lit(n_cells) - F.coalesce("n_cells_found", zero)).cast("bigint").alias("n_empty_cells"),
+        # the reference reports success even when nothing was stored; this says whether every
+        # expected filing is held or newly landed
+        (F.coalesce("n_failed", zero) == 0).alias("complete"),
     )

@@ -20,7 +20,8 @@ SELECT c.ticker,
        CAST(count(h.k) AS BIGINT) AS n_held,
        CAST(count(w.k) FILTER (WHERE h.k IS NULL AND coalesce(b.body_chars, 0) > 0) AS BIGINT) AS n_new,
        CAST(count(w.k) FILTER (WHERE h.k IS NULL AND coalesce(b.body_chars, 0) = 0) AS BIGINT) AS n_failed,
-       CAST(6 - count(DISTINCT CASE WHEN w.k IS NOT NULL THEN CAST(w.filing_year AS VARCHAR) || '|' || w.form END) AS BIGINT) AS n_empty_cells
+       CAST(6 - count(DISTINCT CASE WHEN w.k IS NOT NULL THEN CAST(w.filing_year AS VARCHAR) || '|' || w.form END) AS BIGINT) AS n_empty_cells,
+       count(w.k) FILTER (WHERE h.k IS NULL AND coalesce(b.body_chars, 0) = 0) = 0 AS complete
 FROM listed c
 LEFT JOIN wanted w ON w.ticker = c.ticker
 LEFT JOIN held h ON h.k = w.k

@@ -45,8 +45,8 @@ def test_coverage_bodies_missing_null_empty_and_company_without_filings(spark):
     body = spark.createDataFrame([(2, None), (3, 0), (4, 10)], "k long, body_chars long")
     out = {r.ticker: r for r in coverage.company_coverage(company, wanted, held, body, 6).collect()}
     a, b = out["A"], out["B"]
-    assert (a.n_expected, a.n_held, a.n_new, a.n_failed, a.n_empty_cells) == (4, 1, 0, 3, 4)
-    assert (b.n_expected, b.n_held, b.n_new, b.n_failed, b.n_empty_cells) == (0, 0, 0, 0, 6)
+    assert (a.n_expected, a.n_held, a.n_new, a.n_failed, a.n_empty_cells, a.complete) == (4, 1, 0, 3, 4, False)
+    assert (b.n_expected, b.n_held, b.n_new, b.n_failed, b.n_empty_cells, b.complete) == (0, 0, 0, 0, 6, True)
     assert set(out) == {"A", "B"}
 
 
