@@ -74,21 +74,30 @@ def ship_package(spark: SparkSession) -> None:
     pickled by reference to this package; the package is zipped on the driver and distributed with
     ``SparkContext.addPyFile``, so workers import it whatever their working directory or host.
     """
+    import io
     import zipfile
 
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="ledgerline-pyfiles-"), "ledgerline.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, dirs, files in os.walk(pkg):
             dirs[:] = [x for x in dirs if x != "__pycache__"]
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.join("ledgerline", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
+    # written into the shared checkpoint area (not a machine-local folder) and shipped by Spark
+    from ledgerline.sinks.archives import filesystem
+
+    target = f"{checkpoint_root(spark)}/ledgerline-pyfiles/{uuid.uuid4().hex}/ledgerline.zip"
+    fs, path = filesystem(target)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
 
 
