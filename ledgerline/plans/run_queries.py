@@ -234,14 +234,18 @@ SELECT accession, ticker, form, filing_year FROM staged s
 WHERE NOT EXISTS (SELECT 1 FROM completion c WHERE c.ok AND c.ticker = s.ticker)
 """)
 def snk_staged_cleanup(spark, d):
-    """Archived companies leave staging: a new staging snapshot without them is written (the
-    snapshot being read is never overwritten) and read back."""
-    from ledgerline.sinks.snapshots import write_snapshot
+    """Archived companies leave staging: the current staging snapshot is published, then a new
+    version without the archived companies is written next to it and the pointer switched (the
+    version being read is never overwritten); the current version is read back."""
+    from ledgerline.sinks.snapshots import publish_snapshot, read_current
 
+    root = scratch_dir(spark, "staged")
     st = X.staged(spark, d).select("accession", "ticker", "form", "filing_year")
+    publish_snapshot(st, root, partition_by=["filing_year"])
+    current = read_current(spark, root, st.schema)
     archived_tickers = X.completion(spark, d).filter(F.col("ok")).select("ticker")
-    kept = incremental.not_succeeded(st, archived_tickers, ["ticker"])
-    return write_snapshot(kept, scratch_dir(spark, "staged"), partition_by=["filing_year"])
+    publish_snapshot(incremental.not_succeeded(current, archived_tickers, ["ticker"]), root, partition_by=["filing_year"])
+    return read_current(spark, root, st.schema).select("accession", "ticker", "form", "filing_year")
 
 
 @query("flt_log_retention", """

@@ -113,3 +113,14 @@ def test_log_retention_whole_days(spark):
         "run_id string, mtime timestamp_ntz")
     out = {r.run_id: r.age_days for r in retention(logs, F.lit(as_of).cast("timestamp_ntz"), 7).collect()}
     assert out == {"b": 8, "c": 30}
+
+
+def test_snapshot_pointer_switches_versions(spark, tmp):
+    from ledgerline.sinks.snapshots import publish_snapshot, read_current
+
+    v1 = spark.createDataFrame([(1,), (2,)], "k long")
+    publish_snapshot(v1, tmp)
+    cur = read_current(spark, tmp)
+    publish_snapshot(cur.filter("k > 1"), tmp)        # derived from the version being read
+    assert [r.k for r in read_current(spark, tmp).collect()] == [2]
+    assert sorted(r.k for r in cur.collect()) == [1, 2]  # the old version is untouched
