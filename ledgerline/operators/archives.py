@@ -75,3 +75,31 @@ def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("run_id", "bat
     return g.select(*keys, F.col("n_members").cast("bigint").alias("n_members"),
                     F.col("n_files").cast("bigint").alias("n_files"), F.col("n_dirs").cast("bigint").alias("n_dirs"),
                     n.alias("n_companies"), text.alias("companies_text"), (F.col("n_errors") == 0).alias("readable"))
+
+
+def extract_tree(members: DataFrame, out_dir: str) -> DataFrame:
+    """Unpack archive members into a folder tree, as extracting every batch in order would.
+
+    * Members whose name is absolute or climbs out with '..' are quarantined, not written.
+    * A member present in several batches is written once, from the latest batch: the
+      overwrite of a sequential extraction, resolved by ``max_by`` instead of write order.
+    * Files are written by the tasks that hold them (no shuffle of content beyond the
+      last-writer aggregation).
+
+    Returns per-archive counts: files written, directories, members quarantined, errors.
+    """
+    from ledgerline.operators.runs import last_writer
+    from ledgerline.sinks.archives import write_tree
+
+    unsafe = S.is_unsafe_member("member")
+    files = members.filter(F.col("is_file") & ~unsafe & F.col("error").isNull())
+    latest = last_writer(files.select("member", "batch_no", "content", "mtime"))
+    write_tree(latest.select("member", "content", "mtime"), out_dir)
+    won = latest.select("member", F.col("batch_no").alias("_won"))
+    per = (members.join(won, "member", "left")
+           .groupBy("archive_path", "batch_no")
+           .agg(F.count_if(F.col("is_file") & ~unsafe & (F.col("_won") == F.col("batch_no"))).alias("n_written"),
+                F.count_if(F.col("is_dir") & ~unsafe).alias("n_dirs"),
+                F.count_if(unsafe).alias("n_quarantined"),
+                F.count_if(F.col("error").isNotNull()).alias("n_errors")))
+    return per

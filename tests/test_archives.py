@@ -140,3 +140,20 @@ def test_list_tree_distributed_includes_zero_byte_files(spark, tmp):
     open(os.path.join(tmp, "top.html"), "w").write("t")
     got = {(r.name, r.archive_bytes) for r in list_tree(spark, tmp).collect()}
     assert got == {("x.html", 3), ("empty.html", 0), ("top.html", 1)}
+
+
+def test_extract_tree_last_writer_and_quarantine(spark, tmp):
+    from ledgerline.operators.archives import extract_tree
+
+    run = os.path.join(tmp, "run_e")
+    os.makedirs(run)
+    open(os.path.join(run, "sp500_filings_data_2.tar"), "wb").write(
+        _tar_bytes([("sp500_filings_data/A/x.html", b"old"), ("sp500_filings_data/A/y.html", b"y2")]))
+    open(os.path.join(run, "sp500_filings_data_10.tar"), "wb").write(
+        _tar_bytes([("sp500_filings_data/A/x.html", b"new"), ("../evil.html", b"no"), ("/abs.html", b"no")]))
+    out = os.path.join(tmp, "out")
+    rep = {r.batch_no: r for r in extract_tree(read_members(list_archives(spark, run)), out).collect()}
+    assert open(os.path.join(out, "sp500_filings_data/A/x.html"), "rb").read() == b"new"   # batch 10 wins
+    assert open(os.path.join(out, "sp500_filings_data/A/y.html"), "rb").read() == b"y2"
+    assert not os.path.exists(os.path.join(tmp, "evil.html")) and not os.path.exists(os.path.join(out, "abs.html"))
+    assert (rep[10].n_written, rep[10].n_quarantined) == (1, 2) and (rep[2].n_written, rep[2].n_quarantined) == (1, 0)
