@@ -41,7 +41,8 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
     ``order`` must be a total order inside a group (end it with a unique id). Optional outputs:
     ``size_col`` = rows in the group, ``first_col`` = value of ``order[0]`` on the group's first row.
     ``max_groups`` is a proven upper bound on distinct groups; without it the groups are counted
-    (a narrow scan) before choosing broadcast or shuffle for the offsets.
+    (in the same aggregate that counts rows for the slice count) before choosing broadcast or
+    shuffle for the offsets. A null group key is a group of its own.
     """
     groups, order = list(groups), list(order)
     spark = df.sparkSession
@@ -79,8 +80,14 @@ def ordered_rank(df: DataFrame, order: Sequence[str], groups: Sequence[str] = ()
 
     # +1: a null group key is not counted by count_distinct
     bound = n if not groups else n + (max_groups if max_groups is not None else measured["groups"] + 1)
+    # null-safe on the group keys: rows of a null group are ranked like any other group
+    renamed = {g: f"_g{i}" for i, g in enumerate(groups)}
+    stats = stats.select(*[F.col(c).alias(renamed.get(c, "_s_slice" if c == "_slice" else c)) for c in stats.columns])
     if bound <= BROADCAST_MAX_ROWS:
         stats = F.broadcast(stats)
-    out = r.join(stats, ["_slice", *groups], "inner")
+    cond = F.col("_slice") == F.col("_s_slice")
+    for g, a in renamed.items():
+        cond = cond & F.col(g).eqNullSafe(F.col(a))
+    out = r.join(stats, cond, "inner")
     out = out.withColumn(rank_col, (F.col("_rid") - F.col("_first") + F.col("_before") + 1).cast("bigint"))
-    return out.drop("_slice", "_rid", "_first", "_before")
+    return out.drop("_slice", "_s_slice", "_rid", "_first", "_before", *renamed.values())

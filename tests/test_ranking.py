@@ -99,3 +99,9 @@ def test_rank_property_random_groups_and_slices(spark):
                 assert got[i] == (pos, len(mine))
 
     check()
+
+
+def test_rank_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 1), (None, 2)], "g string, t long")
+    got = {(r.g, r.t): (r.rank, r.n) for r in ordered_rank(df, ["t"], ["g"], slices=3, size_col="n").collect()}
+    assert got == {(None, 1): (1, 3), (None, 2): (2, 3), (None, 3): (3, 3), ("a", 1): (1, 2), ("a", 2): (2, 2)}
