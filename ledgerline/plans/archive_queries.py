@@ -10,7 +10,8 @@ from ledgerline.functions import scalars as S
 from ledgerline.operators import archives as A
 from ledgerline.plans.registry import query
 from ledgerline.session import scratch_dir
-from ledgerline.sinks.archives import write_archives, write_tree
+from ledgerline.session import partitions_for_size
+from ledgerline.sinks.archives import WRITER_TASK_BYTES, write_archives, write_tree
 from ledgerline.sources import fixtures as X
 from ledgerline.sources.archives import list_archives, list_files, list_tree, read_members
 
@@ -71,7 +72,9 @@ def pack_batches(spark, d) -> str:
     shard = A.shard_of(F.col("member"), F.col("_batch_bytes"), BATCH_SHARD_BYTES)
     rows = rows.join(per_batch, "batch_no").withColumn(
         "archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"), shard)))
-    write_archives(rows, root)
+    # writer tasks sized from the body sizes already known per batch (no pass over the html)
+    total = per_batch.agg(F.sum("_batch_bytes")).first()[0]
+    write_archives(rows, root, num_partitions=partitions_for_size(spark, total, WRITER_TASK_BYTES))
     return f"{root}/{RUN_ID}"
 
 

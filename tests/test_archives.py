@@ -157,3 +157,11 @@ def test_extract_tree_last_writer_and_quarantine(spark, tmp):
     assert open(os.path.join(out, "sp500_filings_data/A/y.html"), "rb").read() == b"y2"
     assert not os.path.exists(os.path.join(tmp, "evil.html")) and not os.path.exists(os.path.join(out, "abs.html"))
     assert (rep[10].n_written, rep[10].n_quarantined) == (1, 2) and (rep[2].n_written, rep[2].n_quarantined) == (1, 0)
+
+
+def test_list_single_batch_and_zero_is_not_all(spark, tmp):
+    write_archives(_rows(spark), tmp)
+    run = os.path.join(tmp, "run_x")
+    assert [r.batch_no for r in list_archives(spark, run, batch_no=10).collect()] == [10]
+    assert list_archives(spark, run, batch_no=0).count() == 0          # only None means all (D11)
+    assert list_archives(spark, run).count() == 3
