@@ -9,6 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _driver_memory(cap_gb: int = 16) -> str:
+    """Local driver heap: 60% of physical memory, at most ``cap_gb`` (a 7 GB host gets 4g)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(cap_gb, int(total * 0.6 / (1 << 30))))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline") -> SparkSession:
     """A local session configured like the cluster profile (AQE on, UI off, UTC)."""
     builder = (
@@ -22,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", _driver_memory())
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
