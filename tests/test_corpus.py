@@ -124,3 +124,23 @@ def test_snapshot_pointer_switches_versions(spark, tmp):
     publish_snapshot(cur.filter("k > 1"), tmp)        # derived from the version being read
     assert [r.k for r in read_current(spark, tmp).collect()] == [2]
     assert sorted(r.k for r in cur.collect()) == [1, 2]  # the old version is untouched
+
+
+def test_coverage_with_a_hot_company(spark):
+    # one company holds a third of all filings: results stay exact and the per-cell counts are
+    # pre-aggregated map-side (partial aggregation) before any shuffle on the company key
+    rows = [(i, "HOT" if i % 3 == 0 else f"C{i % 50}", str(i), "10-K" if i % 2 else "10-Q", None, 2000 + i % 3)
+            for i in range(3000)]
+    wanted = idx(spark, rows)
+    company = spark.createDataFrame([("HOT",)] + [(f"C{j}",) for j in range(50)], "ticker string")
+    held = spark.createDataFrame([(i,) for i in range(0, 3000, 4)], "k long")
+    body = spark.createDataFrame([(i, 10 if i % 5 else 0) for i in range(3000)], "k long, body_chars long")
+    cov = coverage.company_coverage(company, wanted, held, body, 6)
+    out = {r.ticker: r for r in cov.collect()}
+    hot = [r for r in rows if r[1] == "HOT"]
+    assert out["HOT"].n_expected == len(hot) == 1000
+    assert out["HOT"].n_held == sum(1 for r in hot if r[0] % 4 == 0)
+    assert out["HOT"].n_new == sum(1 for r in hot if r[0] % 4 and r[0] % 5)
+    assert sum(r.n_expected for r in out.values()) == 3000
+    plan = cov._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan or "partial_sum" in plan
