@@ -165,3 +165,11 @@ def test_list_single_batch_and_zero_is_not_all(spark, tmp):
     assert [r.batch_no for r in list_archives(spark, run, batch_no=10).collect()] == [10]
     assert list_archives(spark, run, batch_no=0).count() == 0          # only None means all (D11)
     assert list_archives(spark, run).count() == 3
+
+
+def test_reader_plan_spreads_archives_without_join_back(spark, tmp):
+    write_archives(_rows(spark), tmp)
+    m = read_members(list_archives(spark, os.path.join(tmp, "run_x")))
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "Join" not in plan
+    assert "REPARTITION_BY_NUM" in plan          # an explicit spread AQE will not coalesce
