@@ -46,3 +46,24 @@ def test_duration_text(spark):
 def test_batch_of(spark):
     df = spark.range(1, 26).select(S.batch_of(F.col("id"), 12).alias("b"))
     assert [r.b for r in df.collect()] == [1] * 12 + [2] * 12 + [3]
+
+
+def test_year_month_html_and_stems(spark):
+    import datetime as dt
+
+    assert one(spark, S.year_month, dt.date(2024, 3, 9), "date") == "2024_03"
+    assert one(spark, S.is_html_path, "a/B.HTM") is True
+    assert one(spark, S.is_html_path, "a/b.html.bak") is False
+    assert one(spark, S.file_stem, "runs/r/sp500_filings_data_12.tar") == "sp500_filings_data_12"
+    assert one(spark, S.shard_from_name, "runs/r/sp500_filings_data_12.3.tar") == 3
+    assert one(spark, S.shard_from_name, "runs/r/sp500_filings_data_12.tar") == 0
+    assert one(spark, S.batch_no_from_name, "runs/r/sp500_filings_data_12.3.tar") == 12
+
+
+def test_epoch_text_ignores_session_time_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert one(spark, S.epoch_text, 86400 + 3661, "long") == "1970-01-02 01:01:01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
