@@ -20,6 +20,7 @@ B = X.BATCH_SIZE
 TREE_SHARD_BYTES = 1 << 20
 ANNUAL_SHARD_BYTES = 1 << 30
 BATCH_SHARD_BYTES = 2 << 30
+UNSAFE_EVERY = 97  # fixture: these filings are packed under a name that climbs out with '../'
 
 _ARCHIVE_SQL = """
 , tb AS (
@@ -146,10 +147,23 @@ def src_archive_unpack(spark, d):
                     F.when(F.col("is_file"), F.md5("content")).alias("content_md5"))
 
 
-@query("qa_unsafe_members", _ARCHIVE_SQL + "SELECT batch_no, member, false AS unsafe FROM am")
+@query("qa_unsafe_members", _ARCHIVE_SQL + """
+SELECT t.batch_no,
+       CASE WHEN f.k % 97 = 0 THEN '../' ELSE '' END || 'sp500_filings_data/' || f.rel_path AS member,
+       f.k % 97 = 0 AS unsafe
+FROM files f JOIN tb t ON t.ticker = f.ticker
+""")
 def qa_unsafe_members(spark, d):
-    """Members flagged when their name is absolute or climbs out with '..' (quarantined)."""
-    m = read_members(_listing(spark, d), with_content=False)
+    """Archives of the batches in which some members climb out of the target folder ('../'),
+    packed, read back, and every file member flagged: absolute or '..' names are quarantined by
+    the extractor instead of being written."""
+    root = scratch_dir(spark, "unsafe")
+    rows = staged_rows(spark, d)
+    rows = rows.withColumn("member", F.when(F.col("k") % UNSAFE_EVERY == 0, F.concat(F.lit("../"), F.col("member")))
+                           .otherwise(F.col("member")))
+    rows = rows.withColumn("archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"))))
+    write_archives(rows, root)
+    m = read_members(list_archives(spark, f"{root}/{RUN_ID}"), with_content=False).filter(F.col("is_file"))
     return m.select("batch_no", "member", S.is_unsafe_member("member").alias("unsafe"))
 
 
