@@ -195,11 +195,25 @@ def agg_archive_totals(spark, d):
 
 
 @query("agg_extract_summary", _ARCHIVE_SQL + """
-SELECT CAST(count(*) AS BIGINT) AS n_archives, CAST(count(*) AS BIGINT) AS n_extracted, CAST(0 AS BIGINT) AS n_failed FROM ab
+SELECT CAST(count(*) + 1 AS BIGINT) AS n_archives, CAST(count(*) AS BIGINT) AS n_extracted, CAST(1 AS BIGINT) AS n_failed
+FROM ab
 """)
 def agg_extract_summary(spark, d):
-    """Archives extracted and failed (a failure is per archive; the others go on)."""
-    m = read_members(_listing(spark, d), with_content=False)
+    """Archives extracted and failed: the run's archives plus one damaged archive (a truncated
+    copy of batch 1, in a sibling run folder). A failure is per archive; the others go on."""
+    from ledgerline.sinks.archives import filesystem
+
+    run = packed_run(spark, d)
+    damaged = f"{scratch_dir(spark, 'damaged')}/{RUN_ID}"
+    fs, src = filesystem(f"{run}/{S.ARCHIVE_PREFIX}1.tar")
+    with fs.open_input_stream(src) as f:
+        head = f.read(700)                      # one header and part of the next: cut mid-archive
+    dfs, dst = filesystem(f"{damaged}/{S.ARCHIVE_PREFIX}0.tar")
+    dfs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+    with dfs.open_output_stream(dst) as out:
+        out.write(head)
+    listing = list_archives(spark, run).unionByName(list_archives(spark, damaged))
+    m = read_members(listing, with_content=False)
     per = m.groupBy("archive_path").agg(F.count_if(F.col("error").isNotNull()).alias("errors"))
     return per.agg(F.count(F.lit(1)).alias("n_archives"), F.count_if(F.col("errors") == 0).alias("n_extracted"),
                    F.count_if(F.col("errors") > 0).alias("n_failed"))
