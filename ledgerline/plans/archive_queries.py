@@ -20,6 +20,7 @@ B = X.BATCH_SIZE
 TREE_SHARD_BYTES = 1 << 20
 ANNUAL_SHARD_BYTES = 1 << 30
 BATCH_SHARD_BYTES = 2 << 30
+DAMAGED_BYTES = 700  # fixture: a batch archive cut after one header and part of the next
 UNSAFE_EVERY = 97  # fixture: these filings are packed under a name that climbs out with '../'
 
 _ARCHIVE_SQL = """
@@ -174,11 +175,17 @@ FROM (SELECT batch_no, CAST(count(*) AS BIGINT) AS n_members, CAST(count(*) FILT
              array_to_string(list_slice(list_sort(list(DISTINCT ticker)), 1, 5), ', ')
                || CASE WHEN count(DISTINCT ticker) > 5 THEN '...' ELSE '' END AS companies_text
       FROM am GROUP BY batch_no) a JOIN ab ON ab.batch_no = a.batch_no
+UNION ALL
+SELECT CAST(0 AS BIGINT), CAST(700 AS BIGINT), CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT), CAST(1 AS BIGINT),
+       split_part(min(member), '/', 2), false
+FROM am WHERE batch_no = 1 AND is_file
 """)
 def agg_archive_inspect(spark, d):
     """Per archive: size, members, files, directories, companies and the first five names,
-    read from the member headers only (no content is copied)."""
-    m = read_members(_listing(spark, d), with_content=False)
+    read from the member headers only (no content is copied). The damaged archive (batch 0) is
+    reported as unreadable with what could be read before the cut."""
+    listing = _listing(spark, d).unionByName(list_archives(spark, damaged_run(spark, d)))
+    m = read_members(listing, with_content=False)
     return A.inspect(m, keys=("batch_no", "archive_bytes"))
 
 
@@ -194,25 +201,31 @@ def agg_archive_totals(spark, d):
         S.size_mb(F.sum("archive_bytes")).alias("total_mb"))
 
 
-@query("agg_extract_summary", _ARCHIVE_SQL + """
-SELECT CAST(count(*) + 1 AS BIGINT) AS n_archives, CAST(count(*) AS BIGINT) AS n_extracted, CAST(1 AS BIGINT) AS n_failed
-FROM ab
-""")
-def agg_extract_summary(spark, d):
-    """Archives extracted and failed: the run's archives plus one damaged archive (a truncated
-    copy of batch 1, in a sibling run folder). A failure is per archive; the others go on."""
+def damaged_run(spark, d) -> str:
+    """A sibling run folder holding one damaged archive: a copy of batch 1 cut after 700 bytes
+    (one member header and part of the next), named as batch 0."""
     from ledgerline.sinks.archives import filesystem
 
     run = packed_run(spark, d)
     damaged = f"{scratch_dir(spark, 'damaged')}/{RUN_ID}"
     fs, src = filesystem(f"{run}/{S.ARCHIVE_PREFIX}1.tar")
     with fs.open_input_stream(src) as f:
-        head = f.read(700)                      # one header and part of the next: cut mid-archive
+        head = f.read(DAMAGED_BYTES)
     dfs, dst = filesystem(f"{damaged}/{S.ARCHIVE_PREFIX}0.tar")
     dfs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
     with dfs.open_output_stream(dst) as out:
         out.write(head)
-    listing = list_archives(spark, run).unionByName(list_archives(spark, damaged))
+    return damaged
+
+
+@query("agg_extract_summary", _ARCHIVE_SQL + """
+SELECT CAST(count(*) + 1 AS BIGINT) AS n_archives, CAST(count(*) AS BIGINT) AS n_extracted, CAST(1 AS BIGINT) AS n_failed
+FROM ab
+""")
+def agg_extract_summary(spark, d):
+    """Archives extracted and failed: the run's archives plus one damaged archive (a truncated
+    copy of batch 1, in a sibling run folder). A failure is per archive; the others go on."""
+    listing = list_archives(spark, packed_run(spark, d)).unionByName(list_archives(spark, damaged_run(spark, d)))
     m = read_members(listing, with_content=False)
     per = m.groupBy("archive_path").agg(F.count_if(F.col("error").isNotNull()).alias("errors"))
     return per.agg(F.count(F.lit(1)).alias("n_archives"), F.count_if(F.col("errors") == 0).alias("n_extracted"),
