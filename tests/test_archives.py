@@ -173,3 +173,12 @@ def test_reader_plan_spreads_archives_without_join_back(spark, tmp):
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and "Join" not in plan
     assert "REPARTITION_BY_NUM" in plan          # an explicit spread AQE will not coalesce
+
+
+def test_rejected_archive_names_are_reported(spark, tmp):
+    from ledgerline.sources.archives import rejected_archives
+
+    for n in ("sp500_filings_data_3.tar", "sp500_filings_data_x.tar", "sp500_filings_data_x_4.tar", "other_1.tar"):
+        open(os.path.join(tmp, n), "wb").write(_tar_bytes([("sp500_filings_data/A", None)]))
+    assert {r.name for r in rejected_archives(spark, tmp).collect()} == {"sp500_filings_data_x.tar"}
+    assert sorted(r.batch_no for r in list_archives(spark, tmp).collect()) == [3, 4]
