@@ -67,3 +67,34 @@ def test_epoch_text_ignores_session_time_zone(spark):
         assert one(spark, S.epoch_text, 86400 + 3661, "long") == "1970-01-02 01:01:01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_batch_number_parse_matches_the_integer_rule(spark):
+    """Property: on names without a shard suffix, the parser accepts exactly the names whose stem
+    starts with the prefix and whose last '_' part is an integer (Python's int() on ASCII)."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    tails = st.text(alphabet="0123456789+- x", min_size=0, max_size=6)
+
+    def expected(name):
+        if not name.endswith(".tar"):
+            return None
+        stem = name[:-4]
+        if not stem.startswith(S.ARCHIVE_PREFIX):
+            return None
+        try:
+            return int(stem.split("_")[-1])
+        except ValueError:
+            return None
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.sampled_from([S.ARCHIVE_PREFIX, S.ARCHIVE_PREFIX + "x_", "other_"]), tails,
+                              st.sampled_from([".tar", ".zip"])), min_size=40, max_size=80))
+    def check(parts):
+        names = [p + t + e for p, t, e in parts]
+        df = spark.createDataFrame([(n,) for n in names], "n string")
+        got = [r.b for r in df.select(S.batch_no_from_name(F.col("n")).alias("b")).collect()]
+        assert got == [expected(n) for n in names]
+
+    check()
