@@ -144,3 +144,16 @@ def test_coverage_with_a_hot_company(spark):
     assert sum(r.n_expected for r in out.values()) == 3000
     plan = cov._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan or "partial_sum" in plan
+
+
+def test_outcome_statuses_use_the_latest_completion(spark):
+    from ledgerline.operators import runs
+
+    company = spark.createDataFrame([(1, "A"), (2, None), (3, "C"), (4, "D")], "list_pos long, ticker string")
+    t = dt.datetime(2024, 1, 1)
+    done = spark.createDataFrame(
+        [("run_1", 1, "A", t, False), ("run_2", 2, "A", t + dt.timedelta(days=1), True),   # later success wins
+         ("run_1", 3, "C", t, True), ("run_1", 4, "C", t + dt.timedelta(hours=1), False)],  # later failure wins
+        "run_id string, item long, ticker string, ts timestamp_ntz, ok boolean")
+    out = {r.list_pos: (r.status, r.run_id) for r in runs.outcome(company, runs.latest_outcome(done)).collect()}
+    assert out == {1: ("success", "run_2"), 2: ("missing_ticker", None), 3: ("failed", "run_1"), 4: ("not_run", None)}
