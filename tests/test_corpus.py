@@ -157,3 +157,14 @@ def test_outcome_statuses_use_the_latest_completion(spark):
         "run_id string, item long, ticker string, ts timestamp_ntz, ok boolean")
     out = {r.list_pos: (r.status, r.run_id) for r in runs.outcome(company, runs.latest_outcome(done)).collect()}
     assert out == {1: ("success", "run_2"), 2: ("missing_ticker", None), 3: ("failed", "run_1"), 4: ("not_run", None)}
+
+
+def test_failed_list_is_cut_into_bounded_lines(spark):
+    from ledgerline.operators import runs
+
+    t = dt.datetime(2024, 1, 1)
+    done = spark.createDataFrame([("r", i, f"F{i}", t + dt.timedelta(seconds=i), False) for i in range(250)],
+                                 "run_id string, item long, ticker string, ts timestamp_ntz, ok boolean")
+    lines = sorted(runs.failed_lines(done, per_line=100).collect(), key=lambda r: r.line_no)
+    assert [r.n_tickers for r in lines] == [100, 100, 50]
+    assert lines[0].tickers.split(", ")[:3] == ["F0", "F1", "F2"] and lines[2].tickers.endswith("F249")
