@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, packing
+from ledgerline.llm import bpe, chat, exact, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,27 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+OP3_SQL = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM n
+"""
+
+
+@query("op3_exact_dedup", OP3_SQL)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the ids is the snapshot, the upper half the incoming batch."""
+    docs = documents(spark, sf_dir)
+    ends = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    middle = ((ends[0] or 0) + (ends[1] or 0)) // 2
+    incoming = F.coalesce(F.col("doc_id") > middle, F.lit(True))
+    return exact.dedup(docs.filter(incoming), [docs.filter(~incoming)])
+
+
 OP8_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
