@@ -76,3 +76,40 @@ def contains(keys: np.ndarray, n: int, seed: int, table: np.ndarray) -> np.ndarr
     """True for every key the filter was built with, and for about one other key in 256."""
     slots, marks = _places(keys, seed, layout(n))
     return (table[slots[0]] ^ table[slots[1]] ^ table[slots[2]]) == marks
+
+
+def shared_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
+    """A broadcast filter over a ``key`` column of longs, or None where it would exceed the limit.
+
+    The filter is built per bucket (the key modulo ``buckets``) by Spark; about 1.2 bytes a key.
+    """
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    keys = keys.select("key").distinct()
+    n = keys.count()
+    if n * 1.3 > limit_bytes:
+        return None
+
+    def make(table: pa.Table) -> pa.Table:
+        own = np.unique(table.column("key").to_numpy().astype(np.int64)).view(_U)
+        seed, marks = build(own)
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "n": [len(own)], "seed": [seed],
+                         "marks": pa.array([marks.tobytes()], pa.binary())})
+
+    rows = (keys.withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)).cast("int")).groupBy("bucket")
+            .applyInArrow(make, "bucket int, n long, seed long, marks binary")).collect() if n else []
+    return spark.sparkContext.broadcast((buckets, {
+        r["bucket"]: (r["n"], r["seed"], np.frombuffer(r["marks"], np.uint8)) for r in rows}))
+
+
+def probe(shared, keys: np.ndarray) -> np.ndarray:
+    """Which signed 64-bit keys the broadcast filter may hold."""
+    buckets, tables = shared
+    place = np.mod(keys, buckets)
+    out = np.zeros(len(keys), dtype=bool)
+    for b in np.unique(place).tolist():
+        if b in tables:
+            here = place == b
+            out[here] = contains(keys[here].view(_U), *tables[b])
+    return out

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, packing, quality
+from ledgerline.llm import bpe, chat, exact, ngram_join, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,12 @@ def rank_codec(name: str = "byte_bpe_50k.tiktoken") -> bpe.Codec:
     return bpe.Codec.from_rank_file(public_tokenizers.path(name))
 
 
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link all documents on 4-word shingles at 85 percent."""
+    return ngram_join.link(documents(spark, sf_dir), width=4, num=85, den=100)
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode its ids, and digest both."""
