@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, ngram_join, packing, quality
+from ledgerline.llm import bpe, chat, exact, ngram_join, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,25 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and field spans of every document."""
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs, secrets.fit(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("bigint").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 OP8_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
