@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, ngram_join, packing, quality, secrets
+from ledgerline.llm import bpe, chat, exact, ngram_join, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,17 +89,26 @@ def _of_kind(kind: str):
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and field spans of every document."""
     docs = documents(spark, sf_dir)
-    found = secrets.scan(docs, secrets.fit(docs))
+    return _span_report(secrets.scan(docs, secrets.fit(docs)), secrets.KINDS)
 
+
+def _span_report(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts and digest of the base kinds, and all spans as text."""
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.filter("spans", lambda s: s["kind"] != "crf")
-    counts = [F.size(F.filter("spans", _of_kind(k))).cast("bigint").alias(f"n_{k}") for k in secrets.KINDS]
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("bigint").alias(f"n_{k}") for k in kinds]
+    base = F.filter("spans", lambda s: s["kind"].isin(list(kinds)))
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
 
 
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and bootstrapped spans of every document."""
+    return _span_report(pii.scan(documents(spark, sf_dir)), pii.KINDS)
+
+
 OP8_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
