@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, ngram_join, packing, pii, quality, secrets
+from ledgerline.llm import bpe, chat, exact, lines, ngram_join, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop every line that is within one word edit of an earlier one; emptied documents are listed too."""
+    found = lines.dedup(documents(spark, sf_dir), drop_emptied=False)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
