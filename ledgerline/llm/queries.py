@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, lines, ngram_join, packing, pii, quality, secrets
+from ledgerline.llm import bpe, chat, exact, lines, ngram_join, packing, pii, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,6 +73,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(docs.filter(incoming), [docs.filter(~incoming)])
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut every 50-byte string that also starts in a document with a smaller id."""
+    found = suffixes.cut(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_quality")
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document with a model fitted on the labelled rows."""
