@@ -185,45 +185,44 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
-          drop_emptied: bool = True) -> DataFrame:
-    """The documents without the lines that go; ``n_lines`` and ``n_dropped`` are added.
+          drop_emptied: bool = True, counts: tuple[str, str] | None = None) -> DataFrame:
+    """The documents without the lines that go.
 
     Documents that had words and lost all of their lines go too, unless ``drop_emptied`` is false.
     ``length_col``, if given, is set to the new length in code points where lines were dropped.
+    ``counts`` names two columns to add: lines with words, and lines dropped; they replace columns
+    of the same names.
     """
     gone = dropped_lines(docs, id_col, text_col)
+    key, cut_col, total_col = (tk.free_name(n, docs.columns) for n in ("_row", "_gone", "_total"))
     # one row per document with lines to drop: at most one number per line of that document
-    per_row = gone.groupBy("row").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.collect_set(F.when(F.col("drop"), F.col("number"))).alias("_gone"))
-    per_row = per_row.withColumnRenamed("row", "_row")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    both = keyed.join(per_row, "_row", "left").drop("_row")
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("n_lines", T.LongType()),
-                                                            T.StructField("n_dropped", T.LongType())])
+    per_row = gone.groupBy(F.col("row").alias(key)).agg(
+        F.count(F.lit(1)).alias(total_col), F.collect_set(F.when(F.col("drop"), F.col("number"))).alias(cut_col))
+    both = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).join(per_row, key, "left")
+    kept = [c for c in docs.columns if c not in (counts or ())]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in counts or ()])
 
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            text_at = kept.index(text_col)
             columns = {c: batch.column(names.index(c)) for c in kept}
             texts = columns[text_col].to_pylist()
-            total = [x or 0 for x in batch.column(names.index("n_lines")).to_pylist()]
-            numbers = [x or [] for x in batch.column(names.index("_gone")).to_pylist()]
+            total = [x or 0 for x in batch.column(names.index(total_col)).to_pylist()]
+            numbers = [x or [] for x in batch.column(names.index(cut_col)).to_pylist()]
             stay = []
             for i, cut in enumerate(numbers):
                 if cut:
                     cut = set(cut)
                     texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in cut)
                 stay.append(not (drop_emptied and cut and len(cut) == total[i]))
-            arrays = [columns[c] for c in kept]
-            arrays[text_at] = pa.array(texts, columns[text_col].type)
+            columns[text_col] = pa.array(texts, columns[text_col].type)
             if length_col is not None:
-                at = kept.index(length_col)
-                sizes = [len(texts[i]) if numbers[i] else old for i, old in enumerate(arrays[at].to_pylist())]
-                arrays[at] = pa.array(sizes, arrays[at].type)
-            arrays += [pa.array(total, pa.int64()), pa.array([len(x) for x in numbers], pa.int64())]
-            out = pa.RecordBatch.from_arrays(arrays, names=[*kept, "n_lines", "n_dropped"])
-            yield out.filter(pa.array(stay))
+                old = columns[length_col]
+                columns[length_col] = pa.array([len(texts[i]) if numbers[i] else x for i, x in enumerate(old.to_pylist())],
+                                               old.type)
+            arrays = [columns[c] for c in kept]
+            if counts:
+                arrays += [pa.array(total, pa.int64()), pa.array([len(x) for x in numbers], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields]).filter(pa.array(stay, pa.bool_()))
 
     return both.mapInArrow(run, schema)

@@ -91,7 +91,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop every line that is within one word edit of an earlier one; emptied documents are listed too."""
-    found = lines.dedup(documents(spark, sf_dir), drop_emptied=False)
+    found = lines.dedup(documents(spark, sf_dir), drop_emptied=False, counts=("n_lines", "n_dropped"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -183,6 +183,14 @@ def binary_array(data: np.ndarray, offs: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(offs) - 1, [None, pa.py_buffer(offs), pa.py_buffer(raw)])
 
 
+def free_name(name: str, columns) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def char_counts(data: np.ndarray) -> np.ndarray:
     """Code points that start before each byte position (length + 1 entries)."""
     out = np.zeros(len(data) + 1, dtype=np.int64)
