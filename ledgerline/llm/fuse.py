@@ -30,7 +30,7 @@ def layout(n: int) -> Layout:
 
 def _places(keys: np.ndarray, seed: int, lay: Layout) -> tuple[np.ndarray, np.ndarray]:
     """The three slots of each key (in consecutive segments), and its 8-bit fingerprint."""
-    h = tk.mix(keys + _U(seed) * _U(0x9E3779B97F4A7C15))
+    h = tk.mix(keys + _U(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
     first = ((h >> _U(32)) * _U(lay.segments) >> _U(32)).astype(np.int64)
     g = tk.mix(h)
     inside = lay.segment - 1

@@ -137,8 +137,8 @@ def tokens(t: tk.Texts) -> Tokens:
     size = ends - starts
     change = DIGIT[data].copy()
     change[1:] ^= DIGIT[data][:-1]
-    mixing = np.minimum(inside(counts(change)), 15)
-    length = np.minimum(np.ceil(np.log2(size)).astype(np.int64), 8)
+    mixing = np.minimum(inside(counts(change)) // 2, 4)  # how often digits and others take turns
+    length = np.minimum(np.ceil(np.log2(size)).astype(np.int64), 5)  # 17 bytes and more are alike
     sign = np.where(wordy[starts], 0, data[starts]).astype(np.int64)
     shape = ((((digit > 0) * 2 + (small > 0)) * 2 + (upper > 0)) * 2 + (hexed == size)) * 16 + length
     shape = shape.astype(np.int64) * 256 + sign
@@ -163,7 +163,7 @@ def tokens(t: tk.Texts) -> Tokens:
                (shape * 4 + signs_of[rows]).astype(_U)]
     feats = np.empty((FEATURES, len(starts)), dtype=np.uint16)
     for k, c in enumerate(columns):
-        feats[k] = (tk.mix(c + _U(k + 1) * _U(0x9E3779B97F4A7C15)) >> _U(49)).astype(np.uint16)
+        feats[k] = (tk.mix(c + _U((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> _U(49)).astype(np.uint16)
     return Tokens(starts, ends, rows, line, feats)
 
 
