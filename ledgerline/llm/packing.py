@@ -12,8 +12,9 @@ empty table gives an empty result. Of the input only the id and text columns are
 
 from __future__ import annotations
 
+import functools
 import heapq
-import os
+import json
 import zlib
 
 import numpy as np
@@ -22,21 +23,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm import bpe
 from ledgerline.llm import textkit as tk
 from ledgerline.operators.ranking import ordered_rank
 from ledgerline.session import scratch_dir, ship_package
 
-_TOKENIZERS: dict[int, object] = {}
-
-
-def _tokenizer(definition: str):
-    found = _TOKENIZERS.get(hash(definition))
-    if found is None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        found = _TOKENIZERS[hash(definition)] = Tokenizer.from_str(definition)
-    return found
+class JsonCodec:
+    """Ids of a byte-level BPE tokenizer file: the vectorised codec for ordinary texts, and the
+    tokenizers library itself for texts that hold the string of an added token."""
+
+    def __init__(self, definition: str):
+        parsed = json.loads(definition)
+        to_byte = {c: b for b, c in byte_letters().items()}
+        model, self.definition = parsed["model"], definition
+        self.added = [t["content"] for t in parsed.get("added_tokens", [])]
+        vocab = {bytes(to_byte[c] for c in token): i for token, i in model["vocab"].items() if token not in self.added}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"]["".join(m)] for m in merges]
+        if made != sorted(made):
+            raise ValueError("merge order and id order differ; ids are no ranks here")
+        self.codec = bpe.Codec(vocab)
+
+    def encode_slice(self, t: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
+        ids, offs = self.codec.encode_slice(t)
+        raw = t.data.tobytes()
+        odd = [i for i in range(t.rows) if any(raw.find(a.encode(), t.offs[i], t.offs[i + 1]) >= 0 for a in self.added)
+               ] if any(a.encode() in raw for a in self.added) else []
+        if not odd:
+            return ids, offs
+        parts = [ids[offs[i]:offs[i + 1]] for i in range(t.rows)]
+        for i in odd:
+            text = raw[t.offs[i]:t.offs[i + 1]].decode()
+            parts[i] = np.array(self._library().encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
+    def _library(self):
+        if "_tokenizer" not in self.__dict__:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_str(self.definition)
+        return self._tokenizer
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_tokenizer"}
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabulary files."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
+
+
+@functools.cache
+def json_codec(path: str) -> JsonCodec:
+    with open(path, encoding="utf-8") as f:
+        return JsonCodec(f.read())
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 2048, id_col: str = "doc_id",
@@ -46,34 +88,33 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
     Returns doc_id, start, length, ids_crc32, doc_tokens and, if kept, the packed ids.
     """
     ship_package(docs.sparkSession)
-    with open(tokenizer_path, encoding="utf-8") as f:
-        definition = docs.sparkSession.sparkContext.broadcast(f.read())
+    shared = docs.sparkSession.sparkContext.broadcast(json_codec(tokenizer_path))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)]
                           + [T.StructField(c, T.LongType()) for c in names[1:5]]
                           + [T.StructField("ids", T.BinaryType())] * keep_ids)
 
     def run(batches):
-        tokenizer = _tokenizer(definition.value)
+        last = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for t in tk.text_slices(texts):
-                rows = texts.slice(t.first, t.rows).to_pylist()
-                found = tokenizer.encode_batch_fast([x or "" for x in rows], add_special_tokens=False)
-                owner, cuts, crcs, totals, packed = [], [], [], [], []
-                for i, one in enumerate(found):
-                    ids = np.array([*one.ids, end_id], dtype="<u4")
-                    for start in range(0, len(ids), capacity):
-                        part = ids[start:start + capacity].tobytes()
+                ids, offs = shared.value.encode_slice(t)
+                flat, ends = ids.tobytes(), offs * 4
+                owner, starts, lengths, crcs, totals, packed = [], [], [], [], [], []
+                for i in range(t.rows):
+                    own = flat[ends[i]:ends[i + 1]] + last
+                    for at in range(0, len(own), 4 * capacity):
+                        part = own[at:at + 4 * capacity]
                         owner.append(t.first + i)
-                        cuts.append((start, len(part) // 4))
+                        starts.append(at // 4)
+                        lengths.append(len(part) // 4)
                         crcs.append(zlib.crc32(part))
-                        totals.append(len(ids))
+                        totals.append(len(own) // 4)
                         if keep_ids:
                             packed.append(part)
-                columns = [keys.take(pa.array(owner, pa.int64())), pa.array([c[0] for c in cuts], pa.int64()),
-                           pa.array([c[1] for c in cuts], pa.int64()), pa.array(crcs, pa.int64()),
-                           pa.array(totals, pa.int64())]
+                columns = [keys.take(pa.array(owner, pa.int64())),
+                           *(pa.array(c, pa.int64()) for c in (starts, lengths, crcs, totals))]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(packed, pa.binary())] * keep_ids, names=names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
