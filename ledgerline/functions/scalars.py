@@ -68,21 +68,13 @@ def file_stem(path) -> Column:
 
 def batch_no_from_name(path, prefix: str = ARCHIVE_PREFIX) -> Column:
     """Batch number = integer after the last '_' of the stem; null (rejected) when it is not an
-    integer, when the stem lacks the archive prefix or the name does not end in '.tar'.
-    A shard suffix ('_3.1.tar' = batch 3, shard 1; written only for oversized batches) is
-    stripped first."""
-    stem = F.regexp_replace(file_stem(path), r"\.[0-9]+$", "")
+    integer, when the stem lacks the archive prefix or the name does not end in '.tar'."""
+    stem = file_stem(path)
     last = F.trim(F.element_at(F.split(stem, "_"), -1))
     ok = stem.startswith(prefix) & _c(path).endswith(".tar") & last.rlike(r"^[+-]?[0-9]+$")
     return F.when(ok, last.try_cast("bigint"))
 
 
-def shard_from_name(path) -> Column:
-    """Shard number of an archive name: 0 unless the stem ends in '.<n>'."""
-    shard = F.regexp_extract(file_stem(path), r"\.([0-9]+)$", 1)
-    return F.when(F.length(shard) > 0, shard.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-
-
 def epoch_text(seconds) -> Column:
     """Epoch seconds as 'yyyy-MM-dd HH:mm:ss' (UTC wall clock), computed on a timestamp without
     time zone so the session time zone cannot shift it."""
@@ -122,4 +114,4 @@ def duration_text(seconds) -> Column:
 def batch_of(rank, batch_size: int) -> Column:
     """1-based batch number of a 1-based rank: rows 1..B -> 1, B+1..2B -> 2, ..."""
     zero_based = _c(rank).cast("bigint") - F.lit(1)
-    return F.floor(zero_based / F.lit(int(batch_size))).cast("bigint") + F.lit(1)
+    return F.call_function("div", zero_based, F.lit(int(batch_size))) + F.lit(1)

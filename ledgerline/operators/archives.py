@@ -1,4 +1,4 @@
-"""Archive operators: batch/shard keys for packing, and reports over unpacked members."""
+"""Archive operators: batch and part keys for packing, and reports over unpacked members."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
 from ledgerline.operators.ranking import ordered_rank
-from ledgerline.session import checkpoint_root
 
 # Tar layout constants (POSIX tar): 512-byte blocks, two zero blocks at the end, records of 20 blocks.
 BLOCK = 512
 RECORD = 20 * BLOCK
+# slices of an archive's companies when its first names are picked
+NAME_SLICES = 1024
 
 
 def company_batches(rows: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, order: Column | None = None) -> DataFrame:
@@ -23,19 +24,22 @@ def company_batches(rows: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, ord
     return r.select("ticker", S.batch_of("_trank", batch_size).alias("batch_no"))
 
 
-def shard_of(member: Column, total_bytes: Column, target_bytes: int) -> Column:
-    """Shard number of a member inside an archive whose content totals ``total_bytes``: as many
-    shards as ``target_bytes`` chunks, members spread by hash so a huge company is split too."""
-    n = F.greatest(F.lit(1), F.ceil(total_bytes / F.lit(float(target_bytes)))).cast("bigint")
+def part_of(member: Column, total_bytes: Column, part_bytes: int) -> Column:
+    """Part number (from 0) of a member of an archive whose content totals ``total_bytes``: about
+    ``part_bytes`` each, members spread by hash so that one huge company is split too."""
+    n = F.greatest(F.lit(1), F.ceil(total_bytes / F.lit(float(part_bytes)))).cast("bigint")
     return F.pmod(F.xxhash64(member), n)
 
 
-def archive_name(prefix: str, key: Column, shard: Column | None = None) -> Column:
-    """``{prefix}{key}.tar``; shards after the first are ``{prefix}{key}.{shard}.tar``."""
-    base = F.concat(F.lit(prefix), key.cast("string"))
-    if shard is None:
-        return F.concat(base, F.lit(".tar"))
-    return F.concat(base, F.when(shard > 0, F.concat(F.lit("."), shard.cast("string"))).otherwise(F.lit("")), F.lit(".tar"))
+def archive_name(prefix: str, key: Column, part: Column | None = None) -> Column:
+    """``{prefix}{key}.tar``; parts of one archive are ``{prefix}{key}.tar.part{n}``."""
+    base = F.concat(F.lit(prefix), key.cast("string"), F.lit(".tar"))
+    return base if part is None else F.concat(base, F.lit(".part"), part.cast("string"))
+
+
+def whole_name(name: Column) -> Column:
+    """Name of the archive that a part belongs to: reports count archives, whatever the part size."""
+    return F.regexp_replace(name, r"\.part[0-9]+$", "")
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -43,35 +47,34 @@ def epoch_seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("run_id", "batch_no", "archive_bytes"),
+def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("archive_path", "batch_no", "archive_bytes"),
             first_n: int = 5) -> DataFrame:
     """Per archive: members, files, directories, companies (from directories, or files at depth 3
-    or more) and the first ``first_n`` company names. Companies are de-duplicated and ranked per
-    archive with the exact distributed rank, so only ``first_n`` names per archive are ever
-    gathered, whatever the archive holds."""
+    or more) and the first ``first_n`` company names.
+
+    Two aggregations on one scan: per (archive, company), then per archive. The names are folded
+    into a sorted list cut to ``first_n`` per task and company slice, so no archive's whole list of
+    companies is ever gathered. ``keys`` must identify the archive."""
     keys = list(keys)
     parts = F.split("member", "/")
     comp = F.when((F.col("is_dir") | (F.size(parts) >= 3)), S.path_company("member", root))
-    # one pass over the members: per (archive, company) counts, checkpointed so the archives are
-    # read once although the counts and the names are derived separately
-    checkpoint_root(members.sparkSession)
     level1 = members.groupBy(*keys, comp.alias("company")).agg(
         F.count("member").alias("c_members"),
         F.count_if(F.col("is_file")).alias("c_files"),
         F.count_if(F.col("is_dir")).alias("c_dirs"),
         F.count_if(F.col("error").isNotNull()).alias("c_errors"),
-    ).checkpoint(eager=True)
-    counts = level1.groupBy(*keys).agg(
-        F.sum("c_members").alias("n_members"), F.sum("c_files").alias("n_files"),
-        F.sum("c_dirs").alias("n_dirs"), F.sum("c_errors").alias("n_errors"))
-    companies = level1.filter(F.col("company").isNotNull()).select(*keys, "company")
-    ranked = ordered_rank(companies, ["company"], keys, rank_col="_crank", size_col="_ncomp")
-    names = ranked.filter(F.col("_crank") <= first_n).groupBy(*keys).agg(
-        F.max("_ncomp").alias("n_companies"),
-        F.array_join(F.sort_array(F.collect_list("company")), ", ").alias("_first"))
-    g = counts.join(names, keys, "left")
-    n = F.coalesce(F.col("n_companies"), F.lit(0)).cast("bigint")
-    text = F.concat(F.coalesce(F.col("_first"), F.lit("")), F.when(n > first_n, F.lit("...")).otherwise(F.lit("")))
+    )
+    # slices of companies first: at most first_n names leave each
+    level2 = level1.groupBy(*keys, F.pmod(F.xxhash64("company"), F.lit(NAME_SLICES)).alias("_slice")).agg(
+        *[F.sum(c).alias(c) for c in ("c_members", "c_files", "c_dirs", "c_errors")],
+        F.count("company").alias("c_companies"),
+        F.slice(F.sort_array(F.collect_list("company")), 1, first_n).alias("names"))
+    g = level2.groupBy(*keys).agg(
+        F.sum("c_members").alias("n_members"), F.sum("c_files").alias("n_files"), F.sum("c_dirs").alias("n_dirs"),
+        F.sum("c_errors").alias("n_errors"), F.sum("c_companies").alias("n_companies"),
+        F.slice(F.sort_array(F.flatten(F.collect_list("names"))), 1, first_n).alias("_first"))
+    n = F.col("n_companies").cast("bigint")
+    text = F.concat(F.array_join("_first", ", "), F.when(n > first_n, F.lit("...")).otherwise(F.lit("")))
     return g.select(*keys, F.col("n_members").cast("bigint").alias("n_members"),
                     F.col("n_files").cast("bigint").alias("n_files"), F.col("n_dirs").cast("bigint").alias("n_dirs"),
                     n.alias("n_companies"), text.alias("companies_text"), (F.col("n_errors") == 0).alias("readable"))
@@ -81,25 +84,26 @@ def extract_tree(members: DataFrame, out_dir: str) -> DataFrame:
     """Unpack archive members into a folder tree, as extracting every batch in order would.
 
     * Members whose name is absolute or climbs out with '..' are quarantined, not written.
-    * A member present in several batches is written once, from the latest batch: the
-      overwrite of a sequential extraction, resolved by ``max_by`` instead of write order.
-    * Files are written by the tasks that hold them (no shuffle of content beyond the
-      last-writer aggregation).
+    * A member present in several batches is written once, from the latest batch (of equal
+      batches, the greatest archive path): the overwrite of a sequential extraction.
+    * Winners are chosen on names and batch numbers alone; content joins them once.
 
+    ``members`` is read twice (winners, then content): pass a listing read, not a computed frame.
     Returns per-archive counts: files written, directories, members quarantined, errors.
     """
-    from ledgerline.operators.runs import last_writer
     from ledgerline.sinks.archives import write_tree
 
     unsafe = S.is_unsafe_member("member")
-    files = members.filter(F.col("is_file") & ~unsafe & F.col("error").isNull())
-    latest = last_writer(files.select("member", "batch_no", "content", "mtime"))
-    write_tree(latest.select("member", "content", "mtime"), out_dir)
-    won = latest.select("member", F.col("batch_no").alias("_won"))
-    per = (members.join(won, "member", "left")
-           .groupBy("archive_path", "batch_no")
-           .agg(F.count_if(F.col("is_file") & ~unsafe & (F.col("_won") == F.col("batch_no"))).alias("n_written"),
-                F.count_if(F.col("is_dir") & ~unsafe).alias("n_dirs"),
-                F.count_if(unsafe).alias("n_quarantined"),
-                F.count_if(F.col("error").isNotNull()).alias("n_errors")))
-    return per
+    good = F.col("is_file") & ~unsafe & F.col("error").isNull()
+    won = (members.filter(good).groupBy("member").agg(F.max(F.struct("batch_no", "archive_path")).alias("_won"))
+           .select("member", F.col("_won.batch_no").alias("batch_no"), F.col("_won.archive_path").alias("archive_path")))
+    content = members.filter(good).select("member", "batch_no", "archive_path", "content", "mtime")
+    write_tree(content.join(won, ["member", "batch_no", "archive_path"], "left_semi").select("member", "content", "mtime"),
+               out_dir)
+    written = won.groupBy("archive_path").agg(F.count(F.lit(1)).alias("n_written"))
+    per = members.drop("content").groupBy("archive_path", "batch_no").agg(
+        F.count_if(F.col("is_dir") & ~unsafe).alias("n_dirs"), F.count_if(unsafe).alias("n_quarantined"),
+        F.count_if(F.col("error").isNotNull()).alias("n_errors"))
+    return per.join(written, "archive_path", "left").select(
+        "archive_path", "batch_no", F.coalesce("n_written", F.lit(0)).alias("n_written"), "n_dirs", "n_quarantined",
+        "n_errors")

@@ -13,13 +13,13 @@ from ledgerline.session import scratch_dir
 from ledgerline.session import partitions_for_size
 from ledgerline.sinks.archives import WRITER_TASK_BYTES, write_archives, write_tree
 from ledgerline.sources import fixtures as X
-from ledgerline.sources.archives import list_archives, list_files, list_tree, read_members
+from ledgerline.sources.archives import list_archives, list_files, list_tree, read_members, rejected_archives
 
 RUN_ID = "run_20240101_000000"
 B = X.BATCH_SIZE
-TREE_SHARD_BYTES = 1 << 20
-ANNUAL_SHARD_BYTES = 1 << 30
-BATCH_SHARD_BYTES = 2 << 30
+# Part sizes of the archives that grow with the corpus (a run's tree, a year); results do not depend on them.
+TREE_PART_BYTES = 1 << 30
+ANNUAL_PART_BYTES = 1 << 30
 DAMAGED_BYTES = 700  # fixture: a batch archive cut after one header and part of the next
 UNSAFE_EVERY = 97  # fixture: these filings are packed under a name that climbs out with '../'
 
@@ -49,60 +49,39 @@ _ARCHIVE_SQL = """
 """
 
 
-def staged_rows(spark, d):
+def staged_keys(spark, d):
     """Staged filings with their batch (12 companies per batch in list order), member name, body
-    text and mtime. Bodies come from the bounded page lookup (broadcast), never by a shuffle join."""
-    idx = X.filing_index(spark, d)
-    tb = A.company_batches(X.staged(spark, d, idx), B, order=F.substring("ticker", 2, 1 << 20).cast("bigint"))
-    rows = X.staged(spark, d, idx, html=True).join(tb, "ticker")
-    return rows.select(
-        "k", "ticker", "filing_year", "form", "accession", "batch_no", "body_bytes",
-        S.member_name(S.rel_path("ticker", "filing_year", "form", "accession")).alias("member"),
-        S.rel_path("ticker", "filing_year", "form", "accession").alias("rel_path"),
-        F.col("html").alias("content"),
-        A.epoch_seconds(F.col("filed_at")).alias("mtime"),
-    )
+    size and mtime. Keys and sizes only: whatever decides archives and parts happens here."""
+    st = X.staged(spark, d)
+    tb = A.company_batches(st, B, order=F.expr("substring(ticker, 2)").cast("bigint"))
+    rows = st.join(tb, "ticker")
+    path = S.rel_path("ticker", "filing_year", "form", "accession")
+    return rows.select("k", "ticker", "filing_year", "batch_no", "body_bytes", S.member_name(path).alias("member"),
+                       path.alias("rel_path"), A.epoch_seconds(F.col("filed_at")).alias("mtime"))
 
 
-def pack_batches(spark, d) -> str:
-    """Write one archive per batch under <scratch>/<run_id>/ and return the run folder."""
-    root = scratch_dir(spark, "runs")
-    rows = staged_rows(spark, d)
-    # a batch holding a very large company is split into shards of about BATCH_SHARD_BYTES,
-    # so no single task writes it whole (per-batch totals: one row per batch)
-    per_batch = rows.groupBy("batch_no").agg(F.sum("body_bytes").alias("_batch_bytes"))
-    shard = A.shard_of(F.col("member"), F.col("_batch_bytes"), BATCH_SHARD_BYTES)
-    rows = rows.join(per_batch, "batch_no").withColumn(
-        "archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"), shard)))
-    # writer tasks sized from the body sizes already known per batch (no pass over the html)
-    total = per_batch.agg(F.sum("_batch_bytes")).first()[0]
-    write_archives(rows, root, num_partitions=partitions_for_size(spark, total, WRITER_TASK_BYTES))
-    return f"{root}/{RUN_ID}"
+def with_content(spark, d, rows):
+    """The text joins last; the writer then moves it once, to the task of its archive."""
+    return X.attach_html(rows, spark, d).withColumnRenamed("html", "content")
 
 
-_PACKED: dict[tuple[str, str], str] = {}
+def _written(spark, d, rows, root, part_bytes=WRITER_TASK_BYTES):
+    """Write the archives of ``rows`` (with an ``archive`` column): tasks sized from known sizes."""
+    total = rows.agg(F.sum("body_bytes")).first()[0]
+    write_archives(with_content(spark, d, rows), root, num_partitions=partitions_for_size(spark, total, part_bytes))
 
 
-def packed_run(spark, d) -> str:
-    """The run folder of the batch archives for this scale, packed once per application: the
-    archive readers below read existing archives (as the reference's unpacker does); the
-    packing itself is ``snk_batch_archive``."""
-    from ledgerline.sinks.archives import filesystem
-
-    key = (spark.sparkContext.applicationId, d)
-    run = _PACKED.get(key)
-    if run is not None:
-        fs, p = filesystem(run)
-        from pyarrow import fs as pafs
-
-        if fs.get_file_info(p).type == pafs.FileType.Directory:
-            return run
-    run = _PACKED[key] = pack_batches(spark, d)
-    return run
+def pack_batches(spark, d) -> str:
+    """Write one archive per batch under <scratch>/<run_id>/ and return the run folder."""
+    root = scratch_dir(spark, "runs")
+    rows = staged_keys(spark, d).withColumn(
+        "archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"))))
+    _written(spark, d, rows, root)
+    return f"{root}/{RUN_ID}"
 
 
 def _listing(spark, d):
-    return list_archives(spark, packed_run(spark, d))
+    return list_archives(spark, pack_batches(spark, d))
 
 
 @query("snk_batch_archive", _ARCHIVE_SQL + """
@@ -113,9 +92,7 @@ FROM ab
 def snk_batch_archive(spark, d):
     """Pack each batch of 12 companies into one archive; returns each archive with its size
     in bytes and MB (companies without staged data are simply absent from their archive)."""
-    run = pack_batches(spark, d)
-    _PACKED[(spark.sparkContext.applicationId, d)] = run
-    return list_archives(spark, run).select("batch_no", "name", "archive_bytes",
+    return _listing(spark, d).select("batch_no", "name", "archive_bytes",
                                             S.size_mb("archive_bytes").alias("size_mb"))
 
 
@@ -159,11 +136,11 @@ def qa_unsafe_members(spark, d):
     packed, read back, and every file member flagged: absolute or '..' names are quarantined by
     the extractor instead of being written."""
     root = scratch_dir(spark, "unsafe")
-    rows = staged_rows(spark, d)
+    rows = staged_keys(spark, d)
     rows = rows.withColumn("member", F.when(F.col("k") % UNSAFE_EVERY == 0, F.concat(F.lit("../"), F.col("member")))
                            .otherwise(F.col("member")))
     rows = rows.withColumn("archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"))))
-    write_archives(rows, root)
+    _written(spark, d, rows, root)
     m = read_members(list_archives(spark, f"{root}/{RUN_ID}"), with_content=False).filter(F.col("is_file"))
     return m.select("batch_no", "member", S.is_unsafe_member("member").alias("unsafe"))
 
@@ -184,9 +161,9 @@ def agg_archive_inspect(spark, d):
     """Per archive: size, members, files, directories, companies and the first five names,
     read from the member headers only (no content is copied). The damaged archive (batch 0) is
     reported as unreadable with what could be read before the cut."""
-    listing = _listing(spark, d).unionByName(list_archives(spark, damaged_run(spark, d)))
-    m = read_members(listing, with_content=False)
-    return A.inspect(m, keys=("batch_no", "archive_bytes"))
+    run = pack_batches(spark, d)
+    listing = list_archives(spark, run).unionByName(list_archives(spark, damaged_run(spark, run)))
+    return A.inspect(read_members(listing, with_content=False)).drop("archive_path")
 
 
 @query("agg_archive_totals", _ARCHIVE_SQL + """
@@ -201,12 +178,11 @@ def agg_archive_totals(spark, d):
         S.size_mb(F.sum("archive_bytes")).alias("total_mb"))
 
 
-def damaged_run(spark, d) -> str:
+def damaged_run(spark, run) -> str:
     """A sibling run folder holding one damaged archive: a copy of batch 1 cut after 700 bytes
     (one member header and part of the next), named as batch 0."""
     from ledgerline.sinks.archives import filesystem
 
-    run = packed_run(spark, d)
     damaged = f"{scratch_dir(spark, 'damaged')}/{RUN_ID}"
     fs, src = filesystem(f"{run}/{S.ARCHIVE_PREFIX}1.tar")
     with fs.open_input_stream(src) as f:
@@ -225,7 +201,8 @@ FROM ab
 def agg_extract_summary(spark, d):
     """Archives extracted and failed: the run's archives plus one damaged archive (a truncated
     copy of batch 1, in a sibling run folder). A failure is per archive; the others go on."""
-    listing = list_archives(spark, packed_run(spark, d)).unionByName(list_archives(spark, damaged_run(spark, d)))
+    run = pack_batches(spark, d)
+    listing = list_archives(spark, run).unionByName(list_archives(spark, damaged_run(spark, run)))
     m = read_members(listing, with_content=False)
     per = m.groupBy("archive_path").agg(F.count_if(F.col("error").isNotNull()).alias("errors"))
     return per.agg(F.count(F.lit(1)).alias("n_archives"), F.count_if(F.col("errors") == 0).alias("n_extracted"),
@@ -233,46 +210,75 @@ def agg_extract_summary(spark, d):
 
 
 @query("snk_tree_archive", _ARCHIVE_SQL + "SELECT DISTINCT member, is_file, size, content_md5 FROM am")
-def snk_tree_archive(spark, d):
-    """The whole staged tree of a run as archive shards of about 1 MiB each (shard by member
-    hash, so no single task packs everything), read back and de-duplicated (directories repeat
-    across shards)."""
+def snk_tree_archive(spark, d, part_bytes=TREE_PART_BYTES):
+    """The whole staged tree of a run as one archive, in parts by member hash so that no single
+    task packs everything; read back over all parts (directories repeat across them)."""
     root = scratch_dir(spark, "tree")
-    rows = staged_rows(spark, d)
-    total = rows.select(F.sum("body_bytes")).scalar()
-    shard = A.shard_of(F.col("member"), total, TREE_SHARD_BYTES)
-    rows = rows.withColumn("archive", A.archive_name(RUN_ID, F.lit(""), shard))
-    write_archives(rows, root)
-    m = read_members(list_files(spark, root, "*.tar"), with_content=True)
+    rows = staged_keys(spark, d)
+    total = F.lit(rows.agg(F.sum("body_bytes")).first()[0])
+    rows = rows.withColumn("archive", A.archive_name(RUN_ID, F.lit(""), A.part_of(F.col("member"), total, part_bytes)))
+    _written(spark, d, rows, root, part_bytes)
+    m = read_members(list_files(spark, root, "*.tar.part*"), with_content=True)
     return m.select("member", "is_file", "size", F.when(F.col("is_file"), F.md5("content")).alias("content_md5")).distinct()
 
 
 @query("snk_annual_archive", _ARCHIVE_SQL + """
 SELECT filing_year, member, size, content_md5 FROM am WHERE is_file
 """)
-def snk_annual_archive(spark, d):
-    """One archive per filing year (sharded by size), read back: year parsed from the name."""
+def snk_annual_archive(spark, d, part_bytes=ANNUAL_PART_BYTES):
+    """One archive per filing year, in parts by size, read back: the year parsed from the name."""
     root = scratch_dir(spark, "annual")
-    rows = staged_rows(spark, d)
+    rows = staged_keys(spark, d)
     per_year = rows.groupBy("filing_year").agg(F.sum("body_bytes").alias("_year_bytes"))
     rows = rows.join(per_year, "filing_year")
-    shard = A.shard_of(F.col("member"), F.col("_year_bytes"), ANNUAL_SHARD_BYTES)
-    rows = rows.withColumn("archive", A.archive_name(S.ARCHIVE_PREFIX, F.col("filing_year"), shard))
-    write_archives(rows, root)
-    m = read_members(list_archives(spark, root), with_content=True).filter(F.col("is_file"))
-    return m.select(F.col("batch_no").alias("filing_year"), "member", "size", F.md5("content").alias("content_md5"))
+    part = A.part_of(F.col("member"), F.col("_year_bytes"), part_bytes)
+    rows = rows.withColumn("archive", A.archive_name(S.ARCHIVE_PREFIX, F.col("filing_year"), part)).drop("_year_bytes")
+    _written(spark, d, rows, root, part_bytes)
+    files = list_files(spark, root, S.ARCHIVE_PREFIX + "*.tar.part*")
+    files = files.withColumn("filing_year", S.batch_no_from_name(A.whole_name(F.col("name"))))
+    m = read_members(files, with_content=True).filter(F.col("is_file"))
+    return m.select("filing_year", "member", "size", F.md5("content").alias("content_md5"))
+
+
+@query("agg_extract_tree", _ARCHIVE_SQL + """
+SELECT batch_no, CAST(count(*) FILTER (WHERE is_file) AS BIGINT) AS n_written,
+       CAST(count(*) FILTER (WHERE is_dir) AS BIGINT) AS n_dirs, CAST(0 AS BIGINT) AS n_quarantined, CAST(0 AS BIGINT) AS n_errors
+FROM am GROUP BY batch_no
+""")
+def agg_extract_tree(spark, d):
+    """Unpack every batch archive into a tree; per archive, what was written and quarantined."""
+    members = read_members(_listing(spark, d), with_content=True)
+    return A.extract_tree(members, scratch_dir(spark, "extracted")).drop("archive_path")
 
 
-@query("src_tree_scan", "SELECT rel_path, size FROM files")
+@query("qa_rejected_archives", _ARCHIVE_SQL + """
+SELECT 'sp500_filings_data_x' || CAST(batch_no AS VARCHAR) || '.tar' AS name, 'unparsable batch number' AS reason
+FROM ab WHERE batch_no % 7 = 0
+""")
+def qa_rejected_archives(spark, d):
+    """Archives whose name holds no batch number (every seventh one here) are listed with the reason."""
+    root = scratch_dir(spark, "misnamed")
+    rows = staged_keys(spark, d)
+    key = F.when(F.col("batch_no") % 7 == 0, F.concat(F.lit("x"), F.col("batch_no").cast("string"))).otherwise(
+        F.col("batch_no").cast("string"))
+    _written(spark, d, rows.withColumn("archive", F.concat(F.lit(RUN_ID + "/"), A.archive_name(S.ARCHIVE_PREFIX, key))), root)
+    return rejected_archives(spark, f"{root}/{RUN_ID}").select("name", "reason")
+
+
+@query("src_tree_scan", """
+SELECT rel_path, size, CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', mtime) AS BIGINT) AS mtime_s FROM files
+""")
 def src_tree_scan(spark, d):
-    """The staged tree written as real files (one per filing) and scanned back: relative path
-    and byte size of every .html file (metadata only; company folders listed by tasks)."""
+    """The staged tree written as real files (one per filing) and scanned back: relative path,
+    byte size and modification time of every .html file (metadata only; company folders listed by
+    tasks). Local files keep the time they are given; object stores would show the write time."""
     root = scratch_dir(spark, "tree-files")
-    rows = staged_rows(spark, d)
+    rows = with_content(spark, d, staged_keys(spark, d))
     write_tree(rows.select(F.col("rel_path").alias("member"), "content", "mtime"), root)
     f = list_tree(spark, root, "*.html")
     from ledgerline.session import local_path
 
     base = local_path(root).rstrip("/") + "/"
     rel = F.regexp_replace(F.regexp_replace("archive_path", "^file:", ""), "^" + base.replace(".", "\\."), "")
-    return f.select(rel.alias("rel_path"), F.col("archive_bytes").alias("size"))
+    return f.select(rel.alias("rel_path"), F.col("archive_bytes").alias("size"),
+                    F.col("archive_mtime").cast("bigint").alias("mtime_s"))

@@ -320,10 +320,10 @@ def fn_scalars(spark, d):
         F.element_at(F.split("form", "/"), 1).alias("form_root"),
         F.col("form").endswith("/A").alias("is_amendment"),
         F.col("ticker").startswith("T").alias("has_prefix"),
-        F.substring("ticker", 2, 1 << 20).try_cast("bigint").alias("ticker_no"),
+        F.expr("substring(ticker, 2)").try_cast("bigint").alias("ticker_no"),
         F.date_format("filing_date", "yyyy-MM-dd").alias("date_text"),
         S.year_month("filing_date").alias("year_month"),
-        F.floor(F.col("k") / 12).cast("bigint").alias("k_div"),
+        F.expr("k div 12").alias("k_div"),
         (F.col("k") % 12).cast("bigint").alias("k_mod"),
         S.duration_text(secs).alias("duration_text"),
         F.array_join(F.array("ticker", "form", "accession"), ", ").alias("joined"),
@@ -360,9 +360,9 @@ def snk_filing_store(spark, d):
     idx = X.filing_index(spark, d)
     new = incremental.skip_existing(X.wanted(spark, d, idx), X.held(spark, d, idx), ["k"])
     new = new.select("k", "ticker", "filing_year", "form", "accession")
-    # bodies are attached to the new keys by the bounded page lookup (no shuffle of html)
-    rows = X.attach_body(new, spark, d, html=True).filter(F.col("body_chars") > 0).select(
-        "ticker", "filing_year", "form", "accession", "html")
+    # the text is attached to the new keys alone, after all key work
+    landed = X.attach_body(new, spark, d).filter(F.col("body_chars") > 0)
+    rows = X.attach_html(landed.select("k", "ticker", "filing_year", "form", "accession", "body_bytes"), spark, d).drop("k")
     path = scratch_dir(spark, "filing-store")
     store_filings(rows, path)
     store_filings(rows, path)

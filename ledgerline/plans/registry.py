@@ -47,14 +47,14 @@ WITH company AS (
 ), body_pages AS (
   SELECT page_id, max(length(html)) AS page_chars, max(strlen(html)) AS page_bytes,
          max(md5(html)) AS page_md5, max(html) AS page_html
-  FROM pages WHERE page_id BETWEEN 0 AND 49 GROUP BY page_id
+  FROM pages GROUP BY page_id
 ), body_state AS (
   SELECT i.k,
          CASE WHEN i.k % 101 = 0 THEN 0 ELSE p.page_chars END AS body_chars,
          CASE WHEN i.k % 101 = 0 THEN 0 ELSE p.page_bytes END AS body_bytes,
          CASE WHEN i.k % 101 = 0 THEN md5('') ELSE p.page_md5 END AS body_md5,
          CASE WHEN i.k % 101 = 0 THEN '' ELSE p.page_html END AS html
-  FROM filing_index i JOIN body_pages p ON p.page_id = i.k % 50
+  FROM filing_index i JOIN body_pages p ON p.page_id = i.k % (SELECT max(page_id) + 1 FROM pages)
   WHERE i.k % 10 <> 7
 ), staged AS (
   SELECT i.*, b.body_chars, b.body_bytes, b.body_md5

@@ -81,7 +81,7 @@ def manifest(spark, d):
     a = X.archived(spark, d, idx)
     staged_copies = f.select(
         F.col("rel_path").alias("member"),
-        (F.floor(F.substring("ticker", 2, 1 << 20).cast("bigint") / 12) + 1).cast("bigint").alias("batch_no"),
+        F.expr("CAST(substring(ticker, 2) AS BIGINT) div 12 + 1").alias("batch_no"),
         F.lit("staged").alias("source"), "size")
     archived_copies = a.select(
         S.rel_path("ticker", "filing_year", "form", "accession").alias("member"),

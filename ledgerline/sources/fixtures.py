@@ -20,7 +20,7 @@ NO_NAME_EVERY = 89            # ... and by this have no company name
 FORM_BY_PRIORITY = [("1", "10-K"), ("2", "10-Q"), ("3", "8-K"), ("4", "10-K/A"), ("5", "DEF 14A")]
 BODY_MISSING_EVERY = (10, 7)  # k % 10 = 7: body never arrived
 BODY_EMPTY_EVERY = 101        # k % 101 = 0: body arrived empty
-BODY_PAGES = 50               # body html = pages.html with page_id = k % 50
+# body html = pages.html with page_id = k % (largest page_id + 1), over the whole pages table
 STAGED_EVERY = 3              # staged: landed and k % 3 = 0
 ARCHIVED_EVERY = 5            # archived: landed and k % 5 = 0
 AS_OF_YEAR = 2001
@@ -67,48 +67,47 @@ def filing_index(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def body_pages(spark: SparkSession, d: str) -> DataFrame:
-    """The pages that serve as bodies, one row per page id (at most BODY_PAGES rows: a proven
-    bound, so joining it by broadcast never grows with the data). Lengths only, no html."""
-    p = table(spark, d, "pages", "page_id", "html").filter(F.col("page_id").between(0, BODY_PAGES - 1))
-    return p.groupBy("page_id").agg(
-        F.max(F.length("html")).cast("bigint").alias("page_chars"),
-        F.max(F.octet_length("html")).cast("bigint").alias("page_bytes"),
-        F.max(F.md5(F.col("html"))).alias("page_md5"),
-    )
-
-
-def _body_rule(keys: DataFrame, pages: DataFrame) -> DataFrame:
-    k = F.col("k")
-    landed = keys.filter(k % BODY_MISSING_EVERY[0] != BODY_MISSING_EVERY[1])
-    return landed.join(F.broadcast(pages), F.col("page_id") == k % BODY_PAGES, "inner").drop("page_id")
-
+def _page_modulus(spark: SparkSession, d: str) -> int:
+    """Largest page_id + 1 (read from the Parquet footers' statistics by Spark's aggregate)."""
+    return (table(spark, d, "pages", "page_id").agg(F.max("page_id")).first()[0] or 0) + 1
 
-def _html_pages(spark: SparkSession, d: str) -> DataFrame:
-    # page_id is the key of pages and is filtered to BODY_PAGES values: at most BODY_PAGES rows
-    # whatever the size of the index, so broadcasting them is bounded.
-    p = table(spark, d, "pages", "page_id", "html").filter(F.col("page_id").between(0, BODY_PAGES - 1))
-    return p.groupBy("page_id").agg(F.max("html").alias("page_html"))
 
-
-def attach_body(rows: DataFrame, spark: SparkSession, d: str, html: bool = False) -> DataFrame:
-    """Rows (with key ``k``) whose body arrived, with body_chars / body_bytes / body_md5 and
-    optionally the ``html`` text; empty bodies have 0 chars. One broadcast join, no shuffle."""
+def body_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes and digest of every page, one row per page id; no html leaves the scan."""
+    p = table(spark, d, "pages", "page_id", "html")
+    return p.select(
+        "page_id",
+        F.length("html").cast("bigint").alias("page_chars"),
+        F.octet_length("html").cast("bigint").alias("page_bytes"),
+        F.md5(F.col("html")).alias("page_md5"),
+    ).groupBy("page_id").agg(*[F.max(c).alias(c) for c in ("page_chars", "page_bytes", "page_md5")])
+
+
+def attach_body(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    """Rows (with key ``k``) whose body arrived, with body_chars / body_bytes / body_md5; empty
+    bodies have 0 chars. Joined on the page key; Spark picks broadcast or shuffle by size."""
     k = F.col("k")
     empty = k % BODY_EMPTY_EVERY == 0
     zero = F.lit(0).cast("bigint")
-    j = _body_rule(rows, body_pages(spark, d))
-    cols = [c for c in rows.columns] + [
+    landed = rows.filter(k % BODY_MISSING_EVERY[0] != BODY_MISSING_EVERY[1])
+    landed = landed.withColumn("_page", k % F.lit(_page_modulus(spark, d)))
+    j = landed.join(body_pages(spark, d).withColumnRenamed("page_id", "_page"), "_page")
+    return j.select(
+        *rows.columns,
         F.when(empty, zero).otherwise(F.col("page_chars")).alias("body_chars"),
         F.when(empty, zero).otherwise(F.col("page_bytes")).alias("body_bytes"),
         F.when(empty, F.md5(F.lit(""))).otherwise(F.col("page_md5")).alias("body_md5"),
-    ]
-    out = j.select(*cols)
-    if html:
-        hp = _html_pages(spark, d)
-        out = out.join(F.broadcast(hp), F.col("page_id") == k % BODY_PAGES, "inner").drop("page_id")
-        out = out.withColumn("html", F.when(empty, F.lit("")).otherwise(F.col("page_html"))).drop("page_html")
-    return out
+    )
+
+
+def attach_html(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    """Add ``html`` to rows that already have a body (key ``k``). Called last: everything that
+    needs keys, sizes or digests alone is done before the text is moved, once."""
+    k = F.col("k")
+    p = table(spark, d, "pages", "page_id", "html").groupBy(F.col("page_id").alias("_page")).agg(
+        F.max("html").alias("_html"))
+    j = rows.withColumn("_page", k % F.lit(_page_modulus(spark, d))).join(p, "_page")
+    return j.select(*rows.columns, F.when(k % BODY_EMPTY_EVERY == 0, F.lit("")).otherwise(F.col("_html")).alias("html"))
 
 
 def body_state(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
@@ -122,18 +121,19 @@ def filing_body(spark: SparkSession, d: str, index: DataFrame | None = None) ->
     """(k, accession, html): the landed bodies with their text. Only used where text is needed
     (archives, stores); the html column is attached after all key-only work is done."""
     index = index if index is not None else filing_index(spark, d)
-    return attach_body(index.select("k", "accession"), spark, d, html=True).select("k", "accession", "html")
+    rows = attach_body(index.select("k", "accession"), spark, d)
+    return attach_html(rows.select("k", "accession"), spark, d)
 
 
-def _landed(spark, d, index, every, html=False) -> DataFrame:
+def _landed(spark, d, index, every) -> DataFrame:
     cand = index.filter(F.col("k") % every == 0)
-    return attach_body(cand, spark, d, html=html).filter(F.col("body_chars") > 0)
+    return attach_body(cand, spark, d).filter(F.col("body_chars") > 0)
 
 
-def staged(spark: SparkSession, d: str, index: DataFrame | None = None, html: bool = False) -> DataFrame:
-    """Filings held in the staging tree (with body sizes, and the text when ``html``)."""
+def staged(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
+    """Filings held in the staging tree, with body sizes."""
     index = index if index is not None else filing_index(spark, d)
-    return _landed(spark, d, index, STAGED_EVERY, html)
+    return _landed(spark, d, index, STAGED_EVERY)
 
 
 def archived(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:

@@ -106,17 +106,45 @@ def test_list_files_prunes_content(spark, tmp):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
-def test_sharded_batch_names(spark, tmp):
+def test_parts_belong_to_one_archive(spark, tmp):
     from ledgerline.functions import scalars as S
+    from ledgerline.sources.archives import list_files
 
     rows = _rows(spark).withColumn("archive", F.concat(
-        F.lit("run_z/"), A.archive_name(S.ARCHIVE_PREFIX, F.lit(7), A.shard_of(F.col("member"), F.lit(1 << 20), 1 << 18))))
+        F.lit("run_z/"), A.archive_name(S.ARCHIVE_PREFIX, F.lit(7), A.part_of(F.col("member"), F.lit(1 << 20), 1 << 18))))
     write_archives(rows, tmp)
-    lst = list_archives(spark, os.path.join(tmp, "run_z")).select(
-        "batch_no", S.shard_from_name("archive_path").alias("shard")).collect()
-    assert {r.batch_no for r in lst} == {7} and {r.shard for r in lst} <= {0, 1, 2, 3} and len(lst) > 1
-    got = read_members(list_archives(spark, os.path.join(tmp, "run_z"))).filter("is_file").count()
-    assert got == rows.count()
+    parts = list_files(spark, os.path.join(tmp, "run_z"), "*.tar.part*")
+    whole = parts.select(A.whole_name(F.col("name")).alias("name")).distinct().select(
+        "name", S.batch_no_from_name("name").alias("batch_no")).collect()
+    assert parts.count() > 1 and [(r.name, r.batch_no) for r in whole] == [("sp500_filings_data_7.tar", 7)]
+    assert read_members(parts).filter("is_file").count() == rows.count()
+
+
+@pytest.mark.parametrize("key", ["snk_tree_archive", "snk_annual_archive"])
+def test_part_size_does_not_change_rows(spark, key):
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+
+    def rows(part_bytes):
+        return sorted(map(str, getattr(Q, key)(spark, SF_SMALL, part_bytes=part_bytes).collect()))
+
+    assert rows(40_000) == rows(1 << 40)
+
+
+def test_html_moves_once(spark):
+    """With broadcast off, the text crosses one exchange on its way to the page join and one to its archive."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = Q.with_content(spark, SF_SMALL, Q.staged_keys(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+        # above the join that brings the text there is nothing but projections
+        above = plan.split("Join")[0]
+        assert "html" in plan and "Aggregate" not in above and "Repartition" not in above
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
 def test_killed_task_attempt_is_retried_cleanly(tmp):

@@ -55,9 +55,7 @@ def test_year_month_html_and_stems(spark):
     assert one(spark, S.is_html_path, "a/B.HTM") is True
     assert one(spark, S.is_html_path, "a/b.html.bak") is False
     assert one(spark, S.file_stem, "runs/r/sp500_filings_data_12.tar") == "sp500_filings_data_12"
-    assert one(spark, S.shard_from_name, "runs/r/sp500_filings_data_12.3.tar") == 3
-    assert one(spark, S.shard_from_name, "runs/r/sp500_filings_data_12.tar") == 0
-    assert one(spark, S.batch_no_from_name, "runs/r/sp500_filings_data_12.3.tar") == 12
+    assert one(spark, S.batch_no_from_name, "runs/r/sp500_filings_data_12.3.tar") is None
 
 
 def test_epoch_text_ignores_session_time_zone(spark):
@@ -70,7 +68,7 @@ def test_epoch_text_ignores_session_time_zone(spark):
 
 
 def test_batch_number_parse_matches_the_integer_rule(spark):
-    """Property: on names without a shard suffix, the parser accepts exactly the names whose stem
+    """Property: the parser accepts exactly the names whose stem
     starts with the prefix and whose last '_' part is an integer (Python's int() on ASCII)."""
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
