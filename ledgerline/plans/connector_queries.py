@@ -67,22 +67,23 @@ def src_html_table(spark, d):
     return t.select("ticker", "company_name", S.cik_pad("cik").alias("cik"))
 
 
-def _company_bytes(spark, d):
-    """Staged bytes per company: the size an archive of that company's data reports."""
-    return X.files(spark, d).groupBy("ticker").agg(F.sum("size").alias("bytes"))
+def _rendered(spark, d):
+    """Log lines with each company's staged bytes (its share of an archive) and staged filings."""
+    per_company = X.files(spark, d).groupBy("ticker").agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_filings"))
+    return runlog.render(X.completion(spark, d), sizes=per_company, filings=per_company)
 
 
 @query("snk_progress_log", """
-SELECT run_id, CAST(5 + 2 * n_total + 3 * (n_success // 12) + CASE WHEN n_success % 12 > 0 THEN 4 ELSE 0 END
+SELECT run_id, CAST(5 + n_total + 3 * (n_success // 12) + CASE WHEN n_success % 12 > 0 THEN 4 ELSE 0 END
                     + 8 + (n_failed + 99) // 100 AS BIGINT) AS n_lines
 FROM (SELECT run_id, count(*) AS n_total, count(*) FILTER (WHERE ok) AS n_success,
              count(*) FILTER (WHERE NOT ok) AS n_failed FROM completion GROUP BY run_id)
 """)
 def snk_progress_log(spark, d):
-    """Write every run's progress log (header, worker and completion lines, archive lines per
-    batch, remainder note, summary, failed list) and count the lines per run read back."""
+    """Write every run's progress log (header, completion lines, archive lines per batch, remainder note, summary, failed list) and count the lines per run read back."""
     root = scratch_dir(spark, "logs")
-    runlog.write_log(runlog.render(X.completion(spark, d), sizes=_company_bytes(spark, d)), root)
+    runlog.write_log(_rendered(spark, d), root)
     return spark.read.text(root).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -95,7 +96,7 @@ FROM completion
 def src_progress_log(spark, d):
     """Parse progress logs back into completion events (written by ``snk_progress_log``)."""
     root = scratch_dir(spark, "logs")
-    runlog.write_log(runlog.render(X.completion(spark, d), sizes=_company_bytes(spark, d)), root)
+    runlog.write_log(_rendered(spark, d), root)
     p = read_log(spark, root).filter(F.col("kind") == "completed")
     return p.select("run_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "n_done", "n_total",
                     (F.col("mark") == "✓").alias("ok"), "ticker")

@@ -24,7 +24,7 @@ WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.k = w.k)
 """)
 def stm_ingest_new(spark, d):
     """Wanted filings arrive as a file stream (oldest first, the newest chunk delivered twice);
-    duplicates are dropped within the watermark and held filings skipped."""
+    filings that are held or already stored are skipped, however late they come."""
     idx = X.filing_index(spark, d)
     wanted = X.wanted(spark, d, idx).select("k", "ticker", "accession", "form", "filing_year", "filed_at")
     src = scratch_dir(spark, "landing-index")
@@ -36,7 +36,7 @@ def stm_ingest_new(spark, d):
     schema = wanted.schema
     # the held set is a stored table for the stream (not re-derived in every micro-batch)
     held = write_snapshot(X.held(spark, d, idx), scratch_dir(spark, "held"))
-    ingest.ingest_new(spark, src, schema, held, sink, ckpt, watermark="3650 days", files_per_trigger=FILES_PER_TRIGGER)
+    ingest.ingest_new(spark, src, schema, held, sink, ckpt, files_per_trigger=FILES_PER_TRIGGER)
     return spark.read.parquet(sink).select("ticker", "filing_year", "form", "accession")
 
 

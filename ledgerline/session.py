@@ -42,8 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh local
-    folder is created and registered.
+    Read from the session. Unset, a fresh local folder is registered for a local master; on a
+    cluster that is an error, as executors would write to disks that they do not share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(base)
         current = sc.getCheckpointDir()

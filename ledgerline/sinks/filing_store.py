@@ -24,11 +24,11 @@ PARTITIONS = ("filing_year", "form")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """A store exists once a load has committed (the commit leaves ``_SUCCESS``)."""
+    """A store exists once it has a partition folder (whatever marker its committer leaves)."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/{PARTITIONS[0]}=*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -41,15 +41,19 @@ def store_filings(rows: DataFrame, path: str, keys: Sequence[str] = KEYS, num_sl
                   body: str = "html") -> None:
     """Append filings not yet in the store at ``path`` (keys only are compared; bodies travel once)."""
     spark = rows.sparkSession
-    rows = rows.withColumn("rel_path", S.rel_path("ticker", "filing_year", "form", "accession"))
+    # equal keys inside the load are one filing too
+    rows = rows.withColumn("rel_path", S.rel_path("ticker", "filing_year", "form", "accession")).dropDuplicates(list(keys))
     if _exists(spark, path):
-        have = read_store(spark, path).select(*keys)
+        # only the partitions that the load touches are compared (at most years x forms of a load)
+        touched = [r[0] for r in rows.select("filing_year").distinct().collect()]
+        have = read_store(spark, path).filter(F.col("filing_year").isin(touched)).select(*keys)
         rows = rows.join(have, list(keys), "left_anti")
     if num_slices:
         n = num_slices
-    else:  # measured body bytes (one narrow pass), about STORE_TASK_BYTES per writer task
-        total = rows.select(F.sum(F.octet_length(body))).first()[0] if body in rows.columns else 0
-        n = partitions_for_size(spark, total, STORE_TASK_BYTES)
+    else:  # known body sizes if the rows carry them, else measured; about STORE_TASK_BYTES per writer task
+        size = F.col("body_bytes") if "body_bytes" in rows.columns else F.octet_length(body)
+        n = partitions_for_size(spark, rows.agg(F.sum(size)).first()[0] or 0, STORE_TASK_BYTES)
+    rows = rows.drop("body_bytes")
     ordered = rows.repartitionByRange(n, *PARTITIONS, "ticker", "accession").sortWithinPartitions(
         *PARTITIONS, "ticker", "accession")
     ordered.write.mode("append").partitionBy(*PARTITIONS).parquet(path)

@@ -16,8 +16,9 @@ from ledgerline.operators import runs
 # Fixed line formats of the reference's progress log.
 RULE = "=" * 80
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-WORKERS = 8
 FAILED_PER_LINE = 100
+# Places of lines that belong to no single completion, among lines of one instant.
+FIRST, REMAINDER, LAST = -1, (1 << 62), (1 << 62) + 1
 
 
 def _ts(c):
@@ -29,27 +30,29 @@ def _line(run, ts, order, text):
 
 
 def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_prefix: str = "runs/",
-           sizes: DataFrame | None = None) -> DataFrame:
-    """(run_id, ts, ord, seq, value) text lines of each run's progress log. ``sizes`` (ticker,
-    bytes) gives the archive size shown for each batch (the bytes of its companies' data)."""
+           sizes: DataFrame | None = None, filings: DataFrame | None = None, workers: int = 1) -> DataFrame:
+    """(run_id, ts, seq, ord, value) text lines of each run's progress log, in that order.
+
+    ``sizes`` (ticker, bytes) gives the archive size shown for each batch (the bytes of its
+    companies' data), ``filings`` (ticker, n_filings) the number shown for each success. The lines of
+    a batch stand before the completion line of the success that closes it.
+    """
     prog = runs.progress(done)                                   # n_done / n_total per completion
     by_outcome = runs.rank_by_outcome(done)                      # success / failure positions
     ok = runs.assign_batches(by_outcome, batch_size, seq_col="_oseq")
-    filings = (F.col("item") % 7).cast("string")
+    if filings is not None:
+        prog = prog.join(filings.select("ticker", F.col("n_filings").alias("_filings")), "ticker", "left")
+    else:
+        prog = prog.withColumn("_filings", F.lit(None).cast("bigint"))
+    count = F.coalesce("_filings", F.lit(0)).cast("string")
     mark = F.when(F.col("ok"), F.lit("\u2713")).otherwise(F.lit("\u2717"))
-    msg = F.when(F.col("ok"), F.concat(F.lit("Downloaded "), filings, F.lit(" filings"))).otherwise(
+    msg = F.when(F.col("ok"), F.concat(F.lit("Downloaded "), count, F.lit(" filings"))).otherwise(
         F.concat(F.lit("Error processing "), F.col("ticker"), F.lit(": failed")))
-    worker = ((F.col("item") % WORKERS) + 1).cast("string")
     per_event = prog.select(
         F.col("item").alias("seq"),
-        F.explode(F.array(
-            _line(F.col("run_id"), F.col("ts"), 1, F.concat(
-                F.lit("["), _ts("ts"), F.lit("] [Worker "), worker, F.lit("] "),
-                F.when(F.col("ok"), F.concat(F.lit("Completed "), F.col("ticker"), F.lit(": "), msg)).otherwise(msg))),
-            _line(F.col("run_id"), F.col("ts"), 2, F.concat(
-                F.lit("["), _ts("ts"), F.lit("] Completed "), F.col("n_done").cast("string"), F.lit("/"),
-                F.col("n_total").cast("string"), F.lit(": "), mark, F.lit(" "), F.col("ticker"), F.lit(" - "), msg)),
-        )).alias("l"))
+        _line(F.col("run_id"), F.col("ts"), 10, F.concat(
+            F.lit("["), _ts("ts"), F.lit("] Completed "), F.col("n_done").cast("string"), F.lit("/"),
+            F.col("n_total").cast("string"), F.lit(": "), mark, F.lit(" "), F.col("ticker"), F.lit(" - "), msg)).alias("l"))
 
     summary = runs.run_summary(done).join(
         done.groupBy("run_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end")), "run_id")
@@ -59,7 +62,8 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
     else:
         ok = ok.withColumn("_bytes", F.lit(0).cast("bigint"))
     bt = ok.groupBy("run_id", "batch_no").agg(
-        F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("_bytes"),
+        F.max("ts").alias("ts"), F.max_by("item", F.struct("ts", "item")).alias("item"),
+        F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("_bytes"),
         F.sort_array(F.collect_list(F.struct("seq", "ticker"))).alias("_t"))
     bt = bt.join(summary.select("run_id", "n_success", "end"), "run_id")
     full = F.col("n") == batch_size
@@ -76,7 +80,8 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
     lines = [_line(F.col("run_id"), bts, 3, head),
              _line(F.col("run_id"), bts, 4, F.concat(F.lit("  Archive: "), path)),
              _line(F.col("run_id"), bts, 5, F.concat(F.lit("  Companies: "), names))]
-    per_batch = bt.select(F.col("batch_no").alias("seq"), F.explode(
+    place = F.when(full, F.col("item")).otherwise(F.lit(REMAINDER))
+    per_batch = bt.select(place.alias("seq"), F.explode(
         F.when(full, F.array(*lines)).otherwise(F.array(*lines, _line(F.col("run_id"), bts, 6, note)))).alias("l"))
 
     nb = ok.groupBy("run_id").agg(F.max("batch_no").alias("nb"))
@@ -84,7 +89,7 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
     txt = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in p])
     head_lines = [
         txt("Download Progress Log - ", _ts("start")), txt("Total companies: ", F.col("n_total").cast("string")),
-        txt(f"Workers: {WORKERS}"), F.lit(RULE), F.lit(""),
+        txt(f"Workers: {workers}"), F.lit(RULE), F.lit(""),
     ]
     tail_lines = [
         F.lit(""), F.lit(RULE), txt("Download Summary - ", _ts("end")), txt("Total companies: ", F.col("n_total").cast("string")),
@@ -92,20 +97,20 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
         txt("Batches created: ", F.coalesce(F.col("nb"), F.lit(0)).cast("string")),
         txt("Archive directory: ", F.lit(run_dir_prefix), F.col("run_id")),
     ]
-    per_run = s.select(F.lit(0).cast("bigint").alias("seq"), F.explode(F.array(
-        *[_line(F.col("run_id"), F.col("start"), -10 + i, v) for i, v in enumerate(head_lines)],
-        *[_line(F.col("run_id"), F.col("end"), 100 + i, v) for i, v in enumerate(tail_lines)],
-    )).alias("l"))
+    opening = s.select(F.lit(FIRST).cast("bigint").alias("seq"), F.explode(F.array(
+        *[_line(F.col("run_id"), F.col("start"), i, v) for i, v in enumerate(head_lines)])).alias("l"))
+    closing = s.select(F.lit(LAST).cast("bigint").alias("seq"), F.explode(F.array(
+        *[_line(F.col("run_id"), F.col("end"), 100 + i, v) for i, v in enumerate(tail_lines)])).alias("l"))
     fl = runs.failed_lines(by_outcome, FAILED_PER_LINE, seq_col="_oseq").join(summary.select("run_id", "end"), "run_id")
-    per_fail = fl.select(F.col("line_no").alias("seq"), _line(F.col("run_id"), F.col("end"), 200,
+    per_fail = fl.select((F.lit(LAST) + F.col("line_no")).alias("seq"), _line(F.col("run_id"), F.col("end"), 200,
                                                               F.concat(F.lit("Failed companies: "), F.col("tickers"))).alias("l"))
-    allx = per_event.unionByName(per_batch).unionByName(per_run).unionByName(per_fail)
+    allx = per_event.unionByName(per_batch).unionByName(opening).unionByName(closing).unionByName(per_fail)
     return allx.select("l.run_id", "l.ts", "l.ord", "seq", "l.value")
 
 
 def write_log(lines: DataFrame, root: str) -> None:
-    """Append the lines under ``root/run_id=<run>/``, ordered by (time, line kind, sequence)."""
+    """Append the lines under ``root/run_id=<run>/``, ordered by (time, sequence, line kind)."""
     n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (lines.repartitionByRange(n, "run_id", "ts", "ord", "seq")
-     .sortWithinPartitions("run_id", "ts", "ord", "seq")
+    (lines.repartitionByRange(n, "run_id", "ts", "seq", "ord")
+     .sortWithinPartitions("run_id", "ts", "seq", "ord")
      .select("run_id", "value").write.mode("append").partitionBy("run_id").text(root))

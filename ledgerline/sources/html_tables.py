@@ -1,6 +1,8 @@
 """HTML tables as rows: many pages parsed in parallel (mapInPandas over a pages DataFrame), one
 output row per table row with its cells. Uses the standard-library parser; entities are decoded
-and whitespace collapsed as a browser shows it."""
+and whitespace collapsed as a browser shows it. End tags of cells and rows may be missing, and so
+may the table's; a cell that spans columns or rows is repeated in all of its places. The header
+rows of a table are those of its thead, else its leading rows of th cells, else its first row."""
 
 from __future__ import annotations
 
@@ -14,6 +16,9 @@ from ledgerline.schemas import HTML_CELLS
 from ledgerline.session import ship_package
 
 
+MAX_SPAN = 1000  # the HTML standard's limit of colspan
+
+
 class _Tables(HTMLParser):
     """Collects the rows of every table; a nested table keeps its own row/cell state, so the
     enclosing table's current row survives it."""
@@ -24,37 +29,104 @@ class _Tables(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.open.append({"no": self.count, "rows": [], "row": None, "cell": None, "th": False})
+            self.open.append({"no": self.count, "rows": [], "row": None, "cell": None, "head": False})
             self.count += 1
             return
         if not self.open:
             return
         t = self.open[-1]
-        if tag == "tr":
-            t["row"], t["th"] = [], True
-        elif tag in ("td", "th") and t["row"] is not None:
-            t["cell"] = []
-            t["th"] &= tag == "th"
+        if tag in ("thead", "tbody", "tfoot"):
+            self._end_row(t)
+            t["head"] = tag == "thead"
+        elif tag == "tr":
+            self._end_row(t)
+            t["row"] = []
+        elif tag in ("td", "th"):
+            self._end_cell(t)
+            if t["row"] is None:
+                t["row"] = []
+            spans = {k: int(v) if (v or "").strip().isdigit() else 1 for k, v in attrs if k in ("colspan", "rowspan")}
+            t["cell"] = {"text": [], "th": tag == "th", "across": min(max(spans.get("colspan", 1), 1), MAX_SPAN),
+                         "down": max(spans.get("rowspan", 1), 1)}
         elif tag == "br" and t["cell"] is not None:
-            t["cell"].append(" ")
+            t["cell"]["text"].append(" ")
 
     def handle_endtag(self, tag):
         if not self.open:
             return
         t = self.open[-1]
-        if tag in ("td", "th") and t["cell"] is not None:
-            t["row"].append(" ".join("".join(t["cell"]).split()))
-            t["cell"] = None
-        elif tag == "tr" and t["row"] is not None:
-            t["rows"].append((t["th"] and bool(t["row"]), t["row"]))
-            t["row"] = None
+        if tag in ("td", "th"):
+            self._end_cell(t)
+        elif tag == "tr":
+            self._end_row(t)
+        elif tag in ("thead", "tbody", "tfoot"):
+            self._end_row(t)
+            t["head"] = False
         elif tag == "table":
-            self.done.append((t["no"], t["rows"]))
-            self.open.pop()
+            self._end_table()
 
     def handle_data(self, data):
         if self.open and self.open[-1]["cell"] is not None:
-            self.open[-1]["cell"].append(data)
+            self.open[-1]["cell"]["text"].append(data)
+
+    def close(self):
+        super().close()
+        while self.open:
+            self._end_table()
+
+    @staticmethod
+    def _end_cell(t):
+        c = t["cell"]
+        if c is not None:
+            t["row"].append((" ".join("".join(c["text"]).split()), c["th"], c["across"], c["down"]))
+            t["cell"] = None
+
+    def _end_row(self, t):
+        self._end_cell(t)
+        if t["row"] is not None:
+            t["rows"].append((t["head"], t["row"]))
+            t["row"] = None
+
+    def _end_table(self):
+        t = self.open.pop()
+        self._end_row(t)
+        self.done.append((t["no"], _with_header(_spread(t["rows"]))))
+
+
+def _spread(rows):
+    """(in thead, all th, texts) of each row, with spanning cells in all of their places."""
+    pending = {}  # column -> (rows still to fill, text)
+    out = []
+    for head, cells in rows:
+        texts, kinds, at, queue = [], [], 0, list(cells)
+        while queue or any(c >= at for c in pending):
+            if at in pending:
+                left, text = pending.pop(at)
+                texts.append(text)
+                if left > 1:
+                    pending[at] = (left - 1, text)
+                at += 1
+            elif queue:
+                text, th, across, down = queue.pop(0)
+                for _ in range(across):
+                    texts.append(text)
+                    kinds.append(th)
+                    if down > 1:
+                        pending[at] = (down - 1, text)
+                    at += 1
+            else:
+                at = min(c for c in pending if c >= at)
+                texts += [""] * (at - len(texts))
+        out.append((head, bool(kinds) and all(kinds), texts))
+    return out
+
+
+def _with_header(rows):
+    """(is header, texts) of each row."""
+    if any(head for head, _, _ in rows):
+        return [(head, texts) for head, _, texts in rows]
+    leading = next((i for i, (_, th, _) in enumerate(rows) if not th), len(rows))
+    return [(i < max(leading, 1), texts) for i, (_, _, texts) in enumerate(rows)]
 
 
 def _parse(it):

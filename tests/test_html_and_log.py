@@ -16,6 +16,28 @@ def test_first_table_columns_entities_and_empty_cells(spark):
         ("MMM", "3M & Co", "66740"), (None, "No ticker Inc", "12345678901")]
 
 
+def _grid(spark, html):
+    rows = html_tables.table_cells(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
+    return [(r.table_no, r.is_header, list(r.cells)) for r in sorted(rows, key=lambda r: (r.table_no, r.row_no))]
+
+
+def test_omitted_end_tags_and_open_table(spark):
+    assert _grid(spark, "<table><tr><th>A<th>B<tr><td>1<td>2<tr><td>3<td>4") == [
+        (0, True, ["A", "B"]), (0, False, ["1", "2"]), (0, False, ["3", "4"])]
+
+
+def test_header_of_td_cells(spark):
+    pages = spark.createDataFrame([(1, "<table><tr><td>A</td><td>B</td></tr><tr><td>1</td><td>2</td></tr></table>")],
+                                  "page_id long, html string")
+    t = html_tables.first_table(html_tables.table_cells(pages), {"B": "b", "A": "a"})
+    assert [(r.a, r.b) for r in t.collect()] == [("1", "2")]
+
+
+def test_spanning_cells_are_repeated(spark):
+    assert _grid(spark, "<table><thead><tr><th colspan=2>X<th>Y</thead><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e</table>") == [
+        (0, True, ["X", "X", "Y"]), (0, False, ["a", "b", "c"]), (0, False, ["a", "d", "e"])]
+
+
 def test_log_shapes(spark):
     lines = [
         "[2024-01-01 00:00:07] Completed 3/10: ✓ AAPL - Downloaded 4 filings",

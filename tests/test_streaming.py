@@ -7,14 +7,14 @@ from ledgerline.streaming.landing import land_in_order
 IDX = "k long, accession string, filed_at timestamp_ntz"
 
 
-def test_ingest_drops_duplicates_late_rows_and_held(spark, tmp):
+def test_ingest_skips_duplicates_and_held_and_keeps_late_rows(spark, tmp):
     d = dt.datetime(2024, 1, 1)
     day = lambda n: d + dt.timedelta(days=n)
     landings = [
         [(1, "A", day(10)), (2, "B", day(20))],
         [(3, "H", day(21)), (5, "N", day(30))],
-        [(1, "A", day(10)),      # re-delivered while the watermark still covers it
-         (4, "L", day(1))],      # late: older than the watermark for late rows (day 20 - 15)
+        [(1, "A", day(10)),      # re-delivered
+         (4, "L", day(1))],      # late, and new
     ]
     src = os.path.join(tmp, "src")
     for rows in landings:  # three arrivals, three micro-batches
@@ -22,9 +22,9 @@ def test_ingest_drops_duplicates_late_rows_and_held(spark, tmp):
     held = spark.createDataFrame([(3,)], "k long")
     sink = os.path.join(tmp, "sink")
     schema = spark.createDataFrame(landings[0], IDX).schema
-    ingest.ingest_new(spark, src, schema, held, sink, os.path.join(tmp, "ckpt"), watermark="15 days")
+    ingest.ingest_new(spark, src, schema, held, sink, os.path.join(tmp, "ckpt"))
     got = sorted(r.accession for r in spark.read.parquet(sink).collect())
-    assert got == ["A", "B", "N"]
+    assert got == ["A", "B", "L", "N"]
 
 
 def test_flush_numbers_across_micro_batches_in_arrival_order(spark, tmp):
