@@ -10,11 +10,14 @@ Lines without words stay, but leave with their document when no line with a word
 2. Screen: of two lines one edit apart, either the first or the last half of the shorter one is in
    both. Lines that share no half with another line of the same class need no further work.
 3. The others emit their deletion neighbourhood: a hashed key for the line itself and for the line
-   without each of its words. Lines with equal variants meet. The edit distance is verified on a
-   second hash of the variant and the place of the deleted word: the same place (one replaced), or
-   one line without a deletion (one inserted). Per variant only the earliest place is kept, never a
-   list of pairs, so a variant that a third of all lines share is a partial aggregate.
-4. Documents with lines to drop are rebuilt.
+   without each of its words. Keys of one line only fall away. Lines with equal variants meet, and
+   the edit distance is verified on a second hash of the variant and the place of the deleted word:
+   the same place (one replaced), or one line without a deletion (one inserted). Per variant only
+   the earliest place is kept, never a list of pairs, so a variant that a third of all lines share
+   is a partial aggregate.
+4. Documents with lines to drop are rebuilt; the others never leave their task.
+Steps 2 to 4 screen their scans with broadcast filters of bounded size (see ``fuse``); beyond the
+bound a join, or no screen, takes their place with the same result.
 
 Null and empty texts have no lines with words. Rows that repeat a document (id and text) count as
 the same document: their lines do not remove each other. Extra columns pass through.
@@ -103,7 +106,7 @@ def _rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """doc_id, row, number, line (hash) and the four half keys (null for short lines)."""
+    """doc_id, row, number and hash of every line with words."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -111,28 +114,48 @@ def line_table(rows: DataFrame) -> DataFrame:
             for t in tk.text_slices(batch.column(2)):
                 lines = Lines(t)
                 at = pa.array(lines.row + t.first)
-                keys = []
-                for shorter in (0, 1):
-                    short = lines.size - shorter < MIN_WORDS
-                    keys += [pa.array(k.view(np.int64), mask=short) for k in lines.halves(shorter)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.number.astype(np.int32)),
-                     pa.array(lines.whole().view(np.int64)), *keys],
-                    names=["doc_id", "row", "number", "line", "k0", "k1", "k2", "k3"])
+                     pa.array(lines.whole().view(np.int64))], names=["doc_id", "row", "number", "line"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, row long, number int, line long")
+
+
+def half_keys(rows: DataFrame) -> DataFrame:
+    """half, line of every distinct long line of a slice: four halves a line (see ``Lines.halves``)."""
+    def run(batches):
+        for batch in batches:
+            for t in tk.text_slices(batch.column(0), 4 * tk.SLICE_BYTES):
+                lines = Lines(t)
+                whole = lines.whole()
+                pick = np.unique(whole, return_index=True)[1]
+                halves, owner = [], []
+                for shorter in (0, 1):
+                    long = pick[lines.size[pick] - shorter >= MIN_WORDS]
+                    for keys in lines.halves(shorter):
+                        halves.append(keys[long])
+                        owner.append(whole[long])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (halves, owner)],
+                                                 names=["half", "line"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, number int, line long, k0 long, k1 long, k2 long, k3 long")
+    return rows.select("text").mapInArrow(run, "half long, line long")
 
 
-def variants(rows: DataFrame, wanted) -> DataFrame:
-    """line, key, proof, place (-1: nothing deleted) of the wanted lines, once per slice."""
+def variants(rows: DataFrame, shared) -> DataFrame:
+    """line, key, proof, place (-1: nothing deleted) of the lines with a shared half, once per slice."""
     def run(batches):
         for batch in batches:
-            for t in tk.text_slices(batch.column(0)):
+            for t in tk.text_slices(batch.column(0), 4 * tk.SLICE_BYTES):
                 lines = Lines(t)
                 whole = lines.whole()
                 ok = lines.size >= MIN_WORDS
-                if wanted is not None:
-                    ok &= fuse.probe(wanted.value, whole.view(np.int64))
+                if shared is not None:
+                    known = np.zeros(len(whole), dtype=bool)
+                    for shorter in (0, 1):
+                        long = lines.size - shorter >= MIN_WORDS
+                        for keys in lines.halves(shorter):
+                            known |= long & fuse.probe(shared.value, keys.view(np.int64))
+                    ok &= known
                 pick = np.flatnonzero(ok)
                 pick = pick[np.unique(whole[pick], return_index=True)[1]]
                 line, place, key, proof = lines.deletions(pick)
@@ -146,8 +169,19 @@ def variants(rows: DataFrame, wanted) -> DataFrame:
     return rows.select("text").mapInArrow(run, "line long, key long, proof long, place int")
 
 
+def _kept_by(df: DataFrame, screen, column: str) -> DataFrame:
+    """Rows whose ``column`` the broadcast filter may hold."""
+    at = df.columns.index(column)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(fuse.probe(screen.value, batch.column(at).to_numpy())))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row, number, drop of every line with words."""
+    """row (a hash of id and text) and number of every line that goes."""
     spark = docs.sparkSession
     ship_package(spark)
     at = scratch_dir(spark, "lines")
@@ -159,29 +193,29 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = _rows_of(docs, id_col, text_col)
     lines = written(line_table(rows), "lines")
     place = F.struct("doc_id", "row", "number")
-    distinct = written(lines.groupBy("line").agg(
-        F.min(place).alias("first"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")]), "distinct")
-
-    halves = distinct.select("line", F.explode(F.array("k0", "k1", "k2", "k3")).alias("half")).filter("half IS NOT NULL")
-    shared = halves.groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).filter("lo < hi")
-    close = written(halves.join(shared.select("half"), "half", "left_semi").select("line").distinct(), "close")
-    wanted = fuse.shared_filter(spark, close.select(F.col("line").alias("key")), 16)
-
-    met = written(variants(rows, wanted).distinct().join(distinct.select("line", "first"), "line"), "variants")
+    distinct = written(lines.groupBy("line").agg(F.min(place).alias("first")), "distinct")
+
+    halves = half_keys(rows).groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).filter("lo < hi")
+    halves = written(halves.select(F.col("half").alias("key")), "halves")
+    spread = written(variants(rows, fuse.shared_filter(spark, halves, 16)), "variants")
+    common = written(spread.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
+                     .filter("lo < hi").select("key"), "common")
+    screen = fuse.shared_filter(spark, common, 16)
+    met = spread.join(common, "key", "left_semi") if screen is None else _kept_by(spread, screen, "key")
+    met = written(met.distinct().join(distinct, "line"), "met")
     group = ["key", "proof"]
-    same = met.groupBy(*group, "place").agg(F.min("first").alias("earliest"))
-    either = same.groupBy(*group).agg(
+    same = written(met.groupBy(*group, "place").agg(F.min("first").alias("earliest")), "same")
+    either = written(same.groupBy(*group).agg(
         F.min(F.when(F.col("place") < 0, F.col("earliest"))).alias("uncut"),
-        F.min(F.when(F.col("place") >= 0, F.col("earliest"))).alias("cut"))
+        F.min(F.when(F.col("place") >= 0, F.col("earliest"))).alias("cut")), "either")
     # a line with a deletion meets those of the same place and uncut ones; an uncut line meets all cut ones
     judged = met.join(same, [*group, "place"]).join(either, group)
     other = F.when(F.col("place") < 0, F.col("cut")).otherwise(F.least("earliest", "uncut"))
     near = judged.filter(other < F.col("first")).select("line").distinct()
-    verdict = written(distinct.select("line", "first").join(near.withColumn("near", F.lit(True)), "line", "left"), "verdict")
+    verdict = written(distinct.join(near.withColumn("near", F.lit(True)), "line", "left"), "verdict")
 
-    judged = lines.select("doc_id", "row", "number", "line").join(verdict, "line")
-    return judged.select("doc_id", "row", "number",
-                         (F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first"))).alias("drop"))
+    judged = lines.join(verdict, "line")
+    return judged.filter(F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first"))).select("row", "number")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
@@ -193,22 +227,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     ``counts`` names two columns to add: lines with words, and lines dropped; they replace columns
     of the same names.
     """
+    spark = docs.sparkSession
     gone = dropped_lines(docs, id_col, text_col)
-    key, cut_col, total_col = (tk.free_name(n, docs.columns) for n in ("_row", "_gone", "_total"))
-    # one row per document with lines to drop: at most one number per line of that document
-    per_row = gone.groupBy(F.col("row").alias(key)).agg(
-        F.count(F.lit(1)).alias(total_col), F.collect_set(F.when(F.col("drop"), F.col("number"))).alias(cut_col))
-    both = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).join(per_row, key, "left")
+    at = scratch_dir(spark, "dropped-lines")
+    gone.write.parquet(at)
+    gone = spark.read.parquet(at)
+    key, cut_col = (tk.free_name(n, docs.columns) for n in ("_row", "_gone"))
     kept = [c for c in docs.columns if c not in (counts or ())]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in counts or ()])
+    keyed = docs.select(*kept, F.xxhash64(F.col(id_col), F.col(text_col)).alias(key))
 
     def run(batches):
         for batch in batches:
             names = batch.schema.names
             columns = {c: batch.column(names.index(c)) for c in kept}
             texts = columns[text_col].to_pylist()
-            total = [x or 0 for x in batch.column(names.index(total_col)).to_pylist()]
-            numbers = [x or [] for x in batch.column(names.index(cut_col)).to_pylist()]
+            numbers = ([x or [] for x in batch.column(names.index(cut_col)).to_pylist()] if cut_col in names
+                       else [[]] * len(texts))
+            total = [0] * len(texts)
+            if counts or any(numbers):
+                for t in tk.text_slices(columns[text_col]):
+                    total[t.first:t.first + t.rows] = np.bincount(Lines(t).row, minlength=t.rows).tolist()
             stay = []
             for i, cut in enumerate(numbers):
                 if cut:
@@ -222,7 +261,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                                                old.type)
             arrays = [columns[c] for c in kept]
             if counts:
-                arrays += [pa.array(total, pa.int64()), pa.array([len(x) for x in numbers], pa.int64())]
+                arrays += [pa.array(total, pa.int64()), pa.array([len(set(x)) for x in numbers], pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields]).filter(pa.array(stay, pa.bool_()))
 
-    return both.mapInArrow(run, schema)
+    # at most one number per line of a document
+    listed = gone.groupBy(F.col("row").alias(key)).agg(F.collect_set("number").alias(cut_col))
+    touched = fuse.shared_filter(spark, gone.select(F.col("row").alias("key")), 16)
+    if touched is None:
+        return keyed.join(listed, key, "left").mapInArrow(run, schema)
+
+    def sift(inside: bool):
+        def pick(batches):
+            for batch in batches:
+                hit = fuse.probe(touched.value, batch.column(batch.num_columns - 1).to_numpy())
+                part = batch.filter(pa.array(hit == inside))
+                for i in range(0, part.num_rows, 1024):
+                    yield part.slice(i, 1024)
+        return pick
+
+    whole = keyed.mapInArrow(sift(False), keyed.schema).mapInArrow(run, schema)
+    changed = keyed.mapInArrow(sift(True), keyed.schema).join(listed, key, "left").mapInArrow(run, schema)
+    return whole.unionByName(changed)
