@@ -113,3 +113,48 @@ def probe(shared, keys: np.ndarray) -> np.ndarray:
             here = place == b
             out[here] = contains(keys[here].view(_U), *tables[b])
     return out
+
+
+def exact_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
+    """A cascade of filters that tells ``member`` keys from all the other rows' keys without error.
+
+    ``keys``: a written table of distinct longs ``key`` with a boolean ``member``. The first filter
+    holds the members, the second the other keys that the first lets by, the third the members that
+    the second lets by, and so on; every level is about 1/256 of the one before the last. None where
+    the members' filter would exceed the limit.
+    """
+    import pyarrow as pa
+
+    levels, inside = [], True
+    left = keys
+    while True:
+        own = left.filter(f"member = {str(inside).lower()}")
+        if levels and own.isEmpty():
+            return levels
+        level = shared_filter(spark, own, buckets, limit_bytes)
+        if level is None:
+            return None
+        levels.append(level)
+
+        def sift(batches, level=level, inside=inside):
+            for batch in batches:
+                hit = probe(level.value, batch.column(0).to_numpy())
+                # the level's own side stays for the level after the next; of the other side, what it lets by
+                yield batch.filter(pa.array(hit))
+
+        left = left.select("key", "member").mapInArrow(sift, "key long, member boolean")
+        inside = not inside
+
+
+def told_by(levels, keys: np.ndarray) -> np.ndarray:
+    """Whether each key is a member, for keys that the cascade was built with."""
+    answer = np.zeros(len(keys), dtype=bool)
+    open_ = np.ones(len(keys), dtype=bool)
+    for depth, level in enumerate(levels):
+        hit = np.zeros(len(keys), dtype=bool)
+        hit[open_] = probe(level.value, keys[open_])
+        # what a level does not hold is of the side that the level before holds
+        answer[open_ & ~hit] = depth % 2 == 1
+        open_ &= hit
+    answer[open_] = len(levels) % 2 == 1
+    return answer
