@@ -28,7 +28,7 @@ from ledgerline.llm import textkit as tk
 from ledgerline.session import ship_package
 
 # Documented parameters.
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 1_500
 MIN_LABELS = 20
 CELLS = 1 << 16
 MIN_WORDS = 10
