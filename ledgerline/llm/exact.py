@@ -185,10 +185,13 @@ def _repeated(spark: SparkSession, tables: list[DataFrame], groups: DataFrame, b
 
 def _differing(repeated: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows whose text is not that of their group's row that stays."""
-    members = repeated.join(groups.select("digest", "last"), "digest")
-    stays = (members.filter(F.col("doc_id").eqNullSafe(F.col("last"))).groupBy("digest")
-             .agg(F.min("text").alias("text_of_last")))
-    return members.join(stays, "digest").filter("text <> text_of_last").select("digest", "doc_id", "text")
+    # found by id and digest, so the copies of a large group never meet in one task
+    stays = (repeated.join(groups.select("digest", F.col("last").alias("doc_id")), ["digest", "doc_id"])
+             .groupBy("digest").agg(F.min("text").alias("text_of_last")))
+    nameless = (repeated.filter("doc_id IS NULL").join(groups.filter("last IS NULL").select("digest"), "digest")
+                .groupBy("digest").agg(F.min("text").alias("text_of_last")))
+    return (repeated.join(stays.unionByName(nameless), "digest").filter("text <> text_of_last")
+            .select("digest", "doc_id", "text"))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
