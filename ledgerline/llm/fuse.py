@@ -38,14 +38,14 @@ def _places(keys: np.ndarray, seed: int, lay: Layout) -> tuple[np.ndarray, np.nd
     return slots, (h ^ (g >> _U(7))).astype(np.uint8)
 
 
-def build(keys: np.ndarray) -> tuple[int, np.ndarray]:
-    """Seed and fingerprint table for distinct keys.
+def build(keys: np.ndarray, first_seed: int = 1) -> tuple[int, np.ndarray]:
+    """Seed (from ``first_seed`` on) and fingerprint table for distinct keys.
 
     Slots that hold a single key are peeled round by round; fingerprints are then assigned in the
     opposite order, so every key's three slots xor to its fingerprint.
     """
     lay = layout(len(keys))
-    for seed in range(1, 200):
+    for seed in range(first_seed, first_seed + 200):
         slots, marks = _places(keys, seed, lay)
         left = np.arange(len(keys))
         rounds = []
@@ -78,7 +78,7 @@ def contains(keys: np.ndarray, n: int, seed: int, table: np.ndarray) -> np.ndarr
     return (table[slots[0]] ^ table[slots[1]] ^ table[slots[2]]) == marks
 
 
-def shared_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
+def shared_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20, first_seed: int = 1):
     """A broadcast filter over a ``key`` column of longs, or None where it would exceed the limit.
 
     The filter is built per bucket (the key modulo ``buckets``) by Spark; about 1.2 bytes a key.
@@ -93,7 +93,7 @@ def shared_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
 
     def make(table: pa.Table) -> pa.Table:
         own = np.unique(table.column("key").to_numpy().astype(np.int64)).view(_U)
-        seed, marks = build(own)
+        seed, marks = build(own, first_seed)
         return pa.table({"bucket": table.column("bucket").slice(0, 1), "n": [len(own)], "seed": [seed],
                          "marks": pa.array([marks.tobytes()], pa.binary())})
 
@@ -131,7 +131,8 @@ def exact_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
         own = left.filter(f"member = {str(inside).lower()}")
         if levels and own.isEmpty():
             return levels
-        level = shared_filter(spark, own, buckets, limit_bytes)
+        # seeds of its own for every level: what one level lets by is no more likely to pass the next
+        level = shared_filter(spark, own, buckets, limit_bytes, 1 + 1000 * len(levels))
         if level is None:
             return None
         levels.append(level)

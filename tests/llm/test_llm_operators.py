@@ -251,6 +251,20 @@ def test_merge_is_the_order_of_the_union():
     assert prefix.tolist() == common
 
 
+def test_filter_cascade_is_exact(spark):
+    import numpy as np
+    from ledgerline.llm import fuse
+
+    rng = np.random.default_rng(4)
+    keys = rng.integers(-(1 << 62), 1 << 62, 6000)
+    member = rng.random(6000) < 0.2
+    df = spark.createDataFrame([(int(k), bool(m)) for k, m in zip(keys, member)], "key long, member boolean")
+    levels = fuse.exact_filter(spark, df.cache(), 4)
+    assert 2 <= len(levels) <= 6
+    assert (fuse.told_by(levels, keys) == member).all()
+    assert fuse.exact_filter(spark, df, 4, limit_bytes=10) is None
+
+
 # 5 quality rules
 
 
