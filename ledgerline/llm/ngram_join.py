@@ -9,14 +9,17 @@ Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
 2. Postings: with that table, every set is ordered rare first, and its prefix is emitted once per
    class and task. The order only has to be the same everywhere; it is exact for links.
 3. Keys of very frequent shingles are salted; each slice of a key is read as one sorted run, so no
-   list is ever held. A run's first text (the smallest) is its anchor; the others become candidates
-   with their anchor, the anchors of a salted key with the first of them.
+   list is ever held. A run's first text (in an order drawn per key) is its anchor; the others
+   become candidates with their anchor, the anchors of a salted key with the first of them.
 4. Candidates that pass the length and positional filters are taken once per pair, pass the suffix
    filter (a lower bound of the sets' difference from the count profiles), and are verified on
-   their whole sets. The links give provisional components.
-5. Keys whose texts lie in more than one component are joined with themselves, for texts of
-   different components only; the same filters and verification follow. So every pair that could
-   still connect two components is looked at, and pairs inside a component are not.
+   their whole sets. A text meets the ``ANCHORS`` anchors first with which it shares most keys. The
+   links give provisional components. ``ROUNDS`` more rounds compare, in keys whose texts lie in
+   several components, the texts outside the key's largest component with a drawn member of it.
+5. What is left is exhausted: in every key with several components, each text outside the largest
+   one meets all texts of other components, in blocks of at most ``BLOCK`` of them, under the same
+   three filters; the pairs that pass are verified. So every pair that could still connect two
+   components is looked at, and pairs inside a component are not.
 
 Sets are of 64-bit shingle hashes. Null and empty texts have no shingle and link with nothing.
 Repeated rows are one class; ties go to the smaller id. Only the id and text columns are read.
@@ -41,6 +44,10 @@ CHUNK = 1 << 16
 PROFILE = 256            # one-byte counts per text for the suffix filter
 HOT = 2048               # postings of one key beyond which it is salted
 MERGE = 64               # partial tables that one task adds up
+ANCHORS = 2              # anchors that a text meets first; step 5 covers the others
+ROUNDS = 2
+BLOCK = 4096             # texts of one key that a probing text meets at once
+BUCKET_ROWS = 20_000     # rows of step 5 in one group
 
 _U = np.uint64
 
@@ -63,31 +70,32 @@ def _profiles(rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def profile(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, cid, counts of every text; and rows with a part of the frequency table."""
+    """doc_id, row, n, cid, counts of every text; and rows with a part of the frequency table."""
     def run(batches):
         df = np.zeros(CELLS, dtype=np.uint32)
         for batch in batches:
-            for t in tk.text_slices(batch.column(1)):
+            for t in tk.text_slices(batch.column(2)):
                 rows, hashes = tk.shingle_sets(t, width)
                 df += np.bincount(_cell(hashes), minlength=CELLS).astype(np.uint32)
                 cid = _class_ids(rows, hashes, t.rows)
                 counts = _profiles(rows, hashes, t.rows)
                 n = np.bincount(rows, minlength=t.rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(t.first, t.rows), pa.array(n.astype(np.int32)), pa.array(cid),
+                    [batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows),
+                     pa.array(n.astype(np.int32)), pa.array(cid),
                      tk.binary_array(counts, np.arange(t.rows + 1) * PROFILE),
                      pa.nulls(t.rows, pa.int32()), pa.nulls(t.rows, pa.binary())], names=names)
         filled = np.flatnonzero(df.reshape(-1, CHUNK).any(axis=1))
         m = len(filled)
         parts = [zlib.compress(df[k * CHUNK:(k + 1) * CHUNK].astype("<u8").tobytes(), 1) for k in filled.tolist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, id_type), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(filled.astype(np.int32)), pa.array(parts, pa.binary())], names=names)
+            [pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(filled.astype(np.int32)), pa.array(parts, pa.binary())], names=names)
 
-    names = ["doc_id", "n", "cid", "counts", "chunk", "part"]
+    names = ["doc_id", "row", "n", "cid", "counts", "chunk", "part"]
     kind = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(kind)
-    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, n int, cid long, counts binary, "
+    return docs.select("doc_id", "row", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, row long, n int, cid long, counts binary, "
                                 "chunk int, part binary")
 
 
@@ -156,7 +164,7 @@ def anchored(posts: DataFrame) -> DataFrame:
 
     A run of a salted key also gives its anchor itself, so that the anchors of the key can meet.
     """
-    runs = posts.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "cid")
+    runs = posts.repartition("key", "salt").sortWithinPartitions("key", "salt", F.xxhash64("cid", "key"), "cid")
 
     def scan(batches):
         anchor = last = None
@@ -242,23 +250,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """cid, hashes (sorted) of the wanted ids' texts; a broadcast filter screens the scan."""
+    """cid, hashes (sorted) of the wanted rows' texts (and of a few that the filter lets by)."""
     spark = docs.sparkSession
-    screen = fuse.shared_filter(spark, wanted.select(F.xxhash64("doc_id").alias("key")), 16)
-    texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"))
-    if screen is not None:
-        def sift(batches):
-            for batch in batches:
-                keep = pa.array(fuse.probe(screen.value, batch.column(2).to_numpy()))
-                some = batch.filter(keep)
-                for i in range(0, some.num_rows, 1024):
-                    yield some.slice(i, 1024)
-
-        texts = texts.mapInArrow(sift, texts.schema)
-    texts = texts.join(wanted.select("doc_id"), "doc_id", "left_semi").select("text")
+    screen = fuse.shared_filter(spark, wanted.select(F.col("row").alias("key")), 16)
+    if screen is None:
+        docs = docs.join(wanted.select("row").distinct(), "row", "left_semi")
 
     def run(batches):
         for batch in batches:
+            if screen is not None:
+                batch = batch.filter(pa.array(fuse.probe(screen.value, batch.column(1).to_numpy())))
             for t in tk.text_slices(batch.column(0)):
                 rows, hashes = tk.shingle_sets(t, width)
                 cid = _class_ids(rows, hashes, t.rows)
@@ -266,7 +267,77 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cid), tk.binary_array(hashes, ends * 8)],
                                                  names=["cid", "hashes"])
 
-    return texts.mapInArrow(run, "cid long, hashes binary").dropDuplicates(["cid"])
+    return docs.select("text", "row").mapInArrow(run, "cid long, hashes binary")
+
+
+def _few_anchors(near: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every text with the anchors that it shares most keys with."""
+    counted = near.groupBy("cid", "acid").agg(F.count(F.lit(1)).alias("keys"))
+    # a text has at most as many anchors as its own prefix has keys
+    best = counted.groupBy("cid").agg(F.slice(F.sort_array(
+        F.collect_list(F.struct("keys", F.xxhash64("acid", "cid").alias("draw"), "acid")), asc=False), 1, ANCHORS).alias("best"))
+    one = best.select("cid", F.explode("best").alias("x")).select("cid", F.col("x.acid").alias("acid"))
+    return one.select(F.least("cid", "acid").alias("a"), F.greatest("cid", "acid").alias("b")).distinct()
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """key, its texts, and its largest component, of keys with several components."""
+    inside = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    return inside.groupBy("key").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("comps"),
+        F.max(F.struct("n", "comp")).alias("m")).filter("comps > 1").select("key", "total", F.col("m.comp").alias("top"))
+
+
+def _against_top(placed: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
+    """Texts outside a key's largest component with a drawn member of it."""
+    both = placed.join(mixed, "key")
+    drawn = both.filter("comp = top").groupBy("key").agg(F.min(
+        F.struct(F.xxhash64("cid", "key", F.lit(turn)).alias("draw"), "cid", "n", "pos")).alias("x"))
+    drawn = drawn.select("key", F.col("x.cid").alias("acid"), F.col("x.n").alias("an"), F.col("x.pos").alias("apos"))
+    return both.filter("comp != top").join(drawn, "key")
+
+
+def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int, num: int, den: int) -> DataFrame:
+    """Pairs of texts of one key and different components that pass the length, positional and suffix filters."""
+    rows = placed.join(mixed, "key").join(classes.select("cid", "counts"), "cid")
+    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+    columns = ["key", "cid", "n", "pos", "comp", "counts"]
+    met = rows.select(*columns, F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("block"), F.lit(False).alias("probe"))
+    probes = rows.filter("comp != top").select(
+        *columns, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("probe"))
+    dealt = met.unionByName(probes).withColumn("group", F.pmod(F.xxhash64("key", "block"), F.lit(groups)).cast("int"))
+
+    def work(table: pa.Table) -> pa.Table:
+        key, cid, n, pos, comp, block = (table.column(c).to_numpy() for c in ("key", "cid", "n", "pos", "comp", "block"))
+        probe = table.column("probe").to_numpy()
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, PROFILE)
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        order = np.lexsort((probe, block, key))
+        edge = np.ones(len(order) + 1, dtype=bool)
+        edge[1:-1] = (key[order][1:] != key[order][:-1]) | (block[order][1:] != block[order][:-1])
+        bounds = np.flatnonzero(edge)
+        found: set[tuple[int, int]] = set()
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            here = order[lo:hi]
+            split = int(np.searchsorted(probe[here], True))
+            there = here[:split]
+            for i in here[split:].tolist():
+                some = there[comp[there] != comp[i]]
+                some = some[cid[some] != cid[i]]
+                total = n[some] + n[i]
+                some = some[(np.minimum(n[some], n[i]) * den >= np.maximum(n[some], n[i]) * num)
+                            & (np.minimum(n[some] - pos[some], n[i] - pos[i]) * (num + den) >= total * num)]
+                if not len(some):
+                    continue
+                apart = np.abs(counts[some].astype(np.int16) - counts[i]).sum(axis=1, dtype=np.int64)
+                total = n[some] + n[i]
+                some = some[(total - apart) // 2 * (num + den) >= total * num]
+                own = int(cid[i])
+                found.update((min(own, c), max(own, c)) for c in cid[some].tolist())
+        pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.groupBy("group").applyInArrow(work, "a long, b long").distinct()
 
 
 def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
@@ -274,7 +345,8 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) of every document."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"))
     at = scratch_dir(spark, "ngram-join")
 
     def written(df: DataFrame, name: str) -> DataFrame:
@@ -283,15 +355,20 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
 
     profiled = written(profile(docs, width), "profile")
     table = frequencies(profiled.filter("chunk IS NOT NULL").select("chunk", "part"))
-    rows = profiled.filter("chunk IS NULL").select("doc_id", "n", "cid", "counts")
+    rows = profiled.filter("chunk IS NULL").select("doc_id", "row", "n", "cid", "counts")
 
     shared = written(anchored(postings(docs, table, width, num, den)), "shared")
     anchors = shared.select("key", F.col("acid").alias("cid"), F.col("an").alias("n"), F.col("apos").alias("pos"))
-    members = shared.select("key", "cid", "n", "pos").unionByName(anchors).distinct()
-    in_play = written(shared.select("cid").unionByName(shared.select(F.col("acid").alias("cid"))).distinct(), "in_play")
-    classes = written(rows.join(in_play, "cid", "left_semi").groupBy("cid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
-    sets = written(_sets(docs, classes, width), "sets")
+    members = written(shared.select("key", "cid", "n", "pos").unionByName(anchors).distinct(), "members")
+    classes = written(rows.join(members.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
+        F.min("row").alias("row"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """Links among the pairs; only the texts of pairs that are still open are read again."""
+        ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+        wanted = written(classes.select("cid", "row").join(ends, "cid", "left_semi"), f"{name}-wanted")
+        sets = written(_sets(docs, wanted, width), f"{name}-sets")
+        return written(_verified(pairs, sets, num, den).distinct(), f"{name}-links")
 
     # candidates with their anchors; the anchors of a salted key with the first of them
     own = shared.select("key", "cid", "n", "pos", "acid", "an", "apos")
@@ -299,25 +376,26 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
     first = heads.groupBy("key").agg(F.min(F.struct("n", "cid", "pos")).alias("f"))
     across = heads.join(first, "key").select("key", "cid", "n", "pos", F.col("f.cid").alias("acid"),
                                              F.col("f.n").alias("an"), F.col("f.pos").alias("apos"))
-    near = own.unionByName(across).filter("cid <> acid").filter(
-        _may_link(F.col("n"), F.col("pos"), F.col("an"), F.col("apos"), num, den))
-    pairs = written(near.select(F.least("cid", "acid").alias("a"), F.greatest("cid", "acid").alias("b")).distinct(),
-                    "pairs")
-    links = written(_verified(_suffix_filter(pairs, classes, num, den), sets, num, den), "links")
-
-    # what could still connect two components
-    comp = written(components(links), "components")
-    placed = written(_placed(members, comp), "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    left = placed.join(mixed.select("key"), "key", "left_semi")
-    one = left.select("key", "cid", "n", "pos", "comp")
-    two = left.select("key", *[F.col(c).alias(f"o_{c}") for c in ("cid", "n", "pos", "comp")])
-    cross = one.join(two, "key").filter(
-        (F.col("cid") < F.col("o_cid")) & (F.col("comp") != F.col("o_comp"))
-        & _may_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"), num, den))
-    cross = cross.select(F.col("cid").alias("a"), F.col("o_cid").alias("b")).distinct()
-    cross = written(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
-    more = written(_verified(_suffix_filter(cross, classes, num, den), sets, num, den), "more")
+    near, links, tried, comp, placed = own.unionByName(across).filter("cid != acid"), None, None, None, None
+    for turn in range(ROUNDS + 1):
+        near = near.filter(_may_link(F.col("n"), F.col("pos"), F.col("an"), F.col("apos"), num, den))
+        pairs = _few_anchors(near)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, f"pairs-{turn}")
+        open_pairs = written(_suffix_filter(pairs, classes, num, den), f"open-{turn}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = verified(open_pairs, f"round-{turn}")
+        links = more if links is None else links.unionByName(more)
+        if turn == 0 or not more.isEmpty():
+            comp = components(links)
+            placed = written(_placed(members, comp), f"placed-{turn}")
+            mixed = written(_mixed(placed), f"mixed-{turn}")
+        near = _against_top(placed, mixed, turn)
+
+    groups = max(1, -(-(mixed.agg(F.sum("total")).first()[0] or 0) // BUCKET_ROWS))
+    rest = written(_rest(placed, mixed, classes, groups, num, den).join(tried, ["a", "b"], "left_anti"), "rest")
+    more = verified(rest, "rest")
     if not more.isEmpty():
         comp = components(links.unionByName(more))
 
@@ -325,7 +403,7 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
         comp.select(F.col("node").alias("cid"), F.col("component").alias("comp")), "cid", "left")
     # a class is a component unless links say more; a text without shingles is alone
     labelled = written(labelled.select("doc_id", "n", F.coalesce("comp", "cid").alias("comp")), "labelled")
-    smallest = labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("smallest"))
+    smallest = written(labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("smallest")), "smallest")
     return labelled.join(smallest, "comp", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
