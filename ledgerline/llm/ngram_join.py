@@ -20,6 +20,9 @@ Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
    one meets all texts of other components, in blocks of at most ``BLOCK`` of them, under the same
    three filters; the pairs that pass are verified. So every pair that could still connect two
    components is looked at, and pairs inside a component are not.
+6. Numbers of links, if asked for: links lie inside components, so every two classes of a component
+   meet exactly once, in a pair of blocks of bounded bytes, where their whole sets are compared. The
+   links are counted there, weighted by the classes' rows, and never listed.
 
 Sets are of 64-bit shingle hashes. Null and empty texts have no shingle and link with nothing.
 Repeated rows are one class; ties go to the smaller id. Only the id and text columns are read.
@@ -48,6 +51,10 @@ ANCHORS = 2              # anchors that a text meets first; step 5 covers the ot
 ROUNDS = 2
 BLOCK = 4096             # texts of one key that a probing text meets at once
 BUCKET_ROWS = 20_000     # rows of step 5 in one group
+SIDE_SHINGLES = 1 << 20  # shingles (8 MB) and texts of a component in one block of step 6
+SIDE_TEXTS = 2048
+COLUMNS = 4096           # shingles of one matrix product of step 6
+LISTED = 1 << 20         # pairs of one listing of step 6
 
 _U = np.uint64
 
@@ -340,9 +347,106 @@ def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int,
     return dealt.groupBy("group").applyInArrow(work, "a long, b long").distinct()
 
 
+def _overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``xs`` with every set of ``ys``.
+
+    Shingles of many texts go through matrix products, the pairs of the others are listed in parts.
+    """
+    a, b = len(xs), len(ys)
+    out = np.zeros(a * b, dtype=np.int64)
+    x_row, y_row = np.repeat(np.arange(a), [len(x) for x in xs]), np.repeat(np.arange(b), [len(y) for y in ys])
+    found = np.unique(np.concatenate(xs + ys), return_inverse=True)[1].reshape(-1)
+    x, y = found[:len(x_row)], found[len(x_row):]
+    kinds = int(found.max()) + 1 if len(found) else 0
+    dx, dy = np.bincount(x, minlength=kinds), np.bincount(y, minlength=kinds)
+    dense = dx * dy > a * b // 64
+    columns = np.flatnonzero(dense)
+    column = np.cumsum(dense) - 1
+    by_x, by_y = (np.flatnonzero(dense[z]) for z in (x, y))
+    by_x, by_y = by_x[np.argsort(column[x[by_x]], kind="stable")], by_y[np.argsort(column[y[by_y]], kind="stable")]
+    x_col, y_col = column[x[by_x]], column[y[by_y]]
+    for lo in range(0, len(columns), COLUMNS):
+        wide = min(COLUMNS, len(columns) - lo)
+        sides = []
+        for rows, at, cols, height in ((x_row, by_x, x_col, a), (y_row, by_y, y_col, b)):
+            first, stop = np.searchsorted(cols, (lo, lo + wide))
+            side = np.zeros((height, wide), dtype=np.float32)
+            side[rows[at[first:stop]], cols[first:stop] - lo] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64).reshape(-1)
+
+    thin = ~dense & (dx > 0) & (dy > 0)
+    rest_x, rest_y = np.flatnonzero(thin[x]), np.flatnonzero(thin[y])
+    rest_y = rest_y[np.argsort(y[rest_y], kind="stable")]
+    start = np.searchsorted(y[rest_y], np.arange(kinds))
+    total = np.concatenate(([0], np.cumsum(dy[x[rest_x]])))
+    lo = 0
+    while lo < len(rest_x):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + LISTED, side="right")) - 1)
+        some = rest_x[lo:hi]
+        met = y_row[tk.gather_spans(rest_y, start[x[some]], dy[x[some]])]
+        np.add.at(out, np.repeat(x_row[some], dy[x[some]]) * b + met, 1)
+        lo = hi
+    return out.reshape(a, b)
+
+
+def _links_between(docs: DataFrame, rows: DataFrame, comp: DataFrame, width: int, num: int, den: int, written) -> DataFrame:
+    """cid, links: the rows of other classes that link to a class, for every class of a component of several."""
+    inside = written(rows.join(comp.select(F.col("node").alias("cid"), F.col("component").alias("comp")), "cid")
+                     .groupBy("cid").agg(F.first("comp").alias("comp"), F.first("n").alias("n"), F.min("row").alias("row"),
+                                         F.count(F.lit(1)).alias("copies")), "inside")
+    blocks = F.ceil(F.greatest(F.sum(F.col("n").cast("long")) / SIDE_SHINGLES, F.count(F.lit(1)) / SIDE_TEXTS)).cast("int")
+    cut = written(inside.groupBy("comp").agg(blocks.alias("blocks"), F.sum(F.col("n").cast("long")).alias("total")), "cut")
+    met = cut.agg(F.sum(F.col("total") * F.col("blocks"))).first()[0] or 0
+    groups = max(1, -(-met // SIDE_SHINGLES))
+    placed = inside.join(cut, "comp").select("cid", "comp", "copies", "blocks",
+                                             F.pmod(F.xxhash64("cid"), "blocks").cast("int").alias("own"))
+    sets = written(_sets(docs, inside.select("cid", "row"), width), "inside-sets")
+    dealt = sets.join(placed, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cid", "comp", "copies", "own", F.least("own", "other").alias("lo"),
+                         F.greatest("own", "other").alias("hi"), "hashes")
+    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("comp", "lo", "hi"), F.lit(groups)).cast("int"))
+
+    def work(table: pa.Table) -> pa.Table:
+        cid, comp, copies, own, lo, hi = (table.column(c).to_numpy() for c in ("cid", "comp", "copies", "own", "lo", "hi"))
+        hashes = table.column("hashes").combine_chunks()
+        order = np.lexsort((cid, own, hi, lo, comp))
+        # a text that is there twice (repeated rows) counts once: its copies are in ``copies``
+        again = np.zeros(len(order), dtype=bool)
+        edge = np.ones(len(order), dtype=bool)
+        if len(order):
+            same = np.ones(len(order) - 1, dtype=bool)
+            for column in (comp, lo, hi):
+                same &= column[order][1:] == column[order][:-1]
+            edge[1:] = ~same
+            again[1:] = same & (cid[order][1:] == cid[order][:-1])
+        order, unit = order[~again], np.cumsum(edge)[~again]
+        bounds = np.flatnonzero(np.diff(unit, prepend=0, append=unit[-1] + 1 if len(unit) else 0))
+        links = np.zeros(len(cid), dtype=np.int64)
+        for first, stop in zip(bounds[:-1], bounds[1:]):
+            here = order[first:stop]
+            one, two = here[own[here] == lo[here]], here[own[here] == hi[here]]
+            if not len(one) or not len(two):
+                continue
+            xs, ys = ([np.frombuffer(hashes[i].as_buffer(), "<u8") for i in side.tolist()] for side in (one, two))
+            common = _overlaps(xs, ys)
+            union = np.array([len(x) for x in xs])[:, None] + np.array([len(y) for y in ys])[None, :] - common
+            linked = (den * common >= num * union) & (cid[one][:, None] != cid[two][None, :])
+            links[one] += linked @ copies[two]
+            if lo[one[0]] != hi[one[0]]:
+                links[two] += linked.T @ copies[one]
+        return pa.table({"cid": cid[order], "links": links[order]})
+
+    counted = dealt.groupBy("group").applyInArrow(work, "cid long, links long")
+    return written(counted.groupBy("cid").agg(F.sum("links").alias("links")), "links-between")
+
+
 def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reachable by links) of every document."""
+         text_col: str = "text", n_links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest id reachable by links) of every document.
+
+    With ``n_links`` also the number of other rows that link to it, equal sets included.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
@@ -402,11 +506,20 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
     labelled = rows.select("doc_id", "n", "cid").join(
         comp.select(F.col("node").alias("cid"), F.col("component").alias("comp")), "cid", "left")
     # a class is a component unless links say more; a text without shingles is alone
-    labelled = written(labelled.select("doc_id", "n", F.coalesce("comp", "cid").alias("comp")), "labelled")
+    labelled = written(labelled.select("doc_id", "n", *(["cid"] if n_links else []), F.coalesce("comp", "cid").alias("comp")),
+                       "labelled")
     smallest = written(labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("smallest")), "smallest")
-    return labelled.join(smallest, "comp", "left").select(
+    found = labelled.join(smallest, "comp", "left")
+    if n_links:
+        between = _links_between(docs, rows, comp, width, num, den, written)
+        copies = rows.filter("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("copies"))
+        linked = copies.join(between, "cid", "left").select(
+            "cid", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        found = found.join(written(linked.filter("n_links > 0"), "n-links"), "cid", "left")
+    return found.select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")] if n_links else []))
 
 
 def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:

@@ -43,6 +43,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(documents(spark, sf_dir), width=4, num=85, den=100)
 
 
+@query("op1_ngram_links")
+def op1_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same links, with the number of links of every document."""
+    return ngram_join.link(documents(spark, sf_dir), width=4, num=85, den=100, n_links=True)
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode its ids, and digest both."""

@@ -123,6 +123,56 @@ def test_ngram_query_on_table(spark, small):
     assert got == components_by_force(rows, 4, 85, 100)
 
 
+def links_by_force(rows, width, num, den):
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(low(t or ""))
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width
+                    else ({tuple(w)} if w else set()))
+    n = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and den * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                n[i] += 1
+                n[j] += 1
+    return Counter((d, k) for (d, _), k in zip(rows, n))
+
+
+@pytest.mark.parametrize("width,num,den", [(4, 85, 100), (2, 50, 100)])
+def test_ngram_link_counts(fixture, width, num, den):
+    rows, df = fixture
+    got = Counter((r.doc_id, r.n_links) for r in ngram_join.link(df, width, num, den, n_links=True).collect())
+    assert got == links_by_force(pairs(rows), width, num, den)
+
+
+def test_ngram_link_counts_in_blocks(spark, monkeypatch):
+    """A group of near copies that are not all linked, cut into small blocks: every pair once."""
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rnd.randint(0, 3)):
+            w[rnd.randrange(60)] = f"z{rnd.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    rows += [(i, rows[i][1]) for i in range(80, 95) if i < 90] + rows[:3]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = links_by_force(rows, 4, 80, 100)
+    assert len({k for _, k in expected}) > 5
+    for name, value in (("SIDE_TEXTS", 16), ("COLUMNS", 7), ("LISTED", 5)):
+        monkeypatch.setattr(ngram_join, name, value)
+    got = Counter((r.doc_id, r.n_links) for r in ngram_join.link(df, 4, 80, 100, n_links=True).collect())
+    assert got == expected
+
+
+def test_ngram_links_query_on_table(spark, small):
+    rows, _ = small
+    out = queries.queries()["op1_ngram_links"](spark, SF).collect()
+    assert Counter((r.doc_id, r.n_links) for r in out) == links_by_force(rows, 4, 85, 100)
+    assert Counter(tuple(r)[:3] for r in out) == components_by_force(rows, 4, 85, 100)
+
+
 # 2 byte-level BPE
 
 
