@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join with rare-first prefix, length, positional and suffix filters.
+"""N-gram Jaccard self-join with rare-first prefix, length, positional and count-profile filters.
 
 Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
 ``den * intersection >= num * union``. The steps:
@@ -11,8 +11,8 @@ Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
 3. Keys of very frequent shingles are salted; each slice of a key is read as one sorted run, so no
    list is ever held. A run's first text (in an order drawn per key) is its anchor; the others
    become candidates with their anchor, the anchors of a salted key with the first of them.
-4. Candidates that pass the length and positional filters are taken once per pair, pass the suffix
-   filter (a lower bound of the sets' difference from the count profiles), and are verified on
+4. Candidates that pass the length and positional filters are taken once per pair, pass the profile
+   filter, in place of a suffix filter (a lower bound of the sets' difference from the count profiles), and are verified on
    their whole sets. A text meets the ``ANCHORS`` anchors first with which it shares most keys. The
    links give provisional components. ``ROUNDS`` more rounds compare, in keys whose texts lie in
    several components, the texts outside the key's largest component with a drawn member of it.
