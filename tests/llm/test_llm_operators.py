@@ -384,6 +384,23 @@ def lines_by_force(rows):
     return gone
 
 
+def test_line_dedup_short_lines(spark):
+    """The edit rule from four words on, written out here: short lines with one changed, added or dropped word go."""
+    words = "printed on page three of the annual report for holders".split()
+    kept, gone = [], []
+    for n in range(4, 11):
+        own = [f"{w}{n}" for w in words[:n]]
+        kept.append(own)
+        gone.append([*own[:-1], "other"])
+        gone.append([*own[:2], "added", *own[2:]])
+        if n > 4:
+            gone.append(own[1:])
+    kept += [["one"], ["two"], ["three", "words", "here"], ["three", "words", "there"], ["three", "words"]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(kept + gone)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in lines.dedup(df).collect()} == set(range(len(kept)))
+
+
 def test_line_dedup(spark):
     rnd = random.Random(4)
     def line(n):
