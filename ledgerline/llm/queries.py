@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, exact, lines, ngram_join, packing, pii, quality, secrets, suffixes
+from ledgerline.llm import bpe, chat, exact, fim, lines, ngram_join, packing, pii, quality, secrets, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,6 +173,43 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), l AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         CAST('0x' || substr(h, 1, 8) AS UBIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS UBIGINT) AS h2,
+         CAST('0x' || substr(h, 25, 8) AS UBIGINT) AS h4
+  FROM d
+), c AS (
+  SELECT *, len(u) AS n, CAST(least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS BIGINT) AS a,
+         CAST(greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS BIGINT) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM l
+), s AS (
+  SELECT *, coalesce(array_to_string(list_slice(u, 1, a), ''), '') AS p,
+         coalesce(array_to_string(list_slice(u, a + 1, b), ''), '') AS m,
+         coalesce(array_to_string(list_slice(u, b + 1, n), ''), '') AS x
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m
+                        ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
+
+@query("op13_fim", OP13_SQL)
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotate every document's segments, restore each text from its output, and digest both."""
+    back = fim.restore(fim.transform(documents(spark, sf_dir)))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
