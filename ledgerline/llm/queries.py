@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import best_fit, bpe, chat, exact, fim, lines, ngram_join, packing, pii, quality, secrets, suffixes
+from ledgerline.llm import best_fit, bpe, chat, exact, fim, lines, ngram_join, packing, pii, quality, secrets, suffixes, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,6 +173,13 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whiten all embeddings by up to eight components."""
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 @query("op12_best_fit")
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut documents above 1024 tokens and pack all pieces into as few sequences of 1024 as the plan finds."""
