@@ -80,12 +80,20 @@ def failed_lines(done: DataFrame, per_line: int = 100, run: str = "run_id", orde
                     F.array_join(F.transform("_l", lambda x: x["ticker"]), ", ").alias("tickers"))
 
 
+def archived_with(batches: DataFrame, run: str = "run_id", key: str = "ticker") -> DataFrame:
+    """The batch that takes each company's data along: the first one that lists it. Its data leaves staging
+    with that batch, so any later batch lists the company without data."""
+    first = batches.groupBy(key).agg(F.min(F.struct(run, "batch_no")).alias("_first"))
+    return first.select(key, F.col("_first")[run].alias(run), F.col("_first.batch_no").alias("batch_no"))
+
+
 def batch_plan(done: DataFrame, batches: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE,
                run: str = "run_id") -> DataFrame:
-    """Expected full batches (S div B) and remainder (S mod B) next to the batches actually made."""
+    """Expected full batches (S div B) and remainder (S mod B) next to the batches actually made:
+    ``batches`` are the archives that are there, by run and batch number."""
     s = done.groupBy(run).agg(F.count_if(F.col("ok")).alias("n_success"))
     actual = batches.groupBy(run).agg(F.count_distinct("batch_no").alias("n_batches"))
-    full = F.floor(F.col("n_success") / F.lit(batch_size)).cast("bigint")
+    full = F.call_function("div", F.col("n_success"), F.lit(int(batch_size)))
     return s.join(actual, run, "left").select(
         run, "n_success",
         full.alias("full_batches"),

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
 from ledgerline.operators import archives as A
+from ledgerline.operators import runs
 from ledgerline.plans.registry import query
+from ledgerline.plans.run_queries import _BATCHES_SQL, batches
 from ledgerline.session import scratch_dir
 from ledgerline.session import partitions_for_size
+from ledgerline.sinks import manifest
 from ledgerline.sinks.archives import WRITER_TASK_BYTES, write_archives, write_tree
+from ledgerline.sinks.snapshots import write_snapshot
 from ledgerline.sources import fixtures as X
 from ledgerline.sources.archives import list_archives, list_files, list_tree, read_members, rejected_archives
 
@@ -21,6 +25,7 @@ B = X.BATCH_SIZE
 TREE_PART_BYTES = 1 << 30
 ANNUAL_PART_BYTES = 1 << 30
 DAMAGED_BYTES = 700  # fixture: a batch archive cut after one header and part of the next
+LOST_EVERY = 5  # fixture: batches whose archive was never written
 UNSAFE_EVERY = 97  # fixture: these filings are packed under a name that climbs out with '../'
 
 _ARCHIVE_SQL = """
@@ -84,16 +89,99 @@ def _listing(spark, d):
     return list_archives(spark, pack_batches(spark, d))
 
 
-@query("snk_batch_archive", _ARCHIVE_SQL + """
-SELECT batch_no, 'sp500_filings_data_' || CAST(batch_no AS VARCHAR) || '.tar' AS name, archive_bytes,
-       archive_bytes / (1024.0 * 1024.0) AS size_mb
-FROM ab
+_RUNS_SQL = _BATCHES_SQL + """
+, made AS (SELECT * FROM batches{where})
+, rb AS (
+  SELECT ticker, run_id, batch_no FROM (
+    SELECT ticker, run_id, batch_no, row_number() OVER (PARTITION BY ticker ORDER BY run_id, batch_no, seq) AS nth FROM made)
+  WHERE nth = 1
+), rm AS (
+  SELECT r.run_id, r.batch_no, f.ticker, f.rel_path AS name, f.size FROM files f JOIN rb r ON r.ticker = f.ticker
+  UNION ALL
+  SELECT DISTINCT r.run_id, r.batch_no, f.ticker, unnest([f.ticker, f.ticker || '/' || CAST(f.filing_year AS VARCHAR),
+         f.ticker || '/' || CAST(f.filing_year AS VARCHAR) || '/' || replace(f.form, '/', '%2F')]), 0
+  FROM files f JOIN rb r ON r.ticker = f.ticker
+), rp AS (
+  SELECT run_id, batch_no, sum(512 + ceil(size / 512.0) * 512) AS packed, count(DISTINCT ticker) AS n_companies
+  FROM rm GROUP BY run_id, batch_no
+), ra AS (
+  SELECT b.run_id, b.batch_no, CAST(b.n_listed AS BIGINT) AS n_listed, CAST(coalesce(p.n_companies, 0) AS BIGINT) AS n_companies,
+         CAST(ceil((coalesce(p.packed, 0) + 1024) / 10240.0) * 10240 AS BIGINT) AS archive_bytes
+  FROM (SELECT run_id, batch_no, count(*) AS n_listed FROM made GROUP BY run_id, batch_no) b
+  LEFT JOIN rp p ON p.run_id = b.run_id AND p.batch_no = b.batch_no
+)
+"""
+# the data of a batch that was lost stays in staging, and goes with the next batch that lists the company
+_LOST_SQL = _RUNS_SQL.format(where=" WHERE batch_no % 5 <> 0")
+_RUNS_SQL = _RUNS_SQL.format(where="")
+
+
+def pack_runs(spark, d, lost=False) -> str:
+    """Write every run's archives under <scratch>/<run_id>/ and return the folder of runs: the batches of
+    ``win_batch_assign``, each with the data of the companies that it is the first to list. A company
+    without data is left out of the archive but listed. ``lost``: the fixture's failed batches have none, and
+    their data stays in staging for the next batch that lists the company."""
+    root = scratch_dir(spark, "runs")
+    listed = batches(spark, d).select("run_id", "batch_no", "ticker")
+    if lost:
+        listed = listed.filter(F.col("batch_no") % LOST_EVERY != 0)
+    listed = write_snapshot(listed, scratch_dir(spark, "batches"))
+    name = F.concat("run_id", F.lit("/"), A.archive_name(S.ARCHIVE_PREFIX, F.col("batch_no"))).alias("archive")
+    path = S.rel_path("ticker", "filing_year", "form", "accession")
+    rows = X.staged(spark, d).join(runs.archived_with(listed), "ticker").select(
+        "k", "body_bytes", name, S.member_name(path).alias("member"), A.epoch_seconds(F.col("filed_at")).alias("mtime"))
+    total = rows.agg(F.sum("body_bytes")).first()[0]
+    named = listed.select(name, *(F.lit(None).cast(t).alias(c) for c, t in (("member", "string"), ("content", "string"),
+                                                                            ("mtime", "bigint"))))
+    content = with_content(spark, d, rows).select("archive", "member", "content", "mtime")
+    write_archives(content.unionByName(named), root, num_partitions=partitions_for_size(spark, total, WRITER_TASK_BYTES))
+    return root
+
+
+def packed_batches(spark, root):
+    """The published archives under a folder of runs, with run and batch number from their names."""
+    rows = manifest.read_manifest(spark, root)
+    return rows.select("*", F.split("archive", "/")[0].alias("run_id"), F.element_at(F.split("archive", "/"), -1).alias("name")
+                       ).withColumn("batch_no", S.batch_no_from_name("name"))
+
+
+@query("snk_batch_archive", _RUNS_SQL + """
+SELECT run_id, batch_no, 'sp500_filings_data_' || CAST(batch_no AS VARCHAR) || '.tar' AS name, archive_bytes,
+       archive_bytes / (1024.0 * 1024.0) AS size_mb, n_listed, n_companies
+FROM ra
 """)
 def snk_batch_archive(spark, d):
-    """Pack each batch of 12 companies into one archive; returns each archive with its size
-    in bytes and MB (companies without staged data are simply absent from their archive)."""
-    return _listing(spark, d).select("batch_no", "name", "archive_bytes",
-                                            S.size_mb("archive_bytes").alias("size_mb"))
+    """Each run's successes, in completion order, packed into archives of 12 companies, the rest as the last;
+    returns what the manifest says of each: size, companies listed, and companies that had data."""
+    p = packed_batches(spark, pack_runs(spark, d))
+    return p.select("run_id", "batch_no", "name", F.col("bytes").alias("archive_bytes"), S.size_mb("bytes").alias("size_mb"),
+                    F.col("listed").alias("n_listed"), F.col("companies").alias("n_companies"))
+
+
+@query("agg_batch_plan", _LOST_SQL + """
+SELECT s.run_id, CAST(s.n_success AS BIGINT) AS n_success, CAST(s.n_success // 12 AS BIGINT) AS full_batches,
+       CAST(s.n_success % 12 AS BIGINT) AS remainder,
+       CAST(s.n_success // 12 + CASE WHEN s.n_success % 12 > 0 THEN 1 ELSE 0 END AS BIGINT) AS expected_batches,
+       CAST(coalesce(a.nb, 0) AS BIGINT) AS n_batches
+FROM (SELECT run_id, count(*) FILTER (WHERE ok) AS n_success FROM completion GROUP BY run_id) s
+LEFT JOIN (SELECT run_id, count(*) AS nb FROM ra GROUP BY run_id) a ON a.run_id = s.run_id
+""")
+def agg_batch_plan(spark, d):
+    """Expected batches of each run against the archives that are there (the fixture lost some)."""
+    return runs.batch_plan(X.completion(spark, d), packed_batches(spark, pack_runs(spark, d, lost=True)), B)
+
+
+@query("agg_status_by_run", _LOST_SQL + """
+SELECT run_id, CAST(count(*) AS BIGINT) AS n_archives, CAST(sum(n_listed) AS BIGINT) AS n_listed,
+       CAST(sum(n_companies) AS BIGINT) AS n_companies, CAST(sum(archive_bytes) AS BIGINT) AS total_bytes
+FROM ra GROUP BY run_id
+""")
+def agg_status_by_run(spark, d):
+    """Per run: the archives that are there (the fixture lost some), companies listed and packed, and bytes."""
+    p = packed_batches(spark, pack_runs(spark, d, lost=True))
+    return p.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_archives"), F.sum("listed").alias("n_listed"), F.sum("companies").alias("n_companies"),
+        F.sum("bytes").alias("total_bytes"))
 
 
 @query("src_archive_list", _ARCHIVE_SQL + """
@@ -184,7 +272,7 @@ def damaged_run(spark, run) -> str:
     from ledgerline.sinks.archives import filesystem
 
     damaged = f"{scratch_dir(spark, 'damaged')}/{RUN_ID}"
-    fs, src = filesystem(f"{run}/{S.ARCHIVE_PREFIX}1.tar")
+    fs, src = filesystem(list_archives(spark, run, batch_no=1).first()["archive_path"])
     with fs.open_input_stream(src) as f:
         head = f.read(DAMAGED_BYTES)
     dfs, dst = filesystem(f"{damaged}/{S.ARCHIVE_PREFIX}0.tar")

@@ -123,18 +123,6 @@ def agg_failed_list(spark, d):
     return runs.failed_lines(X.completion(spark, d))
 
 
-@query("agg_batch_plan", _BATCHES_SQL + """
-SELECT s.run_id, s.n_success, CAST(s.n_success // 12 AS BIGINT) AS full_batches,
-       CAST(s.n_success % 12 AS BIGINT) AS remainder,
-       CAST(s.n_success // 12 + CASE WHEN s.n_success % 12 > 0 THEN 1 ELSE 0 END AS BIGINT) AS expected_batches,
-       CAST(coalesce(a.nb, 0) AS BIGINT) AS n_batches
-FROM (SELECT run_id, count(*) FILTER (WHERE ok) AS n_success FROM completion GROUP BY run_id) s
-LEFT JOIN (SELECT run_id, count(DISTINCT batch_no) AS nb FROM batches GROUP BY run_id) a ON a.run_id = s.run_id
-""")
-def agg_batch_plan(spark, d):
-    return runs.batch_plan(X.completion(spark, d), batches(spark, d), B)
-
-
 @query("join_outcome", """
 SELECT c.list_pos, c.ticker,
        CASE WHEN c.ticker IS NULL OR length(c.ticker) = 0 THEN 'missing_ticker' WHEN o.ok IS NULL THEN 'not_run'
@@ -193,21 +181,6 @@ def agg_status(spark, d):
                  F.sum("size").cast("bigint").alias("total_bytes"))
 
 
-@query("agg_status_by_run", _BATCHES_SQL + """
-SELECT b.run_id, CAST(count(DISTINCT b.batch_no) AS BIGINT) AS n_archives, CAST(count(*) AS BIGINT) AS n_companies,
-       CAST(coalesce(sum(t.bytes), 0) AS BIGINT) AS total_bytes
-FROM batches b LEFT JOIN (SELECT ticker, sum(size) AS bytes FROM files GROUP BY ticker) t ON t.ticker = b.ticker
-GROUP BY b.run_id
-""")
-def agg_status_by_run(spark, d):
-    """Per run: number of archives, companies archived and bytes of their staged data."""
-    sizes = X.files(spark, d).groupBy("ticker").agg(F.sum("size").alias("bytes"))
-    j = batches(spark, d).join(sizes, "ticker", "left")
-    return j.groupBy("run_id").agg(
-        F.count_distinct("batch_no").alias("n_archives"), F.count(F.lit(1)).alias("n_companies"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).cast("bigint").alias("total_bytes"))
-
-
 @query("top_recent", """
 SELECT rel_path, strftime(mtime, '%Y-%m-%d %H:%M:%S') AS mtime_text, size FROM files
 ORDER BY mtime DESC, rel_path LIMIT 10
@@ -339,8 +312,8 @@ FROM (SELECT run_id, CAST(count(*) AS VARCHAR) AS companies FROM completion GROU
                      unnest([r.run_id, 'custom', '12', '10-K,10-Q', '1999-2001', r.companies]) AS value) p
 """)
 def snk_run_params(spark, d):
-    """Keep each run's parameters: one map row per run appended to a parameters table
-    (partitioned by run), read back as (run_id, param, value)."""
+    """Keep each run's parameters: one map row per run appended to a parameters table, read back as
+    (run_id, param, value)."""
     from ledgerline.sinks.snapshots import append_rows
 
     runs_df = X.completion(spark, d).groupBy("run_id").agg(F.count(F.lit(1)).cast("string").alias("companies"))
@@ -348,5 +321,5 @@ def snk_run_params(spark, d):
               F.lit(f"{X.year_range()[0]}-{X.year_range()[1]}"), F.col("companies")]
     params = runs_df.select("run_id", F.map_from_arrays(F.array(*[F.lit(k) for k in _PARAM_KEYS]),
                                                         F.array(*values)).alias("params"))
-    back = append_rows(params, scratch_dir(spark, "run-params"), partition_by=["run_id"])
+    back = append_rows(params, scratch_dir(spark, "run-params"))
     return back.select("run_id", F.explode("params").alias("param", "value"))

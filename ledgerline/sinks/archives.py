@@ -1,21 +1,24 @@
-"""Tar archive sink: a Python data source whose tasks each stream their archives to
-attempt-unique temporary files; the job commit renames them into place.
+"""Tar archive sink: a Python data source whose tasks each stream their archives to a folder of their
+own attempt; the job commit writes a manifest of them and moves no file.
 
 Input rows: ``archive`` (path of the archive relative to the target folder), ``member`` (member
 name), ``content`` (string or binary; null for an explicit directory entry) and optional ``mtime``
-(epoch seconds). Rows must arrive clustered by archive and sorted by member
+(epoch seconds). A row without a member names its archive only: the archive is written even if nothing
+else is in it, and the manifest counts such rows (the companies that a batch lists).
+Rows must arrive clustered by archive and sorted by member
 (``repartition(archive).sortWithinPartitions(archive, member)``): an archive is written in one
 pass with constant memory. Parent directories of each file are added as directory members (as a
 recursive add would), once per archive. Member order, mode, owner and mtime are fixed, so an
 archive is byte-for-byte reproducible and a retried task writes the same bytes.
 
 Files go through ``pyarrow.fs``, so the target may be any file system the Python workers can
-reach (local/NFS mount, HDFS, object store). Failed and speculative attempts leave only temporary
-files of this job, which commit and abort remove.
+reach (local/NFS mount, HDFS, object store). See ``ledgerline.sinks.manifest`` for the layout and for what
+readers see; commit and abort remove the folders of attempts that do not count.
 """
 
 from __future__ import annotations
 
+import datetime
 import io
 import posixpath
 import tarfile
@@ -25,10 +28,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ledgerline.sinks.manifest import job_folder, publish, write_entries
+
 FORMAT = "ledgerline_tar"
 DIR_MODE = 0o755
 FILE_MODE = 0o644
-TMP_MARK = ".ledgerline-tmp-"
 WRITER_TASK_BYTES = 512 << 20  # content bytes per writer task
 
 
@@ -48,7 +52,8 @@ def filesystem(uri: str):
 
 @dataclass
 class ArchiveCommit(WriterCommitMessage):
-    moves: list = field(default_factory=list)  # (temp path, final path, members, bytes)
+    attempt: str = ""
+    entries: list = field(default_factory=list)  # manifest rows of the attempt's archives
 
 
 class _CountingStream(io.RawIOBase):
@@ -69,28 +74,27 @@ class _CountingStream(io.RawIOBase):
 class TarArchiveWriter(DataSourceArrowWriter):
     def __init__(self, options, job_id: str):
         self.root = options.get("path").rstrip("/")
-        self.job_id = job_id
+        self.job_id = options.get("job") or job_id
         # leading path segments that are not added as directory members (the staging root)
         self.root_depth = int(options.get("root_depth", "1"))
 
-    def _open(self, fs, base, name):
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
-        final = posixpath.join(base, name)
-        tmp = f"{final}{TMP_MARK}{self.job_id}-{attempt}-{uuid.uuid4().hex[:8]}"
-        fs.create_dir(posixpath.dirname(final), recursive=True)
-        out = fs.open_output_stream(tmp)
+    def _open(self, fs, base, attempt, name):
+        path = posixpath.join(job_folder(base, self.job_id), attempt, name)
+        fs.create_dir(posixpath.dirname(path), recursive=True)
+        out = fs.open_output_stream(path)
         stream = _CountingStream(out)
         tar = tarfile.open(fileobj=stream, mode="w|", format=tarfile.PAX_FORMAT)
-        return {"final": final, "tmp": tmp, "out": out, "stream": stream, "tar": tar, "dirs": set(), "members": 0}
+        return {"name": name, "path": posixpath.join(job_folder(self.root, self.job_id), attempt, name), "out": out,
+                "stream": stream, "tar": tar, "dirs": set(), "members": 0, "files": 0, "content": 0, "listed": 0,
+                "company": None, "companies": 0}
 
     @staticmethod
     def _close(cur):
         cur["tar"].close()
         cur["out"].close()
-        return (cur["tmp"], cur["final"], cur["members"], cur["stream"].n)
+        now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+        return (cur["name"], cur["path"], cur["stream"].n, cur["members"], cur["files"], cur["content"],
+                cur["companies"], cur["listed"], now)
 
     @staticmethod
     def _add_dir(cur, name, mtime):
@@ -103,8 +107,12 @@ class TarArchiveWriter(DataSourceArrowWriter):
         cur["members"] += 1
 
     def write(self, iterator: Iterator) -> ArchiveCommit:
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}-{uuid.uuid4().hex[:8]}" if ctx else uuid.uuid4().hex[:8]
         fs, base = filesystem(self.root)
-        moves, cur, name_now = [], None, None
+        entries, cur, name_now = [], None, None
         try:
             for batch in iterator:
                 cols = batch.schema.names
@@ -115,10 +123,17 @@ class TarArchiveWriter(DataSourceArrowWriter):
                 for a, m, c, t in zip(archive, member, content, mtimes):
                     if a != name_now:
                         if cur is not None:
-                            moves.append(self._close(cur))
-                        cur, name_now = self._open(fs, base, a), a
+                            entries.append(self._close(cur))
+                        cur, name_now = self._open(fs, base, attempt, a), a
+                    if m is None:
+                        cur["listed"] += 1
+                        continue
                     t = int(t or 0)
                     parts = m.strip("/").split("/")
+                    company = "/".join(parts[:1 + self.root_depth])
+                    if company != cur["company"]:  # members are sorted: a company's are neighbours
+                        cur["company"] = company
+                        cur["companies"] += 1
                     for i in range(1 + self.root_depth, len(parts)):
                         self._add_dir(cur, "/".join(parts[:i]), t)
                     if c is None:
@@ -129,42 +144,39 @@ class TarArchiveWriter(DataSourceArrowWriter):
                     info.size, info.mode, info.mtime = len(data), FILE_MODE, t
                     cur["tar"].addfile(info, io.BytesIO(data))
                     cur["members"] += 1
+                    cur["files"] += 1
+                    cur["content"] += len(data)
             if cur is not None:
-                moves.append(self._close(cur))
+                entries.append(self._close(cur))
                 cur = None
         except BaseException:
             if cur is not None:
-                try:
-                    cur["out"].close()
-                finally:
-                    fs.delete_file(cur["tmp"])
-            for tmp, *_ in moves:
-                fs.delete_file(tmp)
+                cur["out"].close()
+            own = posixpath.join(job_folder(base, self.job_id), attempt)
+            if cur is not None or entries:
+                fs.delete_dir(own)
             raise
-        return ArchiveCommit(moves)
+        return ArchiveCommit(attempt, entries)
 
-    def _stale_temps(self, fs):
+    def commit(self, messages) -> None:
+        """Write the manifest of the attempts that count; the folders of all others go."""
         from pyarrow import fs as pafs
 
-        _, base = filesystem(self.root)
-        sel = pafs.FileSelector(base, recursive=True, allow_not_found=True)
-        mark = f"{TMP_MARK}{self.job_id}-"
-        return [i.path for i in fs.get_file_info(sel) if mark in i.base_name]
-
-    def commit(self, messages) -> None:
-        fs, _ = filesystem(self.root)
-        keep = set()
-        for msg in messages:
-            for tmp, final, _, _ in (msg.moves if msg else []):
-                fs.move(tmp, final)
-                keep.add(final)
-        for stale in self._stale_temps(fs):  # failed or speculative attempts of this job
-            fs.delete_file(stale)
+        fs, base = filesystem(self.root)
+        done = [m for m in messages if m]
+        write_entries(fs, base, self.job_id, [e for m in done for e in m.entries])
+        keep = {m.attempt for m in done if m.entries}
+        for info in fs.get_file_info(pafs.FileSelector(job_folder(base, self.job_id), allow_not_found=True)):
+            if info.base_name not in keep:
+                fs.delete_dir(info.path)
 
     def abort(self, messages) -> None:
-        fs, _ = filesystem(self.root)
-        for stale in self._stale_temps(fs):
-            fs.delete_file(stale)
+        from pyarrow import fs as pafs
+
+        fs, base = filesystem(self.root)
+        own = job_folder(base, self.job_id)
+        if fs.get_file_info(own).type == pafs.FileType.Directory:
+            fs.delete_dir(own)
 
 
 class TarArchiveSource(DataSource):
@@ -184,8 +196,9 @@ def register(spark) -> None:
 
 
 def write_archives(df, root: str, archive: str = "archive", member: str = "member", content: str = "content",
-                   mtime: str | None = "mtime", num_partitions: int | None = None, root_depth: int = 1) -> None:
-    """Pack rows into tar archives under ``root``: one archive per distinct ``archive`` value.
+                   mtime: str | None = "mtime", num_partitions: int | None = None, root_depth: int = 1) -> str:
+    """Pack rows into tar archives under ``root``: one archive per distinct ``archive`` value. Nothing is
+    visible until the job's manifest is published, at the end; returns the job's id.
 
     The rows are clustered by archive (one shuffle) and sorted by member inside each task; the
     content column is carried through that shuffle only once, when writing.
@@ -207,8 +220,11 @@ def write_archives(df, root: str, archive: str = "archive", member: str = "membe
         total = rows.select(F.sum(F.octet_length("content"))).first()[0]
         n = partitions_for_size(df.sparkSession, total, WRITER_TASK_BYTES)
     rows = rows.repartition(n, "archive")
+    job = uuid.uuid4().hex[:12]
     (rows.sortWithinPartitions("archive", "member").write.format(FORMAT).mode("append")
-     .option("root_depth", str(root_depth)).save(root))
+     .option("root_depth", str(root_depth)).option("job", job).save(root))
+    publish(df.sparkSession, root, job)
+    return job
 
 
 class FileTreeWriter(DataSourceArrowWriter):

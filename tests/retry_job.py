@@ -1,5 +1,5 @@
 """Run as a script: pack archives while the first attempt of one task dies mid-write; the retry
-must produce byte-identical archives and no temporary files may remain."""
+must produce byte-identical archives and nothing of the dead attempt may remain."""
 
 import os
 import sys
@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from ledgerline.sinks.archives import FORMAT, TMP_MARK, register, write_archives  # noqa: E402
+from ledgerline.sinks import manifest  # noqa: E402
+from ledgerline.sinks.archives import FORMAT, register, write_archives  # noqa: E402
 
 
 def rows(spark):
@@ -45,15 +46,17 @@ def main(out):
     write_archives(rows(spark), clean, num_partitions=2)
     df = rows(spark).repartition(2, "archive").sortWithinPartitions("archive", "member")
     marker = os.path.join(out, "attempt0-failed")
-    df.mapInPandas(flaky(marker), df.schema).write.format(FORMAT).mode("append").save(retried)
+    df.mapInPandas(flaky(marker), df.schema).write.format(FORMAT).mode("append").option("job", "flaky").save(retried)
+    manifest.publish(spark, retried, "flaky")
     assert os.path.exists(marker), "the first attempt did not fail"
-    names = sorted(os.listdir(os.path.join(clean, "run")))
-    assert names == sorted(os.listdir(os.path.join(retried, "run"))), "archive sets differ"
-    for n in names:
-        with open(os.path.join(clean, "run", n), "rb") as a, open(os.path.join(retried, "run", n), "rb") as b:
+    want, got = ({r.archive: r.path for r in manifest.read_manifest(spark, root).collect()} for root in (clean, retried))
+    assert sorted(want) == sorted(got) and len(want) == 8, "archive sets differ"
+    for n in want:
+        with open(want[n], "rb") as a, open(got[n], "rb") as b:
             assert a.read() == b.read(), f"{n} differs after retry"
-    left = [f for _, _, fs in os.walk(out) for f in fs if TMP_MARK in f]
-    assert not left, f"temporary files left: {left}"
+    there = {os.path.join(d, f) for d, _, fs in os.walk(retried) for f in fs if f.endswith(".tar")}
+    assert there == set(got.values()), f"files of a failed attempt are left: {there - set(got.values())}"
+    names = sorted(want)
     print("RETRY-OK", len(names))
 
 

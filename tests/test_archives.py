@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import archives as A
 from ledgerline.operators import runs
-from ledgerline.sinks.archives import TMP_MARK, write_archives
+from ledgerline.sinks import manifest, pointer
+from ledgerline.sinks.archives import FORMAT, register, write_archives
 from ledgerline.sources.archives import list_archives, list_files, read_members
 
 
@@ -33,26 +34,90 @@ def test_pack_unpack_round_trip(spark, tmp):
     # directories added as a recursive add does (ticker, year, form), not the staging root
     dirs = {r.member for r in read_members(lst, with_content=False).filter("is_dir").collect()}
     assert "sp500_filings_data/T10/2001" in dirs and "sp500_filings_data" not in dirs
-    left = [f for _, _, fs in os.walk(tmp) for f in fs if TMP_MARK in f]
-    assert not left
+    assert _tars(tmp) == {r.path for r in manifest.read_manifest(spark, tmp).collect()}
+
+
+def _tars(root):
+    return {os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if ".tar" in f}
 
 
 def test_archive_bytes_reproducible(spark, tmp):
     a, b = os.path.join(tmp, "a"), os.path.join(tmp, "b")
     write_archives(_rows(spark), a)
     write_archives(_rows(spark).repartition(3), b)
-    for name in os.listdir(os.path.join(a, "run_x")):
-        with open(os.path.join(a, "run_x", name), "rb") as x, open(os.path.join(b, "run_x", name), "rb") as y:
+    one, two = ({r.archive: r.path for r in manifest.read_manifest(spark, root).collect()} for root in (a, b))
+    assert one.keys() == two.keys() and len(one) == 3
+    for name in one:
+        with open(one[name], "rb") as x, open(two[name], "rb") as y:
             assert x.read() == y.read()
 
 
-def test_failed_write_leaves_no_temp_files(spark, tmp):
+def test_failed_write_leaves_nothing(spark, tmp):
     bad = _rows(spark).withColumn(
         "content", F.when(F.col("member").endswith("3.html"), F.raise_error(F.lit("boom"))).otherwise(F.col("content")))
     with pytest.raises(Exception):
         write_archives(bad, tmp)
-    left = [f for _, _, fs in os.walk(tmp) for f in fs if TMP_MARK in f]
-    assert not left
+    assert not _tars(tmp) and manifest.read_manifest(spark, tmp) is None
+
+
+def test_nothing_is_visible_before_publication(spark, tmp):
+    """A driver that dies after its tasks leaves files, but no archive; a later job is not disturbed."""
+    register(spark)
+    rows = _rows(spark).repartition(2, "archive").sortWithinPartitions("archive", "member")
+    rows.write.format(FORMAT).mode("append").option("job", "dead").save(tmp)
+    run = os.path.join(tmp, "run_x")
+    assert len(_tars(tmp)) == 3 and list_archives(spark, run).count() == 0 and list_files(spark, tmp).count() == 0
+    job = write_archives(_rows(spark).filter(F.col("archive").endswith("_2.tar")), tmp)
+    listed = list_archives(spark, run).collect()
+    assert [r.batch_no for r in listed] == [2] and job in listed[0].archive_path
+    manifest.publish(spark, tmp, "dead")  # published after all: the later version of batch 2 counts
+    listed = {r.batch_no: r.archive_path for r in list_archives(spark, run).collect()}
+    assert set(listed) == {1, 2, 10} and all("_job-dead" in path for path in listed.values())
+
+
+def test_commit_moves_no_file(spark, tmp, monkeypatch):
+    """The archives stay where the tasks wrote them: their inodes are older than the manifest's."""
+    write_archives(_rows(spark), tmp)
+    rows = manifest.read_manifest(spark, tmp).collect()
+    assert {r.archive: (r.members, r.files, r.companies, r.listed) for r in rows} == {
+        f"run_x/sp500_filings_data_{b}.tar": (3 * (3 + 4), 12, 3, 0) for b in (1, 2, 10)}
+    assert all(f"/{manifest.JOB_PREFIX}" in r.path and os.path.getsize(r.path) == r.bytes for r in rows)
+    assert not os.path.exists(os.path.join(tmp, "run_x"))
+
+
+def test_lost_and_damaged_files_are_reported(spark, tmp):
+    write_archives(_rows(spark), tmp)
+    assert manifest.missing(spark, tmp).count() == 0
+    path = {r.archive: r.path for r in manifest.read_manifest(spark, tmp).collect()}
+    os.remove(path["run_x/sp500_filings_data_2.tar"])
+    open(path["run_x/sp500_filings_data_10.tar"], "wb").write(b"short")
+    found = {r.archive: r.found_bytes for r in manifest.missing(spark, tmp).collect()}
+    assert found == {"run_x/sp500_filings_data_2.tar": None, "run_x/sp500_filings_data_10.tar": 5}
+
+
+def test_companies_without_data_are_listed_and_an_empty_batch_is_an_archive(spark, tmp):
+    data = [("r/sp500_filings_data_1.tar", None, None), ("r/sp500_filings_data_1.tar", None, None),
+            ("r/sp500_filings_data_1.tar", "sp500_filings_data/A/2001/10-K/1.html", "x"), ("r/sp500_filings_data_2.tar", None, None)]
+    write_archives(spark.createDataFrame(data, "archive string, member string, content string"), tmp, mtime=None)
+    got = {r.archive[-5]: (r.members, r.companies, r.listed, r.bytes) for r in manifest.read_manifest(spark, tmp).collect()}
+    assert got == {"1": (4, 1, 2, 10240), "2": (0, 0, 1, 10240)}
+    members = read_members(list_archives(spark, os.path.join(tmp, "r")))
+    assert members.filter("error IS NOT NULL").count() == 0 and members.filter("is_file").count() == 1
+
+
+def test_one_of_two_publishers_wins(spark, tmp):
+    folder = os.path.join(tmp, "versions")
+    assert pointer.newest(folder) == (0, None)
+    first = pointer.publish(spark, folder, {"of": "a"})
+    assert pointer.publish(spark, folder, {"of": "b"}, after=first) == 2
+    with pytest.raises(pointer.VersionConflict):  # made from version 1, which is no longer the newest
+        pointer.publish(spark, folder, {"of": "c"}, after=first)
+    assert pointer.publish(spark, folder, {"of": "d"}) == 3
+    assert [r["of"] for _, r in pointer.versions(folder)] == ["a", "b", "d"] and pointer.newest(folder)[1] == {"of": "d"}
+    # the way of Hadoop file systems refuses a taken name as well
+    assert pointer._rename(spark, f"file:{folder}/v00000000000000000009.json", b"{}")
+    assert not pointer._rename(spark, f"file:{folder}/v00000000000000000009.json", b"[]")
+    assert pointer.newest(folder) == (9, {}) and not [f for f in os.listdir(folder) if f.startswith(".") and not f.endswith(".crc")]
 
 
 def _tar_bytes(members):
