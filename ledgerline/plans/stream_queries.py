@@ -6,13 +6,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators import incremental
 from ledgerline.plans.registry import query
 from ledgerline.plans.run_queries import _BATCHES_SQL
 from ledgerline.session import scratch_dir
-from ledgerline.sinks.snapshots import write_snapshot
 from ledgerline.sources import fixtures as X
 from ledgerline.streaming import flush, ingest, progress
-from ledgerline.streaming.landing import land_in_order
+from ledgerline.sources.landing import land_in_order
 
 # Landed files are consecutive time slices, so taking two per trigger keeps arrival in time order
 # (a micro-batch holds a contiguous time range) while state still spans several micro-batches.
@@ -33,23 +33,30 @@ def stm_ingest_new(spark, d):
     newest = wanted.filter(F.col("filing_year") == X.year_range()[1])
     land_in_order(newest, src, ["filed_at", "k"], min_chunks=1)
     sink, ckpt = scratch_dir(spark, "ingest-sink"), scratch_dir(spark, "ingest-ckpt")
-    schema = wanted.schema
-    # the held set is a stored table for the stream (not re-derived in every micro-batch)
-    held = write_snapshot(X.held(spark, d, idx), scratch_dir(spark, "held"))
-    ingest.ingest_new(spark, src, schema, held, sink, ckpt, files_per_trigger=FILES_PER_TRIGGER)
-    return spark.read.parquet(sink).select("ticker", "filing_year", "form", "accession")
+    # the held keys are stored in buckets for the stream, which reads those that a micro-batch touches
+    held = incremental.held_union(X.staged(spark, d, idx), X.archived(spark, d, idx), ["accession", "filing_year"])
+    held = ingest.write_held(held, scratch_dir(spark, "held"))
+    ingest.ingest_new(spark, src, wanted.schema, held, sink, ckpt, files_per_trigger=FILES_PER_TRIGGER)
+    return ingest.read_ingested(spark, sink, wanted.schema).select("ticker", "filing_year", "form", "accession")
 
 
-@query("stm_batch_flush", _BATCHES_SQL + "SELECT run_id, item, ticker, seq, batch_no FROM batches")
+@query("stm_batch_flush", _BATCHES_SQL + """
+SELECT run_id, item, ticker, seq, batch_no, CASE WHEN n < 12 THEN 'remainder' ELSE 'full' END AS closed_as, CAST(n AS BIGINT) AS n_companies
+FROM (SELECT *, count(*) OVER (PARTITION BY run_id, batch_no) AS n FROM batches)
+""")
 def stm_batch_flush(spark, d):
-    """Completions arrive in time order in chunks; successes are numbered per run on arrival and
-    cut into batches of 12 — the same batches as the batch job."""
+    """Completions arrive in time order in chunks, each run's end after its last one; successes are numbered
+    on arrival and their batches emitted: members of every emitted batch, the remainders among them."""
+    done = X.completion(spark, d).withColumn("run_ended", F.lit(False))
+    ends = done.groupBy("run_id").agg(F.max("ts").alias("ts")).select(
+        "run_id", "ts", F.lit((1 << 63) - 1).alias("item"), F.lit(False).alias("ok"), F.lit(True).alias("run_ended"))
+    landed = done.unionByName(ends, allowMissingColumns=True)
     src = scratch_dir(spark, "landing-events")
-    land_in_order(X.completion(spark, d), src, ["ts", "item"])
+    land_in_order(landed, src, ["ts", "item"])
     sink, ckpt = scratch_dir(spark, "flush-sink"), scratch_dir(spark, "flush-ckpt")
-    schema = X.completion(spark, d).schema
-    flush.flush_batches(spark, src, schema, sink, ckpt, X.BATCH_SIZE, files_per_trigger=FILES_PER_TRIGGER)
-    return flush.read_flushed(spark, sink).select("run_id", "item", "ticker", "seq", "batch_no")
+    flush.flush_batches(spark, src, landed.schema, sink, ckpt, X.BATCH_SIZE, files_per_trigger=FILES_PER_TRIGGER)
+    members = flush.read_flushed(spark, sink).join(flush.read_emitted(spark, sink), ["run_id", "batch_no"])
+    return members.select("run_id", "item", "ticker", "seq", "batch_no", "closed_as", "n_companies")
 
 
 @query("stm_progress", """
