@@ -158,6 +158,52 @@ def test_zero_truncated_compressed_and_unsafe(spark, tmp):
     assert zero == {"sp500_filings_data/A/empty.html"}
 
 
+def test_one_archive_is_read_by_many_tasks(spark, tmp, monkeypatch):
+    from ledgerline.sources import archives
+
+    data = {f"sp500_filings_data/T/2001/10-K/{i:03}.html": os.urandom(50 + 37 * i) for i in range(120)}
+    os.makedirs(os.path.join(tmp, "run_h"))
+    open(os.path.join(tmp, "run_h", "sp500_filings_data_1.tar"), "wb").write(_tar_bytes(data.items()))
+    lst = list_archives(spark, os.path.join(tmp, "run_h"))
+    index = archives.member_index(lst).collect()
+    assert len(index) == 120 and all(r.content is None and r.offset % 512 == 0 for r in index)
+    for name, value in (("RANGE_BYTES", 20_000), ("READ_BYTES", 3_000), ("READ_GAP", 600), ("CHUNK_BYTES", 9_000)):
+        monkeypatch.setattr(archives, name, value)
+    got = read_members(lst).select("member", "content", "batch_no", F.spark_partition_id().alias("task")).collect()
+    assert {r.member: bytes(r.content) for r in got} == data and {r.batch_no for r in got} == {1}
+    assert len({r.task for r in got}) >= 8
+
+
+def test_a_damaged_tail_fails_alone(spark, tmp):
+    data = [(f"sp500_filings_data/T/2001/10-K/{i:02}.html", os.urandom(1000)) for i in range(20)]
+    whole = _tar_bytes(data)
+    run = os.path.join(tmp, "run_t")
+    os.makedirs(run)
+    open(os.path.join(run, "sp500_filings_data_1.tar"), "wb").write(whole[:10 * 1536 + 700])  # in the eleventh's content
+    open(os.path.join(run, "sp500_filings_data_2.tar"), "wb").write(whole)
+    rows = read_members(list_archives(spark, run)).collect()
+    good = {(r.batch_no, r.member): bytes(r.content) for r in rows if r.error is None}
+    assert good == {(1, n): c for n, c in data[:10]} | {(2, n): c for n, c in data}
+    assert {r.batch_no for r in rows if r.error} == {1} and [r.member for r in rows if r.member == data[10][0] and r.batch_no == 1 and r.error]
+
+
+def test_links_and_sparse_files(spark, tmp):
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w", format=tarfile.GNU_FORMAT) as t:
+        info = tarfile.TarInfo("sp500_filings_data/A/" + "long" * 60 + ".html")  # a name in a header of its own
+        info.size = 3
+        t.addfile(info, io.BytesIO(b"abc"))
+        link = tarfile.TarInfo("sp500_filings_data/A/link.html")
+        link.type, link.linkname = tarfile.SYMTYPE, "elsewhere"
+        t.addfile(link)
+    run = os.path.join(tmp, "run_l")
+    os.makedirs(run)
+    open(os.path.join(run, "sp500_filings_data_1.tar"), "wb").write(buf.getvalue())
+    got = {r.member.split("/")[-1][:5]: (r.is_file, r.content and bytes(r.content), r.error)
+           for r in read_members(list_archives(spark, run)).collect()}
+    assert got == {"longl": (True, b"abc", None), "link.": (False, None, None)}
+
+
 def test_last_writer_later_batch_wins(spark):
     m = spark.createDataFrame([("a/x", 2, "old"), ("a/x", 10, "new"), ("a/y", 2, "only")],
                               "member string, batch_no long, content string")
