@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators import runs
 from ledgerline.operators.companies import WEB_COLUMNS
 from ledgerline.plans.registry import query
 from ledgerline.session import scratch_dir
@@ -12,6 +13,7 @@ from ledgerline.sinks import company_json, runlog
 from ledgerline.sources import company_json as cj
 from ledgerline.sources import fixtures as X
 from ledgerline.sources import html_tables
+from ledgerline.sources import runlog as runlog_source
 from ledgerline.sources.runlog import read_log
 from ledgerline.functions import scalars as S
 
@@ -67,36 +69,114 @@ def src_html_table(spark, d):
     return t.select("ticker", "company_name", S.cik_pad("cik").alias("cik"))
 
 
-def _rendered(spark, d):
-    """Log lines with each company's staged bytes (its share of an archive) and staged filings."""
-    per_company = X.files(spark, d).groupBy("ticker").agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_filings"))
-    return runlog.render(X.completion(spark, d), sizes=per_company, filings=per_company)
+# Fixture of the logs: every third failed company raised an exception, and the archives of every fifth batch
+# could not be written.
+RAISED_EVERY, LOST_EVERY, WORKERS = 3, 5, 4
+
+_LOG_SQL = """
+, ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, item) AS BIGINT) AS n_done,
+         CAST(count(*) OVER (PARTITION BY run_id) AS BIGINT) AS n_total, NOT ok AND item % 3 = 0 AS raised
+  FROM completion
+), members AS (
+  SELECT run_id, ticker, ts, seq, CAST((seq - 1) // 12 + 1 AS BIGINT) AS batch_no
+  FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts, item) AS seq FROM completion WHERE ok)
+), run AS (
+  SELECT run_id, min(ts) AS first_ts, max(ts) AS last_ts, CAST(count(*) AS BIGINT) AS n_total,
+         CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS n_success, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS n_failed
+  FROM completion GROUP BY run_id
+), batch AS (
+  SELECT m.run_id, m.batch_no, count(*) AS n, count(*) < 12 AS remainder, m.batch_no % 5 = 0 AS lost,
+         string_agg(m.ticker, ', ' ORDER BY m.seq) AS companies,
+         strftime(CASE WHEN count(*) < 12 THEN max(r.last_ts) ELSE max(m.ts) END, '%Y-%m-%d %H:%M:%S') AS ts_text,
+         max(r.n_success) AS n_success
+  FROM members m JOIN run r ON r.run_id = m.run_id GROUP BY m.run_id, m.batch_no
+)
+"""
 
 
-@query("snk_progress_log", """
-SELECT run_id, CAST(5 + n_total + 3 * (n_success // 12) + CASE WHEN n_success % 12 > 0 THEN 4 ELSE 0 END
-                    + 8 + (n_failed + 99) // 100 AS BIGINT) AS n_lines
-FROM (SELECT run_id, count(*) AS n_total, count(*) FILTER (WHERE ok) AS n_success,
-             count(*) FILTER (WHERE NOT ok) AS n_failed FROM completion GROUP BY run_id)
+def _written_logs(spark, d) -> str:
+    """The logs of all runs: each company's staged bytes are its share of an archive, its staged filings what a
+    success reports."""
+    per_company = X.files(spark, d).groupBy("ticker").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_filings"))
+    done = X.completion(spark, d)
+    raised = F.when(~F.col("ok") & (F.col("item") % RAISED_EVERY == 0), F.concat(F.lit("worker died at "), F.col("item").cast("string")))
+    batches = runs.assign_batches(done).select("run_id", "batch_no").distinct().filter(F.col("batch_no") % LOST_EVERY == 0)
+    lost = batches.withColumn("error", F.concat(F.lit("no space for batch "), F.col("batch_no").cast("string")))
+    lines = runlog.render(done.withColumn("raised", raised), sizes=per_company, filings=per_company, workers=WORKERS,
+                          raised="raised", lost=lost)
+    root = scratch_dir(spark, "logs")
+    runlog.write_log(lines, root, expected=3 * done.count())
+    return root
+
+
+@query("snk_progress_log", _LOG_SQL + """
+SELECT run_id, kind, CAST(n AS BIGINT) AS n_lines FROM (
+  SELECT run_id, 'header' AS kind, 1 AS n FROM run UNION ALL SELECT run_id, 'summary', 1 FROM run
+  UNION ALL SELECT run_id, 'rule', 4 FROM run
+  UNION ALL SELECT run_id, 'field', 7 + (n_failed + 99) // 100 FROM run
+  UNION ALL SELECT run_id, CASE WHEN raised THEN 'exception' ELSE 'completed' END, count(*) FROM ranked GROUP BY ALL
+  UNION ALL SELECT run_id, 'worker', count(*) FROM ranked WHERE NOT raised GROUP BY ALL
+  UNION ALL SELECT run_id, CASE WHEN lost THEN CASE WHEN remainder THEN 'final_batch_error' ELSE 'archive_error' END
+                                WHEN remainder THEN 'final_batch' ELSE 'archived' END, count(*) FROM batch GROUP BY ALL
+  UNION ALL SELECT run_id, 'detail', sum(CASE WHEN remainder THEN 3 ELSE 2 END) FROM batch WHERE NOT lost GROUP BY ALL)
 """)
 def snk_progress_log(spark, d):
-    """Write every run's progress log (header, completion lines, archive lines per batch, remainder note, summary, failed list) and count the lines per run read back."""
-    root = scratch_dir(spark, "logs")
-    runlog.write_log(_rendered(spark, d), root)
-    return spark.read.text(root).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    """Write every run's progress log (header, worker, completion and exception lines, the records of archived batches
+    and of the remainder, archive errors, summary, failed list); the lines read back are counted by their kind."""
+    p = read_log(spark, _written_logs(spark, d))
+    return p.groupBy("run_id", "kind").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-@query("src_progress_log", """
-SELECT run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
-       CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, item) AS BIGINT) AS n_done,
-       CAST(count(*) OVER (PARTITION BY run_id) AS BIGINT) AS n_total, ok, ticker
-FROM completion
+@query("src_progress_log", _LOG_SQL + """
+SELECT run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, n_done, n_total, ok, ticker,
+       CASE WHEN raised THEN 'exception' ELSE 'completed' END AS kind
+FROM ranked
 """)
 def src_progress_log(spark, d):
-    """Parse progress logs back into completion events (written by ``snk_progress_log``)."""
-    root = scratch_dir(spark, "logs")
-    runlog.write_log(_rendered(spark, d), root)
-    p = read_log(spark, root).filter(F.col("kind") == "completed")
+    """Parse progress logs back into completion events (written as for ``snk_progress_log``)."""
+    p = read_log(spark, _written_logs(spark, d)).filter(F.col("kind").isin("completed", "exception"))
     return p.select("run_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "n_done", "n_total",
-                    (F.col("mark") == "✓").alias("ok"), "ticker")
+                    (F.col("mark") == "✓").alias("ok"), "ticker", "kind")
+
+
+@query("src_log_batches", _LOG_SQL + """
+SELECT run_id, batch_no, ts_text, remainder, CAST(n AS BIGINT) AS n_companies, companies,
+       'runs/' || run_id || '/sp500_filings_data_' || CAST(batch_no AS VARCHAR) || '.tar' AS archive,
+       CASE WHEN remainder THEN 'This is the remainder batch (' || CAST(n_success AS VARCHAR) || ' % 12 = '
+                                || CAST(n_success % 12 AS VARCHAR) || ' companies)' END AS note
+FROM batch WHERE NOT lost
+""")
+def src_log_batches(spark, d):
+    """The archived batches that the logs tell of, each put together from its three or four lines."""
+    b = runlog_source.log_batches(runlog_source.records(read_log(spark, _written_logs(spark, d))))
+    return b.select("run_id", "batch_no", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "remainder", "n_companies",
+                    F.array_join("companies", ", ").alias("companies"), "archive", "note")
+
+
+@query("src_log_summary", _LOG_SQL + """
+SELECT r.run_id, strftime(first_ts, '%Y-%m-%d %H:%M:%S') AS started_text, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS ended_text,
+       n_total AS n_listed, CAST(4 AS BIGINT) AS workers, n_total, n_success, n_failed,
+       CAST((n_success + 11) // 12 AS BIGINT) AS n_batches, 'runs/' || r.run_id AS archive_dir, n_failed AS n_failed_listed
+FROM run r
+""")
+def src_log_summary(spark, d):
+    """Each run's log head and summary as fields."""
+    s = runlog_source.log_summaries(runlog_source.records(read_log(spark, _written_logs(spark, d))))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return s.select("run_id", text("started_at").alias("started_text"), text("ended_at").alias("ended_text"), "n_listed", "workers",
+                    "n_total", "n_success", "n_failed", "n_batches", "archive_dir", "n_failed_listed")
+
+
+@query("src_log_errors", _LOG_SQL + """
+SELECT run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, 'exception' AS kind, ticker, 'worker died at ' || CAST(item AS VARCHAR) AS message
+FROM ranked WHERE raised
+UNION ALL
+SELECT run_id, ts_text, CASE WHEN remainder THEN 'final_batch_error' ELSE 'archive_error' END, NULL,
+       'no space for batch ' || CAST(batch_no AS VARCHAR)
+FROM batch WHERE lost
+""")
+def src_log_errors(spark, d):
+    """Exceptions and archive errors that the logs tell of."""
+    e = runlog_source.log_errors(read_log(spark, _written_logs(spark, d)))
+    return e.select("run_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "kind", "ticker", "message")

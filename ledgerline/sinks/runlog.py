@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
 from ledgerline.operators import runs
+from ledgerline.session import partitions_for_size
 
 # Fixed line formats of the reference's progress log.
 RULE = "=" * 80
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FAILED_PER_LINE = 100
+LINES_PER_TASK = 1_000_000
 # Places of lines that belong to no single completion, among lines of one instant.
 FIRST, REMAINDER, LAST = -1, (1 << 62), (1 << 62) + 1
 
@@ -30,9 +32,15 @@ def _line(run, ts, order, text):
 
 
 def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_prefix: str = "runs/",
-           sizes: DataFrame | None = None, filings: DataFrame | None = None, workers: int = 1) -> DataFrame:
+           sizes: DataFrame | None = None, filings: DataFrame | None = None, workers: int = 1,
+           raised: str | None = None, lost: DataFrame | None = None) -> DataFrame:
     """(run_id, ts, seq, ord, value) text lines of each run's progress log, in that order.
 
+    ``raised`` names a column of ``done`` with the message of the exception that ended a failed company, null
+    where the worker reported the failure itself. ``lost`` (run_id, batch_no, error) are batches whose archive
+    could not be written: an error line stands in place of their record. Of a worker, the line that ends a
+    company is written, not the one that starts it: completions do not tell when that was.
+
     ``sizes`` (ticker, bytes) gives the archive size shown for each batch (the bytes of its
     companies' data), ``filings`` (ticker, n_filings) the number shown for each success. The lines of
     a batch stand before the completion line of the success that closes it.
@@ -46,13 +54,18 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
         prog = prog.withColumn("_filings", F.lit(None).cast("bigint"))
     count = F.coalesce("_filings", F.lit(0)).cast("string")
     mark = F.when(F.col("ok"), F.lit("\u2713")).otherwise(F.lit("\u2717"))
-    msg = F.when(F.col("ok"), F.concat(F.lit("Downloaded "), count, F.lit(" filings"))).otherwise(
+    error = F.col(raised) if raised else F.lit(None).cast("string")
+    thrown = ~F.col("ok") & error.isNotNull()
+    msg = F.when(F.col("ok"), F.concat(F.lit("Downloaded "), count, F.lit(" filings"))).when(thrown, error).otherwise(
         F.concat(F.lit("Error processing "), F.col("ticker"), F.lit(": failed")))
-    per_event = prog.select(
-        F.col("item").alias("seq"),
-        _line(F.col("run_id"), F.col("ts"), 10, F.concat(
-            F.lit("["), _ts("ts"), F.lit("] Completed "), F.col("n_done").cast("string"), F.lit("/"),
-            F.col("n_total").cast("string"), F.lit(": "), mark, F.lit(" "), F.col("ticker"), F.lit(" - "), msg)).alias("l"))
+    stamp = F.concat(F.lit("["), _ts("ts"), F.lit("] "))
+    ended = F.concat(stamp, F.when(thrown, F.lit("Exception ")).otherwise(F.lit("Completed ")), F.col("n_done").cast("string"),
+                     F.lit("/"), F.col("n_total").cast("string"), F.lit(": "), mark, F.lit(" "), F.col("ticker"), F.lit(" - "), msg)
+    worker = F.concat(stamp, F.lit("[Worker "), (F.pmod("item", F.lit(workers)) + 1).cast("string"), F.lit("] "),
+                      F.when(F.col("ok"), F.concat(F.lit("Completed "), F.col("ticker"), F.lit(": "), msg)).otherwise(msg))
+    at_item = [_line(F.col("run_id"), F.col("ts"), 1, worker), _line(F.col("run_id"), F.col("ts"), 10, ended)]
+    per_event = prog.select(F.col("item").alias("seq"), F.explode(
+        F.when(thrown, F.array(at_item[1])).otherwise(F.array(*at_item))).alias("l"))
 
     summary = runs.run_summary(done).join(
         done.groupBy("run_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end")), "run_id")
@@ -81,8 +94,16 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
              _line(F.col("run_id"), bts, 4, F.concat(F.lit("  Archive: "), path)),
              _line(F.col("run_id"), bts, 5, F.concat(F.lit("  Companies: "), names))]
     place = F.when(full, F.col("item")).otherwise(F.lit(REMAINDER))
+    if lost is not None:
+        bt = bt.join(lost.select("run_id", "batch_no", F.col("error").alias("_error")), ["run_id", "batch_no"], "left")
+    else:
+        bt = bt.withColumn("_error", F.lit(None).cast("string"))
+    failed = _line(F.col("run_id"), bts, 3, F.concat(
+        F.lit("["), _ts(bts), F.lit("] "), F.when(full, F.lit("ARCHIVE ERROR: ")).otherwise(F.lit("FINAL BATCH ERROR: ")),
+        F.col("_error")))
     per_batch = bt.select(place.alias("seq"), F.explode(
-        F.when(full, F.array(*lines)).otherwise(F.array(*lines, _line(F.col("run_id"), bts, 6, note)))).alias("l"))
+        F.when(F.col("_error").isNotNull(), F.array(failed)).when(full, F.array(*lines))
+        .otherwise(F.array(*lines, _line(F.col("run_id"), bts, 6, note)))).alias("l"))
 
     nb = ok.groupBy("run_id").agg(F.max("batch_no").alias("nb"))
     s = summary.join(nb, "run_id", "left")
@@ -108,9 +129,10 @@ def render(done: DataFrame, batch_size: int = S.DEFAULT_BATCH_SIZE, run_dir_pref
     return allx.select("l.run_id", "l.ts", "l.ord", "seq", "l.value")
 
 
-def write_log(lines: DataFrame, root: str) -> None:
-    """Append the lines under ``root/run_id=<run>/``, ordered by (time, sequence, line kind)."""
-    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def write_log(lines: DataFrame, root: str, expected: int | None = None) -> None:
+    """Append the lines under ``root/run_id=<run>/``, ordered by (time, sequence, line kind). Tasks are sized by
+    the ``expected`` number of lines (counted if not given)."""
+    n = partitions_for_size(lines.sparkSession, lines.count() if expected is None else expected, LINES_PER_TASK)
     (lines.repartitionByRange(n, "run_id", "ts", "seq", "ord")
      .sortWithinPartitions("run_id", "ts", "seq", "ord")
      .select("run_id", "value").write.mode("append").partitionBy("run_id").text(root))
