@@ -207,18 +207,16 @@ SELECT accession, ticker, form, filing_year FROM staged s
 WHERE NOT EXISTS (SELECT 1 FROM completion c WHERE c.ok AND c.ticker = s.ticker)
 """)
 def snk_staged_cleanup(spark, d):
-    """Archived companies leave staging: the current staging snapshot is published, then a new
-    version without the archived companies is written next to it and the pointer switched (the
-    version being read is never overwritten); the current version is read back."""
-    from ledgerline.sinks.snapshots import publish_snapshot, read_current
+    """Archived companies leave staging: their rows get tombstones, and years of which more than half is dead are
+    rewritten; then the table is read back."""
+    from ledgerline.sinks.staging import Staging
 
-    root = scratch_dir(spark, "staged")
     st = X.staged(spark, d).select("accession", "ticker", "form", "filing_year")
-    publish_snapshot(st, root, partition_by=["filing_year"])
-    current = read_current(spark, root, st.schema)
-    archived_tickers = X.completion(spark, d).filter(F.col("ok")).select("ticker")
-    publish_snapshot(incremental.not_succeeded(current, archived_tickers, ["ticker"]), root, partition_by=["filing_year"])
-    return read_current(spark, root, st.schema).select("accession", "ticker", "form", "filing_year")
+    staging = Staging(scratch_dir(spark, "staged"), st.schema)
+    staging.add(st)
+    staging.remove(X.completion(spark, d).filter(F.col("ok")).select("ticker"))
+    staging.compact(spark, threshold=0.5)
+    return staging.read(spark)
 
 
 @query("flt_log_retention", """

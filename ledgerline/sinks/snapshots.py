@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ledgerline.sinks import pointer
+
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a new Parquet snapshot at ``path`` and return the read of it (lineage cut)."""
@@ -26,34 +29,27 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def publish_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a new version under ``root/v=<id>/`` and append a pointer row
-    (seq, version, path, published_at) to ``root/_pointer``. Readers follow the newest pointer, so the
-    version being read is never overwritten and a failed write is never visible."""
-    import uuid
-
-    from pyspark.sql import functions as F
-
+def publish_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = (), after: int | None = None) -> str:
+    """Write ``df`` as a new version under ``root/v=<id>/`` and publish it by a numbered pointer. Readers follow
+    the newest pointer, so the version being read is never overwritten and a failed write is never visible.
+    ``after`` (see ``current_version``): fail if another version was published since."""
     version = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/v={version}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    import time
-
-    pointer = df.sparkSession.range(1).select(
-        F.lit(time.time_ns()).cast("bigint").alias("seq"), F.lit(version).alias("version"), F.lit(path).alias("path"),
-        F.current_timestamp().alias("published_at"))
-    pointer.write.mode("append").parquet(f"{root.rstrip('/')}/_pointer")
+    pointer.publish(df.sparkSession, f"{root.rstrip('/')}/_pointer", {"version": version, "path": path}, after)
     return path
 
 
-def read_current(spark, root: str, schema=None) -> DataFrame:
-    """The newest published version (one pointer row is read on the driver: the path)."""
-    from pyspark.sql import functions as F
+def current_version(root: str) -> int:
+    """Number of the newest version (0: none)."""
+    return pointer.newest(f"{root.rstrip('/')}/_pointer")[0]
+
 
-    ptr = spark.read.parquet(f"{root.rstrip('/')}/_pointer")
-    path = ptr.orderBy(F.col("seq").desc()).select("path").first()["path"]
+def read_current(spark, root: str, schema=None) -> DataFrame:
+    """The newest published version (one small record is read on the driver: the path)."""
+    path = pointer.newest(f"{root.rstrip('/')}/_pointer")[1]["path"]
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
