@@ -18,14 +18,15 @@ def company_coverage(company: DataFrame, wanted: DataFrame, held: DataFrame, bod
     map-side combine, so a company holding a large share of filings is reduced before any
     shuffle on ticker.
     """
-    h = held.select(key).withColumn("_held", F.lit(True))
+    h = held.select(key).withColumn("held", F.lit(True))
     b = body.select(key, "body_chars")
-    w = (
-        wanted.select(key, "ticker", "filing_year", "form")
-        .join(h, key, "left")
-        .join(b, key, "left")
-    )
-    is_held = F.coalesce(F.col("_held"), F.lit(False))
+    w = wanted.select(key, "ticker", "filing_year", "form").join(h, key, "left").join(b, key, "left")
+    return coverage_of(company, w, n_cells)
+
+
+def coverage_of(company: DataFrame, w: DataFrame, n_cells: int) -> DataFrame:
+    """The same over wanted filings (ticker, filing_year, form) that already carry ``held`` and ``body_chars``."""
+    is_held = F.coalesce(F.col("held"), F.lit(False))
     has_body = F.coalesce(F.col("body_chars"), F.lit(0)) > 0
     cells = w.groupBy("ticker", "filing_year", "form").agg(
         F.count(F.lit(1)).alias("c_expected"),

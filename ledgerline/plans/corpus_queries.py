@@ -33,8 +33,9 @@ def qa_company_coverage(spark, d):
     landed, failed, and empty (year, form) cells. n_expected = n_held + n_new + n_failed."""
     idx = X.filing_index(spark, d)
     comp = X.company(spark, d)
-    return coverage.company_coverage(
-        comp, X.wanted(spark, d, idx, comp), X.held(spark, d, idx), X.body_state(spark, d, idx), N_CELLS)
+    # what arrived and what is held come from one scan, joined once
+    rows = X.wanted(spark, d, idx, comp).select("k", "ticker", "filing_year", "form").join(X.holdings(spark, d, idx), "k", "left")
+    return coverage.coverage_of(comp, rows, N_CELLS)
 
 
 @query("src_filing_index", """
@@ -351,8 +352,8 @@ FROM wanted w JOIN body_state b ON b.k = w.k
 WHERE b.body_chars > 0 AND NOT EXISTS (SELECT 1 FROM held h WHERE h.k = w.k)
 """)
 def snk_filing_store(spark, d):
-    """Store each new filing once: landed bodies of wanted filings not yet held are appended to
-    a store partitioned by (filing_year, form); the same load is run twice (the second adds
+    """Store each new filing once: landed bodies of wanted filings not yet held are appended to a store in
+    folders by (filing_year, form) and buckets by path; the same load is run twice (the second adds
     nothing) and the store is read back with a partition filter on the window."""
     from ledgerline.session import scratch_dir
     from ledgerline.sinks.filing_store import read_store, store_filings

@@ -142,12 +142,17 @@ def archived(spark: SparkSession, d: str, index: DataFrame | None = None) -> Dat
     return _landed(spark, d, index, ARCHIVED_EVERY)
 
 
-def held(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
-    """Distinct keys of staged ∪ archived."""
-    from ledgerline.operators.incremental import held_union
-
+def holdings(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
+    """(k, body_chars, held) of every filing whose body arrived, from one scan: held says that it is staged or
+    archived."""
     index = index if index is not None else filing_index(spark, d)
-    return held_union(staged(spark, d, index), archived(spark, d, index), ["k"])
+    kept = (F.col("k") % STAGED_EVERY == 0) | (F.col("k") % ARCHIVED_EVERY == 0)
+    return body_state(spark, d, index).select("k", "body_chars", (kept & (F.col("body_chars") > 0)).alias("held"))
+
+
+def held(spark: SparkSession, d: str, index: DataFrame | None = None) -> DataFrame:
+    """Keys of staged ∪ archived (a filing has one row in the index, so they are distinct)."""
+    return holdings(spark, d, index).filter("held").select("k")
 
 
 def wanted(spark: SparkSession, d: str, index: DataFrame | None = None, comp: DataFrame | None = None) -> DataFrame:

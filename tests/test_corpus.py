@@ -82,6 +82,57 @@ def test_store_is_incremental_and_pruned(spark, tmp):
     assert {r.accession for r in q.collect()} == {"2", "3"}
 
 
+def test_store_keeps_one_of_a_load_and_takes_further_loads(spark, tmp):
+    from ledgerline.sinks import filing_store as fs
+
+    schema = "ticker string, filing_year long, form string, accession string, html string"
+    first = spark.createDataFrame([("A", 2000, "10-K", "1", "x"), ("A", 2000, "10-K", "1", "x"), ("A", 2000, "10-Q", "1", "y")], schema)
+    fs.store_filings(first, tmp, num_buckets=3)
+    more = spark.createDataFrame([("A", 2000, "10-K", "1", "again"), ("B", 2000, "10-K", "1", "z"), ("A", 2002, "10-K", "1", "w")], schema)
+    fs.store_filings(more, tmp)
+    spark.sql(f"DROP TABLE {fs._table(spark, tmp)}")  # as another session would find the folder
+    fs.store_filings(more, tmp)
+    fs.store_filings(more.limit(0), tmp)
+    got = sorted((r.ticker, r.filing_year, r.form, r.accession, r.html) for r in fs.read_store(spark, tmp).collect())
+    assert got == [("A", 2000, "10-K", "1", "x"), ("A", 2000, "10-Q", "1", "y"), ("A", 2002, "10-K", "1", "w"), ("B", 2000, "10-K", "1", "z")]
+    assert fs.stored_keys(spark, tmp).count() == 4 and fs._layout(tmp)["buckets"] == 3
+
+
+def test_the_store_is_not_moved_and_bodies_move_once(spark, tmp):
+    from ledgerline.sinks import filing_store as fs
+
+    rows = spark.range(400).select(F.concat(F.lit("T"), (F.col("id") % 9).cast("string")).alias("ticker"), (F.col("id") % 2 + 2000).alias("filing_year"),
+                                   F.lit("10-K").alias("form"), F.col("id").cast("string").alias("accession"), F.lit("body").alias("html"))
+    fs.store_filings(rows, tmp, num_buckets=6)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        new = fs.new_filings(rows.withColumn("accession", F.concat(F.lit("x"), "accession")), tmp)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 6 out of 6" in plan, plan
+        assert "LeftAnti" in plan and "html" not in plan.split("FileScan")[1]
+        assert new.count() == 400 and fs.new_filings(rows, tmp).count() == 0
+        held = rows.select("ticker", "filing_year", "form", "accession")
+        plan = fs.not_stored(held, tmp)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_coverage_scans_the_index_twice(spark):
+    from conftest import SF_SMALL
+
+    from ledgerline.plans import queries
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = queries()["qa_company_coverage"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert plan.count("orders.parquet") == 2 and plan.count("Exchange hashpartitioning") <= 9, plan
+
+
 def test_anti_join_side_carries_no_bodies(spark):
     from ledgerline.plans import queries
 
