@@ -47,6 +47,11 @@ def epoch_seconds(ts: Column) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
+def zero_byte(files: DataFrame, kind: str) -> DataFrame:
+    """Files of a listing without a byte: kind, name and path."""
+    return files.filter(F.col("archive_bytes") == 0).select(F.lit(kind).alias("kind"), "name", F.col("archive_path").alias("path"))
+
+
 def inspect(members: DataFrame, root: str = S.STAGING_ROOT, keys=("archive_path", "batch_no", "archive_bytes"),
             first_n: int = 5) -> DataFrame:
     """Per archive: members, files, directories, companies (from directories, or files at depth 3

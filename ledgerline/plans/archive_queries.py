@@ -213,6 +213,13 @@ def src_archive_unpack(spark, d):
                     F.when(F.col("is_file"), F.md5("content")).alias("content_md5"))
 
 
+@query("src_archive_pick", _ARCHIVE_SQL + "SELECT batch_no, member, size, content_md5 FROM am WHERE batch_no = 2 AND is_file")
+def src_archive_pick(spark, d):
+    """The files of one chosen batch (here the second): only its archive is opened."""
+    m = read_members(list_archives(spark, pack_batches(spark, d), batch_no=2), with_content=True).filter("is_file")
+    return m.select("batch_no", "member", "size", F.md5("content").alias("content_md5"))
+
+
 @query("qa_unsafe_members", _ARCHIVE_SQL + """
 SELECT t.batch_no,
        CASE WHEN f.k % 97 = 0 THEN '../' ELSE '' END || 'sp500_filings_data/' || f.rel_path AS member,
@@ -353,6 +360,35 @@ def qa_rejected_archives(spark, d):
     return rejected_archives(spark, f"{root}/{RUN_ID}").select("name", "reason")
 
 
+@query("qa_zero_length", _ARCHIVE_SQL + """
+SELECT 'body' AS kind, i.accession || '.html' AS name, i.ticker, i.accession, true AS checked
+FROM filing_index i JOIN body_state b ON b.k = i.k WHERE b.body_chars = 0
+UNION ALL
+SELECT 'archive', 'sp500_filings_data_' || CAST(batch_no AS VARCHAR) || '.tar', NULL, NULL, NULL FROM ab WHERE batch_no % 6 = 0
+""")
+def qa_zero_length(spark, d):
+    """Objects without a byte, from file metadata: bodies that arrived empty, in the tree of all that arrived of the
+    staged third and of the empty ones, each checked against what is known of the filing's body (``checked``), and
+    archives of a run, of which the copies of every sixth batch broke off at once."""
+    idx = X.filing_index(spark, d)
+    state = X.body_state(spark, d, idx).select("k", "body_chars")
+    arrived = idx.join(state, "k").filter((F.col("k") % X.STAGED_EVERY == 0) | (F.col("body_chars") == 0))
+    path = S.rel_path("ticker", "filing_year", "form", "accession")
+    tree = scratch_dir(spark, "arrived")
+    rows = X.attach_html(arrived.select("k", path.alias("member"), A.epoch_seconds(F.col("filed_at")).alias("mtime")), spark, d)
+    write_tree(rows, tree, content="html")
+    empty = A.zero_byte(list_tree(spark, tree, "*.html"), "body")
+    empty = empty.select("kind", "name", F.element_at(F.split("path", "/"), -4).alias("ticker"), F.regexp_replace("name", r"\.html$", "").alias("accession"))
+    known = idx.join(state, "k").select("accession", (F.col("body_chars") == 0).alias("checked"))
+    bodies = empty.join(known, "accession", "left").select("kind", "name", "ticker", "accession", "checked")
+
+    run = scratch_dir(spark, "copied-runs")
+    copies = _listing(spark, d).select("name", F.when(F.col("batch_no") % 6 == 0, F.lit("")).otherwise(F.col("archive_path")).alias("content"))
+    write_tree(copies.select(F.concat(F.lit(RUN_ID + "/"), "name").alias("member"), "content"), run, mtime=None)
+    archives = A.zero_byte(list_archives(spark, f"{run}/{RUN_ID}"), "archive")
+    return bodies.unionByName(archives.select("kind", "name"), allowMissingColumns=True)
+
+
 @query("src_tree_scan", """
 SELECT rel_path, size, CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', mtime) AS BIGINT) AS mtime_s FROM files
 """)

@@ -10,6 +10,7 @@ from ledgerline.operators.companies import WEB_COLUMNS
 from ledgerline.plans.registry import query
 from ledgerline.session import scratch_dir
 from ledgerline.sinks import company_json, runlog
+from ledgerline.sinks.archives import write_tree
 from ledgerline.sources import company_json as cj
 from ledgerline.sources import fixtures as X
 from ledgerline.sources import html_tables
@@ -39,18 +40,44 @@ def src_company_json(spark, d):
 
 
 @query("src_company_validate", """
-SELECT CAST(list_pos // 1000 AS BIGINT) AS file_no, CAST(count(*) AS BIGINT) AS n_records,
-       CAST(count(*) FILTER (WHERE ticker IS NULL) AS BIGINT) AS n_missing_ticker, CAST(0 AS BIGINT) AS n_corrupt,
-       true AS valid
-FROM company GROUP BY 1
+, rec AS (
+  SELECT (row_number() OVER (ORDER BY list_pos) - 1) // 100 AS file_no, list_pos, ticker,
+         '{' || CASE WHEN ticker IS NULL THEN '' ELSE '"Ticker":"' || ticker || '",' END
+             || CASE WHEN company_name IS NULL THEN '' ELSE '"Company Name":"' || company_name || '",' END
+             || '"CIK":"' || CASE WHEN length(cik) >= 10 THEN cik ELSE lpad(cik, 10, '0') END || '"}' AS txt
+  FROM company
+), f AS (
+  SELECT file_no, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE ticker IS NULL) AS BIGINT) AS missing,
+         CAST(sum(length(txt)) AS BIGINT) AS chars, CAST(length(arg_max(txt, list_pos)) AS BIGINT) AS last_chars,
+         arg_min(coalesce(ticker, ''), list_pos) = '' AS first_missing
+  FROM rec GROUP BY file_no
+)
+SELECT kind || '_' || CAST(file_no AS VARCHAR) || '.json' AS name, outcome, n_records, n_missing_ticker,
+       CAST(CASE WHEN outcome = 'malformed' THEN 1 ELSE 0 END AS BIGINT) AS n_corrupt, outcome = 'valid' AS valid,
+       error_line, error_column, error_offset
+FROM (
+  SELECT file_no, 'list' AS kind, 'valid' AS outcome, n AS n_records, missing AS n_missing_ticker, NULL::BIGINT AS error_line,
+         NULL::BIGINT AS error_column, NULL::BIGINT AS error_offset FROM f
+  UNION ALL SELECT file_no, 'cut', 'malformed', 0, 0, n + 1, last_chars + 1, chars + 2 * n FROM f
+  UNION ALL SELECT file_no, 'zero', 'malformed', 0, 0, 1, 1, 0 FROM f
+  UNION ALL SELECT file_no, 'empty', 'empty', 0, 0, NULL, NULL, NULL FROM f
+  UNION ALL SELECT file_no, 'object', 'single_object', 1, CAST(first_missing AS BIGINT), NULL, NULL, NULL FROM f)
 """)
 def src_company_validate(spark, d):
-    """Validate company-list files: record count, missing tickers, corrupt records."""
-    path = scratch_dir(spark, "company-validate")
-    company_json.write_company_arrays(X.company(spark, d), path)
-    v = cj.validate_company_list(spark, path)
-    file_no = F.regexp_extract("file_path", r"file_no=(\d+)", 1).cast("bigint")
-    return v.select(file_no.alias("file_no"), "n_records", "n_missing_ticker", "n_corrupt", "valid")
+    """Company-list files of every kind, each list also cut before its end, without a byte, without a record, and
+    as its first record alone: one outcome a file, and where a malformed one stops being JSON."""
+    root = scratch_dir(spark, "company-validate")
+    texts = company_json.company_arrays(X.company(spark, d), per_file=100)
+    whole = F.col("value")
+    first = F.regexp_replace(F.split(whole, "\n")[1], ",$", "")
+    kinds = [("list", whole), ("cut", F.expr("substring(value, 1, length(value) - 2)")), ("zero", F.lit("")), ("empty", F.lit("[]")),
+             ("object", first)]
+    files = texts.select("file_no", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), t.alias("content")) for k, t in kinds))).alias("f"))
+    member = F.concat(F.col("f.kind"), F.lit("_"), F.col("file_no").cast("string"), F.lit(".json"))
+    write_tree(files.select(member.alias("member"), F.col("f.content").alias("content")), root, mtime=None)
+    v = cj.validate_company_list(spark, root)
+    return v.select(F.element_at(F.split("file_path", "/"), -1).alias("name"), "outcome", "n_records", "n_missing_ticker", "n_corrupt",
+                    "valid", "error_line", "error_column", "error_offset")
 
 
 @query("src_html_table", _COMPANY_SQL)

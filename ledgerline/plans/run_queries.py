@@ -192,16 +192,6 @@ def top_recent(spark, d):
     return top.select("rel_path", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("mtime_text"), "size")
 
 
-@query("qa_zero_length", """
-SELECT i.accession, i.ticker FROM filing_index i JOIN body_state b ON b.k = i.k WHERE b.body_chars = 0
-""")
-def qa_zero_length(spark, d):
-    """Bodies that arrived empty: they count as not landed."""
-    idx = X.filing_index(spark, d)
-    z = X.body_state(spark, d, idx).filter(F.col("body_chars") == 0)
-    return idx.join(z.select("k"), "k", "left_semi").select("accession", "ticker")
-
-
 @query("snk_staged_cleanup", """
 SELECT accession, ticker, form, filing_year FROM staged s
 WHERE NOT EXISTS (SELECT 1 FROM completion c WHERE c.ok AND c.ticker = s.ticker)

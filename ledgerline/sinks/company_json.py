@@ -21,10 +21,10 @@ def write_company_lines(company: DataFrame, path: str) -> None:
     _records(company).write.mode("errorifexists").json(path)
 
 
-def write_company_arrays(company: DataFrame, path: str, per_file: int = 1000, order: str = "list_pos") -> None:
-    """The reference's shape — a JSON array of records per file — cut into files of at most
-    ``per_file`` records in list order. File numbers come from the exact rank (unique even when
-    positions repeat), so every file's group is bounded by ``per_file``."""
+def company_arrays(company: DataFrame, per_file: int = 1000, order: str = "list_pos") -> DataFrame:
+    """(file_no, value): the reference's shape, a JSON array of records, cut into texts of at most ``per_file``
+    records in list order. File numbers come from the exact rank (unique even when positions repeat), so every
+    file's group is bounded by ``per_file``."""
     from ledgerline.operators.ranking import ordered_rank
 
     rec = company.select(
@@ -36,4 +36,9 @@ def write_company_arrays(company: DataFrame, path: str, per_file: int = 1000, or
     rec = rec.withColumn("file_no", S.batch_of("_rank", per_file) - 1)
     files = rec.groupBy("file_no").agg(F.sort_array(F.collect_list(F.struct("_rank", "_json"))).alias("_r"))
     text = F.concat(F.lit("[\n"), F.array_join(F.transform("_r", lambda x: x["_json"]), ",\n"), F.lit("\n]"))
-    files.select("file_no", text.alias("value")).write.mode("errorifexists").partitionBy("file_no").text(path)
+    return files.select("file_no", text.alias("value"))
+
+
+def write_company_arrays(company: DataFrame, path: str, per_file: int = 1000, order: str = "list_pos") -> None:
+    """Write the array texts, one file each."""
+    company_arrays(company, per_file, order).write.mode("errorifexists").partitionBy("file_no").text(path)

@@ -1,17 +1,14 @@
 """Company list readers with the reference's error classes: a missing file and malformed JSON
-fail (FAILFAST), an empty list is reported by validation, missing keys become nulls."""
+fail (FAILFAST), missing keys become nulls; validation reports on files of any content without failing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.schemas import COMPANY_JSON
 from ledgerline.sinks.company_json import KEY_CIK, KEY_NAME, KEY_TICKER
 
-CORRUPT = "_corrupt_record"
-
 
 def read_company_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read JSON-array files (``multiline``) or JSON Lines into (ticker, company_name, cik)."""
@@ -20,31 +17,62 @@ def read_company_list(spark: SparkSession, path: str, multiline: bool = True) ->
                      F.col(KEY_CIK).alias("cik"))
 
 
-def validate_company_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Per file: records, records without a ticker, corrupt records, and ``valid`` (parsable
-    and not empty). Parses PERMISSIVE so one bad file does not stop the report. Every listed
-    ``*.json`` file appears, including empty lists (which yield no record to group on)."""
-    from ledgerline.sources.archives import list_files
-
-    schema = T.StructType(COMPANY_JSON.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-          .select("*", F.url_decode(F.col("_metadata.file_path")).alias("file_path")))
-    # Spark refuses a query that references only the corrupt-record column; keep the record columns in.
-    bad = F.col(CORRUPT).isNotNull()
-    g = df.groupBy("file_path").agg(
-        F.count_if(~bad).alias("n_records"),
-        F.count_if(~bad & F.col(KEY_TICKER).isNull()).alias("n_missing_ticker"),
-        F.count_if(bad).alias("n_corrupt"),
-    )
-    files = list_files(spark, path, "*.json").select(F.col("archive_path").alias("file_path"))
-    if files.isEmpty():  # a single file path, or a folder the file system lists differently
-        files = g.select("file_path")
-    out = files.join(g, "file_path", "left")
-    zero = F.lit(0).cast("bigint")
-    return out.select(
-        "file_path",
-        F.coalesce("n_records", zero).alias("n_records"),
-        F.coalesce("n_missing_ticker", zero).alias("n_missing_ticker"),
-        F.coalesce("n_corrupt", zero).alias("n_corrupt"),
-    ).withColumn("valid", (F.col("n_corrupt") == 0) & (F.col("n_records") > 0))
+OUTCOMES = ("valid", "malformed", "empty", "single_object", "not_a_list")
+REPORT = ("file_path string, outcome string, n_records bigint, n_missing_ticker bigint, n_corrupt bigint, "
+          "error string, error_line bigint, error_column bigint, error_offset bigint")
+
+
+def _check(text: str) -> tuple:
+    """Outcome, records, records without a ticker, entries that are no records, and the error with its place."""
+    import json
+
+    try:
+        data = json.loads(text)
+    except json.JSONDecodeError as e:
+        return "malformed", 0, 0, 1, e.msg, e.lineno, e.colno, e.pos
+    if isinstance(data, dict):
+        return "single_object", 1, int(data.get(KEY_TICKER) is None), 0, None, None, None, None
+    if not isinstance(data, list):
+        return "not_a_list", 0, 0, 1, None, None, None, None
+    records = [r for r in data if isinstance(r, dict)]
+    missing = sum(r.get(KEY_TICKER) is None for r in records)
+    return "valid" if data else "empty", len(records), missing, len(data) - len(records), None, None, None, None
+
+
+def _check_files(batches):
+    import pandas as pd
+
+    from ledgerline.sinks.archives import filesystem
+
+    names = [c.split()[0] for c in REPORT.split(", ")]
+    for pdf in batches:
+        for file_path in pdf["archive_path"]:
+            fs, path = filesystem(file_path)
+            with fs.open_input_stream(path, compression=None) as f:
+                raw = f.read()
+            try:
+                row = _check(raw.decode("utf-8"))
+            except UnicodeDecodeError as e:
+                head = raw[:e.start].decode("utf-8")
+                row = ("malformed", 0, 0, 1, "invalid UTF-8", head.count("\n") + 1, len(head) - (head.rfind("\n") + 1) + 1, len(head))
+            out = pd.DataFrame([(file_path, *row)], columns=names)
+            yield out.astype({c: "Int64" for c in names if c.startswith(("error_", "n_"))})
+
+
+def validate_company_list(spark: SparkSession, path: str) -> DataFrame:
+    """One row per ``*.json`` file in a folder (or for one file), whatever is in it: the outcome (``OUTCOMES``; a file
+    without a byte is malformed), records, records without a ticker, entries that are no records, and for a
+    malformed file the parser's message and where it stopped (line and column from 1, offset in code points
+    from 0). ``valid``: an array of records that is not empty.
+
+    Each file is read once, whole, by one task: a list file is one JSON value and cannot be split."""
+    from ledgerline.session import ship_package
+    from ledgerline.sources.archives import list_files, spread
+
+    ship_package(spark)
+    if path.endswith(".json"):
+        files = spark.createDataFrame([(path,)], "archive_path string")
+    else:
+        files = list_files(spark, path, "*.json").select("archive_path")
+    report = spread(files).mapInPandas(_check_files, REPORT)
+    return report.withColumn("valid", (F.col("outcome") == "valid") & (F.col("n_corrupt") == 0))
