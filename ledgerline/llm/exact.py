@@ -184,8 +184,17 @@ def _repeated(spark: SparkSession, tables: list[DataFrame], groups: DataFrame, b
 
 
 def _differing(repeated: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows whose text is not that of their group's row that stays."""
-    # found by id and digest, so the copies of a large group never meet in one task
+    """Rows whose text is not that of their group's row that stays.
+
+    Texts of one digest are compared by the least and the greatest of them, which tasks reduce before they
+    meet; only where these differ are the rows of the digest joined with the row that stays.
+    """
+    unlike = repeated.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("digest")
+    at = scratch_dir(repeated.sparkSession, "unlike-digests")
+    unlike = _written(repeated.sparkSession, unlike, at)
+    if unlike.isEmpty():
+        return repeated.select("digest", "doc_id", "text").limit(0)
+    repeated = repeated.join(unlike, "digest", "left_semi")
     stays = (repeated.join(groups.select("digest", F.col("last").alias("doc_id")), ["digest", "doc_id"])
              .groupBy("digest").agg(F.min("text").alias("text_of_last")))
     nameless = (repeated.filter("doc_id IS NULL").join(groups.filter("last IS NULL").select("digest"), "digest")
