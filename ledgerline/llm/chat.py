@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 SPECIAL = r"([<\[\\])"
 ESCAPED = r"([<\[\\])\\"
+FLAGGED, PLAIN = "1", "0"
 
 
 @dataclass(frozen=True)
@@ -59,15 +60,12 @@ def _by_role(role: Column, template: Template, part: int, otherwise: Column) ->
     return out.otherwise(otherwise)
 
 
-def _segments(role: Column, text: Column, template: Template) -> Column:
-    """Opening, text and closing of a turn; the text alone may be under the loss mask."""
+def _pieces(role: Column, text: Column, template: Template) -> Column:
+    """Opening, escaped text and closing of a turn."""
     before, between, after = template.other
     opening = _by_role(role, template, 0, F.concat(F.lit(before), escape(role), F.lit(between)))
     closing = _by_role(role, template, 1, F.lit(after))
-    flagged = role.isin(list(template.loss))
-    return F.array(F.struct(opening.alias("text"), F.lit(False).alias("loss")),
-                   F.struct(escape(text).alias("text"), flagged.alias("loss")),
-                   F.struct(closing.alias("text"), F.lit(False).alias("loss")))
+    return F.struct(opening.alias("opening"), escape(text).alias("text"), closing.alias("closing"))
 
 
 def format_conversations(turns: DataFrame, template: Template = Template()) -> DataFrame:
@@ -75,16 +73,22 @@ def format_conversations(turns: DataFrame, template: Template = Template()) -> D
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
     # escaping happens per turn, before the turns of a conversation meet
-    rows = rows.select("conv_id", F.struct("turn", "role", "text", _segments(F.col("role"), F.col("text"), template)
-                                           .alias("segments")).alias("t"))
+    rows = rows.select("conv_id", F.struct("turn", "role", "text", _pieces(F.col("role"), F.col("text"), template)
+                                           .alias("pieces")).alias("t"))
     conv = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    segments = F.flatten(F.transform("t", lambda x: x["segments"]))
-    walked = F.aggregate(
-        F.transform("t", lambda x: x["role"]),
-        F.struct(F.lit("start").alias("state"), F.lit(0).alias("seen"), F.lit(None).cast("int").alias("bad")),
-        lambda acc, r: _step(acc, r, template))
-    conv = conv.select("conv_id", F.size("t").cast("bigint").alias("n_turns"), segments.alias("segments"),
-                       walked.alias("walk"))
+    start = F.struct(F.lit("start").alias("state"), F.lit(0).alias("seen"), F.lit(None).cast("int").alias("bad"),
+                     F.lit("").alias("flags"))
+    walked = F.aggregate(F.transform("t", lambda x: x["role"]), start, lambda acc, r: _step(acc, r, template))
+    conv = conv.select("conv_id", "t", F.size("t").cast("bigint").alias("n_turns"), walked.alias("walk"))
+
+    def emitted(turn: Column, place: Column) -> Column:
+        """The segments of a turn; its text is under the loss mask if the machine flagged the turn."""
+        flag = F.substring(F.col("walk.flags"), place + 1, F.lit(1)) == FLAGGED
+        return F.array(F.struct(turn["pieces"]["opening"].alias("text"), F.lit(False).alias("loss")),
+                       F.struct(turn["pieces"]["text"].alias("text"), flag.alias("loss")),
+                       F.struct(turn["pieces"]["closing"].alias("text"), F.lit(False).alias("loss")))
+
+    conv = conv.select("conv_id", "n_turns", "walk", F.flatten(F.transform("t", emitted)).alias("segments"))
     return conv.select(
         "conv_id", "n_turns", F.concat_ws("", F.transform("segments", lambda s: s["text"])).alias("formatted"),
         "segments", (F.col("walk.bad").isNull() & F.col("walk.state").isin(list(template.accept))).alias("valid"),
@@ -92,14 +96,18 @@ def format_conversations(turns: DataFrame, template: Template = Template()) -> D
 
 
 def _step(acc: Column, role: Column, template: Template) -> Column:
-    """One move of the state machine; a role that may not follow is noted, and the walk goes on."""
+    """One move of the state machine, and the loss flag of the state that it enters; a role that may not follow
+    is noted, and the walk goes on from it."""
     state = F
     for here, moves in template.moves.items():
         for seen, there in moves.items():
             state = state.when((acc["state"] == here) & (role == seen), F.lit(there))
     to = state.otherwise(F.lit(None).cast("string"))
-    return F.struct(F.coalesce(to, role).alias("state"), (acc["seen"] + 1).alias("seen"),
-                    F.coalesce(acc["bad"], F.when(to.isNull(), acc["seen"])).alias("bad"))
+    entered = F.coalesce(to, role)
+    flag = F.when(entered.isin(list(template.loss)), F.lit(FLAGGED)).otherwise(F.lit(PLAIN))
+    return F.struct(entered.alias("state"), (acc["seen"] + 1).alias("seen"),
+                    F.coalesce(acc["bad"], F.when(to.isNull(), acc["seen"])).alias("bad"),
+                    F.concat(acc["flags"], flag).alias("flags"))
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:

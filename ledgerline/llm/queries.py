@@ -43,12 +43,6 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(documents(spark, sf_dir), width=4, num=85, den=100)
 
 
-@query("op1_ngram_links")
-def op1_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same links, with the number of links of every document."""
-    return ngram_join.link(documents(spark, sf_dir), width=4, num=85, den=100, n_links=True)
-
-
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode its ids, and digest both."""
@@ -135,7 +129,12 @@ WITH t AS (
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), e AS (
   SELECT *, regexp_replace(text, '([<\[\\])', '\1\\', 'g') AS esc,
-         regexp_replace(role, '([<\[\\])', '\1\\', 'g') AS esc_role FROM t
+         regexp_replace(role, '([<\[\\])', '\1\\', 'g') AS esc_role,
+         coalesce(lag(role) OVER o, 'start') AS before, row_number() OVER o - 1 AS place, lead(role) OVER o IS NULL AS last FROM t
+  WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), w AS (
+  SELECT *, NOT coalesce((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'),
+                                            ('assistant', 'user')), false) AS bad FROM e
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
@@ -143,8 +142,10 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
          AS loss_sha256,
        CAST(sum(length(esc) + CASE role WHEN 'system' THEN 20 WHEN 'user' THEN 22 WHEN 'assistant' THEN 20
-                                        ELSE 32 + length(esc_role) END) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
+                                        ELSE 32 + length(esc_role) END) AS BIGINT) AS formatted_chars,
+       NOT bool_or(bad OR (last AND role <> 'assistant')) AS valid,
+       CAST(min(place) FILTER (WHERE bad) AS INTEGER) AS first_bad_turn
+FROM w GROUP BY conv_id
 """
 
 
@@ -162,7 +163,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.concat_ws("", told), 256).alias("turns_sha256"),
                        F.char_length("loss_text").cast("bigint").alias("loss_chars"),
                        F.sha2("loss_text", 256).alias("loss_sha256"),
-                       F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+                       F.char_length("formatted").cast("bigint").alias("formatted_chars"), "valid", "first_bad_turn")
 
 
 @query("op10_pack")
