@@ -155,6 +155,7 @@ class Codec:
         miss = np.flatnonzero(whole < 0)
         if len(miss):
             _, example, pick = np.unique(keys[miss], return_index=True, return_inverse=True)
+            example, pick = self._by_bytes(t.data, starts[miss], ends[miss], example, pick)
             flat, sizes = self._merged(t.data, spans, starts[miss[example]], ends[miss[example]])
             many = sizes[pick]
             counts[miss] = many
@@ -168,6 +169,17 @@ class Codec:
             ids[target] = tk.gather_spans(flat, (np.cumsum(sizes) - sizes)[pick], many)
         return ids, offs[np.searchsorted(starts, t.offs, side="left")]
 
+    @staticmethod
+    def _by_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, example: np.ndarray,
+                  pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces grouped by hash are alike only if their bytes are: any other is an example of its own."""
+        size, first = ends - starts, example[pick]
+        alike = size == size[first]
+        alike[alike] = tk.same_bytes(data, starts[alike], starts[first[alike]], size[alike])
+        odd = np.flatnonzero(~alike)
+        pick[odd] = len(example) + np.arange(len(odd))
+        return np.concatenate((example, odd)), pick
+
     def ids_of(self, keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Id of each span by its hash and length, -1 where it is no vocabulary entry."""
         slots = self.hash.lookup(keys)

@@ -11,8 +11,8 @@ Lines without words stay, but leave with their document when no line with a word
    both. Lines that share no half with another line of the same class need no further work.
 3. The others emit their deletion neighbourhood: a hashed key for the line itself and for the line
    without each of its words. Keys of one line only fall away. Lines with equal variants meet, and
-   the edit distance is verified on a second hash of the variant and the place of the deleted word:
-   the same place (one replaced), or one line without a deletion (one inserted). Per variant only
+   the edit distance is verified on a second hash of the variant, of another kind (modulo primes, see
+   ``textkit.PrimeSums``; both together have 126 bits), and the place of the deleted word: the same place (one replaced), or one line without a deletion (one inserted). Per variant only
    the earliest place is kept, never a list of pairs, so a variant that a third of all lines share
    is a partial aggregate.
 4. Documents with lines to drop are rebuilt; the others never leave their task.
@@ -64,18 +64,23 @@ class Lines:
         up, down = np.full(n, _STEP, _U), np.full(n, _STEP_INV, _U)
         up[0] = down[0] = 1
         self.down = np.cumprod(down, dtype=_U)
-        up = np.cumprod(up, dtype=_U)
-        self.sums = []
-        for salt in (0, 0x5851F42D4C957F2D):
-            total = np.zeros(n, dtype=_U)
-            np.cumsum(tk.mix(words + _U(salt)) * up[:n - 1], out=total[1:])
-            self.sums.append(total)
+        self.sums = np.zeros(n, dtype=_U)
+        np.cumsum(tk.mix(words) * np.cumprod(up, dtype=_U)[:n - 1], out=self.sums[1:])
+        self.primes = tk.PrimeSums(tk.mix(words + _U(0x5851F42D4C957F2D)))
 
-    def ranges(self, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
-        return (self.sums[which][stop] - self.sums[which][start]) * self.down[start]
+    def ranges(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return (self.sums[stop] - self.sums[start]) * self.down[start]
 
-    def whole(self, which: int = 0) -> np.ndarray:
-        return tk.mix(self.ranges(self.first, self.first + self.size, which) + self.size.astype(_U))
+    def keys(self) -> np.ndarray:
+        """Keys of the whole lines, as ``deletions`` has them of lines less a word."""
+        return tk.mix(self.ranges(self.first, self.first + self.size) + self.size.astype(_U))
+
+    def proofs(self) -> np.ndarray:
+        return tk.mix(self.primes(self.first, self.first + self.size))
+
+    def whole(self) -> np.ndarray:
+        """What tells lines apart: both hashes."""
+        return tk.mix(self.keys() ^ self.proofs() * _U(_STEP))
 
     def halves(self, shorter: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the first and last half in the class of lines of ``size - shorter`` words."""
@@ -92,13 +97,11 @@ class Lines:
         line = np.repeat(pick, size)
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         first, stop = self.first[line], self.first[line] + self.size[line]
-        out = []
-        for which in (0, 1):
-            total = self.sums[which]
-            value = ((total[first + place] - total[first]) + (total[stop] - total[first + place + 1])
-                     * _U(_STEP_INV)) * self.down[first]
-            out.append(tk.mix(value + (self.size[line] - 1).astype(_U)))
-        return line, place, out[0], out[1]
+        value = ((self.sums[first + place] - self.sums[first]) + (self.sums[stop] - self.sums[first + place + 1])
+                 * _U(_STEP_INV)) * self.down[first]
+        key = tk.mix(value + (self.size[line] - 1).astype(_U))
+        proof = tk.mix(self.primes.joined(((first, first + place), (first + place + 1, stop))))
+        return line, place, key, proof
 
 
 def _rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -160,8 +163,8 @@ def variants(rows: DataFrame, shared) -> DataFrame:
                 pick = np.flatnonzero(ok)
                 pick = pick[np.unique(whole[pick], return_index=True)[1]]
                 line, place, key, proof = lines.deletions(pick)
-                out = [np.concatenate((whole[pick], whole[line])), np.concatenate((whole[pick], key)),
-                       np.concatenate((lines.whole(1)[pick], proof))]
+                out = [np.concatenate((whole[pick], whole[line])), np.concatenate((lines.keys()[pick], key)),
+                       np.concatenate((lines.proofs()[pick], proof))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)) for x in out]
                     + [pa.array(np.concatenate((np.full(len(pick), -1), place)).astype(np.int32))],

@@ -104,7 +104,7 @@ def base_counts(t: tk.Texts) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndar
     line_row = np.searchsorted(t.offs[1:], edges, side="right")
     first_word = np.searchsorted(starts, edges)
     inked = np.append(starts, np.int64(1 << 62))[first_word] < stop
-    dup_lines = np.bincount(line_row[inked][_seen_before(spans(edges, stop)[inked], line_row[inked])], minlength=n)
+    dup_lines = np.bincount(line_row[inked][_equal_before(t.data, spans, edges[inked], stop[inked], line_row[inked])], minlength=n)
 
     # words covered by 5-word windows that occur twice or more in their row
     windows = tk.window_hashes(words, 5)
@@ -128,9 +128,20 @@ def _grouped(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, new
 
 
-def _seen_before(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    order, new = _grouped(hashes, rows)
-    return order[~new]
+def _equal_before(data: np.ndarray, spans: tk.Spans, start: np.ndarray, stop: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Spans that equal an earlier one of their row. Equal hashes propose; the bytes decide."""
+    order, new = _grouped(spans(start, stop), rows)
+    leader = order[new][np.cumsum(new) - 1]
+    again, first = order[~new], leader[~new]
+    alike = (stop - start)[again] == (stop - start)[first]
+    alike[alike] = tk.same_bytes(data, start[again[alike]], start[first[alike]], (stop - start)[again[alike]])
+    found = again[alike].tolist()
+    seen: set[tuple[int, bytes]] = set()
+    for k in sorted(again[~alike].tolist()):  # one hash, other bytes than the first: among themselves
+        own = int(rows[k]), data[start[k]:stop[k]].tobytes()
+        found += [k] * (own in seen)
+        seen.add(own)
+    return np.array(found, dtype=np.int64)
 
 
 def _repeated(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:

@@ -27,6 +27,7 @@ _rng = np.random.default_rng(20240229)
 BYTE_CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
+LONG_SPAN = 256
 _POWERS = {"n": 0, "up": np.ones(0, _U), "down": np.ones(0, _U)}
 
 
@@ -83,16 +84,98 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+class PrimeSums:
+    """62-bit hashes of ranges of values: two polynomials modulo primes below 2^31.
+
+    A polynomial modulo 2^64 has equal values on strings that are built for it (from 1,024 values on),
+    whatever its base; modulo a prime it has not.
+    """
+
+    def __init__(self, values: np.ndarray):
+        self.parts = []
+        for prime, base in PRIMES:
+            up, down = _prime_powers(prime, base, len(values) + 1)
+            sums = np.zeros(len(values) + 1, dtype=_U)
+            # terms are below 2^31, so the sum of 2^33 of them fits
+            np.cumsum(values % _U(prime) * up[:len(values)] % _U(prime), out=sums[1:])
+            self.parts.append((_U(prime), sums, up, down))
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.joined(((starts, ends),))
+
+    def joined(self, ranges) -> np.ndarray:
+        """Hash of ranges as if they stood end to end, with the index of their first value given back."""
+        out = np.zeros(len(ranges[0][0]), dtype=_U)
+        for prime, sums, up, down in self.parts:
+            total, before = np.zeros(len(out), dtype=_U), np.zeros(len(out), dtype=np.int64)
+            for starts, ends in ranges:
+                own = (sums[ends] - sums[starts]) % prime * down[starts] % prime
+                total = (total + own * up[before] % prime) % prime
+                before = before + (ends - starts)
+            out = (out << _U(31)) | total
+        return out
+
+
+#: primes below 2^31, each with a base
+PRIMES = ((2147483647, 1103515245), (2147483629, 1759714727))
+_PRIME_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _prime_powers(prime: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo ``prime`` for i < n (at least), by doubling."""
+    known = _PRIME_POWERS.get(prime)
+    if known is None or len(known[0]) < n:
+        size = max(n, SLICE_BYTES + 1)
+        known = []
+        for b in (base, pow(base, -1, prime)):
+            out = np.ones(size, dtype=_U)
+            done = 1
+            while done < size:
+                more = min(done, size - done)
+                out[done:done + more] = out[:more] * _U(pow(b, done, prime)) % _U(prime)
+                done += more
+            known.append(out)
+        _PRIME_POWERS[prime] = known = tuple(known)
+    return known
+
+
 class Spans:
-    """64-bit hashes of byte spans, from prefix sums of a polynomial over coded bytes."""
+    """64-bit hashes of byte spans, from prefix sums of a polynomial over coded bytes; spans of ``LONG_SPAN``
+    bytes or more are hashed modulo primes as well (see ``PrimeSums``)."""
 
     def __init__(self, data: np.ndarray):
         up, self.down = powers(len(data) + 1)
+        self.data = data
         self.sums = np.zeros(len(data) + 1, dtype=_U)
         np.cumsum(BYTE_CODES[data] * up[:len(data)], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(_U))
+        size = ends - starts
+        out = mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + size.astype(_U))
+        long = np.flatnonzero(size >= LONG_SPAN)
+        if len(long):
+            many = size[long]
+            if many.sum() < len(self.data):  # few of them: their bytes alone, end to end
+                values, stop = gather_spans(self.data, starts[long], many), np.cumsum(many)
+                start = stop - many
+            else:
+                values, start, stop = self.data, starts[long], ends[long]
+            out[long] = mix(out[long] ^ PrimeSums(BYTE_CODES[values] >> _U(33))(start, stop))
+        return out
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the spans of ``size`` bytes that start at ``a`` and at ``b`` are equal, pair by pair."""
+    out = np.ones(len(size), dtype=bool)
+    ends = np.cumsum(size)
+    first = 0
+    while first < len(size):
+        stop = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SLICE_BYTES, side="right")))
+        some = size[first:stop]
+        unlike = gather_spans(data, a[first:stop], some) != gather_spans(data, b[first:stop], some)
+        out[first + np.repeat(np.arange(len(some)), some)[unlike]] = False
+        first = stop
+    return out
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

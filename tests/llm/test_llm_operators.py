@@ -168,11 +168,64 @@ def test_ngram_link_counts_in_blocks(spark, monkeypatch):
 
 def test_ngram_links_query_on_table(spark, small):
     rows, _ = small
-    out = queries.queries()["op1_ngram_links"](spark, SF).collect()
+    out = ngram_join.link(spark.read.parquet(f"{SF}/documents.parquet"), width=4, num=85, den=100, n_links=True).collect()
     assert Counter((r.doc_id, r.n_links) for r in out) == links_by_force(rows, 4, 85, 100)
     assert Counter(tuple(r)[:3] for r in out) == components_by_force(rows, 4, 85, 100)
 
 
+# hashes only propose: strings that are equal under any polynomial hash modulo 2^64
+
+
+def twins(n, a="a", b="b"):
+    """The Thue-Morse sequence over two letters, and its complement."""
+    one = [a if bin(i).count("1") % 2 == 0 else b for i in range(n)]
+    return one, [b if x == a else a for x in one]
+
+
+def twin_rows():
+    one, other = ("".join(x) for x in twins(2048))
+    words, other_words = (" ".join(x) for x in twins(2048, "xx", "yy"))
+    texts = [one + "q", other + "q", f"{one}\n{other}\n{one}", words, other_words, f"{words}\n{other_words}", f"{one} {other} c d e f",
+             f"{other} {one} c d e f", " ".join([one] * 3 + [other] * 3)]
+    return list(enumerate(texts))
+
+
+def test_twin_strings_are_told_apart(spark, tokenizer):
+    rows = twin_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    codec = bpe.Codec.from_rank_file(P.path("byte_bpe_50k.tiktoken"))
+    for r in bpe.encode(df, codec, keep_text=True).collect():
+        assert list(struct.unpack(f"<{r.n_tokens}I", r.ids)) == tokenizer.encode_ordinary(r.text)
+    for r in quality.score(df, None).collect():
+        assert r.n_dup_lines == (1 if r.doc_id == 2 else 0)
+    kept = {r.doc_id: r.text for r in lines.dedup(df, drop_emptied=False).collect()}
+    assert kept[3] == rows[3][1] and kept[4] == rows[4][1] and kept[0] == rows[0][1] and kept[1] == rows[1][1]
+    assert kept[5] == "" and kept[2] == "\n".join(rows[2][1].split("\n")[:2])
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link(df).collect())
+    assert got == components_by_force(rows, 4, 85, 100)
+
+
+def test_equal_hashes_do_not_decide(monkeypatch):
+    """With every hash equal the bytes alone decide."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ledgerline.llm import textkit as tk
+
+    codec = bpe.Codec.from_rank_file(P.path("byte_bpe_50k.tiktoken"))
+    size = np.array([3, 3, 4, 3, 3])
+    data = np.frombuffer(b"abcabdabcdabcabd", np.uint8)
+    starts = np.cumsum(size) - size
+    example, pick = codec._by_bytes(data, starts, starts + size, np.array([0]), np.zeros(5, dtype=np.int64))
+    spans = [data[starts[k]:starts[k] + size[k]].tobytes() for k in example[pick]]
+    assert spans == [b"abc", b"abd", b"abcd", b"abc", b"abd"]
+    lines_ = "x a\nb b\nb b\nx a\nx a\nb b\nccc"
+    text = next(tk.text_slices(pa.array([lines_, lines_, "b b"])))
+    real = quality.base_counts(text)[0]["n_dup_lines"].tolist()
+    monkeypatch.setattr(tk.Spans, "__call__", lambda self, starts, ends: np.zeros(len(starts), dtype=np.uint64))
+    assert quality.base_counts(text)[0]["n_dup_lines"].tolist() == real == [4, 4, 0]
+
+
 # 2 byte-level BPE
 
 
@@ -274,6 +327,8 @@ def test_suffix_dedup(fixture, monkeypatch, salt, screen):
     monkeypatch.setattr(suffixes, "SALT_CONTENTS", salt)
     monkeypatch.setattr(suffixes, "FILTER_BYTES", screen)
     monkeypatch.setattr(suffixes, "GROUP_BYTES", 4000)
+    monkeypatch.setattr(suffixes, "SALT_BYTES", 100 * salt)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 1000)
     got = suffixes.cut(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert Counter((*r[:4], bytes(r[4])) for r in got) == cut_by_force(pairs(rows))
 
@@ -299,6 +354,22 @@ def test_merge_is_the_order_of_the_union():
     assert source.tolist() == [s for _, s, _ in every]
     common = [0] + [next((k for k in range(6) if a[0][k] != b[0][k]), 6) for a, b in zip(every, every[1:])]
     assert prefix.tolist() == common
+    source, prefix = suffixes.merge([suffixes.transform(p)[0] for p in parts], 6, at_once=2)
+    assert source.tolist() == [s for _, s, _ in every] and prefix.tolist() == [k // 2 * 2 for k in common]
+
+
+def test_suffix_texts_of_one_id_are_told_apart(spark):
+    """Many null ids, and one id with many texts: ranges come back to the text that they were found in."""
+    rnd = random.Random(8)
+    base = "".join(rnd.choice("abcdefgh ") for _ in range(4000))
+    rows = [(0, base)]
+    for k in range(1500):
+        a = rnd.randrange(3900)
+        own = "".join(rnd.choice("ijklmnop ") for _ in range(40))
+        rows.append((None if k % 3 else 7, own + base[a:a + rnd.randint(40, 90)] + own[::-1]))
+    got = suffixes.cut(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert Counter((*r[:4], bytes(r[4])) for r in got) == cut_by_force(rows)
 
 
 def test_filter_cascade_is_exact(spark):
@@ -665,6 +736,11 @@ def test_pipeline_run(spark):
     assert out.count() > 0 and total.filter("n <> t").count() == 0
 
 
+def test_chat_machine_is_in_the_plan(spark):
+    plan = queries.queries()["op8_chat"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "flags" in plan
+
+
 def test_every_operator_has_its_query():
     names = queries.queries()
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and len(names) == 10
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and len(names) == 13
