@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join with rare-first prefix, length, positional and count-profile filters.
+"""N-gram Jaccard self-join with rare-first prefix, length, positional and suffix filters.
 
 Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
 ``den * intersection >= num * union``. The steps:
@@ -11,14 +11,15 @@ Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
 3. Keys of very frequent shingles are salted; each slice of a key is read as one sorted run, so no
    list is ever held. A run's first text (in an order drawn per key) is its anchor; the others
    become candidates with their anchor, the anchors of a salted key with the first of them.
-4. Candidates that pass the length and positional filters are taken once per pair, pass the profile
-   filter, in place of a suffix filter (a lower bound of the sets' difference from the count profiles), and are verified on
-   their whole sets. A text meets the ``ANCHORS`` anchors first with which it shares most keys. The
+4. Candidates that pass the length and positional filters are taken once per pair and screened by the count
+   profiles (a lower bound of the sets' difference that needs no set). The pairs that are left get their whole
+   sets, pass the suffix filter (the ordered sets are halved ``DEPTH`` times at the pivots of one of them; parts of
+   unequal size differ at least by that), and are verified once. A text meets the ``ANCHORS`` anchors first with which it shares most keys. The
    links give provisional components. ``ROUNDS`` more rounds compare, in keys whose texts lie in
    several components, the texts outside the key's largest component with a drawn member of it.
 5. What is left is exhausted: in every key with several components, each text outside the largest
-   one meets all texts of other components, in blocks of at most ``BLOCK`` of them, under the same
-   three filters; the pairs that pass are verified. So every pair that could still connect two
+   one meets all texts of other components, in pairs of blocks of at most ``BLOCK`` texts, under the same
+   filters; the pairs that pass are verified. So every pair that could still connect two
    components is looked at, and pairs inside a component are not.
 6. Numbers of links, if asked for: links lie inside components, so every two classes of a component
    meet exactly once, in a pair of blocks of bounded bytes, where their whole sets are compared. The
@@ -44,12 +45,14 @@ from ledgerline.session import scratch_dir, ship_package
 
 CELLS = 1 << 20          # hashed document frequencies: 4 MB, whatever the input
 CHUNK = 1 << 16
-PROFILE = 256            # one-byte counts per text for the suffix filter
+PROFILE = 256            # one-byte counts per text that screen pairs
+FOLDED = 64              # the same, folded, where every text of a block is compared
+DEPTH = 4                # halvings of the suffix filter
 HOT = 2048               # postings of one key beyond which it is salted
 MERGE = 64               # partial tables that one task adds up
 ANCHORS = 2              # anchors that a text meets first; step 5 covers the others
 ROUNDS = 2
-BLOCK = 4096             # texts of one key that a probing text meets at once
+BLOCK = 4096             # texts of one key on either side of a block of step 5
 BUCKET_ROWS = 20_000     # rows of step 5 in one group
 SIDE_SHINGLES = 1 << 20  # shingles (8 MB) and texts of a component in one block of step 6
 SIDE_TEXTS = 2048
@@ -211,7 +214,7 @@ def _may_link(n: Column, pos: Column, an: Column, apos: Column, num: int, den: i
     return (short * den >= long * num) & (possible.cast("long") * (num + den) >= (n.cast("long") + an) * num)
 
 
-def _suffix_filter(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def _profile_filter(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose count profiles do not already differ too much."""
     a = classes.select(F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("counts").alias("a_counts"))
     b = classes.select(F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("counts").alias("b_counts"))
@@ -233,6 +236,23 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, num: int, den: int) ->
     return both.mapInArrow(run, "a long, b long")
 
 
+def suffix_filter(x: np.ndarray, y: np.ndarray, need: int) -> bool:
+    """Whether two ordered sets may have ``need`` elements in common.
+
+    The pivots of ``y`` (its middle, the middles of its halves, and so on) cut both sets into parts of the same
+    ranges of values; what two parts have in common is at most the smaller of them, and a pivot is common only
+    if ``x`` has it.
+    """
+    parts = min(1 << DEPTH, len(y) + 1)
+    at = np.arange(1, parts) * len(y) // parts
+    pivots = y[at]
+    low = np.searchsorted(x, pivots)
+    has = (x[np.minimum(low, max(len(x) - 1, 0))] == pivots) if len(x) else np.zeros(len(at), dtype=bool)
+    ends_x, starts_x = np.append(low, len(x)), np.append(0, low + has)
+    ends_y, starts_y = np.append(at, len(y)), np.append(0, at + 1)
+    return int(np.minimum(ends_x - starts_x, ends_y - starts_y).sum() + has.sum()) >= need
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose whole sets reach the threshold; the pair's set sizes come from the sets."""
     a = sets.select(F.col("cid").alias("a"), F.col("hashes").alias("x"))
@@ -246,6 +266,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                 x, y = np.frombuffer(xs[i].as_buffer(), "<u8"), np.frombuffer(ys[i].as_buffer(), "<u8")
                 if len(x) > len(y):
                     x, y = y, x
+                if not suffix_filter(x, y, -(-num * (len(x) + len(y)) // (num + den))):
+                    continue
                 at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
                 common = int((y[at] == x).sum()) if len(y) else 0
                 keep[i] = den * common >= num * (len(x) + len(y) - common)
@@ -288,11 +310,12 @@ def _few_anchors(near: DataFrame) -> DataFrame:
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
-    """key, its texts, and its largest component, of keys with several components."""
+    """key, its texts, its largest component, and the texts outside that, of keys with several components."""
     inside = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     return inside.groupBy("key").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("comps"),
-        F.max(F.struct("n", "comp")).alias("m")).filter("comps > 1").select("key", "total", F.col("m.comp").alias("top"))
+        F.max(F.struct("n", "comp")).alias("m")).filter("comps > 1").select(
+            "key", "total", F.col("m.comp").alias("top"), (F.col("total") - F.col("m.n")).alias("others"))
 
 
 def _against_top(placed: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
@@ -305,23 +328,28 @@ def _against_top(placed: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
 
 
 def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int, num: int, den: int) -> DataFrame:
-    """Pairs of texts of one key and different components that pass the length, positional and suffix filters."""
-    rows = placed.join(mixed, "key").join(classes.select("cid", "counts"), "cid")
-    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    columns = ["key", "cid", "n", "pos", "comp", "counts"]
-    met = rows.select(*columns, F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("block"), F.lit(False).alias("probe"))
-    probes = rows.filter("comp != top").select(
-        *columns, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("probe"))
-    dealt = met.unionByName(probes).withColumn("group", F.pmod(F.xxhash64("key", "block"), F.lit(groups)).cast("int"))
+    """Pairs of texts of one key and different components that pass the length, positional and profile filters.
+
+    Both sides are cut into blocks, so that no task holds more than two blocks of a key at once."""
+    rows = placed.join(mixed, "key").join(classes.select("cid", "folded"), "cid")
+    blocks, sides = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("total", "others"))
+    columns = ["key", "cid", "n", "pos", "comp", "folded"]
+    own = [F.pmod(F.xxhash64("cid"), k).cast("int") for k in (blocks, sides)]
+    every = [F.explode(F.sequence(F.lit(0), k - 1)) for k in (blocks, sides)]
+    met = rows.select(*columns, own[0].alias("block"), every[1].alias("side"), F.lit(False).alias("probe"))
+    probes = rows.filter("comp != top").select(*columns, every[0].alias("block"), own[1].alias("side"), F.lit(True).alias("probe"))
+    dealt = met.unionByName(probes).withColumn("group", F.pmod(F.xxhash64("key", "block", "side"), F.lit(groups)).cast("int"))
 
     def work(table: pa.Table) -> pa.Table:
-        key, cid, n, pos, comp, block = (table.column(c).to_numpy() for c in ("key", "cid", "n", "pos", "comp", "block"))
+        key, cid, n, pos, comp, block, side = (table.column(c).to_numpy() for c in ("key", "cid", "n", "pos", "comp", "block", "side"))
         probe = table.column("probe").to_numpy()
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, PROFILE)
+        counts = np.frombuffer(b"".join(table.column("folded").to_pylist()), np.uint8).reshape(-1, FOLDED)
         n, pos = n.astype(np.int64), pos.astype(np.int64)
-        order = np.lexsort((probe, block, key))
+        order = np.lexsort((probe, side, block, key))
         edge = np.ones(len(order) + 1, dtype=bool)
-        edge[1:-1] = (key[order][1:] != key[order][:-1]) | (block[order][1:] != block[order][:-1])
+        edge[1:-1] = False
+        for column in (key, block, side):
+            edge[1:-1] |= column[order][1:] != column[order][:-1]
         bounds = np.flatnonzero(edge)
         found: set[tuple[int, int]] = set()
         for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -464,8 +492,7 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
     shared = written(anchored(postings(docs, table, width, num, den)), "shared")
     anchors = shared.select("key", F.col("acid").alias("cid"), F.col("an").alias("n"), F.col("apos").alias("pos"))
     members = written(shared.select("key", "cid", "n", "pos").unionByName(anchors).distinct(), "members")
-    classes = written(rows.join(members.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
-        F.min("row").alias("row"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
+    classes = written(_classes(rows, members), "classes")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Links among the pairs; only the texts of pairs that are still open are read again."""
@@ -487,7 +514,7 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pairs-{turn}")
-        open_pairs = written(_suffix_filter(pairs, classes, num, den), f"open-{turn}")
+        open_pairs = written(_profile_filter(pairs, classes, num, den), f"open-{turn}")
         tried = pairs if tried is None else tried.unionByName(pairs)
         more = verified(open_pairs, f"round-{turn}")
         links = more if links is None else links.unionByName(more)
@@ -522,6 +549,28 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
         *([F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")] if n_links else []))
 
 
+def _classes(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """cid, row, n, counts, folded of the classes that share a key (and a few others that the filter lets by):
+    the others' profiles never leave their task."""
+    screen = fuse.shared_filter(rows.sparkSession, members.select(F.col("cid").alias("key")), 16)
+    own = rows.select("cid", "row", "n", "counts")
+    if screen is None:
+        own = own.join(members.select("cid").distinct(), "cid", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            if screen is not None:
+                batch = batch.filter(pa.array(fuse.probe(screen.value, batch.column(0).to_numpy())))
+            if batch.num_rows:
+                counts = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, PROFILE // FOLDED, FOLDED)
+                folded = np.minimum(counts.sum(axis=1, dtype=np.int64), 255).astype(np.uint8)
+                yield batch.append_column("folded", tk.binary_array(folded, np.arange(len(folded) + 1) * FOLDED))
+
+    sifted = own.mapInArrow(run, "cid long, row long, n int, counts binary, folded binary")
+    return sifted.groupBy("cid").agg(F.min("row").alias("row"), F.first("n").alias("n"),
+                                     F.first("counts").alias("counts"), F.first("folded").alias("folded"))
+
+
 def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
     return (members.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left")
             .select("key", "cid", "n", "pos", F.coalesce("component", "cid").alias("comp")))

@@ -173,6 +173,35 @@ def test_ngram_links_query_on_table(spark, small):
     assert Counter(tuple(r)[:3] for r in out) == components_by_force(rows, 4, 85, 100)
 
 
+def test_suffix_filter_never_loses_and_does_reject():
+    import numpy as np
+
+    rnd = random.Random(5)
+    rejected = 0
+    for _ in range(3000):
+        x, y = (np.array(sorted(rnd.sample(range(200), rnd.randint(0, 60))), dtype=np.uint64) for _ in range(2))
+        common = len(set(x.tolist()) & set(y.tolist()))
+        assert ngram_join.suffix_filter(x, y, common)
+        rejected += not ngram_join.suffix_filter(x, y, min(len(x), len(y)))
+    assert rejected > 500
+
+
+def test_blocks_on_both_sides_find_every_component(spark, monkeypatch):
+    """A frequent key whose texts lie in many components: blocks of three texts give what one block gives."""
+    rnd = random.Random(12)
+    groups = [[f"g{g}w{k}" for k in range(30)] for g in range(12)]
+    rows = []
+    for i in range(160):
+        words = list(groups[i % 12]) + ["common", "phrase", "of", "all"]
+        words[rnd.randrange(25)] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = components_by_force(rows, 4, 70, 100)
+    for name, value in (("BLOCK", 3), ("ANCHORS", 1), ("ROUNDS", 0)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link(df, 4, 70, 100).collect()) == want
+
+
 # hashes only propose: strings that are equal under any polynomial hash modulo 2^64
 
 
