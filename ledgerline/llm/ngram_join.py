@@ -46,14 +46,14 @@ from ledgerline.session import scratch_dir, ship_package
 CELLS = 1 << 20          # hashed document frequencies: 4 MB, whatever the input
 CHUNK = 1 << 16
 PROFILE = 256            # one-byte counts per text that screen pairs
-FOLDED = 64              # the same, folded, where every text of a block is compared
+PACKED = PROFILE // 2    # the same in half bytes (at most 15 each), where texts of a block are compared
 DEPTH = 4                # halvings of the suffix filter
 HOT = 2048               # postings of one key beyond which it is salted
 MERGE = 64               # partial tables that one task adds up
 ANCHORS = 2              # anchors that a text meets first; step 5 covers the others
 ROUNDS = 2
 BLOCK = 4096             # texts of one key on either side of a block of step 5
-BUCKET_ROWS = 20_000     # rows of step 5 in one group
+BUCKET_ROWS = 8_000      # rows of step 5 in one group
 SIDE_SHINGLES = 1 << 20  # shingles (8 MB) and texts of a component in one block of step 6
 SIDE_TEXTS = 2048
 COLUMNS = 4096           # shingles of one matrix product of step 6
@@ -331,9 +331,9 @@ def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int,
     """Pairs of texts of one key and different components that pass the length, positional and profile filters.
 
     Both sides are cut into blocks, so that no task holds more than two blocks of a key at once."""
-    rows = placed.join(mixed, "key").join(classes.select("cid", "folded"), "cid")
+    rows = placed.join(mixed, "key").join(classes.select("cid", "packed"), "cid")
     blocks, sides = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("total", "others"))
-    columns = ["key", "cid", "n", "pos", "comp", "folded"]
+    columns = ["key", "cid", "n", "pos", "comp", "packed"]
     own = [F.pmod(F.xxhash64("cid"), k).cast("int") for k in (blocks, sides)]
     every = [F.explode(F.sequence(F.lit(0), k - 1)) for k in (blocks, sides)]
     met = rows.select(*columns, own[0].alias("block"), every[1].alias("side"), F.lit(False).alias("probe"))
@@ -343,7 +343,8 @@ def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int,
     def work(table: pa.Table) -> pa.Table:
         key, cid, n, pos, comp, block, side = (table.column(c).to_numpy() for c in ("key", "cid", "n", "pos", "comp", "block", "side"))
         probe = table.column("probe").to_numpy()
-        counts = np.frombuffer(b"".join(table.column("folded").to_pylist()), np.uint8).reshape(-1, FOLDED)
+        halves = np.frombuffer(b"".join(table.column("packed").to_pylist()), np.uint8).reshape(-1, PACKED)
+        counts = np.concatenate((halves & 15, halves >> 4), axis=1).astype(np.int8)
         n, pos = n.astype(np.int64), pos.astype(np.int64)
         order = np.lexsort((probe, side, block, key))
         edge = np.ones(len(order) + 1, dtype=bool)
@@ -364,7 +365,7 @@ def _rest(placed: DataFrame, mixed: DataFrame, classes: DataFrame, groups: int,
                             & (np.minimum(n[some] - pos[some], n[i] - pos[i]) * (num + den) >= total * num)]
                 if not len(some):
                     continue
-                apart = np.abs(counts[some].astype(np.int16) - counts[i]).sum(axis=1, dtype=np.int64)
+                apart = np.abs(counts[some] - counts[i]).sum(axis=1, dtype=np.int64)
                 total = n[some] + n[i]
                 some = some[(total - apart) // 2 * (num + den) >= total * num]
                 own = int(cid[i])
@@ -550,7 +551,7 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
 
 
 def _classes(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """cid, row, n, counts, folded of the classes that share a key (and a few others that the filter lets by):
+    """cid, row, n, counts, packed of the classes that share a key (and a few others that the filter lets by):
     the others' profiles never leave their task."""
     screen = fuse.shared_filter(rows.sparkSession, members.select(F.col("cid").alias("key")), 16)
     own = rows.select("cid", "row", "n", "counts")
@@ -562,13 +563,13 @@ def _classes(rows: DataFrame, members: DataFrame) -> DataFrame:
             if screen is not None:
                 batch = batch.filter(pa.array(fuse.probe(screen.value, batch.column(0).to_numpy())))
             if batch.num_rows:
-                counts = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, PROFILE // FOLDED, FOLDED)
-                folded = np.minimum(counts.sum(axis=1, dtype=np.int64), 255).astype(np.uint8)
-                yield batch.append_column("folded", tk.binary_array(folded, np.arange(len(folded) + 1) * FOLDED))
+                counts = np.minimum(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8), 15).reshape(-1, 2, PACKED)
+                packed = counts[:, 0] | (counts[:, 1] << 4)
+                yield batch.append_column("packed", tk.binary_array(packed, np.arange(len(packed) + 1) * PACKED))
 
-    sifted = own.mapInArrow(run, "cid long, row long, n int, counts binary, folded binary")
+    sifted = own.mapInArrow(run, "cid long, row long, n int, counts binary, packed binary")
     return sifted.groupBy("cid").agg(F.min("row").alias("row"), F.first("n").alias("n"),
-                                     F.first("counts").alias("counts"), F.first("folded").alias("folded"))
+                                     F.first("counts").alias("counts"), F.first("packed").alias("packed"))
 
 
 def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
