@@ -3,14 +3,15 @@
 Base counts come from whole texts: words are ``[^\\x20\\x09-\\x0D]+``. A text fails the base rules
 with fewer than ``MIN_WORDS`` words, or when more than a fifth of its words lie in 5-word windows
 that occur twice or more. The model sees, per text, the shares of hashed word uni- and bigrams and
-of hashed byte 4-grams; it is fitted on at most ``SAMPLE_ROWS`` labelled rows (chosen by a hash of
-the id, so the choice does not follow the order of the table), calibrated by Platt scaling on the
-fifth of them that was held out, and applied in Arrow batches. A text is kept when it passes the
-base rules and its calibrated probability reaches ``THRESHOLD``.
-
-Null text: no words, so it fails. Labels that are null are not used; a label table with fewer than
-``MIN_LABELS`` rows of either class gives no model: every text then has probability 1 (the base
-rules decide alone). Repeated ids in the labels count once per pair with a document. Extra columns
+of hashed character 4-grams; it is fitted on at most ``SAMPLE_ROWS`` labelled rows, half of either class
+(chosen by a hash of the id, so the choice does not follow the order of the table), calibrated by Platt
+scaling on the fifth of them that was held out and set right for the classes' shares of all labels, and
+applied in Arrow batches. A text is kept when it passes the base rules and its calibrated probability
+reaches ``THRESHOLD``.
+
+Null text: no words, so it fails. Labels that are null or have no document are not used; with fewer than
+``MIN_LABELS`` of either class among all others there is no model: every text then has probability 1 (the
+base rules decide alone). An id that is labelled or held twice counts once for each label. Extra columns
 of the documents pass through ``filter_documents`` unchanged; those that share a name with an
 output column of ``score`` are not returned by it.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textkit as tk
-from ledgerline.session import ship_package
+from ledgerline.session import scratch_dir, ship_package
 
 # Documented parameters.
 SAMPLE_ROWS = 1_500
@@ -48,7 +49,7 @@ SCORE_SCHEMA = ("doc_id {}, n_words long, word_chars long, n_symbols long, n_dup
 
 @dataclass(frozen=True)
 class Model:
-    """Weights over hashed cells (words first, byte n-grams second), then the calibration line."""
+    """Weights over hashed cells (words first, character n-grams second), then the calibration line."""
 
     weights: np.ndarray
     slope: float
@@ -59,18 +60,23 @@ class Model:
 
 
 def grams(t: tk.Texts, words: np.ndarray, row: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(row numbers, cells) of the word uni- and bigrams and of the byte 4-grams."""
+    """(row numbers, cells) of the word uni- and bigrams and of the character 4-grams."""
     shift = _U(64 - int(CELLS).bit_length() + 1)
     pairs = tk.window_hashes(words, 2)
     same = row[:len(pairs)] == row[1:] if len(pairs) else np.zeros(0, dtype=bool)
     cells = np.concatenate((words >> shift, pairs[same] >> shift)).astype(np.int64)
     rows = np.concatenate((row, row[:len(pairs)][same]))
-    data = t.data.astype(np.uint32)
-    n = max(0, len(data) - 3)
-    four = (data[:n] | data[1:n + 1] << 8 | data[2:n + 2] << 16 | data[3:n + 3] << 24) * np.uint32(0x9E3779B1)
-    of_byte = np.repeat(np.arange(t.rows), np.diff(t.offs))
-    inside = of_byte[:n] == of_byte[3:] if n else np.zeros(0, dtype=bool)
-    return [(rows, cells), (of_byte[:n][inside],
+    lead, code = tk.code_points(t.data)
+    n = max(0, len(code) - 3)
+    low, high = code & np.uint32(0xFF), code >> np.uint32(8)
+    four = low[:n] | low[1:n + 1] << 8 | low[2:n + 2] << 16 | low[3:n + 3] << 24
+    if high.any():
+        for k, odd in enumerate((0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)):
+            four ^= high[k:n + k] * np.uint32(odd)
+    four *= np.uint32(0x9E3779B1)
+    of_char = np.searchsorted(t.offs[1:], lead, side="right")
+    inside = of_char[:n] == of_char[3:] if n else np.zeros(0, dtype=bool)
+    return [(rows, cells), (of_char[:n][inside],
                             (four[inside] >> np.uint32(33 - int(CELLS).bit_length())).astype(np.int64) + CELLS)]
 
 
@@ -159,12 +165,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fit on a bounded sample of labelled rows: ``sample_rows`` sparse rows reach the driver."""
     ship_package(docs.sparkSession)
+    positive = F.col("_label") != 0
     known = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int")
                                                                .alias("_label"))
-    # the sample is drawn from the small label table; only its documents are joined
-    drawn = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample_rows)
+    # ids alone meet here; texts are joined for the drawn rows only
+    known = known.join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi").distinct()
+    at = scratch_dir(docs.sparkSession, "labels")
+    known.write.parquet(at)
+    known = docs.sparkSession.read.parquet(at)
+    up, down = known.agg(F.count_if(positive), F.count_if(~positive)).first()
+    if min(up, down) < MIN_LABELS:
+        return None
+    order = [F.xxhash64("_id"), "_id", "_label"]
+    drawn = known.filter(positive).orderBy(*order).limit(sample_rows // 2).unionByName(
+        known.filter(~positive).orderBy(*order).limit(sample_rows // 2))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    sample = rows.join(F.broadcast(drawn), "_id").select("_id", "_label", "_text")
+    # an id may be held by any number of rows: one text of it is read
+    sample = rows.join(F.broadcast(drawn), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
 
     def cells(batches):
         for batch in batches:
@@ -189,11 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = sample.mapInArrow(cells, f"id {docs.schema[id_col].dataType.simpleString()}, label int, words binary, bytes binary")
     found = sorted(got.collect(), key=lambda r: (str(r["id"]), r["label"], r["words"]))
     y = np.array([1 if r["label"] else 0 for r in found], dtype=np.float64)
-    if y.sum() < MIN_LABELS or len(y) - y.sum() < MIN_LABELS:
-        return None
-    held = np.arange(len(y)) % 5 == 0
-    sparse = [_sparse(r) for r in found]
-    return _train(sparse, y, held)
+    # every fifth row of either class is held out
+    held = np.where(y > 0, np.cumsum(y), np.cumsum(1 - y)) % 5 == 0
+    return _train([_sparse(r) for r in found], y, held, up, down)
 
 
 def _sparse(row) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +220,9 @@ def _sparse(row) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(cells), np.concatenate(shares)
 
 
-def _train(sparse, y: np.ndarray, held: np.ndarray) -> Model:
-    """Full-gradient Adam on the log loss (classes weighted equally), then Platt scaling."""
+def _train(sparse, y: np.ndarray, held: np.ndarray, up: int, down: int) -> Model:
+    """Full-gradient Adam on the log loss (classes weighted equally), then Platt scaling, in which the held-out
+    rows of a class stand for all of its labels (``up`` and ``down``)."""
     row = np.repeat(np.arange(len(y)), [len(c) for c, _ in sparse])
     cell = np.concatenate([c for c, _ in sparse]).astype(np.int64)
     share = np.concatenate([s for _, s in sparse]).astype(np.float64)
@@ -225,25 +241,27 @@ def _train(sparse, y: np.ndarray, held: np.ndarray) -> Model:
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         w = w - STEP * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
-    slope, offset = _platt(raw()[held], y[held])
+    slope, offset = _platt(raw()[held], y[held], up, down)
     return Model(w, slope, offset)
 
 
-def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Newton steps on the two calibration parameters, with smoothed targets."""
-    up, down = y.sum(), len(y) - y.sum()
+def _platt(raw: np.ndarray, y: np.ndarray, up: int, down: int) -> tuple[float, float]:
+    """Newton steps on the two calibration parameters, with smoothed targets; ``up`` and ``down`` rows of the
+    classes are meant by those that are given."""
+    weight = np.where(y > 0, up / max(y.sum(), 1), down / max((1 - y).sum(), 1))
+    weight /= weight.sum()
     target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
     scale = max(raw.std(), 1e-9)
     a, b = 1.0 / scale, -raw.mean() / scale
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -50, 50)))
-        g = np.array([((p - target) * raw).sum(), (p - target).sum()])
-        s = p * (1 - p) + 1e-9
-        hess = np.array([[(s * raw * raw).sum(), (s * raw).sum()], [(s * raw).sum(), s.sum()]]) + 1e-9 * np.eye(2)
+        g = np.array([(weight * (p - target) * raw).sum(), (weight * (p - target)).sum()])
+        s = weight * (p * (1 - p) + 1e-9)
+        hess = np.array([[(s * raw * raw).sum(), (s * raw).sum()], [(s * raw).sum(), s.sum()]]) + 1e-12 * np.eye(2)
         move = np.linalg.solve(hess, g)
         size = min(1.0, 5.0 / max(abs(move).max(), 1e-9))
         a, b = a - size * move[0], b - size * move[1]
-        if abs(g).max() < 1e-9:
+        if abs(g).max() < 1e-12:
             break
     return (float(a), float(b)) if a > 0 else (1.0 / scale, float(-raw.mean() / scale))
 

@@ -274,6 +274,21 @@ def free_name(name: str, columns) -> str:
     return name
 
 
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte positions at which code points start, and the code points."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    byte = data[lead]
+    code = byte.astype(np.uint32)
+    for extra, low, high, mask in ((1, 0xC0, 0xE0, 0x1F), (2, 0xE0, 0xF0, 0x0F), (3, 0xF0, 0xF8, 0x07)):
+        wide = np.flatnonzero((byte >= low) & (byte < high))
+        if len(wide):
+            value = (byte[wide] & mask).astype(np.uint32)
+            for k in range(1, extra + 1):
+                value = (value << 6) | (data[lead[wide] + k] & 0x3F)
+            code[wide] = value
+    return lead, code
+
+
 def char_counts(data: np.ndarray) -> np.ndarray:
     """Code points that start before each byte position (length + 1 entries)."""
     out = np.zeros(len(data) + 1, dtype=np.int64)
