@@ -3,16 +3,17 @@
 Base spans (kinds assign, access, hex) always stay. The field tags every token of a line as the
 begin, the inside or outside of a secret. Its features are the token's shape, its neighbours'
 words and shapes, and two features of the whole text (shares of digits and of assignment signs);
-its labels in training are the base spans, on a sample of at most about ``SAMPLE_DOCS`` documents
-chosen by a hash of the id, with at most ``MAX_WINDOWS`` token windows. In half of the training
+its labels in training are the base spans, on at most ``MAX_WINDOWS`` token windows: half of them, chosen by a
+hash, of all windows around a base span anywhere, so that clean documents do not thin them out, and half
+of a sample of at most about ``SAMPLE_DOCS`` documents chosen by a hash of the id. In half of the training
 windows the words are hidden, so shapes have to carry the decision as well. A line is decoded by Viterbi; tokens
 whose lead for "outside" is larger than all that two transitions can change are outside in every
 best path, so only the runs between such tokens are walked. Tagged spans that touch no base span
 are added as kind ``crf``.
 
 Null and empty texts have no spans. Repeated rows give the same spans each. Offsets are code
-points, the end exclusive. Without a base span in the sample no field is fitted and base spans
-alone are returned.
+points, the end exclusive. Where no document has a base span no field is fitted (there is nothing to learn
+from) and none is returned.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ DECAY = 3e-5
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+# any text with a base span has one of these
+HINT = r"(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{32}"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
@@ -235,33 +238,37 @@ class Field:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Field | None:
-    """Train on windows of a bounded sample; at most ``MAX_WINDOWS`` windows reach the driver."""
+    """Train on windows; at most ``MAX_WINDOWS`` windows reach the driver."""
     ship_package(docs.sparkSession)
     total = docs.count()
     share = min(1.0, sample_docs / max(total, 1))
     sample = docs.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
-    def windows(batches):
+    def windows(batches, positive: bool):
         for batch in batches:
             for t in tk.text_slices(batch.column(0)):
+                spans = base_spans(t)
+                if positive and not spans:
+                    continue
                 tok = tokens(t)
-                tags = gold(tok, base_spans(t))
-                centre = np.concatenate((np.flatnonzero(tags == BEGIN), _spread(len(tags))))
-                feats, marks, hit = [], [], []
+                tags = gold(tok, spans)
+                centre = np.flatnonzero(tags == BEGIN) if positive else _spread(len(tags))
+                feats, marks = [], []
                 for c in centre.tolist():
                     a, b = max(0, c - WINDOW), min(len(tags), c + WINDOW)
                     here = np.arange(a, b)[tok.line[a:b] == tok.line[c]]
-                    feats.append(tok.feats[:, here].T.tobytes())
-                    marks.append(tags[here].tobytes())
-                    hit.append(bool(tags[here].any()))
+                    if positive or not tags[here].any():
+                        feats.append(tok.feats[:, here].T.tobytes())
+                        marks.append(tags[here].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(feats, pa.binary()), pa.array(marks, pa.binary()),
-                                                  pa.array(hit, pa.bool_())], names=["feats", "tags", "hit"])
+                                                  pa.array([positive] * len(feats), pa.bool_())], names=["feats", "tags", "hit"])
 
-    got = sample.select(F.col(text_col)).mapInArrow(windows, "feats binary, tags binary, hit boolean")
     order = F.xxhash64("feats", "tags")
     found = []
-    for hit in (True, False):
-        found += got.filter(F.col("hit") == hit).orderBy(order, "feats", "tags").limit(MAX_WINDOWS // 2).collect()
+    for rows, positive in ((docs.filter(F.col(text_col).rlike(HINT)), True), (sample, False)):
+        got = rows.select(F.col(text_col)).mapInArrow(lambda batches, p=positive: windows(batches, p),
+                                                      "feats binary, tags binary, hit boolean")
+        found += got.orderBy(order, "feats", "tags").limit(MAX_WINDOWS // 2).collect()
     if not any(r["hit"] for r in found):
         return None
     return _train([(np.frombuffer(r["feats"], np.uint16).reshape(-1, FEATURES).astype(np.int64),
