@@ -723,6 +723,59 @@ def test_packing_plan_uses_every_length():
         assert used == Counter(hist)
 
 
+def test_quality_learns_from_rare_labels(spark):
+    """Half a percent of the labels are of one class: what they teach is what a small table teaches."""
+    rnd = random.Random(3)
+    good = ["river", "stone", "market", "letter", "garden", "winter", "morning", "bridge", "village", "harbour"]
+    bad = ["click", "buy", "now", "free", "offer", "winner", "cheap", "deal", "casino", "bonus"]
+
+    def text(words, i):
+        return " ".join(rnd.choice(words) + str(rnd.randint(0, 30)) for _ in range(40)) + f" {i}"
+
+    rows = [(i, text(bad if i % 200 == 0 else good, i)) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 200 != 0)) for i in range(0, 14_000)], "doc_id long, quality int")  # some without documents
+    assert quality.fit(docs.filter("doc_id < 3800"), labels) is None  # 19 labels of the class
+    model = quality.fit(docs, labels)
+    probe = spark.createDataFrame([(i, text(bad if i % 2 else good, i)) for i in range(60)], "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in quality.score(probe, model).collect()}
+    assert sum(kept[i] == (i % 2 == 0) for i in kept) >= 57
+
+
+def test_character_grams_are_of_code_points():
+    import numpy as np
+    import pyarrow as pa
+
+    from ledgerline.llm import textkit as tk
+
+    texts = ["abcé中😀xyz", "éé", "", "plain ascii", "中文中文中"]
+    t = next(tk.text_slices(pa.array(texts)))
+    lead, code = tk.code_points(t.data)
+    assert code.tolist() == [ord(c) for c in "".join(texts)]
+    rows, cells = quality.grams(t, np.zeros(0, np.uint64), np.zeros(0, np.int64))[1]
+    assert Counter(rows.tolist()) == Counter({0: 6, 3: 8, 4: 2})
+    assert len(set(cells[rows == 4].tolist())) == 2
+
+
+def test_secret_field_does_not_thin_out(spark):
+    """One secret in thousands of clean documents teaches what it teaches alone."""
+    secret = [(i, f"config line {i}\npassword = Zx{i}qW8rT{i}vB\nend") for i in range(8)]
+    clean = [(100 + i, f"plain text number {i} about rivers and stones") for i in range(30_000)]
+    few = secrets.fit(spark.createDataFrame(secret + clean[:200], "doc_id long, text string"), sample_docs=200)
+    many = secrets.fit(spark.createDataFrame(secret + clean, "doc_id long, text string").repartition(4), sample_docs=200)
+    assert few is not None and many is not None
+    probe = spark.createDataFrame([(1, "the key is\nservice Qw8eRt5yUi9oPa3sD\nend"), (2, "password = Ab3dEf6hIj9kLm")], "doc_id long, text string")
+    assert [len(r.spans) > 0 for r in secrets.scan(probe, many).orderBy("doc_id").collect()][1]
+
+
+def test_every_text_with_a_base_span_is_hinted():
+    import re
+
+    for text in ("PASSWD:abcdefgh", "my Secret = 'x1234567'", "apikey=12345678", "API_KEY: \"12345678", "tokeN=abcdefgh1", "AKIAABCDEFGHIJKLMN",
+                 "x" + "0a" * 16):
+        assert re.search(secrets.HINT, text)
+
+
 # empty tables and the pipeline
 
 
