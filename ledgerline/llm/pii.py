@@ -1,7 +1,8 @@
 """Personal data by DataFrame functions alone: base patterns, and contexts bootstrapped from them.
 
 Base spans (kinds email, ip, card, phone) always stay. Seeds are the identifier-like tokens inside
-base spans (a token: a word with a digit or an @). Each token has two lexical patterns: the word
+base spans (a token: a word with a digit or an @, and the blocks of digits that follow it after single
+blanks, so that a number written in blocks is one). Tokens below ``VALUE_CHARS`` characters name nobody. Each token has two lexical patterns: the word
 before it, or after it, with the token's shape. Patterns and tokens form a graph, scored in turns:
 a pattern's confidence is the share of its distinct tokens that are believed to be personal data; a
 token's is the noisy-or of its patterns. Patterns that reach ``CONFIDENT`` with ``SUPPORT`` distinct
@@ -37,7 +38,8 @@ EMAIL = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# blocks of digits that follow after single blanks belong to the same mention
+TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20\(?[0-9]++(?:[().-]++[0-9]++)*+\)?[.,;:!?]?(?!\S))*+"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
 

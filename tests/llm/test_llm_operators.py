@@ -680,6 +680,19 @@ def test_pii_bootstrap_finds_unseen_identifiers(spark):
     assert got[50] == ["found"] and got[51] == []
 
 
+def test_pii_numbers_in_blocks_are_seeds_and_are_found_whole(spark):
+    """Cards written in blocks teach a context that finds another number in blocks, as one span."""
+    good = [g for g in ("4111111111111111", "5500000000000004", "4012888888881881", "5105105105105100", "6011111111111117",
+                        "6011000990139424", "3530111333300000") if luhn(g)]
+    blocks = lambda g: " ".join(g[k:k + 4] for k in range(0, 16, 4))
+    rows = [(i, f"words before. cardno {blocks(g)} tail{i}") for i, g in enumerate(good)]
+    rows += [(50, "é words. cardno 4111 1111 1111 1112, tail"), (51, "in the year 2020 1234 5678 9012 of the ring")]
+    out = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, spans string, rid int")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.scan(out).collect()}
+    assert got[50] == [("found", 16, 35)] and rows[-2][1][16:35] == "4111 1111 1111 1112"
+    assert got[51] == [] and all(got[i] == [("card", 21, 40)] for i in range(len(good)))
+
+
 # 10 packing
 
 
