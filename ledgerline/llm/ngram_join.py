@@ -7,7 +7,9 @@ Texts are sets of distinct word shingles (A-Z lower-cased). Two texts link when
    profile of the set, and adds to a table of ``CELLS`` hashed document frequencies over all texts.
    Texts of equal sets are one class from here on, whatever their number.
 2. Postings: with that table, every set is ordered rare first, and its prefix is emitted once per
-   class and task. The order only has to be the same everywhere; it is exact for links.
+   class and task. The order only has to be the same everywhere; it is exact for links. Most keys belong to one
+   class: a first pass sends the keys alone, packed, and a filter over those that come twice keeps the
+   others' postings in their task.
 3. Keys of very frequent shingles are salted; each slice of a key is read as one sorted run, so no
    list is ever held. A run's first text (in an order drawn per key) is its anchor; the others
    become candidates with their anchor, the anchors of a salted key with the first of them.
@@ -48,6 +50,8 @@ CHUNK = 1 << 16
 PROFILE = 256            # one-byte counts per text that screen pairs
 PACKED = PROFILE // 2    # the same in half bytes (at most 15 each), where texts of a block are compared
 DEPTH = 4                # halvings of the suffix filter
+KEYS_PER_BUCKET = 1 << 20
+FILTER_BYTES = 64 << 20  # the broadcast screen of shared keys; beyond it all postings are dealt
 HOT = 2048               # postings of one key beyond which it is salted
 MERGE = 64               # partial tables that one task adds up
 ANCHORS = 2              # anchors that a text meets first; step 5 covers the others
@@ -130,41 +134,85 @@ def frequencies(parts: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(docs: DataFrame, df_table: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """key, salt, cid, n, pos of every class's prefix (once per task that has a copy)."""
-    level = np.floor(1024 * np.log2(df_table.astype(np.float64) + 1)).astype(np.uint16)
+def _prefixes(batches, width: int, num: int, den: int, level: np.ndarray):
+    """Prefix rows of every class that the task has not met: row, hash, position, and cid and n of all rows."""
+    seen: set[int] = set()
+    for batch in batches:
+        for t in tk.text_slices(batch.column(0)):
+            rows, hashes = tk.shingle_sets(t, width)
+            cid = _class_ids(rows, hashes, t.rows)
+            n = np.bincount(rows, minlength=t.rows)
+            fresh = np.zeros(t.rows, dtype=bool)
+            for i, c in enumerate(cid.tolist()):
+                if n[i] and c not in seen:
+                    seen.add(c)
+                    fresh[i] = True
+            take = fresh[rows]
+            rows, hashes = rows[take], hashes[take]
+            order = np.argsort(level[_cell(hashes)], kind="stable")
+            order = order[np.argsort(rows[order].astype(np.uint16), kind="stable")]
+            rows, hashes = rows[order], hashes[order]
+            first = np.searchsorted(rows, np.arange(t.rows))
+            pos = np.arange(len(rows)) - first[rows]
+            prefix = pos < (n + (num * n // -den) + 1)[rows]
+            yield rows[prefix], hashes[prefix], pos[prefix], cid, n
+
+
+def _levels(df_table: np.ndarray) -> np.ndarray:
+    return np.floor(1024 * np.log2(df_table.astype(np.float64) + 1)).astype(np.uint16)
+
+
+def shared_keys(docs: DataFrame, df_table: np.ndarray, width: int, num: int, den: int, bits: int) -> DataFrame:
+    """``key``: the first ``32 + bits`` bits of the prefix keys that more than one class has (and of a few that
+    several tasks have of one class).
+
+    Keys travel as 32-bit remainders in blocks, one for each slice and bucket: a seventh of their postings.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_levels(df_table))
+
+    def count(batches):
+        for rows, hashes, _, _, _ in _prefixes(batches, width, num, den, shared.value):
+            if not len(hashes):
+                continue
+            keys, many = np.unique(hashes, return_counts=True)  # classes of a task come once, so rows are classes
+            bucket = (keys >> _U(64 - bits)).astype(np.int64)
+            rest = ((keys >> _U(32 - bits)) & _U(0xFFFFFFFF)).astype("<u4")
+            ends = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+            filled = np.flatnonzero(np.diff(ends)).tolist()
+            parts = [(rest[ends[b]:ends[b + 1]], many[ends[b]:ends[b + 1]] > 1) for b in filled]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(filled, pa.int32()), pa.array([k[~m].tobytes() for k, m in parts], pa.binary()),
+                 pa.array([k[m].tobytes() for k, m in parts], pa.binary())], names=["bucket", "one", "several"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        one, several = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<u4") for c in ("one", "several"))
+        every = np.sort(np.concatenate((one, np.unique(several), np.unique(several))))
+        twice = np.unique(every[1:][every[1:] == every[:-1]]).astype(np.int64)
+        return pa.table({"key": (int(table.column("bucket")[0].as_py()) << 32) | twice})
+
+    counted = docs.select("text").mapInArrow(count, "bucket int, one binary, several binary")
+    return counted.groupBy("bucket").applyInArrow(gather, "key long")
+
+
+def postings(docs: DataFrame, df_table: np.ndarray, width: int, num: int, den: int, screen=None, bits: int = 0) -> DataFrame:
+    """key, salt, cid, n, pos of every class's prefix (once per task that has a copy); with a ``screen`` (see
+    ``shared_keys``) only of keys that it holds, as a key of one class links nothing."""
     usual = float(np.median(df_table)) if len(df_table) else 0.0
     above = np.maximum(df_table.astype(np.float64) - 2 * usual, 0)
     salts = np.maximum(1, np.ceil(above / HOT)).astype(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((level, salts))
+    shared = docs.sparkSession.sparkContext.broadcast((_levels(df_table), salts))
 
     def run(batches):
         level, salts = shared.value
-        seen: set[int] = set()
-        for batch in batches:
-            for t in tk.text_slices(batch.column(0)):
-                rows, hashes = tk.shingle_sets(t, width)
-                cid = _class_ids(rows, hashes, t.rows)
-                n = np.bincount(rows, minlength=t.rows)
-                fresh = np.zeros(t.rows, dtype=bool)
-                for i, c in enumerate(cid.tolist()):
-                    if n[i] and c not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                take = fresh[rows]
-                rows, hashes = rows[take], hashes[take]
-                order = np.argsort(level[_cell(hashes)], kind="stable")
-                order = order[np.argsort(rows[order].astype(np.uint16), kind="stable")]
-                rows, hashes = rows[order], hashes[order]
-                first = np.searchsorted(rows, np.arange(t.rows))
-                pos = np.arange(len(rows)) - first[rows]
-                prefix = pos < (n + (num * n // -den) + 1)[rows]
-                rows, hashes, pos = rows[prefix], hashes[prefix], pos[prefix]
-                salt = np.mod(cid[rows], salts[_cell(hashes)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(cid[rows]),
-                     pa.array(n[rows].astype(np.int32)), pa.array(pos.astype(np.int32)),
-                     pa.array(salts[_cell(hashes)] > 1)], names=["key", "salt", "cid", "n", "pos", "salted"])
+        for rows, hashes, pos, cid, n in _prefixes(batches, width, num, den, level):
+            if screen is not None:
+                keep = fuse.probe(screen.value, (hashes >> _U(32 - bits)).astype(np.int64))
+                rows, hashes, pos = rows[keep], hashes[keep], pos[keep]
+            salt = np.mod(cid[rows], salts[_cell(hashes)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(cid[rows]),
+                 pa.array(n[rows].astype(np.int32)), pa.array(pos.astype(np.int32)),
+                 pa.array(salts[_cell(hashes)] > 1)], names=["key", "salt", "cid", "n", "pos", "salted"])
 
     return docs.select("text").mapInArrow(run, "key long, salt int, cid long, n int, pos int, salted boolean")
 
@@ -490,7 +538,11 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
     table = frequencies(profiled.filter("chunk IS NOT NULL").select("chunk", "part"))
     rows = profiled.filter("chunk IS NULL").select("doc_id", "row", "n", "cid", "counts")
 
-    shared = written(anchored(postings(docs, table, width, num, den)), "shared")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    bits = min(16, max(6, int(np.ceil(np.log2(max(total / KEYS_PER_BUCKET, 1))))))
+    met = written(shared_keys(docs, table, width, num, den, bits), "shared-keys")
+    screen = fuse.shared_filter(spark, met, 64, FILTER_BYTES)
+    shared = written(anchored(postings(docs, table, width, num, den, screen, bits)), "shared")
     anchors = shared.select("key", F.col("acid").alias("cid"), F.col("an").alias("n"), F.col("apos").alias("pos"))
     members = written(shared.select("key", "cid", "n", "pos").unionByName(anchors).distinct(), "members")
     classes = written(_classes(rows, members), "classes")

@@ -101,6 +101,13 @@ def test_ngram_join(fixture, width, num, den):
     assert got == components_by_force(pairs(rows), width, num, den)
 
 
+def test_ngram_join_without_the_screen(fixture, monkeypatch):
+    rows, df = fixture
+    monkeypatch.setattr(ngram_join, "FILTER_BYTES", 0)
+    got = Counter(tuple(r) for r in ngram_join.link(df, 4, 85, 100).collect())
+    assert got == components_by_force(pairs(rows), 4, 85, 100)
+
+
 def test_ngram_join_salted_keys(spark, fixture, monkeypatch):
     """With a tiny salting bound and many near copies, components stay the same."""
     rnd = random.Random(5)
