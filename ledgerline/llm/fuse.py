@@ -137,13 +137,15 @@ def exact_filter(spark, keys, buckets: int, limit_bytes: int = 16 << 20):
             return None
         levels.append(level)
 
-        def sift(batches, level=level, inside=inside):
+        # one function for all levels: a chain of them would take a Python worker each
+        def sift(batches, levels=tuple(levels)):
             for batch in batches:
-                hit = probe(level.value, batch.column(0).to_numpy())
-                # the level's own side stays for the level after the next; of the other side, what it lets by
-                yield batch.filter(pa.array(hit))
+                for level in levels:
+                    # the level's own side stays for the level after the next; of the other side, what it lets by
+                    batch = batch.filter(pa.array(probe(level.value, batch.column(0).to_numpy())))
+                yield batch
 
-        left = left.select("key", "member").mapInArrow(sift, "key long, member boolean")
+        left = keys.select("key", "member").mapInArrow(sift, "key long, member boolean")
         inside = not inside
 
 
