@@ -11,8 +11,8 @@ Lines without words stay, but leave with their document when no line with a word
    both. Lines that share no half with another line of the same class need no further work.
 3. The others emit their deletion neighbourhood: a hashed key for the line itself and for the line
    without each of its words. Keys of one line only fall away. Lines with equal variants meet, and
-   the edit distance is verified on a second hash of the variant, of another kind (modulo primes, see
-   ``textkit.PrimeSums``; both together have 126 bits), and the place of the deleted word: the same place (one replaced), or one line without a deletion (one inserted). Per variant only
+   the edit distance is verified on a second hash of the variant (of long lines of another kind, see
+   ``Lines``) and the place of the deleted word: the same place (one replaced), or one line without a deletion (one inserted). Per variant only
    the earliest place is kept, never a list of pairs, so a variant that a third of all lines share
    is a partial aggregate.
 4. Documents with lines to drop are rebuilt; the others never leave their task.
@@ -25,6 +25,8 @@ the same document: their lines do not remove each other. Extra columns pass thro
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,16 +42,23 @@ from ledgerline.session import scratch_dir, ship_package
 MIN_WORDS = 4
 
 _U = np.uint64
+LONG_LINE = 256
+SALTS = (0, 0x5851F42D4C957F2D)
 _STEP = 0xC2B2AE3D27D4EB4F | 1
 _STEP_INV = pow(_STEP, -1, 1 << 64)
 
 
 class Lines:
-    """The lines with words of a slice, and hashes of any of their word ranges."""
+    """The lines with words of a slice, and hashes of any of their word ranges (made when they are asked for).
+
+    Hashes of ranges are polynomials over word hashes modulo 2^64; ranges of ``LONG_LINE`` words or more, for
+    which strings with equal polynomials can be built, are hashed modulo primes as well.
+    """
 
     def __init__(self, t: tk.Texts):
-        starts, ends, rows = tk.word_spans(t)
-        words = tk.span_hashes(tk.LOWER[t.data], starts, ends)
+        self.text = t
+        self.spans = tk.word_spans(t)
+        starts, _, rows = self.spans
         edges = np.unique(np.concatenate((t.offs[:-1], np.flatnonzero(t.data == 10) + 1)))
         line = np.searchsorted(edges, starts, side="right")
         new = np.ones(len(starts), dtype=bool)
@@ -60,27 +69,51 @@ class Lines:
         # number of the line in its text, counting empty ones
         first_edge = np.searchsorted(edges, t.offs[:-1], side="right")
         self.number = line[self.first] - first_edge[self.row]
-        n = len(words) + 1
-        up, down = np.full(n, _STEP, _U), np.full(n, _STEP_INV, _U)
-        up[0] = down[0] = 1
-        self.down = np.cumprod(down, dtype=_U)
-        self.sums = np.zeros(n, dtype=_U)
-        np.cumsum(tk.mix(words) * np.cumprod(up, dtype=_U)[:n - 1], out=self.sums[1:])
-        self.primes = tk.PrimeSums(tk.mix(words + _U(0x5851F42D4C957F2D)))
-
-    def ranges(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return (self.sums[stop] - self.sums[start]) * self.down[start]
 
-    def keys(self) -> np.ndarray:
-        """Keys of the whole lines, as ``deletions`` has them of lines less a word."""
-        return tk.mix(self.ranges(self.first, self.first + self.size) + self.size.astype(_U))
+    @functools.cached_property
+    def words(self) -> np.ndarray:
+        return tk.span_hashes(tk.LOWER[self.text.data], *self.spans[:2])
 
-    def proofs(self) -> np.ndarray:
-        return tk.mix(self.primes(self.first, self.first + self.size))
+    @functools.cached_property
+    def powers(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.words) + 1
+        up, down = np.full(n, _STEP, _U), np.full(n, _STEP_INV, _U)
+        up[0] = down[0] = 1
+        return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+
+    @functools.cached_property
+    def sums(self) -> list[np.ndarray]:
+        out = []
+        for salt in SALTS:
+            total = np.zeros(len(self.words) + 1, dtype=_U)
+            np.cumsum(tk.mix(self.words + _U(salt)) * self.powers[0][:-1], out=total[1:])
+            out.append(total)
+        return out
+
+    @functools.cached_property
+    def primes(self) -> tk.PrimeSums:
+        return tk.PrimeSums(tk.mix(self.words + _U(SALTS[1])))
+
+    def ranges(self, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
+        return (self.sums[which][stop] - self.sums[which][start]) * self.powers[1][start]
+
+    def _long(self, hashes: np.ndarray, size: np.ndarray, ranges) -> np.ndarray:
+        """The hashes, mixed with those modulo primes where ranges (end to end) are long."""
+        long = np.flatnonzero(size >= LONG_LINE)
+        if len(long):
+            own = [(a[long], b[long]) for a, b in ranges]
+            hashes[long] = tk.mix(hashes[long] ^ self.primes.joined(own))
+        return hashes
+
+    def keys(self, which: int = 0) -> np.ndarray:
+        """Keys (0) and proofs (1) of the whole lines, as ``deletions`` has them of lines less a word."""
+        stop = self.first + self.size
+        out = tk.mix(self.ranges(self.first, stop, which) + self.size.astype(_U))
+        return self._long(out, self.size, [(self.first, stop)]) if which else out
 
     def whole(self) -> np.ndarray:
-        """What tells lines apart: both hashes."""
-        return tk.mix(self.keys() ^ self.proofs() * _U(_STEP))
+        """What tells lines apart."""
+        return self._long(self.keys(), self.size, [(self.first, self.first + self.size)])
 
     def halves(self, shorter: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the first and last half in the class of lines of ``size - shorter`` words."""
@@ -97,11 +130,13 @@ class Lines:
         line = np.repeat(pick, size)
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         first, stop = self.first[line], self.first[line] + self.size[line]
-        value = ((self.sums[first + place] - self.sums[first]) + (self.sums[stop] - self.sums[first + place + 1])
-                 * _U(_STEP_INV)) * self.down[first]
-        key = tk.mix(value + (self.size[line] - 1).astype(_U))
-        proof = tk.mix(self.primes.joined(((first, first + place), (first + place + 1, stop))))
-        return line, place, key, proof
+        out = []
+        for total in self.sums:
+            value = ((total[first + place] - total[first]) + (total[stop] - total[first + place + 1])
+                     * _U(_STEP_INV)) * self.powers[1][first]
+            out.append(tk.mix(value + (self.size[line] - 1).astype(_U)))
+        proof = self._long(out[1], self.size[line] - 1, [(first, first + place), (first + place + 1, stop)])
+        return line, place, out[0], proof
 
 
 def _rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -164,7 +199,7 @@ def variants(rows: DataFrame, shared) -> DataFrame:
                 pick = pick[np.unique(whole[pick], return_index=True)[1]]
                 line, place, key, proof = lines.deletions(pick)
                 out = [np.concatenate((whole[pick], whole[line])), np.concatenate((lines.keys()[pick], key)),
-                       np.concatenate((lines.proofs()[pick], proof))]
+                       np.concatenate((lines.keys(1)[pick], proof))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)) for x in out]
                     + [pa.array(np.concatenate((np.full(len(pick), -1), place)).astype(np.int32))],
@@ -241,8 +276,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in counts or ()])
     keyed = docs.select(*kept, F.xxhash64(F.col(id_col), F.col(text_col)).alias(key))
 
-    def run(batches):
-        for batch in batches:
+    def run(batches, screen=None):
+        for batch in batches if screen is None else sifted(batches, *screen):
             names = batch.schema.names
             columns = {c: batch.column(names.index(c)) for c in kept}
             texts = columns[text_col].to_pylist()
@@ -274,15 +309,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     if touched is None:
         return keyed.join(listed, key, "left").mapInArrow(run, schema)
 
-    def sift(inside: bool):
-        def pick(batches):
-            for batch in batches:
-                hit = fuse.probe(touched.value, batch.column(batch.num_columns - 1).to_numpy())
-                part = batch.filter(pa.array(hit == inside))
-                for i in range(0, part.num_rows, 1024):
-                    yield part.slice(i, 1024)
-        return pick
-
-    whole = keyed.mapInArrow(sift(False), keyed.schema).mapInArrow(run, schema)
-    changed = keyed.mapInArrow(sift(True), keyed.schema).join(listed, key, "left").mapInArrow(run, schema)
-    return whole.unionByName(changed)
+    # one function for both steps: a chain of two would take a Python worker each
+    whole = keyed.mapInArrow(lambda batches: run(batches, (touched, False)), schema)
+    changed = keyed.mapInArrow(lambda batches: sifted(batches, touched, True), keyed.schema)
+    return whole.unionByName(changed.join(listed, key, "left").mapInArrow(run, schema))
+
+
+def sifted(batches, held, inside: bool):
+    """Rows whose last column the filter may hold, or those that it does not, in bounded parts."""
+    for batch in batches:
+        hit = fuse.probe(held.value, batch.column(batch.num_columns - 1).to_numpy())
+        part = batch.filter(pa.array(hit == inside))
+        for i in range(0, part.num_rows, 1024):
+            yield part.slice(i, 1024)
