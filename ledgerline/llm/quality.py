@@ -74,7 +74,7 @@ def grams(t: tk.Texts, words: np.ndarray, row: np.ndarray) -> list[tuple[np.ndar
         for k, odd in enumerate((0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)):
             four ^= high[k:n + k] * np.uint32(odd)
     four *= np.uint32(0x9E3779B1)
-    of_char = np.searchsorted(t.offs[1:], lead, side="right")
+    of_char = np.repeat(np.arange(t.rows), np.diff(np.searchsorted(lead, t.offs)))
     inside = of_char[:n] == of_char[3:] if n else np.zeros(0, dtype=bool)
     return [(rows, cells), (of_char[:n][inside],
                             (four[inside] >> np.uint32(33 - int(CELLS).bit_length())).astype(np.int64) + CELLS)]
