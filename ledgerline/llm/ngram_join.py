@@ -54,6 +54,7 @@ KEYS_PER_BUCKET = 1 << 20
 FILTER_BYTES = 64 << 20  # the broadcast screen of shared keys; beyond it all postings are dealt
 HOT = 2048               # postings of one key beyond which it is salted
 MERGE = 64               # partial tables that one task adds up
+PARTNERS = 512           # pairs of one hub that meet its set in one place
 ANCHORS = 2              # anchors that a text meets first; step 5 covers the others
 ROUNDS = 2
 BLOCK = 4096             # texts of one key on either side of a block of step 5
@@ -301,10 +302,27 @@ def suffix_filter(x: np.ndarray, y: np.ndarray, need: int) -> bool:
     return int(np.minimum(ends_x - starts_x, ends_y - starts_y).sum() + has.sum()) >= need
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose whole sets reach the threshold; the pair's set sizes come from the sets."""
-    a = sets.select(F.col("cid").alias("a"), F.col("hashes").alias("x"))
-    b = sets.select(F.col("cid").alias("b"), F.col("hashes").alias("y"))
+def _oriented(pairs: DataFrame) -> DataFrame:
+    """The pairs as (spoke, hub, salt): the hub has more partners (of equal many, the greater class), and those of
+    a hub with many are cut into salts of about ``PARTNERS``."""
+    ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+    many = ends.groupBy("cid").agg(F.count(F.lit(1)).alias("n"))
+    both = (pairs.join(many.select(F.col("cid").alias("a"), F.col("n").alias("a_n")), "a")
+            .join(many.select(F.col("cid").alias("b"), F.col("n").alias("b_n")), "b"))
+    turned = F.struct("a_n", "a") > F.struct(F.col("b_n"), F.col("b"))
+    both = both.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("spoke"),
+                       F.when(turned, F.col("a")).otherwise(F.col("b")).alias("hub"), F.greatest("a_n", "b_n").alias("n"))
+    salts = F.ceil(F.col("n") / PARTNERS).cast("long")
+    return both.select("spoke", "hub", F.pmod(F.xxhash64("spoke"), salts).alias("salt"))
+
+
+def _verified(pairs: DataFrame, spokes: DataFrame, hubs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (spoke, hub) whose whole sets reach the threshold, as (a, b) in the order of classes.
+
+    A spoke's set goes to its hubs, of which there are few; the set sizes come from the sets."""
+    spokes = spokes.select(F.col("cid").alias("spoke"), F.col("hashes").alias("x"))
+    hubs = hubs.select(F.col("cid").alias("hub"), F.col("hashes").alias("y"))
+    hubs = pairs.select("hub", "salt").distinct().join(hubs, "hub")
 
     def run(batches):
         for batch in batches:
@@ -319,11 +337,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                 at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
                 common = int((y[at] == x).sum()) if len(y) else 0
                 keep[i] = den * common >= num * (len(x) + len(y) - common)
-            keep = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)],
-                                             names=["a", "b"])
+            a, b = (batch.column(i).to_numpy()[keep] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return (pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
+    return (pairs.join(spokes, "spoke").join(hubs, ["hub", "salt"]).select("spoke", "hub", "x", "y")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -549,10 +567,13 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Links among the pairs; only the texts of pairs that are still open are read again."""
-        ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        wanted = written(classes.select("cid", "row").join(ends, "cid", "left_semi"), f"{name}-wanted")
-        sets = written(_sets(docs, wanted, width), f"{name}-sets")
-        return written(_verified(pairs, sets, num, den).distinct(), f"{name}-links")
+        turned = written(_oriented(pairs), f"{name}-turned")
+        sides = []
+        for side in ("spoke", "hub"):
+            ends = turned.select(F.col(side).alias("cid")).distinct()
+            wanted = written(classes.select("cid", "row").join(ends, "cid", "left_semi"), f"{name}-{side}s")
+            sides.append(written(_sets(docs, wanted, width), f"{name}-{side}-sets"))
+        return written(_verified(turned, *sides, num, den).distinct(), f"{name}-links")
 
     # candidates with their anchors; the anchors of a salted key with the first of them
     own = shared.select("key", "cid", "n", "pos", "acid", "an", "apos")
