@@ -57,6 +57,7 @@ class Lines:
 
     def __init__(self, t: tk.Texts):
         self.text = t
+        self._sums: dict[int, np.ndarray] = {}
         self.spans = tk.word_spans(t)
         starts, _, rows = self.spans
         edges = np.unique(np.concatenate((t.offs[:-1], np.flatnonzero(t.data == 10) + 1)))
@@ -81,21 +82,20 @@ class Lines:
         up[0] = down[0] = 1
         return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
 
-    @functools.cached_property
-    def sums(self) -> list[np.ndarray]:
-        out = []
-        for salt in SALTS:
+    def sums(self, which: int) -> np.ndarray:
+        if which not in self._sums:
             total = np.zeros(len(self.words) + 1, dtype=_U)
-            np.cumsum(tk.mix(self.words + _U(salt)) * self.powers[0][:-1], out=total[1:])
-            out.append(total)
-        return out
+            np.cumsum(tk.mix(self.words + _U(SALTS[which])) * self.powers[0][:-1], out=total[1:])
+            self._sums[which] = total
+        return self._sums[which]
 
     @functools.cached_property
     def primes(self) -> tk.PrimeSums:
         return tk.PrimeSums(tk.mix(self.words + _U(SALTS[1])))
 
     def ranges(self, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
-        return (self.sums[which][stop] - self.sums[which][start]) * self.powers[1][start]
+        total = self.sums(which)
+        return (total[stop] - total[start]) * self.powers[1][start]
 
     def _long(self, hashes: np.ndarray, size: np.ndarray, ranges) -> np.ndarray:
         """The hashes, mixed with those modulo primes where ranges (end to end) are long."""
@@ -131,7 +131,8 @@ class Lines:
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         first, stop = self.first[line], self.first[line] + self.size[line]
         out = []
-        for total in self.sums:
+        for which in range(len(SALTS)):
+            total = self.sums(which)
             value = ((total[first + place] - total[first]) + (total[stop] - total[first + place + 1])
                      * _U(_STEP_INV)) * self.powers[1][first]
             out.append(tk.mix(value + (self.size[line] - 1).astype(_U)))
