@@ -572,7 +572,7 @@ def link(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, id_col:
         for side in ("spoke", "hub"):
             ends = turned.select(F.col(side).alias("cid")).distinct()
             wanted = written(classes.select("cid", "row").join(ends, "cid", "left_semi"), f"{name}-{side}s")
-            sides.append(written(_sets(docs, wanted, width), f"{name}-{side}-sets"))
+            sides.append(_sets(docs, wanted, width))  # each is read once: not written
         return written(_verified(turned, *sides, num, den).distinct(), f"{name}-links")
 
     # candidates with their anchors; the anchors of a salted key with the first of them
