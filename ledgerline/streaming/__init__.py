@@ -1,2 +1,2 @@
-"""Structured Streaming operators: continuous skip-if-held ingestion, count-triggered batch
-flushing with per-run state, and live progress counts."""
+"""Structured Streaming operators: continuous skip-if-held ingestion by key buckets, count-triggered batch
+flushing with counters per run and epoch, and live progress counts."""
