@@ -321,3 +321,84 @@ def test_rejected_archive_names_are_reported(spark, tmp):
         open(os.path.join(tmp, n), "wb").write(_tar_bytes([("sp500_filings_data/A", None)]))
     assert {r.name for r in rejected_archives(spark, tmp).collect()} == {"sp500_filings_data_x.tar"}
     assert sorted(r.batch_no for r in list_archives(spark, tmp).collect()) == [3, 4]
+
+
+def _one_archive(tmp, members, mtime=1000):
+    """Written by the sink's writer itself: the bytes, and what this process held at most meanwhile."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from ledgerline.sinks.archives import TarArchiveWriter
+
+    def batches(rows=2000):
+        for at in range(0, len(members), rows):
+            names, content = zip(*members[at:at + rows])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["r/x.tar"] * len(names)), pa.array(names), pa.array(content, pa.binary()), pa.array([mtime] * len(names))],
+                names=["archive", "member", "content", "mtime"])
+
+    tracemalloc.start()
+    try:
+        done = TarArchiveWriter({"path": tmp, "job": "j"}, "j").write(batches())
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    return done.entries[0], held
+
+
+def test_writer_memory_does_not_follow_the_members(tmp):
+    small = [(f"s/T{i:06}/2001/10-K/{i}.html", b"x") for i in range(2000)]
+    large = [(f"s/T{i:06}/2001/10-K/{i}.html", b"x") for i in range(16000)]
+    one, few = _one_archive(os.path.join(tmp, "a"), small)
+    two, many = _one_archive(os.path.join(tmp, "b"), large)
+    assert (one[3], two[3]) == (4 * 2000, 4 * 16000) and many < 1.5 * few
+
+
+def test_archives_are_those_of_tarfile(tmp):
+    """Odd names, explicit directories and times outside the header's field, byte for byte as tarfile adds them."""
+    members = sorted([("s/a", None), ("s/a!x", b"1"), ("s/a-b/c.html", b""), ("s/a/b.html", b"22"), ("s/a/c/d.html", b"3" * 512),
+                      ("s/é/ü.html", "é".encode()), ("s/" + "long/" * 30 + "x.html", b"y"), ("s/" + "n" * 97, None), ("s/" + "m" * 98, b"z")])
+    for mtime in (1000, -5):
+        entry, _ = _one_archive(os.path.join(tmp, str(mtime)), members, mtime)
+        buf, seen = io.BytesIO(), set()
+        with tarfile.open(fileobj=buf, mode="w|", format=tarfile.PAX_FORMAT) as t:
+            for name, data in members:
+                parts = name.split("/")
+                for d in ["/".join(parts[:i]) for i in range(2, len(parts))] + [name] * (data is None):
+                    if d not in seen:
+                        info = tarfile.TarInfo(d)
+                        info.type, info.mode, info.mtime = tarfile.DIRTYPE, 0o755, mtime
+                        t.addfile(info)
+                        seen.add(d)
+                if data is not None:
+                    info = tarfile.TarInfo(name)
+                    info.size, info.mode, info.mtime = len(data), 0o644, mtime
+                    t.addfile(info, io.BytesIO(data))
+        with open(entry[1], "rb") as f:
+            assert f.read() == buf.getvalue() and entry[2] == len(buf.getvalue())
+
+
+def test_contents_read_are_let_go_and_small_archives_share_a_chunk(tmp):
+    import tracemalloc
+
+    import pandas as pd
+    import pyarrow as pa
+    from ledgerline.sources import archives
+
+    size, n = 1 << 20, 96
+    at = os.path.join(tmp, "x.tar")
+    open(at, "wb").write(_tar_bytes([(f"s/{i:03}", os.urandom(size)) for i in range(n)]))
+    listing = pd.DataFrame({"archive_path": [at] * 3, "batch_no": [1, 2, 3]})
+    index = list(archives._index(["batch_no"])(iter([listing])))
+    assert len(index) == 1 and list(index[0]["batch_no"]) == [1] * n + [2] * n + [3] * n
+    fields = [("archive_path", pa.string()), ("offset", pa.int64()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]
+    batch = pa.RecordBatch.from_pylist(
+        [{"archive_path": at, "offset": int(o), "size": size} for o in index[0]["offset"][:n]], schema=pa.schema(fields))
+    tracemalloc.start()
+    rows, before = 0, pa.total_allocated_bytes()
+    for part in archives._read_ranges(iter([batch])):
+        rows += part.num_rows
+        del part
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n and held < 64 * size and pa.total_allocated_bytes() - before < size
