@@ -1,8 +1,8 @@
 """Worklist planning: companies × years × forms, matched against the filing index.
 
 The worklist is generated with ``explode`` over parameter arrays (no join); the index is
-matched with an equi join on (ticker, year, form) so Spark may pick broadcast or
-sort-merge at runtime (AQE) depending on the real sizes.
+matched with a sort-merge join on (ticker, year, form). Spark's size of generated rows is that of the
+rows before ``explode``, so that left to choose it would broadcast a worklist of any size to every task.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def match_work_index(work: DataFrame, index: DataFrame) -> DataFrame:
         & (F.col("form") == F.col("i_form"))
         & (F.col("work_year") == F.year("filing_date").cast("bigint"))
     )
-    return work.join(idx, cond, "inner").drop("i_ticker", "i_form")
+    return work.hint("merge").join(idx, cond, "inner").drop("i_ticker", "i_form")
 
 
 def empty_cells(work: DataFrame, index: DataFrame) -> DataFrame:
