@@ -5,6 +5,10 @@ columns into at least ``min_chunks`` slices of at most ``max_chunk_rows`` rows (
 keys, so slices are balanced), each slice is written by its own task as one file, and the files
 are then stamped with ascending modification times (Hadoop FileSystem ``setTimes``, a metadata
 call) in slice order. One write job, no driver loop over data.
+
+A stream takes the files in micro-batches, and each of these sends the results of all its tasks to the
+driver whatever its size. A slice is therefore as large as one task sorts with ease: slices for a few
+thousand rows would make the driver's part as large as the data's.
 """
 
 from __future__ import annotations
@@ -14,9 +18,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+MAX_CHUNK_ROWS = 1_000_000
+
 
 def land_in_order(df: DataFrame, root: str, order: Sequence[str], min_chunks: int = 4,
-                  max_chunk_rows: int = 50_000) -> int:
+                  max_chunk_rows: int = MAX_CHUNK_ROWS) -> int:
     """Write ``df`` into ``root`` as time-ordered files, stamped later than any file already
     there (so a later landing is a later arrival). Returns the number of files written."""
     spark = df.sparkSession

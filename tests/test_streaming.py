@@ -113,3 +113,13 @@ def test_flush_numbers_across_micro_batches_in_arrival_order(spark, tmp):
     assert [o[1] for o in out] == list(range(1, len(oks) + 1))
     assert [o[2] for o in out] == [(s - 1) // 4 + 1 for s in range(1, len(oks) + 1)]
     assert sum(o[3] for o in out) == len(oks) // 4
+
+
+def test_micro_batches_do_not_follow_every_few_rows(spark, tmp):
+    """Every micro-batch costs the driver the same, so a slice of the replay is large; order and rows stay."""
+    src = os.path.join(tmp, "src")
+    assert land_in_order(spark.range(300_000), src, ["id"]) == 4
+    files = sorted((os.path.getmtime(os.path.join(src, f)), f) for f in os.listdir(src) if f.startswith("part-"))
+    ranges = [spark.read.parquet(os.path.join(src, f)).selectExpr("min(id) AS lo", "max(id) AS hi", "count(*) AS n").first() for _, f in files]
+    assert sum(r.n for r in ranges) == 300_000 and all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
+    assert land_in_order(spark.range(3_500), os.path.join(tmp, "b"), ["id"], min_chunks=1, max_chunk_rows=1_000) == 4
