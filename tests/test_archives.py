@@ -402,3 +402,26 @@ def test_contents_read_are_let_go_and_small_archives_share_a_chunk(tmp):
     held = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == n and held < 64 * size and pa.total_allocated_bytes() - before < size
+
+
+@pytest.mark.parametrize("key", ["src_tree_scan", "qa_zero_length"])
+def test_a_scanned_tree_is_on_disk_in_shares(spark, key, monkeypatch):
+    """All files are written and found whatever the share, a share holds a part of them, and none is left."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+    from ledgerline.session import checkpoint_root, local_path
+
+    held, scan = [], Q.list_tree
+
+    def watched(spark, root, pattern):
+        if "/tree-files-" in root:
+            held.append(sum(len(fs) for _, _, fs in os.walk(local_path(root))))
+        return scan(spark, root, pattern)
+
+    monkeypatch.setattr(Q, "list_tree", watched)
+    rows = lambda: sorted(map(str, getattr(Q, key)(spark, SF_SMALL).collect()))
+    whole, (n, *_) = rows(), held
+    held.clear()
+    monkeypatch.setattr(Q, "TREE_FILES", 50)
+    assert rows() == whole and len(held) == -(-n // 50) and sum(held) == n and max(held) < n // 2
+    assert not [f for d, _, fs in os.walk(f"{local_path(checkpoint_root(spark))}/ledgerline-scratch") if "/tree-files-" in d for f in fs]
