@@ -163,7 +163,8 @@ def base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on a bounded sample of labelled rows: ``sample_rows`` sparse rows reach the driver."""
+    """Fit on a bounded sample of labelled rows: ``sample_rows`` sparse rows meet in one task; only the model
+    reaches the driver."""
     ship_package(docs.sparkSession)
     positive = F.col("_label") != 0
     known = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int")
@@ -204,11 +205,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                      pa.array([p[1] for p in packed], pa.binary())], names=["id", "label", "words", "bytes"])
 
     got = sample.mapInArrow(cells, f"id {docs.schema[id_col].dataType.simpleString()}, label int, words binary, bytes binary")
-    found = sorted(got.collect(), key=lambda r: (str(r["id"]), r["label"], r["words"]))
-    y = np.array([1 if r["label"] else 0 for r in found], dtype=np.float64)
-    # every fifth row of either class is held out
-    held = np.where(y > 0, np.cumsum(y), np.cumsum(1 - y)) % 5 == 0
-    return _train([_sparse(r) for r in found], y, held, up, down)
+
+    def train(batches):
+        found = [row for batch in batches for row in batch.to_pylist()]
+        found.sort(key=lambda r: (str(r["id"]), r["label"], r["words"]))
+        y = np.array([1 if r["label"] else 0 for r in found], dtype=np.float64)
+        # every fifth row of either class is held out
+        held = np.where(y > 0, np.cumsum(y), np.cumsum(1 - y)) % 5 == 0
+        model = _train([_sparse(r) for r in found], y, held, up, down)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.slope]),
+                                          pa.array([model.offset])], names=["weights", "slope", "offset"])
+
+    model = got.repartition(1).mapInArrow(train, "weights binary, slope double, offset double").first()
+    return Model(np.frombuffer(model["weights"]), model["slope"], model["offset"])
 
 
 def _sparse(row) -> tuple[np.ndarray, np.ndarray]:

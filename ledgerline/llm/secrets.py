@@ -34,6 +34,7 @@ SAMPLE_DOCS = 20_000
 MAX_WINDOWS = 6_000
 WINDOW = 16
 CELLS = 1 << 15
+PART = 1 << 13           # tokens that are scored at once when the field is trained
 STEPS = 80
 RATE = 0.15
 DECAY = 3e-5
@@ -238,7 +239,7 @@ class Field:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Field | None:
-    """Train on windows; at most ``MAX_WINDOWS`` windows reach the driver."""
+    """Train on at most ``MAX_WINDOWS`` windows, in one task; only the weights reach the driver."""
     ship_package(docs.sparkSession)
     total = docs.count()
     share = min(1.0, sample_docs / max(total, 1))
@@ -263,16 +264,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
                 yield pa.RecordBatch.from_arrays([pa.array(feats, pa.binary()), pa.array(marks, pa.binary()),
                                                   pa.array([positive] * len(feats), pa.bool_())], names=["feats", "tags", "hit"])
 
-    order = F.xxhash64("feats", "tags")
+    def train(batches):
+        found = [row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3)))]
+        if any(hit for _, _, hit in found):
+            field = _train([(np.frombuffer(feats, np.uint16).reshape(-1, FEATURES), np.frombuffer(tags, np.int8))
+                            for feats, tags, _ in found])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (field.emit, field.move)],
+                                             names=["emit", "move"])
+
+    order = [F.xxhash64("feats", "tags"), "feats", "tags"]
     found = []
     for rows, positive in ((docs.filter(F.col(text_col).rlike(HINT)), True), (sample, False)):
         got = rows.select(F.col(text_col)).mapInArrow(lambda batches, p=positive: windows(batches, p),
                                                       "feats binary, tags binary, hit boolean")
-        found += got.orderBy(order, "feats", "tags").limit(MAX_WINDOWS // 2).collect()
-    if not any(r["hit"] for r in found):
+        found.append(got.orderBy(*order).limit(MAX_WINDOWS // 2))
+    drawn = found[0].unionByName(found[1]).repartition(1).sortWithinPartitions(F.desc("hit"), *order)
+    weights = drawn.mapInArrow(train, "emit binary, move binary").first()
+    if weights is None:
         return None
-    return _train([(np.frombuffer(r["feats"], np.uint16).reshape(-1, FEATURES).astype(np.int64),
-                    np.frombuffer(r["tags"], np.int8).astype(np.int64)) for r in found])
+    return Field(*(np.frombuffer(weights[c], np.float32).reshape(-1, 3) for c in ("emit", "move")))
 
 
 def _spread(n: int, every: int = 600) -> np.ndarray:
@@ -284,16 +294,16 @@ def _train(windows) -> Field:
     windows = sorted(windows, key=lambda w: -len(w[1]))
     size = np.array([len(w[1]) for w in windows])
     m, width = len(windows), int(size[0])
-    feats = np.zeros((m, width, FEATURES), dtype=np.int64)
     tags = np.zeros((m, width), dtype=np.int64)
     here = np.arange(width)[None, :] < size[:, None]
+    flat = np.zeros((int(size.sum()), FEATURES), dtype=np.int64)
+    at = 0
     for i, (f, g) in enumerate(windows):
+        flat[at:at + len(g)], tags[i, :len(g)] = f, g
         if i % 2:  # words hidden in every second window
-            f = f.copy()
-            f[:, WORD_FEATURES] = 0
-        feats[i, :len(g)], tags[i, :len(g)] = f, g
+            flat[at:at + len(g), WORD_FEATURES] = 0
+        at += len(g)
     emit, move = np.zeros((CELLS, 3)), np.zeros((3, 3))
-    flat = feats[here]
     true = np.eye(3)[tags] * here[:, :, None]
     both = here[:, 1:]
     pairs = np.zeros((3, 3))
@@ -301,7 +311,8 @@ def _train(windows) -> Field:
     state = [np.zeros_like(x) for x in (emit, emit, move, move)]
     for step in range(1, STEPS + 1):
         score = np.zeros((m, width, 3))
-        score[here] = emit[flat].sum(axis=1)
+        # in parts: all tokens' weights at once would take 264 bytes a token
+        score[here] = np.concatenate([emit[flat[a:a + PART]].sum(axis=1) for a in range(0, len(flat), PART)])
         alpha = np.zeros((m, width, 3))
         beta = np.zeros((m, width, 3))
         alpha[:, 0] = score[:, 0]
@@ -316,9 +327,13 @@ def _train(windows) -> Field:
         off = (seen - true)[here] / m
         grad = np.stack([np.bincount(flat.ravel(), weights=np.repeat(off[:, c], FEATURES), minlength=CELLS)
                          for c in range(3)], axis=1) + DECAY * emit
-        log_pair = (alpha[:, :-1, :, None] + move[None, None] + (score[:, 1:] + beta[:, 1:])[:, :, None, :]
-                    - z[:, None, None, None])
-        grad_move = ((np.exp(log_pair) * both[:, :, None, None]).sum(axis=(0, 1)) - pairs) / m + DECAY * move
+        pair = alpha[:, :-1, :, None] + move[None, None]
+        pair += (score[:, 1:] + beta[:, 1:])[:, :, None, :]
+        pair -= z[:, None, None, None]
+        np.exp(pair, out=pair)
+        pair *= both[:, :, None, None]
+        grad_move = (pair.sum(axis=(0, 1)) - pairs) / m + DECAY * move
+        del pair
         for x, g, a, b in ((emit, grad, 0, 1), (move, grad_move, 2, 3)):
             state[a] = 0.9 * state[a] + 0.1 * g
             state[b] = 0.99 * state[b] + 0.01 * g * g

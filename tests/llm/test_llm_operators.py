@@ -581,6 +581,37 @@ def test_secret_field_finds_unlabelled_secrets(spark):
     assert none.filter(F.size("spans") > 0).count() == 0
 
 
+def test_secret_field_is_trained_outside_the_driver(fixture, monkeypatch):
+    import os
+
+    driver, train = os.getpid(), secrets._train
+
+    def elsewhere(windows):
+        assert os.getpid() != driver
+        return train(windows)
+
+    monkeypatch.setattr(secrets, "_train", elsewhere)
+    field = secrets.fit(fixture[1])
+    assert field.emit.shape == (secrets.CELLS, 3) and field.move.shape == (3, 3)
+
+
+def test_secret_training_takes_little_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    monkeypatch.setattr(secrets, "STEPS", 2)
+    rnd = np.random.default_rng(5)
+    size = 2 * secrets.WINDOW
+    windows = [(rnd.integers(0, secrets.CELLS, (size, secrets.FEATURES)).astype(np.uint16),
+                rnd.integers(0, 2, size).astype(np.int8)) for _ in range(2000)]
+    tracemalloc.start()
+    secrets._train(windows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 600 * 2000 * size
+
+
 def test_secret_decoding_is_the_best_path():
     """Viterbi over open runs gives the score of the best of all paths."""
     import itertools
@@ -743,6 +774,23 @@ def test_packing_plan_uses_every_length():
         assert used == Counter(hist)
 
 
+def test_quality_model_is_trained_outside_the_driver(spark, monkeypatch):
+    import os
+
+    driver, train = os.getpid(), quality._train
+
+    def elsewhere(*given):
+        assert os.getpid() != driver
+        return train(*given)
+
+    monkeypatch.setattr(quality, "_train", elsewhere)
+    docs = spark.createDataFrame([(i, f"{'good' if i % 2 else 'poor'} words of text number {i}") for i in range(200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert len(model.weights) == 2 * quality.CELLS + 1 and model.slope > 0
+
+
 def test_quality_learns_from_rare_labels(spark):
     """Half a percent of the labels are of one class: what they teach is what a small table teaches."""
     rnd = random.Random(3)
