@@ -146,28 +146,20 @@ def _rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """doc_id, row, number and hash of every line with words."""
+    """doc_id, row, number and hash of every line with words; and half, line of every distinct long line of a
+    slice: four halves a line (see ``Lines.halves``). Both come from one scan; lines have no half."""
     kind = rows.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "row", "number", "line", "half"]
 
     def run(batches):
         for batch in batches:
             for t in tk.text_slices(batch.column(2)):
                 lines = Lines(t)
                 at = pa.array(lines.row + t.first)
+                whole = lines.whole()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.number.astype(np.int32)),
-                     pa.array(lines.whole().view(np.int64))], names=["doc_id", "row", "number", "line"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, row long, number int, line long")
-
-
-def half_keys(rows: DataFrame) -> DataFrame:
-    """half, line of every distinct long line of a slice: four halves a line (see ``Lines.halves``)."""
-    def run(batches):
-        for batch in batches:
-            for t in tk.text_slices(batch.column(0)):
-                lines = Lines(t)
-                whole = lines.whole()
+                     pa.array(whole.view(np.int64)), pa.nulls(len(whole), pa.int64())], names=names)
                 pick = np.unique(whole, return_index=True)[1]
                 halves, owner = [], []
                 for shorter in (0, 1):
@@ -175,10 +167,12 @@ def half_keys(rows: DataFrame) -> DataFrame:
                     for keys in lines.halves(shorter):
                         halves.append(keys[long])
                         owner.append(whole[long])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (halves, owner)],
-                                                 names=["half", "line"])
+                owner, halves = (pa.array(np.concatenate(x).view(np.int64)) for x in (owner, halves))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(owner), batch.column(0).type), pa.nulls(len(owner), pa.int64()),
+                     pa.nulls(len(owner), pa.int32()), owner, halves], names=names)
 
-    return rows.select("text").mapInArrow(run, "half long, line long")
+    return rows.mapInArrow(run, f"doc_id {kind}, row long, number int, line long, half long")
 
 
 def variants(rows: DataFrame, shared) -> DataFrame:
@@ -227,15 +221,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     at = scratch_dir(spark, "lines")
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{at}/{name}")
+        # hashes hardly repeat: a dictionary of them is built in vain
+        df.write.option("parquet.enable.dictionary", "false").parquet(f"{at}/{name}")
         return spark.read.parquet(f"{at}/{name}")
 
     rows = _rows_of(docs, id_col, text_col)
-    lines = written(line_table(rows), "lines")
+    table = written(line_table(rows), "lines")
+    lines = table.filter("half IS NULL").drop("half")
     place = F.struct("doc_id", "row", "number")
     distinct = written(lines.groupBy("line").agg(F.min(place).alias("first")), "distinct")
 
-    halves = half_keys(rows).groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).filter("lo < hi")
+    halves = table.filter("half IS NOT NULL").groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).filter("lo < hi")
     halves = written(halves.select(F.col("half").alias("key")), "halves")
     spread = written(variants(rows, fuse.shared_filter(spark, halves, 16)), "variants")
     common = written(spread.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"))

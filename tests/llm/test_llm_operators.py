@@ -537,6 +537,17 @@ def test_line_dedup(spark):
     assert left == {d for d, t in rows if not (t and WORD.search(t) and not WORD.search(want[d]))}
 
 
+def test_line_table_has_the_halves_too(spark):
+    """One scan gives the lines and the halves of long ones."""
+    df = spark.createDataFrame([(1, "a b c d\nx\na b c d"), (None, "a b c d e"), (3, None)], "doc_id long, text string")
+    got = lines.line_table(lines._rows_of(df.coalesce(1), "doc_id", "text")).collect()
+    assert Counter((r.doc_id, r.number) for r in got if r.half is None) == Counter([(1, 0), (1, 1), (1, 2), (None, 0)])
+    long = {r.line for r in got if r.half is None and (r.doc_id is None or r.number != 1)}
+    halves = Counter(r.line for r in got if r.half is not None)
+    assert set(halves) == long and sorted(halves.values()) == [2, 4]
+    assert all(r.row is None and r.number is None for r in got if r.half is not None)
+
+
 def test_line_dedup_awkward(fixture):
     rows, df = fixture
     out = lines.dedup(df, length_col="n_chars", counts=("n_lines", "n_dropped"), drop_emptied=False)
