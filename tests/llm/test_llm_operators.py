@@ -369,6 +369,25 @@ def test_suffix_dedup(fixture, monkeypatch, salt, screen):
     assert Counter((*r[:4], bytes(r[4])) for r in got) == cut_by_force(pairs(rows))
 
 
+def test_suffix_merge_takes_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(97, 123, 3000).astype(np.uint8)
+    contents = []
+    for i in range(200):
+        text = base.copy()
+        text[rnd.integers(0, 3000, 30)] = 97
+        contents.append(text[int(rnd.integers(0, 500)):].tobytes())
+    tracemalloc.start()
+    suffixes.smallest_ids(contents, np.arange(200))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 65 * sum(map(len, contents))
+
+
 def test_suffix_query_on_table(spark, small):
     rows, _ = small
     got = Counter(tuple(r) for r in queries.queries()["op4_suffix_dedup"](spark, SF).collect())
