@@ -209,6 +209,41 @@ def test_blocks_on_both_sides_find_every_component(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link(df, 4, 70, 100).collect()) == want
 
 
+def test_texts_that_may_link_are_connected_not_listed_in_pairs(spark, monkeypatch):
+    """300 texts of one key that pass every filter: 299 pairs connect them, where there are 44,850; in blocks too."""
+    placed = spark.range(300).selectExpr("7L AS key", "id AS cid", "50 AS n", "0 AS pos", "id AS comp")
+    classes = placed.selectExpr("cid", f"cast(repeat('a', {ngram_join.PACKED}) AS binary) AS packed")
+    for block, most in ((4096, 299), (100, 3 * 3 * 200)):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        found = ngram_join._rest(placed, ngram_join._mixed(placed), classes, 2, 85, 100)
+        pairs = [(r.a, r.b) for r in found.collect()]
+        assert 299 <= len(pairs) <= most
+        up = {i: i for i in range(300)}
+        for a, b in pairs:
+            old, new = up[a], up[b]
+            up = {k: new if v == old else v for k, v in up.items()}
+        assert len(set(up.values())) == 1
+
+
+def test_heaps_in_blocks_find_every_component(spark, monkeypatch):
+    """Near copies of which only some link, compared in blocks of five texts of their heap."""
+    rnd = random.Random(13)
+    groups = [[f"g{g}w{k}" for k in range(60)] for g in range(3)]
+    rows = []
+    for i in range(120):
+        words = list(groups[i % 3])
+        for _ in range(rnd.randint(1, 3)):
+            words[rnd.randrange(60)] = f"z{rnd.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    rows += [(i + 200, rows[i][1]) for i in range(10)] + rows[:3]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = components_by_force(rows, 4, 75, 100)
+    assert 10 < len({c for _, _, c in want}) < 100
+    for name, value in (("SIDE_TEXTS", 5), ("BLOCK", 16), ("ANCHORS", 1), ("ROUNDS", 0)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert Counter(tuple(r) for r in ngram_join.link(df, 4, 75, 100).collect()) == want
+
+
 # hashes only propose: strings that are equal under any polynomial hash modulo 2^64
 
 
