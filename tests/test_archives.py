@@ -425,3 +425,56 @@ def test_a_scanned_tree_is_on_disk_in_shares(spark, key, monkeypatch):
     monkeypatch.setattr(Q, "TREE_FILES", 50)
     assert rows() == whole and len(held) == -(-n // 50) and sum(held) == n and max(held) < n // 2
     assert not [f for d, _, fs in os.walk(f"{local_path(checkpoint_root(spark))}/ledgerline-scratch") if "/tree-files-" in d for f in fs]
+
+
+def _tar(names, fmt=tarfile.PAX_FORMAT, content=b"x" * 700):
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w", format=fmt) as t:
+        for k, name in enumerate(names):
+            info = tarfile.TarInfo(name)
+            info.mtime = 1000 + k
+            if name.endswith("/"):
+                info.type = tarfile.DIRTYPE
+                t.addfile(info)
+            else:
+                info.size = 0 if k % 5 == 0 else len(content) * (k % 40 if k % 7 == 0 else 1)
+                t.addfile(info, io.BytesIO(content * 40))
+    return out.getvalue()
+
+
+def _indexed(paths):
+    import pandas as pd
+
+    from ledgerline.sources import archives
+
+    listing = pd.DataFrame({"archive_path": paths, "batch_no": list(range(len(paths)))})
+    return [tuple(None if v is pd.NA or v != v else v for v in row)
+            for pdf in archives._index(["batch_no"])([listing]) for row in pdf.itertuples(index=False)]
+
+
+def test_usual_headers_are_read_without_tarfile(tmp, monkeypatch):
+    """Members of every kind of archive, whole or cut anywhere, are those that ``tarfile`` finds; the usual ones
+    without its steps."""
+    from ledgerline.sources import archives
+
+    usual = ["root/T/", "root/T/2001/"] + [f"root/T/2001/{k}.html" for k in range(60)]
+    kinds = [_tar(usual), _tar(usual, tarfile.GNU_FORMAT), _tar(usual, tarfile.USTAR_FORMAT), _tar([]),
+             _tar(usual[:5] + ["root/" + "long/" * 30 + "name", "root/\u00fc.html"] + usual[5:9]),
+             _tar(usual[:3] + ["root/" + "l" * 60 + "/" + "m" * 60] + usual[5:9], tarfile.USTAR_FORMAT)]
+    wrong = bytearray(kinds[0])
+    wrong[2048 + 10] ^= 1
+    few = _tar(usual[:6])
+    kinds += [bytes(wrong), kinds[0] + kinds[0], *(few[:n] for n in range(0, len(few) + 1, 171)), *(few[:512 * n] for n in range(1, 20))]
+    paths = []
+    for k, data in enumerate(kinds):
+        paths.append(f"{tmp}/{k}.tar")
+        with open(paths[-1], "wb") as f:
+            f.write(data)
+    got = _indexed(paths)
+    steps = []
+    step = tarfile.TarInfo.frombuf.__func__
+    monkeypatch.setattr(tarfile.TarInfo, "frombuf", classmethod(lambda cls, *a: steps.append(1) or step(cls, *a)))
+    assert len(_indexed(paths[:1])) == len(usual) and len(steps) <= 2  # the end
+    monkeypatch.setattr(archives, "_usual", lambda raw, size: [(None, None, None, None, 0)])
+    assert got == _indexed(paths)
+    assert sum(e is not None for *_, e, _, _ in got) > 40
