@@ -478,3 +478,51 @@ def test_usual_headers_are_read_without_tarfile(tmp, monkeypatch):
     monkeypatch.setattr(archives, "_usual", lambda raw, size: [(None, None, None, None, 0)])
     assert got == _indexed(paths)
     assert sum(e is not None for *_, e, _, _ in got) > 40
+
+
+def test_staged_filings_are_found_once(spark):
+    """Ranks, sums and packing read the stored filings, not the orders and pages again."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+
+    read = Q.staged_keys(spark, SF_SMALL).inputFiles()
+    assert read and not [f for f in read if "orders.parquet" in f or "pages.parquet" in f]
+
+
+def test_small_members_share_a_write():
+    """Headers, contents and fill of small members go to the file together, and are counted as written."""
+    from ledgerline.sinks import archives
+
+    class Sink:
+        def __init__(self):
+            self.writes, self.size = 0, 0
+
+        def create_dir(self, *args, **kwargs):
+            pass
+
+        def open_output_stream(self, *args, **kwargs):
+            return self
+
+        def write(self, data):
+            self.writes, self.size = self.writes + 1, self.size + len(data)
+
+        def close(self):
+            pass
+
+    sink = Sink()
+    a = archives._Archive(sink, "x/x.tar", "x.tar", "x/x.tar")
+    for k in range(5000):
+        m = f"s/T{k // 10:04}/2001/{k % 10}/{k}.html"
+        a.add_parents(m, 1, 1000)
+        a.add_file(m, 1000, b"x" * (k % 700))
+    entry = a.close()
+    assert entry[2] == sink.size and entry[3] == 5000 + 500 * 2 + 5000 and entry[6] == 500
+    assert sink.writes < 20
+
+
+@pytest.mark.parametrize("size", [1, 100, 255, 256])
+def test_byte_sums(size):
+    from ledgerline.sinks.archives import byte_sum
+
+    for block in (b"\xff" * size, b"\0" * size, os.urandom(size)):
+        assert byte_sum(block) == sum(block)
