@@ -526,3 +526,42 @@ def test_byte_sums(size):
 
     for block in (b"\xff" * size, b"\0" * size, os.urandom(size)):
         assert byte_sum(block) == sum(block)
+
+
+def test_headers_of_many_forms(tmp):
+    from ledgerline.sources import archives
+
+    buf = io.BytesIO()
+    n = 3 * archives.KNOWN_FORMS
+    with tarfile.open(fileobj=buf, mode="w", format=tarfile.PAX_FORMAT) as t:
+        for i in [*range(n), *range(n)]:
+            info = tarfile.TarInfo(f"r/{i}")
+            info.uname, info.mode, info.size = f"owner{i}", i % 512, i
+            t.addfile(info, io.BytesIO(b"\xff" * i))
+    at = f"{tmp}/forms.tar"
+    with open(at, "wb") as f:
+        f.write(buf.getvalue())
+    with open(at, "rb") as f, tarfile.open(at) as t:
+        raw = type("Raw", (), {"read_at": staticmethod(lambda n, at: (f.seek(at), f.read(n))[1])})
+        got = [r for r in archives._usual(raw, len(buf.getvalue())) if r[0] is not None]
+        assert got == [(m.name, True, m.size, m.mtime, m.offset_data) for m in t.getmembers()] and len(got) == 2 * n
+
+
+@pytest.mark.parametrize("key", ["snk_tree_archive", "snk_annual_archive"])
+def test_a_small_company_is_in_one_part(spark, key, monkeypatch):
+    """Its directories are written once, however many parts there are; a large company is spread over parts."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+
+    listed, part_bytes = [], 120_000
+    monkeypatch.setattr(Q, "list_files", lambda *args: listed.append(list_files(*args)) or listed[-1])
+    getattr(Q, key)(spark, SF_SMALL, part_bytes=part_bytes).count()
+    files = [r.asDict() for r in read_members(listed[0], with_content=False).filter("is_file").select("name", "member", "size").collect()]
+    held, parts = {}, {}
+    for f in files:
+        archive, company = f["name"].rsplit(".part", 1)[0], f["member"].split("/")[1]
+        held[archive, company] = held.get((archive, company), 0) + f["size"]
+        parts.setdefault((archive, company), set()).add(f["name"])
+    small = [c for c, size in held.items() if size * A.PIECES_PER_PART <= part_bytes]
+    assert len({f["name"] for f in files}) > len({a for a, _ in held}) and len([c for c in small if len(parts[c]) > 1]) == 0
+    assert small and any(len(p) > 1 for p in parts.values())
