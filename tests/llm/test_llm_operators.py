@@ -448,6 +448,35 @@ def test_merge_is_the_order_of_the_union():
     assert source.tolist() == [s for _, s, _ in every] and prefix.tolist() == [k // 2 * 2 for k in common]
 
 
+def test_merge_by_five_letters_is_the_order_of_the_union(monkeypatch):
+    """Five refinements at once, by ranks; where the ranks need too large a table, two at once."""
+    import numpy as np
+
+    rnd = random.Random(3)
+    parts = [np.array([rnd.choice([1, 2, 3, 200]) for _ in range(rnd.randint(20, 60))] + [0], np.uint8) for _ in range(4)]
+    transforms = [suffixes.transform(p) for p in parts]
+    every = sorted((bytes(np.roll(p, -i)[:10]), s, k) for s, p in enumerate(parts) for k, i in enumerate(transforms[s][1].tolist()))
+    common = [0] + [next((k for k in range(10) if a[0][k] != b[0][k]), 10) for a, b in zip(every, every[1:])]
+    for cells, step in ((suffixes.PAIRS, 5), (10, 2)):
+        monkeypatch.setattr(suffixes, "PAIRS", cells)
+        source, prefix = suffixes.merge([x[0] for x in transforms], 10, at_once=5)
+        assert source.tolist() == [s for _, s, _ in every] and prefix.tolist() == [k // step * step for k in common]
+
+
+def test_suffix_order_of_short_and_long_texts():
+    """Four ranks at once (up to 65,536 letters), or two: the order of the rotations."""
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 9, 300, 70_000):
+        text = np.append(rnd.integers(1, 3, n), 0).astype(np.uint8)
+        order = suffixes.suffix_order(text)
+        assert sorted(order.tolist()) == list(range(n + 1))
+        turned = np.concatenate((text, text)).tobytes()
+        some = order.tolist()[:2000]
+        assert all(turned[i:i + n + 1] < turned[j:j + n + 1] for i, j in zip(some, some[1:]))
+
+
 def test_suffix_texts_of_one_id_are_told_apart(spark):
     """Many null ids, and one id with many texts: ranges come back to the text that they were found in."""
     rnd = random.Random(8)
