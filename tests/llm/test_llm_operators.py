@@ -225,6 +225,41 @@ def test_texts_that_may_link_are_connected_not_listed_in_pairs(spark, monkeypatc
         assert len(set(up.values())) == 1
 
 
+def test_join_in_shares_keeps_results_and_little_scratch(spark, monkeypatch):
+    """Steps 5 and 6 dealt by many small jobs give what one job gives; large tables are gone with the step that reads
+    them, and so are the files of the shuffles."""
+    import glob
+    import os
+
+    from ledgerline.session import SHUFFLES_GO, checkpoint_root, local_path
+
+    rnd = random.Random(14)
+    groups = [[f"g{g}w{k}" for k in range(40)] for g in range(6)]
+    rows = []
+    for i in range(120):
+        words = list(groups[i % 6])
+        for _ in range(rnd.randint(1, 3)):
+            words[rnd.randrange(40)] = f"own{rnd.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for name, value in (("SHARE_ROWS", 100), ("SHARE_SHINGLES", 500), ("SIDE_TEXTS", 16), ("BLOCK", 50), ("ANCHORS", 1), ("ROUNDS", 0)):
+        monkeypatch.setattr(ngram_join, name, value)
+    dealt = []
+    one = ngram_join._rest
+    monkeypatch.setattr(ngram_join, "_rest", lambda *a: dealt.append(1) or one(*a))
+    scratch = f"{local_path(checkpoint_root(spark))}/ledgerline-scratch/ngram-join-*"
+    before = set(glob.glob(scratch))
+    setting = spark.conf.get(SHUFFLES_GO, None)
+    out = ngram_join.link(df, 4, 80, 100, n_links=True).collect()
+    assert len(dealt) > 1 and spark.conf.get(SHUFFLES_GO, None) == setting
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == components_by_force(rows, 4, 80, 100)
+    assert Counter((r.doc_id, r.n_links) for r in out) == links_by_force(rows, 4, 80, 100)
+    (folder,) = set(glob.glob(scratch)) - before
+    left = os.listdir(folder)
+    assert "labelled" in left and not [x for x in left if x in ("profile", "shared", "shared-keys", "rest-sets", "inside-sets") or x.startswith("placed")
+                                       or (x.startswith("round") and not x.endswith("links"))]
+
+
 def test_heaps_in_blocks_find_every_component(spark, monkeypatch):
     """Near copies of which only some link, compared in blocks of five texts of their heap."""
     rnd = random.Random(13)
