@@ -404,6 +404,23 @@ def test_contents_read_are_let_go_and_small_archives_share_a_chunk(tmp):
     assert rows == n and held < 64 * size and pa.total_allocated_bytes() - before < size
 
 
+@pytest.mark.parametrize("key", ["snk_annual_archive", "src_archive_unpack", "snk_batch_archive"])
+def test_packing_by_several_jobs_gives_the_same_archives(spark, key, monkeypatch):
+    """Archives packed by three jobs, each with whole archives: the same rows, and no shuffle of all contents."""
+    from conftest import SF_SMALL
+    from ledgerline.plans import archive_queries as Q
+
+    def rows():
+        return sorted(map(str, getattr(Q, key)(spark, SF_SMALL).collect()))
+
+    want, jobs, write = rows(), [], Q.write_archives
+    monkeypatch.setattr(Q, "PACK_BYTES", 10_000)
+    monkeypatch.setattr(Q, "PACK_JOBS", 3)
+    monkeypatch.setattr(Q, "write_archives", lambda df, *a, **k: jobs.append({r.archive for r in df.select("archive").collect()}) or write(df, *a, **k))
+    assert rows() == want
+    assert len(jobs) == 3 and all(not (a & b) for i, a in enumerate(jobs) for b in jobs[:i])
+
+
 @pytest.mark.parametrize("key", ["src_tree_scan", "qa_zero_length"])
 def test_a_scanned_tree_is_on_disk_in_shares(spark, key, monkeypatch):
     """All files are written and found whatever the share, a share holds a part of them, and none is left."""
