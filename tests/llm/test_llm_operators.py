@@ -260,6 +260,18 @@ def test_join_in_shares_keeps_results_and_little_scratch(spark, monkeypatch):
                                        or (x.startswith("round") and not x.endswith("links"))]
 
 
+def test_placed_texts_move_with_their_components(spark):
+    """After more links, relabelled texts are what placing all members anew gives."""
+    from ledgerline.llm.graph import components
+
+    members = spark.range(40).selectExpr("id % 7 AS key", "id AS cid", "50 AS n", "0 AS pos")
+    links = spark.createDataFrame([(0, 1), (1, 2), (5, 9), (20, 21)], "a long, b long")
+    more = links.unionByName(spark.createDataFrame([(2, 9), (21, 30), (31, 32)], "a long, b long"))
+    old, new = components(links), components(more)
+    moved = ngram_join._moved(ngram_join._placed(members, old), old, new)
+    assert Counter(map(tuple, moved.collect())) == Counter(map(tuple, ngram_join._placed(members, new).collect()))
+
+
 def test_heaps_in_blocks_find_every_component(spark, monkeypatch):
     """Near copies of which only some link, compared in blocks of five texts of their heap."""
     rnd = random.Random(13)
